@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.schemas import BIGINT, DOUBLE, INT, MOMENT, STRING, table
+
 REPORT_DATE = "1998-06-15"
 QUOTES_DATE = "2024-01-31"
 CUTOFFS = {"data_date": REPORT_DATE, "already_before": "1996-08-01", "since": "1996-01-01"}
@@ -23,6 +25,21 @@ MONTHS = [
     "July", "August", "September", "October", "November", "December",
 ]
 
+TABLES = {
+    "nation": table(n_nationkey=INT, n_name=STRING, n_regionkey=INT),
+    "customer": table(c_custkey=BIGINT, c_name=STRING, c_nationkey=INT, c_acctbal=DOUBLE, c_mktsegment=STRING),
+    "supplier": table(s_suppkey=BIGINT, s_name=STRING, s_nationkey=INT, s_acctbal=DOUBLE),
+    "orders": table(
+        o_orderkey=BIGINT,
+        o_custkey=BIGINT,
+        o_orderstatus=STRING,
+        o_totalprice=DOUBLE,
+        o_orderdate=MOMENT,
+        o_orderpriority=STRING,
+    ),
+    "events": table(event_id=BIGINT, ts=MOMENT, user_id=BIGINT, event_type=STRING, value=DOUBLE, props=STRING),
+}
+
 
 def _text(c: Column) -> Column:
     return c.cast("string")
@@ -35,7 +52,8 @@ class Fixtures:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table; its schema is given, so that no job is needed to infer it."""
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def roster(self) -> DataFrame:

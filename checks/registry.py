@@ -65,44 +65,65 @@ def query(name: str, sql: str | None = None, **formats):
 
 
 # --- tables several queries start from -----------------------------------------------------
+def shared(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
+    """Define such a table once per query, however often it is used there."""
+
+    def get(fx: Fixtures) -> DataFrame:
+        if build.__name__ not in fx.__dict__:
+            fx.__dict__[build.__name__] = build(fx)
+        return fx.__dict__[build.__name__]
+
+    return get
+
+
+@shared
 def cleaned(fx: Fixtures) -> DataFrame:
     return sales.clean_sales(fx.sales)
 
 
+@shared
 def unique(fx: Fixtures) -> DataFrame:
     return sales.unique_sales(cleaned(fx))
 
 
-def status_of(fx: Fixtures, ordered: bool = False) -> DataFrame:
-    return status.dp_status(fx.partner, fx.policy, cleaned(fx), ordered=ordered, **CUTOFFS)
+@shared
+def status_of(fx: Fixtures) -> DataFrame:
+    return status.dp_status(fx.partner, fx.policy, cleaned(fx), ordered=False, **CUTOFFS)
 
 
+@shared
 def enriched(fx: Fixtures) -> DataFrame:
     return sales.enrich_sales(cleaned(fx), status_of(fx))
 
 
+@shared
 def unique_enriched(fx: Fixtures) -> DataFrame:
-    return sales.enrich_sales(unique(fx), status_of(fx))
+    return sales.enrich_unique(unique(fx), status_of(fx))
 
 
+@shared
 def day_supply(fx: Fixtures) -> DataFrame:
     return fx.supply.filter(F.col("snapshot_date") == F.lit(SNAPSHOT).cast("date"))
 
 
+@shared
 def day_pool(fx: Fixtures) -> DataFrame:
     return fx.fav_pool.filter(F.col("snapshot_date") == F.lit(SNAPSHOT).cast("date"))
 
 
+@shared
 def by_email(fx: Fixtures) -> DataFrame:
     return metrics.email_level(unique_enriched(fx), day_supply(fx), day_pool(fx), fx.roster, fx.override)
 
 
+@shared
 def new_trend_row(fx: Fixtures) -> DataFrame:
     return metrics.trend_row(
         unique_enriched(fx), enriched(fx), day_supply(fx), day_pool(fx), data_date=REPORT_DATE, mode=MODE
     )
 
 
+@shared
 def two_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """A first delivery, and a later one that overlaps it with other statuses."""
     rows = enriched(fx)
@@ -113,19 +134,23 @@ def two_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+@shared
 def first_master(fx: Fixtures) -> DataFrame:
     """The first delivery as rows of a master, not yet deduplicated."""
     return sales.daily_rows(two_batches(fx)[0], fx.roster, fx.override, batch_seq=1)
 
 
+@shared
 def master_of(fx: Fixtures) -> DataFrame:
     return sales.collate_master(first_master(fx), two_batches(fx)[1], fx.roster, fx.override, batch_seq=2)
 
 
+@shared
 def rate_master(fx: Fixtures) -> DataFrame:
     return enriched(fx).select("row_seq", "sale_date", "dp_id", "dp_status")
 
 
+@shared
 def trend_seed(fx: Fixtures) -> DataFrame:
     """Two earlier trend rows made from the sales up to their dates."""
     days = [dt.date(1998, 5, 20), dt.date(1998, 6, 15)]
@@ -924,7 +949,7 @@ def _(fx):
 # --- reports ---------------------------------------------------------------------------------------------
 @query("dp_status", "SELECT * FROM dp_status", doubles=("total_netpremium",))
 def _(fx):
-    return status_of(fx, ordered=True)
+    return ordering.order_status(status_of(fx))
 
 
 @query("fav_pool", FAV_POOL_SQL)

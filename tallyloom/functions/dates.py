@@ -17,9 +17,10 @@ def as_date(value: str | dt.date | Column) -> Column:
     return F.lit(value)
 
 
-def coerce_date(text: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Parse text; what does not parse becomes null."""
-    return F.try_to_date(F.trim(text), fmt)
+def coerce_date(text: Column, fmt: str | None = None) -> Column:
+    """Parse text, ISO by default; what does not parse becomes null."""
+    trimmed = F.trim(text)
+    return trimmed.try_cast("date") if fmt is None else F.try_to_date(trimmed, fmt)
 
 
 def parse_mixed_date(text: Column) -> Column:

@@ -5,77 +5,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import labels, similarity
+from ..functions import labels
+from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
-from .skew import lookup_join, shuffle_width
+from .skew import lookup_join
 
-ROSTER_PACK = 256  # roster entries per packed row
+NAME_BLOCK = 512  # names per block, about
+ROSTER_PACK = 256  # roster entries per pack, at most
 
 
 def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
-    """The roster as rows of at most ``pack_size`` prepared entries (``roster_seq`` is unique)."""
-    local = roster.select("roster_seq", "email", email_local_part(F.col("email")).alias("local"))
-    ready = local.withColumn("tokens", similarity.sort_tokens(F.col("local"))).withColumn(
-        "size", F.length("tokens")
-    )
-    short = F.col("size") <= similarity.MAX_MASK_LENGTH
-    entry = F.struct(
-        "roster_seq",
-        "email",
-        "size",
-        F.substring("local", 1, 1).alias("initial"),
-        F.when(short, similarity.letter_masks(F.col("tokens"))).alias("masks"),
-        F.when(~short, similarity.letter_codes(F.col("tokens"))).alias("codes"),
-    )
+    """The roster as rows of at most ``pack_size`` entries in roster order (``roster_seq`` is unique)."""
+    entry = F.struct("roster_seq", "email", email_local_part(F.col("email")).alias("local"))
     pack = F.floor(F.col("roster_seq") / pack_size).cast("int")
-    return ready.groupBy(pack.alias("pack")).agg(F.collect_list(entry).alias("entries"))
-
-
-def _best_of_pack():
-    """Best entry of a pack for the name in columns codes, size, initial.
-
-    The maximum of (score, -roster_seq) is the highest score and, among equals, the first
-    roster entry.
-    """
-    size, codes, initial = F.col("name_size"), F.col("name_codes"), F.col("name_initial")
+    return roster.groupBy(pack.alias("pack")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
-    def scored(entry):
-        fast = similarity.lcs_by_masks(codes, entry["masks"], entry["size"])
-        slow = similarity.lcs_by_rows(codes, entry["codes"])
-        lcs = F.when(entry["masks"].isNotNull(), fast).otherwise(slow)
-        ratio = similarity.ratio_from_lcs(lcs, size, entry["size"])
-        same_initial = (initial != "") & (initial == entry["initial"])
-        bonus = F.when(same_initial, F.lit(labels.FIRST_LETTER_BONUS)).otherwise(F.lit(0))
-        return F.struct(
-            (ratio + bonus).alias("score"), (-entry["roster_seq"]).alias("order"), entry["email"].alias("email")
-        )
 
-    return F.array_max(F.transform("entries", scored))
-
-
-def fuzzy_map(names: DataFrame, roster: DataFrame, overrides: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
+def block_names(names: DataFrame, block_size: int = NAME_BLOCK) -> DataFrame:
+    """Distinct names in blocks of about ``block_size``: as many hash buckets as that takes."""
+    distinct_names = names.select("clean_name").distinct()
+    blocks = distinct_names.agg(F.ceil(F.count(F.lit(1)) / block_size)).scalar()
+    block = F.pmod(F.xxhash64("clean_name"), blocks)
+    return distinct_names.groupBy(block.alias("block")).agg(F.collect_list("clean_name").alias("names"))
+
+
+def fuzzy_map(
+    names: DataFrame,
+    roster: DataFrame,
+    overrides: DataFrame,
+    pack_size: int = ROSTER_PACK,
+    block_size: int = NAME_BLOCK,
+) -> DataFrame:
     """One row per distinct ``clean_name``: its e-mail (or Unmapped) and the best score.
 
-    Every name meets every roster entry, but inside one row: a name is sent once to each
-    pack of the roster and keeps the best entry there, so no pair is ever materialised.
-    With one pack (a roster of usual size) there is one row per name. The packs are
-    joined by an ordinary equi join, which Spark broadcasts only below its size limit.
-    Names are spread over all tasks before the scoring, which is the costly part.
+    Every name has to meet every roster entry. They meet as blocks of names and packs of
+    the roster, one row for each block and pack, so no pair is ever a row; a roster of
+    usual size is one pack. Both sizes are bounded, and the rows are spread over all tasks
+    for the scoring. Blocks and packs are joined by an ordinary equi join that Spark
+    broadcasts only below its size limit.
     """
-    distinct_names = names.select("clean_name").distinct()
-    spread = distinct_names.repartition(shuffle_width(names), "clean_name")
-    tokens = similarity.sort_tokens(F.col("clean_name"))
     packs = pack_roster(roster, pack_size)
-    pack_ids = roster.agg(F.max(F.floor(F.col("roster_seq") / pack_size)).cast("int")).scalar()
-    probes = spread.select(
-        "clean_name",
-        similarity.letter_codes(tokens).alias("name_codes"),
-        F.length(tokens).alias("name_size"),
-        F.substring("clean_name", 1, 1).alias("name_initial"),
-        F.explode(F.sequence(F.lit(0), F.coalesce(pack_ids, F.lit(0)))).alias("pack"),
+    last_pack = roster.agg(F.coalesce(F.max(F.floor(F.col("roster_seq") / pack_size)), F.lit(0)).cast("int")).scalar()
+    pack_ids = F.explode(F.sequence(F.lit(0), last_pack))
+    meetings = block_names(names, block_size).select("block", "names", pack_ids.alias("pack")).join(packs, "pack", "left")
+    spread = meetings.repartition("block", "pack")
+    no_entries = F.array().cast("array<string>")
+    locals_ = F.coalesce(F.transform("entries", lambda e: e["local"]), no_entries)
+    scored = spread.select(
+        "names", "entries", F.when(F.size("entries") > 0, best_entries("names", locals_)).alias("best")
+    )
+    per_name = scored.select(
+        "entries", F.explode(F.arrays_zip("names", F.col("best.score"), F.col("best.entry"))).alias("hit")
+    ).select(
+        F.col("hit.names").alias("clean_name"),
+        F.col("hit.score").alias("score"),
+        F.get("entries", F.col("hit.entry")).alias("found"),
     )
-    per_pack = probes.join(packs, "pack", "left").select("clean_name", _best_of_pack().alias("best"))
-    best = per_pack.groupBy("clean_name").agg(F.max("best").alias("best"))
+    # The maximum of (score, -roster_seq) is the highest score and, among equals, the first entry.
+    ranked = F.struct("score", (-F.col("found.roster_seq")).alias("order"), F.col("found.email").alias("email"))
+    best = per_name.groupBy("clean_name").agg(F.max(ranked).alias("best"))
     score = F.coalesce("best.score", F.lit(0))
     accepted = F.when(score > labels.MATCH_THRESHOLD, F.col("best.email")).otherwise(F.lit(labels.UNMAPPED))
     override = overrides.select("clean_name", F.col("email").alias("override_email"))

@@ -59,14 +59,18 @@ def status_lookup(status: DataFrame) -> DataFrame:
     return best.select("dp_id", name.alias("client_status"))
 
 
-def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str) -> DataFrame:
+def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str | None) -> DataFrame:
     bare = sales.drop("dp_status").withColumn("dp_id", normalize_id(F.col("dp_id")))
-    joined = lookup_join(bare, lookup, "dp_id", spread_by)
+    joined = bare.join(lookup, "dp_id", "left") if spread_by is None else lookup_join(bare, lookup, "dp_id", spread_by)
     return joined.withColumn("dp_status", fill_status(F.col("client_status"))).drop("client_status")
 
 
-def enrich_status(sales: DataFrame, status: DataFrame, spread_by: str = "row_seq") -> DataFrame:
-    """Sales with the status of their partner; every sales row comes out once."""
+def enrich_status(sales: DataFrame, status: DataFrame, spread_by: str | None = "row_seq") -> DataFrame:
+    """Sales with the status of their partner; every sales row comes out once.
+
+    ``spread_by`` is the unique column that cuts partners with very many sales; None where
+    partners are known to occur once.
+    """
     return _attach_status(sales, status_lookup(status), spread_by)
 
 

@@ -2,43 +2,69 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MAX_HOT_KEYS = 10_000  # bound of the broadcast table of hot keys
+_TRACKED_PER_KEY = 10
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys that exceed a fair share of the rows: (key, pieces to cut it into)."""
+
+    pieces: list[tuple]
+    nulls: bool  # whether the missing key exceeds a fair share too
 
 
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(rows: DataFrame, key: str, width: int) -> DataFrame:
-    """Keys with more rows than one of ``width`` even partitions, and the pieces to cut each into.
+def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
+    """Keys with more rows than one of the shuffle partitions should get.
 
-    Fewer than ``width`` keys can hold more than 1/width of the rows, so the result has
-    fewer than ``width`` rows whatever the size of the input.
+    One pass over the key column with a frequent-items sketch: every task sends one sketch,
+    so nothing is shuffled by key. Fewer than ``partitions`` keys can exceed 1/partitions
+    of the rows and at most MAX_HOT_KEYS are returned, so the driver gets a short list. The
+    counts only decide how finely a key is cut; a wrong estimate cannot change a result.
     """
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
-    return counts.filter(F.col("n_rows") * width > total).select(
-        F.col(key), F.ceil(F.col("n_rows") * width / total).cast("int").alias("pieces")
-    )
+    width = shuffle_width(rows)
+    k = min(width, MAX_HOT_KEYS)
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(k), F.lit(max(10_000, k * _TRACKED_PER_KEY)))
+    found = rows.agg(
+        F.count(F.lit(1)).alias("total"), F.count(F.col(key)).alias("present"), sketch.alias("top")
+    ).first()
+    total = found["total"]
+    pieces = [
+        (item["item"], min(width, -(-item["count"] * width // total)))
+        for item in found["top"] or []
+        if item["count"] * width > total
+    ]
+    return HotKeys(pieces, (total - found["present"]) * width > total)
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "left") -> DataFrame:
-    """``rows JOIN lookup`` on ``key``; hot keys are cut into pieces of about a partition.
+    """``rows JOIN lookup`` on ``key``, with hot keys cut into pieces of about a partition.
 
-    ``spread_by`` is a column unique per row: it decides the piece, so a task that runs
-    again after a lost executor sends every row to the same piece. The lookup rows of a
-    hot key are repeated once per piece (at most 2 x partitions rows more per lookup row
-    of a key); all other keys are joined as they are. Null keys match nothing and are
-    spread out too.
+    Without hot keys this is the plain join. Otherwise each row of a hot key goes to one of
+    the key's pieces and the lookup rows of that key are repeated once per piece; all other
+    keys stay whole. ``spread_by`` is a column unique per row. It decides the piece, so a
+    task that runs again after a lost executor sends every row to the same piece. Missing
+    keys match nothing and are spread out as well.
     """
+    hot_keys = find_hot_keys(rows, key)
+    if not hot_keys.pieces and not hot_keys.nulls:
+        return rows.join(lookup, key, how)
+    schema = T.StructType([rows.schema[key], T.StructField("pieces", T.IntegerType())])
+    hot = F.broadcast(rows.sparkSession.createDataFrame(hot_keys.pieces, schema))  # <= MAX_HOT_KEYS rows
     width = shuffle_width(rows)
-    hot = F.broadcast(hot_keys(rows, key, width))  # fewer than `width` rows
-    number = F.xxhash64(spread_by)
-    piece = F.when(F.col(key).isNull(), F.pmod(number, F.lit(width))).otherwise(
-        F.pmod(number, F.coalesce("pieces", F.lit(1)))
-    )
-    cut_rows = rows.join(hot, key, "left").withColumn("piece", piece.cast("int")).drop("pieces")
-    pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-    cut_lookup = lookup.join(hot, key, "left").withColumn("piece", F.explode(pieces)).drop("pieces")
-    return cut_rows.join(cut_lookup, [key, "piece"], how).drop("piece")
+    whole = F.lit(1)
+    parts = F.when(F.col(key).isNull(), F.lit(width)).otherwise(F.coalesce("pieces", whole))
+    cut_rows = rows.join(hot, key, "left").withColumn("piece", F.pmod(F.xxhash64(spread_by), parts).cast("int"))
+    each_piece = F.explode(F.sequence(F.lit(0), F.coalesce("pieces", whole) - 1))
+    cut_lookup = lookup.join(hot, key, "left").withColumn("piece", each_piece)
+    return cut_rows.drop("pieces").join(cut_lookup.drop("pieces"), [key, "piece"], how).drop("piece")

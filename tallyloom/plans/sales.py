@@ -30,6 +30,11 @@ def enrich_sales(cleaned: DataFrame, status: DataFrame) -> DataFrame:
     return enrich_status(cleaned, status)
 
 
+def enrich_unique(unique: DataFrame, status: DataFrame) -> DataFrame:
+    """The first row of every partner with its status."""
+    return enrich_status(unique, status, spread_by=None)
+
+
 def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_seq: int) -> DataFrame:
     """A checked daily batch in the columns of the master, team included."""
     checked = validate_columns(daily, COLLATE_REQUIRED)
