@@ -64,7 +64,7 @@ class Fixtures:
 
     @cached_property
     def override(self) -> DataFrame:
-        return self.spark.sql("SELECT 'ZED ALIAS' AS clean_name, 'dev.patel2@example.com' AS email")
+        return self.spark.sql("SELECT * FROM VALUES ('ZED ALIAS','dev.patel2@example.com') AS t(clean_name, email)")
 
     @cached_property
     def bdm(self) -> DataFrame:

@@ -311,7 +311,7 @@ UNION ALL SELECT 'team_level', team, act_num, act_den, DATE '1998-06-15', 'REGUL
 UNION ALL SELECT 'summary', 'overall', act_num, act_den, DATE '1998-06-15', 'REGULAR' FROM overall
 """, dates=("data_date",))
 def _(fx):
-    emails = by_email(fx)
+    emails = storage.cut_lineage(by_email(fx))  # two of the tables start from it
     tables = {
         "email_level": emails.withColumnRenamed("email", "name"),
         "team_level": metrics.team_level(emails).withColumnRenamed("team", "name"),
@@ -1009,7 +1009,7 @@ SELECT data_date, act_numerator, run_mode, CAST(NULL AS DOUBLE) AS activation_ra
 UNION ALL SELECT data_date, act_numerator, run_mode, activation_rate FROM ({TREND_ROW}) n
 """, dates=("data_date",), rates=("activation_rate",))
 def _(fx):
-    return metrics.trend_upsert(trend_seed(fx), new_trend_row(fx)).select(
+    return metrics.trend_upsert(trend_seed(fx), new_trend_row(fx), data_date=REPORT_DATE).select(
         "data_date", "act_numerator", "run_mode", "activation_rate"
     )
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from .labels import FIRST_LETTER_BONUS
 
 _WORD = 64  # longest entry the bit-parallel form can hold
+_SLICE = 512  # names per matrix
 
 BEST_TYPE = T.StructType(
     [T.StructField("score", T.ArrayType(T.IntegerType())), T.StructField("entry", T.ArrayType(T.IntegerType()))]
@@ -100,8 +101,13 @@ def best_entries(names: pd.Series, locals_: pd.Series) -> pd.DataFrame:
     """For each name of a block the best entry of the pack and its score; the first wins ties."""
     scores, entries = [], []
     for block, pack in zip(names, locals_):
-        matrix = score_matrix(list(block), list(pack))
-        best = matrix.argmax(axis=1)
-        scores.append(matrix[np.arange(len(best)), best].astype(np.int32))
-        entries.append(best.astype(np.int32))
+        best_score = np.empty(len(block), dtype=np.int32)
+        best_entry = np.empty(len(block), dtype=np.int32)
+        for start in range(0, len(block), _SLICE):
+            part = slice(start, start + _SLICE)
+            matrix = score_matrix(list(block[part]), list(pack))
+            best_entry[part] = matrix.argmax(axis=1)
+            best_score[part] = matrix.max(axis=1)
+        scores.append(best_score)
+        entries.append(best_entry)
     return pd.DataFrame({"score": scores, "entry": entries})

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
-from .skew import lookup_join
+from .skew import lookup_join, shuffle_width
 
-NAME_BLOCK = 512  # names per block, about
+BLOCKS_PER_PARTITION = 4
 ROSTER_PACK = 256  # roster entries per pack, at most
 
 
@@ -21,57 +21,56 @@ def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
     return roster.groupBy(pack.alias("pack")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
-def block_names(names: DataFrame, block_size: int = NAME_BLOCK) -> DataFrame:
-    """Distinct names in blocks of about ``block_size``: as many hash buckets as that takes."""
-    distinct_names = names.select("clean_name").distinct()
-    blocks = distinct_names.agg(F.ceil(F.count(F.lit(1)) / block_size)).scalar()
-    block = F.pmod(F.xxhash64("clean_name"), blocks)
-    return distinct_names.groupBy(block.alias("block")).agg(F.collect_list("clean_name").alias("names"))
+def block_names(by_name: DataFrame) -> DataFrame:
+    """Rows of distinct names in hash blocks, a few blocks for every shuffle partition."""
+    blocks = shuffle_width(by_name) * BLOCKS_PER_PARTITION
+    block = F.pmod(F.xxhash64("clean_name"), F.lit(blocks))
+    return by_name.groupBy(block.alias("block")).agg(F.collect_list(F.struct(*by_name.columns)).alias("rows"))
 
 
-def fuzzy_map(
-    names: DataFrame,
-    roster: DataFrame,
-    overrides: DataFrame,
-    pack_size: int = ROSTER_PACK,
-    block_size: int = NAME_BLOCK,
+def match_names(
+    by_name: DataFrame, roster: DataFrame, overrides: DataFrame, pack_size: int = ROSTER_PACK
 ) -> DataFrame:
-    """One row per distinct ``clean_name``: its e-mail (or Unmapped) and the best score.
+    """A table of one row per ``clean_name`` with the e-mail (or Unmapped) and best score of the name.
 
     Every name has to meet every roster entry. They meet as blocks of names and packs of
     the roster, one row for each block and pack, so no pair is ever a row; a roster of
-    usual size is one pack. Both sizes are bounded, and the rows are spread over all tasks
-    for the scoring. Blocks and packs are joined by an ordinary equi join that Spark
-    broadcasts only below its size limit.
+    usual size is one pack. A block holds one partition's share of the distinct names at
+    most, and the scorer works through it in slices of bounded size. Blocks and packs are
+    joined by an ordinary equi join that Spark broadcasts only below its size limit. Other
+    columns of the table travel with the names, so it need not be computed twice.
     """
     packs = pack_roster(roster, pack_size)
     last_pack = roster.agg(F.coalesce(F.max(F.floor(F.col("roster_seq") / pack_size)), F.lit(0)).cast("int")).scalar()
     pack_ids = F.explode(F.sequence(F.lit(0), last_pack))
-    meetings = block_names(names, block_size).select("block", "names", pack_ids.alias("pack")).join(packs, "pack", "left")
+    meetings = block_names(by_name).select("block", "rows", pack_ids.alias("pack")).join(packs, "pack", "left")
     spread = meetings.repartition("block", "pack")
-    no_entries = F.array().cast("array<string>")
-    locals_ = F.coalesce(F.transform("entries", lambda e: e["local"]), no_entries)
+    names = F.transform("rows", lambda row: row["clean_name"])
+    locals_ = F.transform("entries", lambda entry: entry["local"])
     scored = spread.select(
-        "names", "entries", F.when(F.size("entries") > 0, best_entries("names", locals_)).alias("best")
+        "rows", "entries", F.when(F.size("entries") > 0, best_entries(names, locals_)).alias("best")
     )
     per_name = scored.select(
-        "entries", F.explode(F.arrays_zip("names", F.col("best.score"), F.col("best.entry"))).alias("hit")
-    ).select(
-        F.col("hit.names").alias("clean_name"),
-        F.col("hit.score").alias("score"),
-        F.get("entries", F.col("hit.entry")).alias("found"),
-    )
+        "entries", F.explode(F.arrays_zip("rows", F.col("best.score"), F.col("best.entry"))).alias("hit")
+    ).select("hit.rows.*", F.col("hit.score").alias("score"), F.get("entries", F.col("hit.entry")).alias("found"))
     # The maximum of (score, -roster_seq) is the highest score and, among equals, the first entry.
     ranked = F.struct("score", (-F.col("found.roster_seq")).alias("order"), F.col("found.email").alias("email"))
-    best = per_name.groupBy("clean_name").agg(F.max(ranked).alias("best"))
+    best = per_name.groupBy(*by_name.columns).agg(F.max(ranked).alias("best"))
     score = F.coalesce("best.score", F.lit(0))
     accepted = F.when(score > labels.MATCH_THRESHOLD, F.col("best.email")).otherwise(F.lit(labels.UNMAPPED))
     override = overrides.select("clean_name", F.col("email").alias("override_email"))
     return best.join(override, "clean_name", "left").select(
-        "clean_name", F.coalesce("override_email", accepted).alias("email"), score.alias("best_score")
+        *by_name.columns, F.coalesce("override_email", accepted).alias("email"), score.alias("best_score")
     )
 
 
+def fuzzy_map(
+    names: DataFrame, roster: DataFrame, overrides: DataFrame, pack_size: int = ROSTER_PACK
+) -> DataFrame:
+    """Each distinct ``clean_name`` with its e-mail and best score."""
+    return match_names(names.select("clean_name").distinct(), roster, overrides, pack_size)
+
+
 def map_lookup(rows: DataFrame, name_map: DataFrame, roster: DataFrame, spread_by: str) -> DataFrame:
     """Rows with the ``email`` and ``team`` of their clean name.
 

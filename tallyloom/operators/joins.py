@@ -139,19 +139,18 @@ def range_join_period(sales: DataFrame, periods: DataFrame) -> DataFrame:
 
 
 def asof_supply(targets: DataFrame, totals: DataFrame, target: str, out: str) -> DataFrame:
-    """Month-to-date supply known at ``target``: the newest snapshot on or before it in the
-    target's own month, 0 where there is none.
+    """``targets`` with the month-to-date supply known at their ``target`` day: that of the newest
+    snapshot on or before it in the same month, 0 where there is none.
 
     Targets and snapshots are merged and the last snapshot value is carried forward, so
     the work is linear and no target-snapshot pair is formed. Both are calendars: a month
-    has at most 31 snapshots and as many targets.
+    has at most 31 snapshots, and a few targets per day.
     """
-    snapshots = totals.select(F.col("snapshot_date").alias(target), F.col("mtd"), F.lit(0).alias("is_target"))
-    asked = targets.select(target).distinct().withColumn("is_target", F.lit(1))
-    merged = snapshots.unionByName(asked, allowMissingColumns=True)
+    snapshots = totals.select(F.col("snapshot_date").alias(target), F.col("mtd").alias(out), F.lit(0).alias("is_target"))
+    merged = targets.withColumn("is_target", F.lit(1)).unionByName(snapshots, allowMissingColumns=True)
     carried = W.partitionBy(month_start(F.col(target))).orderBy(target, "is_target")
-    filled = merged.withColumn(out, F.coalesce(F.last("mtd", ignorenulls=True).over(carried), F.lit(0)))
-    return targets.join(filled.filter("is_target = 1").select(target, out), target, "left")
+    filled = merged.withColumn(out, F.coalesce(F.last(out, ignorenulls=True).over(carried), F.lit(0)))
+    return filled.filter("is_target = 1").drop("is_target")
 
 
 def month_pool(pool: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_date, month_end, month_name
 from ..functions.text import clean_name
 from ..operators import aggregates, joins
-from ..operators.fuzzy import fuzzy_map
+from ..operators.fuzzy import match_names
 from ..operators.ordering import order_trend, union_by_name
 from ..sources.schemas import TREND
 
@@ -18,13 +18,12 @@ from ..sources.schemas import TREND
 def email_counts(unique_dps: DataFrame, roster: DataFrame, overrides: DataFrame) -> DataFrame:
     """Numerators per e-mail.
 
-    Partners are counted per clean name before the names are mapped, so the matcher and
-    the join see one row per name however many partners a manager has.
+    Partners are counted per clean name before the names are matched, so the matcher sees
+    one row per name however many partners a manager has.
     """
     named = unique_dps.select(clean_name(F.col("bdm_name")).alias("clean_name"), "dp_status")
     by_name = aggregates.status_counts(named, "clean_name")
-    name_map = fuzzy_map(named, roster, overrides)
-    return aggregates.email_numerators(by_name.join(name_map.select("clean_name", "email"), "clean_name"))
+    return aggregates.email_numerators(match_names(by_name, roster, overrides))
 
 
 def email_level(
@@ -82,9 +81,10 @@ def trend_row(
     ).select(*[F.col(f.name).cast(f.dataType) for f in TREND.fields])
 
 
-def trend_upsert(trend: DataFrame, row: DataFrame) -> DataFrame:
+def trend_upsert(trend: DataFrame, row: DataFrame, *, data_date: str) -> DataFrame:
     """The trend with the row of a data date put in or replaced."""
-    return order_trend(union_by_name(joins.anti_replace(trend, row, "data_date"), row))
+    others = trend.filter(~F.col("data_date").eqNullSafe(as_date(data_date)))
+    return order_trend(union_by_name(others, row))
 
 
 def month_gap(trend: DataFrame, *, today: str) -> DataFrame:

@@ -41,24 +41,22 @@ def week_sales(master: DataFrame) -> DataFrame:
 
 
 def weekly_supply(weeks: DataFrame, supply: DataFrame) -> DataFrame:
-    """Supply of a week: month-to-date at its end less month-to-date on the day before it.
+    """Weeks with their supply: month-to-date at the end less month-to-date on the day before.
 
     The two values may belong to different months, and the difference may be negative.
+    Each week asks for both days at once, and its other columns travel along, so neither
+    the weeks nor the supply are computed twice.
     """
-    totals = aggregates.snapshot_totals(supply)
-    asked = weeks.select(
-        "week_start",
-        date_shift(F.col("week_start"), 6).alias("week_end"),
-        date_shift(F.col("week_start"), -1).alias("day_before"),
-    )
-    at_end = joins.asof_supply(asked, totals, "week_end", "mtd_end")
-    at_start = joins.asof_supply(at_end, totals, "day_before", "mtd_before")
-    return at_start.select("week_start", (F.col("mtd_end") - F.col("mtd_before")).alias("act_den"))
+    start = F.col("week_start")
+    at_end = F.struct(date_shift(start, 6).alias("day"), F.lit(1).alias("sign"))
+    before = F.struct(date_shift(start, -1).alias("day"), F.lit(-1).alias("sign"))
+    asked = weeks.select("*", F.inline(F.array(at_end, before)))
+    known = joins.asof_supply(asked, aggregates.snapshot_totals(supply), "day", "mtd")
+    return known.groupBy(*weeks.columns).agg(F.sum(F.col("sign") * F.col("mtd")).alias("act_den"))
 
 
 def weekly_rates(master: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
     """One row per week with sales; weeks with neither supply nor an inactive seller drop out."""
-    weeks = week_sales(master)
-    counted = weeks.join(weekly_supply(weeks, supply), "week_start")
+    counted = weekly_supply(week_sales(master), supply)
     kept = counted.filter((F.col("act_den") != 0) | (F.col("act_num") != 0))
     return _with_pool_and_rates(kept, pool, "week_start").orderBy(F.col("week_start").desc())
