@@ -98,12 +98,15 @@ def score_matrix(names: list[str], locals_: list[str]) -> np.ndarray:
 
 @F.pandas_udf(BEST_TYPE)
 def best_entries(names: pd.Series, locals_: pd.Series) -> pd.DataFrame:
-    """For each name of a block the best entry of the pack and its score; the first wins ties."""
+    """For each name of a block the best entry of the pack and its score; the first wins ties.
+
+    A pack without entries gives score 0 and entry -1.
+    """
     scores, entries = [], []
     for block, pack in zip(names, locals_):
-        best_score = np.empty(len(block), dtype=np.int32)
-        best_entry = np.empty(len(block), dtype=np.int32)
-        for start in range(0, len(block), _SLICE):
+        best_score = np.zeros(len(block), dtype=np.int32)
+        best_entry = np.full(len(block), -1, dtype=np.int32)
+        for start in range(0, len(block) if len(pack) else 0, _SLICE):
             part = slice(start, start + _SLICE)
             matrix = score_matrix(list(block[part]), list(pack))
             best_entry[part] = matrix.argmax(axis=1)

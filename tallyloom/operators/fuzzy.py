@@ -47,9 +47,8 @@ def match_names(
     spread = meetings.repartition("block", "pack")
     names = F.transform("rows", lambda row: row["clean_name"])
     locals_ = F.transform("entries", lambda entry: entry["local"])
-    scored = spread.select(
-        "rows", "entries", F.when(F.size("entries") > 0, best_entries(names, locals_)).alias("best")
-    )
+    no_entries = F.array().cast("array<string>")  # gaps in roster_seq can leave a pack empty
+    scored = spread.select("rows", "entries", best_entries(names, F.coalesce(locals_, no_entries)).alias("best"))
     per_name = scored.select(
         "entries", F.explode(F.arrays_zip("rows", F.col("best.score"), F.col("best.entry"))).alias("hit")
     ).select("hit.rows.*", F.col("hit.score").alias("score"), F.get("entries", F.col("hit.entry")).alias("found"))

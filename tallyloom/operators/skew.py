@@ -33,7 +33,7 @@ def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
     counts only decide how finely a key is cut; a wrong estimate cannot change a result.
     """
     width = shuffle_width(rows)
-    k = min(width, MAX_HOT_KEYS)
+    k = min(width, MAX_HOT_KEYS) + 1  # the missing key takes a place too
     sketch = F.call_function("approx_top_k", F.col(key), F.lit(k), F.lit(max(10_000, k * _TRACKED_PER_KEY)))
     found = rows.agg(
         F.count(F.lit(1)).alias("total"), F.count(F.col(key)).alias("present"), sketch.alias("top")
@@ -42,7 +42,7 @@ def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
     pieces = [
         (item["item"], min(width, -(-item["count"] * width // total)))
         for item in found["top"] or []
-        if item["count"] * width > total
+        if item["item"] is not None and item["count"] * width > total
     ]
     return HotKeys(pieces, (total - found["present"]) * width > total)
 
