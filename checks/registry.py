@@ -126,7 +126,17 @@ def new_trend_row(fx: Fixtures) -> DataFrame:
 @shared
 def two_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """A first delivery, and a later one that overlaps it with other statuses."""
-    rows = enriched(fx)
+    return split_batches(enriched(fx))
+
+
+@shared
+def written_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """The same from the enriched table as a run leaves it, written once."""
+    path = storage.write_table(enriched(fx), storage.fresh_path(fx.spark, "enriched"))
+    return split_batches(storage.read_parquet(fx.spark, path, schemas.SALES_ENRICHED))
+
+
+def split_batches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = rows.filter(F.col("sale_date") <= F.lit(BATCH1_LAST).cast("date"))
     second = rows.filter(
         F.col("sale_date").between(F.lit(BATCH2_FIRST).cast("date"), F.lit(REPORT_DATE).cast("date"))
@@ -137,12 +147,12 @@ def two_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
 @shared
 def first_master(fx: Fixtures) -> DataFrame:
     """The first delivery as rows of a master, not yet deduplicated."""
-    return sales.daily_rows(two_batches(fx)[0], fx.roster, fx.override, batch_seq=1)
+    return sales.daily_rows(written_batches(fx)[0], fx.roster, fx.override, batch_seq=1)
 
 
 @shared
 def master_of(fx: Fixtures) -> DataFrame:
-    return sales.collate_master(first_master(fx), two_batches(fx)[1], fx.roster, fx.override, batch_seq=2)
+    return sales.collate_master(first_master(fx), written_batches(fx)[1], fx.roster, fx.override, batch_seq=2)
 
 
 @shared
@@ -691,7 +701,7 @@ LEFT JOIN fuzzy_map m ON m.clean_name = n.clean_name LEFT JOIN fx_roster r ON r.
 """)
 def _(fx):
     rows = fx.sales.select("row_seq", text.clean_name(F.col("bdm_name")).alias("clean_name"))
-    return fuzzy.map_lookup(rows, fuzzy.fuzzy_map(rows, fx.roster, fx.override), fx.roster, spread_by="row_seq")
+    return fuzzy.map_lookup(rows, fx.roster, fx.override, spread_by="row_seq")
 
 
 @query("left_map_denominators", """

@@ -21,8 +21,9 @@ def strip_dp_prefix(dp_id: Column) -> Column:
 
 
 def normalize_id(dp_id: Column) -> Column:
-    """Drop a trailing ``.0`` left by spreadsheets, then trim."""
-    return strip(F.regexp_replace(dp_id.cast("string"), r"\.0$", ""))
+    """Drop a trailing ``.0`` left by spreadsheets, then trim. Only ids with ``.0`` meet the pattern."""
+    text = dp_id.cast("string")
+    return strip(F.when(text.contains(".0"), F.regexp_replace(text, r"\.0$", "")).otherwise(text))
 
 
 def clean_name(name: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
-from .skew import lookup_join, shuffle_width
+from ..sources.storage import cut_lineage
+from .skew import hot_keys_of, lookup_join, shuffle_width
 
 BLOCKS_PER_PARTITION = 4
 ROSTER_PACK = 256  # roster entries per pack, at most
@@ -70,14 +71,16 @@ def fuzzy_map(
     return match_names(names.select("clean_name").distinct(), roster, overrides, pack_size)
 
 
-def map_lookup(rows: DataFrame, name_map: DataFrame, roster: DataFrame, spread_by: str) -> DataFrame:
+def map_lookup(rows: DataFrame, roster: DataFrame, overrides: DataFrame, spread_by: str) -> DataFrame:
     """Rows with the ``email`` and ``team`` of their clean name.
 
-    The team is attached to the short name map first, so the rows are joined only once.
+    One pass counts the rows per name. That short table serves twice, so it is kept: its
+    names are matched, and its counts show which names hold so many rows that the join has
+    to cut them.
     """
+    counts = cut_lineage(rows.groupBy("clean_name").agg(F.count(F.lit(1)).alias("n_rows")))
     teams = roster.select("email", "team")
-    lookup = name_map.select("clean_name", "email").join(teams, "email", "left")
-    joined = lookup_join(rows, lookup.select("clean_name", "email", "team"), "clean_name", spread_by)
-    return joined.withColumn("email", F.coalesce("email", F.lit(labels.UNMAPPED))).withColumn(
-        "team", F.coalesce("team", F.lit(labels.TEAM_UNKNOWN))
-    )
+    lookup = match_names(counts, roster, overrides).select("clean_name", "email").join(teams, "email", "left")
+    hot = hot_keys_of(counts, "clean_name", "n_rows")
+    joined = lookup_join(rows, lookup, "clean_name", spread_by, hot_keys=hot)
+    return joined.withColumn("team", F.coalesce("team", F.lit(labels.TEAM_UNKNOWN)))

@@ -24,6 +24,13 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _fair_share(counts: list[tuple], total: int, width: int) -> HotKeys:
+    """Of (key, rows) pairs those above 1/width of all rows, cut into pieces of about that size."""
+    hot = [(key, n) for key, n in counts if n * width > total]
+    pieces = [(key, min(width, -(-n * width // total))) for key, n in hot if key is not None]
+    return HotKeys(pieces, any(key is None for key, _ in hot))
+
+
 def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
     """Keys with more rows than one of the shuffle partitions should get.
 
@@ -32,31 +39,34 @@ def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
     of the rows and at most MAX_HOT_KEYS are returned, so the driver gets a short list. The
     counts only decide how finely a key is cut; a wrong estimate cannot change a result.
     """
-    width = shuffle_width(rows)
-    k = min(width, MAX_HOT_KEYS) + 1  # the missing key takes a place too
+    k = min(shuffle_width(rows), MAX_HOT_KEYS) + 1  # the missing key takes a place too
     sketch = F.call_function("approx_top_k", F.col(key), F.lit(k), F.lit(max(10_000, k * _TRACKED_PER_KEY)))
-    found = rows.agg(
-        F.count(F.lit(1)).alias("total"), F.count(F.col(key)).alias("present"), sketch.alias("top")
-    ).first()
-    total = found["total"]
-    pieces = [
-        (item["item"], min(width, -(-item["count"] * width // total)))
-        for item in found["top"] or []
-        if item["item"] is not None and item["count"] * width > total
-    ]
-    return HotKeys(pieces, (total - found["present"]) * width > total)
-
-
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "left") -> DataFrame:
+    found = rows.agg(F.count(F.lit(1)).alias("total"), sketch.alias("top")).first()
+    top = [(item["item"], item["count"]) for item in found["top"] or []]
+    return _fair_share(top, found["total"], shuffle_width(rows))
+
+
+def hot_keys_of(counts: DataFrame, key: str, n_rows: str) -> HotKeys:
+    """The same from a table of rows per key that exists already; its largest keys suffice."""
+    width = shuffle_width(counts)
+    total = counts.agg(F.coalesce(F.sum(n_rows), F.lit(0))).first()[0]
+    top = counts.orderBy(F.col(n_rows).desc()).limit(min(width, MAX_HOT_KEYS) + 1).select(key, n_rows).collect()
+    return _fair_share([tuple(row) for row in top], total, width)
+
+
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "left", hot_keys: HotKeys | None = None
+) -> DataFrame:
     """``rows JOIN lookup`` on ``key``, with hot keys cut into pieces of about a partition.
 
     Without hot keys this is the plain join. Otherwise each row of a hot key goes to one of
     the key's pieces and the lookup rows of that key are repeated once per piece; all other
     keys stay whole. ``spread_by`` is a column unique per row. It decides the piece, so a
     task that runs again after a lost executor sends every row to the same piece. Missing
-    keys match nothing and are spread out as well.
+    keys match nothing and are spread out as well. The hot keys are looked for here unless
+    the caller knows them.
     """
-    hot_keys = find_hot_keys(rows, key)
+    hot_keys = find_hot_keys(rows, key) if hot_keys is None else hot_keys
     if not hot_keys.pieces and not hot_keys.nulls:
         return rows.join(lookup, key, how)
     schema = T.StructType([rows.schema[key], T.StructField("pieces", T.IntegerType())])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import coerce_number
 from ..functions.text import clean_name, normalize_id, strip_dp_prefix
 from ..operators.aggregates import batch_quality
-from ..operators.fuzzy import fuzzy_map, map_lookup
+from ..operators.fuzzy import map_lookup
 from ..operators.joins import enrich_status
 from ..operators.ordering import union_by_name
 from ..operators.windows import dedup_keep_last, serial_no, unique_dps_first
@@ -48,8 +48,7 @@ def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_
         "dp_status",
         clean_name(F.col("bdm_name")).alias("clean_name"),
     )
-    name_map = fuzzy_map(rows, roster, overrides)
-    return map_lookup(rows, name_map, roster, spread_by="row_seq").drop("clean_name", "email")
+    return map_lookup(rows, roster, overrides, spread_by="row_seq").drop("clean_name", "email")
 
 
 def collate_master(
