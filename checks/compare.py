@@ -34,6 +34,7 @@ def session(cores: str = "8", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per expression
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

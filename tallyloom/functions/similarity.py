@@ -13,13 +13,19 @@ matrix form at well under one.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labels import FIRST_LETTER_BONUS
 
+# The tasks carry this module with them, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _WORD = 64  # longest entry the bit-parallel form can hold
 _SLICE = 512  # names per matrix
 

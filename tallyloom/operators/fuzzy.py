@@ -42,13 +42,13 @@ def match_names(
     columns of the table travel with the names, so it need not be computed twice.
     """
     packs = pack_roster(roster, pack_size)
-    last_pack = roster.agg(F.coalesce(F.max(F.floor(F.col("roster_seq") / pack_size)), F.lit(0)).cast("int")).scalar()
-    pack_ids = F.explode(F.sequence(F.lit(0), last_pack))
+    ids = packs.agg(F.collect_set("pack")).scalar()  # one number per pack
+    pack_ids = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(0))))
     meetings = block_names(by_name).select("block", "rows", pack_ids.alias("pack")).join(packs, "pack", "left")
     spread = meetings.repartition("block", "pack")
     names = F.transform("rows", lambda row: row["clean_name"])
     locals_ = F.transform("entries", lambda entry: entry["local"])
-    no_entries = F.array().cast("array<string>")  # gaps in roster_seq can leave a pack empty
+    no_entries = F.array().cast("array<string>")  # for an empty roster
     scored = spread.select("rows", "entries", best_entries(names, F.coalesce(locals_, no_entries)).alias("best"))
     per_name = scored.select(
         "entries", F.explode(F.arrays_zip("rows", F.col("best.score"), F.col("best.entry"))).alias("hit")

@@ -60,7 +60,7 @@ def status_lookup(status: DataFrame) -> DataFrame:
 
 
 def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str | None) -> DataFrame:
-    bare = sales.drop("dp_status").withColumn("dp_id", normalize_id(F.col("dp_id")))
+    bare = sales.drop("dp_status")
     joined = bare.join(lookup, "dp_id", "left") if spread_by is None else lookup_join(bare, lookup, "dp_id", spread_by)
     return joined.withColumn("dp_status", fill_status(F.col("client_status"))).drop("client_status")
 
@@ -68,6 +68,8 @@ def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str | None) -
 def enrich_status(sales: DataFrame, status: DataFrame, spread_by: str | None = "row_seq") -> DataFrame:
     """Sales with the status of their partner; every sales row comes out once.
 
+    Sales ids are taken as clean_sales leaves them: cleaned once, and kept as they are here,
+    so that sales already distributed by partner need no further shuffle.
     ``spread_by`` is the unique column that cuts partners with very many sales; None where
     partners are known to occur once.
     """
