@@ -65,6 +65,7 @@ def iso_text(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
 
-def in_month_to_date(day: Column, data_date: Column) -> Column:
-    """True from the first of the data date's month up to the data date."""
-    return day.between(month_start(data_date), data_date)
+def month_to_date(data_date: str) -> list[dt.date]:
+    """The days from the first of the data date's month up to the data date."""
+    last = dt.date.fromisoformat(data_date)
+    return [last.replace(day=day) for day in range(1, last.day + 1)]
