@@ -41,6 +41,31 @@ def test_resolve_table():
             batches.resolve_table(names)
 
 
+class FakeSession:
+    """A session without the checkpoint setting."""
+
+    def __init__(self, master, setting=None):
+        self.master, self.setting, self.dir = master, setting, None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return self.setting or default
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.dir
+
+    def setCheckpointDir(self, path):  # noqa: N802
+        self.dir = path
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    assert storage.shared_folder(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert os.path.isdir(storage.shared_folder(local)) and storage.shared_folder(local) == local.dir
+
+
 def test_load_or_empty(spark, tmp_path):
     assert storage.load_or_empty(spark, str(tmp_path / "none"), schemas.TREND).schema == schemas.TREND
 
