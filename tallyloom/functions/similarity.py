@@ -7,8 +7,8 @@ Spark hands over a block of names and a pack of roster entries per row; numpy sc
 block against the pack as one matrix. LCS uses the bit-parallel recurrence of Crochemore et
 al. (2001) and Hyyro (2004): one 64-bit integer holds a row of the dynamic program, so a
 comparison costs a few integer operations per letter. The same recurrence written with
-Spark's higher-order functions was measured at about 40 microseconds per comparison, the
-matrix form at well under one.
+Spark's higher-order functions took 151 s for 15,000 names against 1,000 entries on 8 cores,
+this form 4 s for the whole query.
 """
 
 from __future__ import annotations
