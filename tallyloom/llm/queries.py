@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import byte_bpe, packing, simhash, suffixes
 from .common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_documents(table(spark, sf_dir, "documents"), path, capacity=4096, end_id=1)
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_digest(table(spark, sf_dir, "documents"), span=200)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode_digest(table(spark, sf_dir, "documents"), path)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, radius=3)
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_best_fit_packing,
+        op4_suffix_array_dedup,
+        op8_byte_bpe,
+        op9_simhash_near_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
