@@ -13,6 +13,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,14 +164,14 @@ def compared(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     n = rows.count()
     buckets = max(1, n // bucket)
     cuts = sorted(set(rows.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets))) if buckets > 1 else []
-    # The number of cuts that are greater than the id, found by halving the list inside one expression.
-    spark = docs.sparkSession
-    if cuts:
-        edges = spark.createDataFrame([(i, [float(c) for c in cuts]) for i in (0,)], "one int, cuts array<double>")
-        rows = rows.crossJoin(F.broadcast(edges.select("cuts")))  # one row
-        rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter("cuts", lambda c: c > F.col("doc_id"))))).drop("cuts")
-    else:
-        rows = rows.withColumn("bucket", F.lit(0))
+    spark, edges = docs.sparkSession, np.array(cuts, float)
+
+    @F.pandas_udf("int")
+    def bucket_of(doc_id):  # the number of cuts greater than the id; all of them where it is null
+        above = len(edges) - np.searchsorted(edges, doc_id.to_numpy(float), "right")
+        return pd.Series(np.where(doc_id.isna(), len(edges), above).astype(np.int32))
+
+    rows = rows.withColumn("bucket", bucket_of("doc_id"))
     rows = rows.withColumn("order", F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.xxhash64("text")))
     heads = rows.groupBy("bucket").agg(F.min("order").alias("head")).orderBy("bucket").collect()
     numbers = [h["bucket"] for h in heads]
