@@ -258,7 +258,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
     starts = sizes.select("length", "part", before.alias("before"))
     number = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = pieces.withColumn("number", number - 1).join(F.broadcast(starts), ["length", "part"])  # capacity x SPREAD rows at most
+    ranked = pieces.withColumn("number", number - 1).join(starts, ["length", "part"])  # both lie by these columns already
     ranked = ranked.withColumn("rank", F.col("number") + F.col("before")).drop("part", "number", "before")
     place = "struct<sequence_id: long, offset: long>"
 
