@@ -16,7 +16,7 @@ from tallyloom.sources.schemas import BIGINT, DOUBLE, INT, MOMENT, STRING, table
 REPORT_DATE = "1998-06-15"
 QUOTES_DATE = "2024-01-31"
 CUTOFFS = {"data_date": REPORT_DATE, "already_before": "1996-08-01", "since": "1996-01-01"}
-BATCH1_LAST = "1998-06-10"
+BATCH1_LAST = "1998-06-15"
 BATCH2_FIRST = "1998-06-08"
 SENDERS = ["reports@example.com", "lead@example.com"]
 PREFERRED = "lead@example.com"
@@ -88,7 +88,8 @@ class Fixtures:
             .when(key % 3 == 1, F.concat(cust, F.lit(".0")))
             .otherwise(F.concat(F.lit(" "), cust, F.lit(" ")))
         )
-        premium = F.when(key % 50 == 0, F.lit("n/a")).otherwise(_text(F.col("o_totalprice")))
+        price = _text(F.col("o_totalprice"))
+        premium = F.when(key % 50 == 0, F.lit("n/a")).when(key % 7 == 0, F.concat(price, F.lit("014"))).otherwise(price)
         return o.join(self.bdm, self.bdm.bdm_no == o.o_custkey % 10).select(
             key.alias("row_seq"),
             F.col("o_orderdate").cast("date").alias("sale_date"),
@@ -169,10 +170,9 @@ class Fixtures:
 
     @cached_property
     def snapshot_days(self) -> DataFrame:
-        """The days of 1998 that have a snapshot: at most four a month."""
+        """The days that have a snapshot: at most four a month."""
         day = F.col("o_orderdate").cast("date").alias("snapshot_date")
-        days = self.table("orders").filter(F.col("o_orderdate").between(F.lit("1998-01-01"), F.lit("1998-12-31")))
-        return days.select(day).filter(F.day("snapshot_date").isin(5, 12, 19, 28)).distinct()
+        return self.table("orders").select(day).filter(F.day("snapshot_date").isin(5, 12, 19, 28)).distinct()
 
     @cached_property
     def supply(self) -> DataFrame:
@@ -181,10 +181,7 @@ class Fixtures:
         A customer counts from its first order of the month on, so customers are reduced to
         (first day, agent) counts before they meet the snapshots.
         """
-        orders = self.table("orders").filter(
-            (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-            & (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
-        )
+        orders = self.table("orders")
         day = F.col("o_orderdate").cast("date")
         first = orders.groupBy("o_custkey", F.trunc(day, "month").alias("month_first")).agg(F.min(day).alias("first_day"))
         customer = self.table("customer").select("c_custkey", "c_nationkey")
@@ -213,7 +210,7 @@ class Fixtures:
             .agg(F.count("c_custkey").alias("dp_count"))
         )
         days = self.snapshot_days.filter(F.month("snapshot_date") != 4)
-        all_days = days.agg(F.collect_set("snapshot_date")).scalar()  # at most 48 days
+        all_days = days.agg(F.collect_set("snapshot_date")).scalar()  # four days a month
         return counted.select(F.explode(all_days).alias("snapshot_date"), "agent_mapped", "dp_count")
 
     @cached_property

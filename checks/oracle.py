@@ -33,7 +33,8 @@ SELECT o.o_orderkey AS row_seq, CAST(o.o_orderdate AS DATE) AS sale_date, b.bdm_
             WHEN o.o_orderkey % 3 = 0 THEN concat('DP-', CAST(o.o_custkey AS VARCHAR))
             WHEN o.o_orderkey % 3 = 1 THEN concat(CAST(o.o_custkey AS VARCHAR), '.0')
             ELSE concat(' ', CAST(o.o_custkey AS VARCHAR), ' ') END AS dp_id,
-       CASE WHEN o.o_orderkey % 50 = 0 THEN 'n/a' ELSE CAST(o.o_totalprice AS VARCHAR) END AS net_premium
+       CASE WHEN o.o_orderkey % 50 = 0 THEN 'n/a' WHEN o.o_orderkey % 7 = 0 THEN CAST(o.o_totalprice AS VARCHAR) || '014'
+            ELSE CAST(o.o_totalprice AS VARCHAR) END AS net_premium
 FROM orders o JOIN fx_bdm b ON b.bdm_no = o.o_custkey % 10
 """)
 _cte("fx_partner", """
@@ -72,7 +73,7 @@ CROSS JOIN (VALUES ('2023-11-30'), ('2023-12-31')) AS s(sqldate)
 _cte("fx_supply", """
 SELECT d.snapshot_date, a.agent_mapped, COUNT(DISTINCT o.o_custkey) AS sum_inactive_dps_creating_quotes
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS snapshot_date FROM orders
-      WHERE year(o_orderdate) = 1998 AND day(o_orderdate) IN (5, 12, 19, 28)) d
+      WHERE day(o_orderdate) IN (5, 12, 19, 28)) d
 JOIN orders o ON date_trunc('month', o.o_orderdate) = date_trunc('month', d.snapshot_date)
              AND CAST(o.o_orderdate AS DATE) <= d.snapshot_date
 JOIN customer c ON c.c_custkey = o.o_custkey
@@ -242,7 +243,7 @@ SELECT SUM(p) FILTER (WHERE dp_status = 'Inactive') AS inactive_premium, COUNT(*
        COUNT(DISTINCT dp_id) FILTER (WHERE dp_status = 'Inactive') AS inactive_dps,
        SUM(p) FILTER (WHERE dp_status <> 'Inactive') AS fav_premium, COUNT(*) FILTER (WHERE dp_status <> 'Inactive') AS fav_nop,
        COUNT(DISTINCT dp_id) FILTER (WHERE dp_status <> 'Inactive') AS fav_dps
-FROM (SELECT *, coalesce(TRY_CAST(trim(net_premium) AS DECIMAL(18,2)), 0) AS p FROM sales_enriched) t
+FROM (SELECT *, coalesce(TRY_CAST(trim(net_premium) AS DECIMAL(38,10)), 0) AS p FROM sales_enriched) t
 """)
 _cte("premium_rates", """
 SELECT CAST(inactive_premium AS DOUBLE) AS inactive_premium, inactive_nop, CAST(fav_premium AS DOUBLE) AS fav_premium, fav_nop, inactive_dps, fav_dps,
@@ -301,14 +302,16 @@ SELECT * FROM fx_dp_master WHERE dp_category = 'Favourite' AND last_call_disposi
 
 # --- collation -------------------------------------------------------------------------------
 _cte("daily_all", r"""
-SELECT n.row_seq, n.sale_date, n.bdm_name, n.dp_id, TRY_CAST(trim(n.net_premium) AS DECIMAL(18,2)) AS net_premium, n.dp_status,
+SELECT n.row_seq, n.sale_date, n.bdm_name, n.dp_id, TRY_CAST(trim(n.net_premium) AS DECIMAL(38,10)) AS net_premium, n.dp_status,
        coalesce(r.team, 'unknown') AS team
 FROM named_sales n LEFT JOIN fuzzy_map m ON m.clean_name = n.clean_name LEFT JOIN fx_roster r ON r.email = m.email
 """)
 _cte("collate_rows", """
-SELECT 1 AS batch_seq, * FROM daily_all WHERE sale_date <= DATE '1998-06-10'
+SELECT 1 AS batch_seq, * FROM daily_all WHERE sale_date <= DATE '1998-06-15'
+UNION ALL -- a premium that differs in its third digit only is another sale
+SELECT 1, * REPLACE (net_premium + CAST(0.001 AS DECIMAL(38,10)) AS net_premium) FROM daily_all WHERE sale_date <= DATE '1998-06-15' AND row_seq % 11 = 0
 UNION ALL
-SELECT 2, * REPLACE ('Activated by LGLC' AS dp_status) FROM daily_all WHERE sale_date BETWEEN DATE '1998-06-08' AND DATE '1998-06-15'
+SELECT 2, * REPLACE ('Activated by LGLC' AS dp_status) FROM daily_all WHERE sale_date >= DATE '1998-06-08'
 """)
 _cte("master", """
 SELECT * EXCLUDE (rn) FROM (

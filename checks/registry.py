@@ -13,6 +13,7 @@ from tallyloom.functions import classify, dates, labels, numbers, text
 from tallyloom.operators import aggregates, fuzzy, joins, ordering, windows
 from tallyloom.plans import metrics, rates, sales, status, supply
 from tallyloom.sources import batches, messages, schemas, storage
+from tallyloom.streaming import collation
 
 from .fixtures import (
     BATCH1_LAST,
@@ -130,18 +131,25 @@ def two_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
 
 
 @shared
-def written_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
-    """The same from the enriched table as a run leaves it, written once."""
+def written_sales(fx: Fixtures) -> DataFrame:
+    """The enriched table as a run leaves it, written once."""
     path = storage.write_table(enriched(fx), storage.fresh_path(fx.spark, "enriched"))
-    return split_batches(storage.read_parquet(fx.spark, path, schemas.SALES_ENRICHED))
+    return storage.read_parquet(fx.spark, path, schemas.SALES_ENRICHED)
+
+
+@shared
+def written_batches(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Two batches of that table."""
+    return split_batches(written_sales(fx))
 
 
 def split_batches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = rows.filter(F.col("sale_date") <= F.lit(BATCH1_LAST).cast("date"))
-    second = rows.filter(
-        F.col("sale_date").between(F.lit(BATCH2_FIRST).cast("date"), F.lit(REPORT_DATE).cast("date"))
-    ).withColumn("dp_status", F.lit(labels.STATUS_ACTIVATED))
-    return first, second
+    # A premium that differs in its third digit only is another sale.
+    exact = (numbers.coerce_number(F.col("net_premium")) + F.lit("0.001").cast("decimal(10,3)")).cast("string")
+    first = first.unionByName(first.filter(F.col("row_seq") % 11 == 0).withColumn("net_premium", exact))
+    second = rows.filter(F.col("sale_date") >= F.lit(BATCH2_FIRST).cast("date"))
+    return first, second.withColumn("dp_status", F.lit(labels.STATUS_ACTIVATED))
 
 
 @shared
@@ -214,15 +222,16 @@ def _(fx):
 
 
 @query("scan_warehouse", """
-SELECT 'partner' AS table_name, COUNT(*) AS n_rows FROM fx_partner UNION ALL SELECT 'policydetail', COUNT(*) FROM fx_policy
+SELECT 'partner' AS table_name, COUNT(*) AS n_rows FROM fx_partner UNION ALL SELECT 'policy', COUNT(*) FROM fx_policy
 UNION ALL SELECT 'dp_master', COUNT(*) FROM fx_dp_master UNION ALL SELECT 'quotes', COUNT(*) FROM fx_quotes
 """)
 def _(fx):
-    tables = {"partner": fx.partner, "policydetail": fx.policy, "dp_master": fx.dp_master, "quotes": fx.quotes}
+    tables = {"partner": fx.partner, "policy": fx.policy, "dp_master": fx.dp_master, "quotes": fx.quotes}
     counts = None
     for name, df in tables.items():
         df.createOrReplaceTempView(f"warehouse_{name}")
         count = fx.spark.table(f"warehouse_{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        fx.spark.catalog.dropTempView(f"warehouse_{name}")  # the plan above keeps the table
         count = count.select(F.lit(name).alias("table_name"), "n_rows")
         counts = count if counts is None else counts.unionByName(count)
     return counts
@@ -284,6 +293,8 @@ def _(fx):
         df.createOrReplaceTempView(prefix + name)
     known = [t.name for t in fx.spark.catalog.listTables() if t.name.lower().startswith(prefix)]
     chosen = fx.spark.table(batches.resolve_table(known))
+    for name in sheets:
+        fx.spark.catalog.dropTempView(prefix + name)
     return chosen.groupBy("sale_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("dp_id").alias("n_ids")
     )
@@ -422,7 +433,7 @@ def _(fx):
 
 
 @query("coerce_number", """
-SELECT row_seq, TRY_CAST(trim(net_premium) AS DECIMAL(18,2)) AS premium, coalesce(TRY_CAST(trim(net_premium) AS DECIMAL(18,2)), 0) AS premium_or_zero FROM fx_sales
+SELECT row_seq, TRY_CAST(trim(net_premium) AS DECIMAL(38,10)) AS premium, coalesce(TRY_CAST(trim(net_premium) AS DECIMAL(38,10)), 0) AS premium_or_zero FROM fx_sales
 """, doubles=("premium", "premium_or_zero"))
 def _(fx):
     raw = F.col("net_premium")
@@ -484,7 +495,7 @@ def _(fx):
     return status.filter_policy(fx.policy).select("policy_id", "vertical", "businesstype")
 
 
-@query("filter_since", "SELECT policy_id, created_at FROM policy_filtered WHERE created_at >= TIMESTAMP '1996-01-01'")
+@query("filter_since")
 def _(fx):
     since = F.lit(CUTOFFS["since"]).cast("timestamp_ntz")
     rows = joins.join_partner_policy(status.filter_policy(fx.policy), joins.semi_partner_ids(fx.partner, cleaned(fx)))
@@ -895,7 +906,7 @@ SELECT row_number() OVER (ORDER BY sale_date DESC NULLS LAST, dp_id NULLS LAST,
 
 @query("serial_no", NUMBERED.format(columns="row_seq, dp_id, sale_date", source="""
 (SELECT * EXCLUDE (rn) FROM (SELECT row_seq, dp_id, sale_date, p AS net_premium, row_number() OVER (PARTITION BY dp_id, sale_date, p ORDER BY row_seq DESC) AS rn
-  FROM (SELECT *, TRY_CAST(trim(net_premium) AS DECIMAL(18,2)) AS p FROM sales_clean) t) t2 WHERE rn = 1) t3"""), dates=("sale_date",))
+  FROM (SELECT *, TRY_CAST(trim(net_premium) AS DECIMAL(38,10)) AS p FROM sales_clean) t) t2 WHERE rn = 1) t3"""), dates=("sale_date",))
 def _(fx):
     rows = cleaned(fx).withColumn("net_premium", numbers.coerce_number(F.col("net_premium")))
     master = windows.dedup_keep_last(rows.withColumn("batch_seq", F.lit(1)))
@@ -924,9 +935,9 @@ WHERE agent_mapped NOT IN ('#N/A','#REF!') GROUP BY 1, 2
 """
 
 
-@query("top_supply", f"SELECT * FROM ({SUPPLY_SQL}) t ORDER BY sum_inactive_dps_creating_quotes DESC, agent_mapped, quote_month LIMIT 10000", dates=("quote_month",))
+@query("top_supply", f"SELECT * FROM ({SUPPLY_SQL}) t ORDER BY sum_inactive_dps_creating_quotes DESC, agent_mapped, quote_month LIMIT 20", dates=("quote_month",))
 def _(fx):
-    return ordering.top_supply(supply.inactive_supply(fx.quotes, fx.dp_master, data_date=QUOTES_DATE))
+    return ordering.top_supply(supply.inactive_supply(fx.quotes, fx.dp_master, data_date=QUOTES_DATE), rows=20)
 
 
 @query("pick_top1", """
@@ -1053,8 +1064,49 @@ def _(fx):
     return rates.weekly_rates(rate_master(fx), fx.supply, fx.fav_pool)
 
 
-@query("month_gap", "SELECT MAX(sale_date) AS last_date, monthname(MAX(sale_date)) AS missing_month FROM fx_sales WHERE sale_date <= DATE '1998-05-20'", dates=("last_date",))
+@query("stream_collate", """
+SELECT sale_date, bdm_name, dp_id, net_premium, dp_status, team FROM (
+  SELECT *, row_number() OVER (PARTITION BY dp_id, sale_date, net_premium ORDER BY batch_seq DESC, row_seq DESC) AS rn FROM (
+    SELECT * FROM collate_rows UNION ALL SELECT 3, * REPLACE ('Inactive' AS dp_status) FROM daily_all WHERE row_seq % 13 = 0) a) t
+WHERE rn = 1
+""", dates=("sale_date",), doubles=("net_premium",))
+def _(fx):
+    """Two overlapping deliveries in one trigger, then a third by a stream with a checkpoint of its own."""
+    first, second = written_batches(fx)
+    third = written_sales(fx).filter(F.col("row_seq") % 13 == 0).withColumn("dp_status", F.lit(labels.STATUS_INACTIVE))
+    path = storage.fresh_path(fx.spark, "stream_collate")
+    master = storage.VersionedTable(fx.spark, f"{path}/master", schemas.MASTER)
+    for stream, deliveries in enumerate([(first, second), (third,)]):
+        for rows in deliveries:
+            rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in{stream}")
+        arriving = collation.read_batches(fx.spark, f"{path}/in{stream}")
+        collation.collate_stream(arriving, master, fx.roster, fx.override, f"{path}/checkpoint{stream}").awaitTermination()
+    return master.read().select("sale_date", "bdm_name", "dp_id", "net_premium", "dp_status", "team")
+
+
+@query("dp_status_few", "SELECT * FROM dp_status WHERE CAST(dpno AS INTEGER) % 20 = 3", doubles=("total_netpremium",))
+def _(fx):
+    """The status of a short list of partners: only their policies are aggregated."""
+    few = cleaned(fx).filter(F.col("dp_id").try_cast("int") % 20 == 3)
+    return status.dp_status(fx.partner, fx.policy, few, ordered=False, **CUTOFFS)
+
+
+@query("enrich_status_uncleaned", "SELECT row_seq, dp_status FROM sales_enriched")
+def _(fx):
+    """Ids that carry the trailing .0 of a spreadsheet on the sales side."""
+    raw = cleaned(fx).withColumn("dp_id", F.concat("dp_id", F.lit(".0")))
+    return joins.enrich_status(raw, status_of(fx)).select("row_seq", "dp_status")
+
+
+@query("roster_duplicates", "SELECT row_seq, team FROM daily_all")
+def _(fx):
+    """Roster and overrides listed twice: the later entry of an e-mail counts, and no sale is multiplied."""
+    older = fx.roster.withColumn("roster_seq", F.col("roster_seq") - 100).withColumn("team", F.lit("former"))
+    roster, override = fx.roster.unionByName(older), fx.override.unionByName(fx.override)
+    return sales.daily_rows(enriched(fx), roster, override, batch_seq=1).select("row_seq", "team")
+
+
+@query("month_gap", "SELECT MAX(sale_date) AS last_date, monthname(MAX(sale_date)) AS missing_month FROM fx_sales", dates=("last_date",))
 def _(fx):
-    up_to = fx.sales.filter(F.col("sale_date") <= F.lit("1998-05-20").cast("date"))
-    trend = up_to.groupBy(F.col("sale_date").alias("data_date")).agg(F.count(F.lit(1)).alias("act_numerator"))
-    return metrics.month_gap(trend, today=REPORT_DATE)
+    trend = fx.sales.groupBy(F.col("sale_date").alias("data_date")).agg(F.count(F.lit(1)).alias("act_numerator"))
+    return metrics.month_gap(trend, today="2001-09-01")

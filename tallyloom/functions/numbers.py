@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
-MONEY = "decimal(18,2)"
+#: Numbers as delivered: no digit of a premium may be lost, since premiums are part of a sale's key.
+MONEY = "decimal(38,10)"
 
 
 def coerce_number(text: Column) -> Column:

@@ -9,6 +9,7 @@ from ..functions import labels
 from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
 from ..sources.storage import cut_lineage
+from .joins import unique_roster
 from .skew import hot_keys_of, lookup_join, shuffle_width
 
 BLOCKS_PER_PARTITION = 4
@@ -58,7 +59,7 @@ def match_names(
     best = per_name.groupBy(*by_name.columns).agg(F.max(ranked).alias("best"))
     score = F.coalesce("best.score", F.lit(0))
     accepted = F.when(score > labels.MATCH_THRESHOLD, F.col("best.email")).otherwise(F.lit(labels.UNMAPPED))
-    override = overrides.select("clean_name", F.col("email").alias("override_email"))
+    override = overrides.groupBy("clean_name").agg(F.max("email").alias("override_email"))  # one e-mail per name
     return best.join(override, "clean_name", "left").select(
         *by_name.columns, F.coalesce("override_email", accepted).alias("email"), score.alias("best_score")
     )
@@ -79,7 +80,7 @@ def map_lookup(rows: DataFrame, roster: DataFrame, overrides: DataFrame, spread_
     to cut them.
     """
     counts = cut_lineage(rows.groupBy("clean_name").agg(F.count(F.lit(1)).alias("n_rows")))
-    teams = roster.select("email", "team")
+    teams = unique_roster(roster)
     lookup = match_names(counts, roster, overrides).select("clean_name", "email").join(teams, "email", "left")
     hot = hot_keys_of(counts, "clean_name", "n_rows")
     joined = lookup_join(rows, lookup, "clean_name", spread_by, hot_keys=hot)

@@ -17,6 +17,11 @@ from ..functions.text import fill_status, normalize_id
 from .skew import lookup_join
 
 
+def unique_roster(roster: DataFrame) -> DataFrame:
+    """The roster with one team per e-mail: of an entry listed twice the last one counts."""
+    return roster.groupBy("email").agg(F.max_by("team", "roster_seq").alias("team"))
+
+
 def semi_partner_ids(partner: DataFrame, ids: DataFrame) -> DataFrame:
     """Partners that occur in a sales file (``ids.dp_id``)."""
     wanted = ids.select(F.col("dp_id").alias("dpno")).filter(F.col("dpno").isNotNull()).distinct()
@@ -59,26 +64,30 @@ def status_lookup(status: DataFrame) -> DataFrame:
     return best.select("dp_id", name.alias("client_status"))
 
 
-def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str | None) -> DataFrame:
+def _attach_status(sales: DataFrame, lookup: DataFrame, spread_by: str | None, clean_ids: bool) -> DataFrame:
     bare = sales.drop("dp_status")
+    if not clean_ids:
+        bare = bare.withColumn("dp_id", normalize_id(F.col("dp_id")))
     joined = bare.join(lookup, "dp_id", "left") if spread_by is None else lookup_join(bare, lookup, "dp_id", spread_by)
     return joined.withColumn("dp_status", fill_status(F.col("client_status"))).drop("client_status")
 
 
-def enrich_status(sales: DataFrame, status: DataFrame, spread_by: str | None = "row_seq") -> DataFrame:
+def enrich_status(
+    sales: DataFrame, status: DataFrame, spread_by: str | None = "row_seq", clean_ids: bool = False
+) -> DataFrame:
     """Sales with the status of their partner; every sales row comes out once.
 
-    Sales ids are taken as clean_sales leaves them: cleaned once, and kept as they are here,
-    so that sales already distributed by partner need no further shuffle.
+    Ids are cleaned on both sides. With ``clean_ids`` the sales ids are taken as clean_sales
+    leaves them, so that sales already distributed by partner need no further shuffle.
     ``spread_by`` is the unique column that cuts partners with very many sales; None where
     partners are known to occur once.
     """
-    return _attach_status(sales, status_lookup(status), spread_by)
+    return _attach_status(sales, status_lookup(status), spread_by, clean_ids)
 
 
 def enrich_status_raw(sales: DataFrame, status: DataFrame, spread_by: str = "row_seq") -> DataFrame:
     """As enrich_status, but a partner with several logins yields one row per login."""
-    return _attach_status(sales, _status_key(status), spread_by)
+    return _attach_status(sales, _status_key(status), spread_by, clean_ids=False)
 
 
 def join_dp_details(quotes_per_dp: DataFrame, details: DataFrame, first_done: DataFrame) -> DataFrame:
@@ -119,7 +128,7 @@ def left_map_denominators(
 
 def with_team(by_email: DataFrame, roster: DataFrame, key: str = "email") -> DataFrame:
     """A table of one row per e-mail with the team of the roster, ``unknown`` off the roster."""
-    teams = roster.select(F.col("email").alias(key), "team")
+    teams = unique_roster(roster).select(F.col("email").alias(key), "team")
     return by_email.join(teams, key, "left").withColumn("team", classify.classify_team(F.col("team")))
 
 

@@ -19,7 +19,7 @@ def order_desc(df: DataFrame, date: str, *ties: str) -> DataFrame:
     return df.orderBy(F.col(date).desc(), *ties)
 
 
-def top_supply(supply: DataFrame, rows: int = 10000) -> DataFrame:
+def top_supply(supply: DataFrame, rows: int) -> DataFrame:
     """The agents with the largest supply."""
     largest = F.col("sum_inactive_dps_creating_quotes").desc()
     return supply.orderBy(largest, F.col("agent_mapped"), F.col("quote_month")).limit(rows)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_HOT_KEYS = 10_000  # bound of the broadcast table of hot keys
-_TRACKED_PER_KEY = 10
 
 
 @dataclass(frozen=True)
@@ -31,23 +30,13 @@ def _fair_share(counts: list[tuple], total: int, width: int) -> HotKeys:
     return HotKeys(pieces, any(key is None for key, _ in hot))
 
 
-def find_hot_keys(rows: DataFrame, key: str) -> HotKeys:
-    """Keys with more rows than one of the shuffle partitions should get.
+def hot_keys_of(counts: DataFrame, key: str, n_rows: str) -> HotKeys:
+    """Keys with more rows than one of the shuffle partitions should get, from a table of rows per key.
 
-    One pass over the key column with a frequent-items sketch: every task sends one sketch,
-    so nothing is shuffled by key. Fewer than ``partitions`` keys can exceed 1/partitions
-    of the rows and at most MAX_HOT_KEYS are returned, so the driver gets a short list. The
-    counts only decide how finely a key is cut; a wrong estimate cannot change a result.
+    Fewer than ``partitions`` keys can exceed 1/partitions of the rows and at most MAX_HOT_KEYS
+    are returned, so the driver gets a short list. The counts only decide how finely a key is
+    cut; a wrong estimate cannot change a result.
     """
-    k = min(shuffle_width(rows), MAX_HOT_KEYS) + 1  # the missing key takes a place too
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(k), F.lit(max(10_000, k * _TRACKED_PER_KEY)))
-    found = rows.agg(F.count(F.lit(1)).alias("total"), sketch.alias("top")).first()
-    top = [(item["item"], item["count"]) for item in found["top"] or []]
-    return _fair_share(top, found["total"], shuffle_width(rows))
-
-
-def hot_keys_of(counts: DataFrame, key: str, n_rows: str) -> HotKeys:
-    """The same from a table of rows per key that exists already; its largest keys suffice."""
     width = shuffle_width(counts)
     total = counts.agg(F.coalesce(F.sum(n_rows), F.lit(0))).first()[0]
     top = counts.orderBy(F.col(n_rows).desc()).limit(min(width, MAX_HOT_KEYS) + 1).select(key, n_rows).collect()
@@ -59,15 +48,15 @@ def lookup_join(
 ) -> DataFrame:
     """``rows JOIN lookup`` on ``key``, with hot keys cut into pieces of about a partition.
 
-    Without hot keys this is the plain join. Otherwise each row of a hot key goes to one of
+    Without known hot keys this is the plain join: in an inner or left join of two shuffled
+    tables Spark splits the large partitions of ``rows`` itself at run time, and no pass over
+    the rows is spent on looking for them. Otherwise each row of a hot key goes to one of
     the key's pieces and the lookup rows of that key are repeated once per piece; all other
     keys stay whole. ``spread_by`` is a column unique per row. It decides the piece, so a
     task that runs again after a lost executor sends every row to the same piece. Missing
-    keys match nothing and are spread out as well. The hot keys are looked for here unless
-    the caller knows them.
+    keys match nothing and are spread out as well.
     """
-    hot_keys = find_hot_keys(rows, key) if hot_keys is None else hot_keys
-    if not hot_keys.pieces and not hot_keys.nulls:
+    if hot_keys is None or not hot_keys.pieces and not hot_keys.nulls:
         return rows.join(lookup, key, how)
     schema = T.StructType([rows.schema[key], T.StructField("pieces", T.IntegerType())])
     hot = F.broadcast(rows.sparkSession.createDataFrame(hot_keys.pieces, schema))  # <= MAX_HOT_KEYS rows

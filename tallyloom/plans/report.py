@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..operators.aggregates import max_date
 from ..sources import storage
+from ..sources.batches import snapshot_or_latest
 from ..sources.schemas import MASTER, TREND
 from . import metrics, rates, sales, status, supply
 
@@ -44,15 +45,17 @@ class Options:
 
 def _snapshot(spark: SparkSession, df: DataFrame, path: str, data_date: str) -> DataFrame:
     """Write the snapshot of a data date into a dated series, and return the series."""
+    df.write.mode("overwrite").parquet(f"{path}/snapshot_date={data_date}")
     dated = df.withColumn("snapshot_date", F.lit(data_date).cast("date"))
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("snapshot_date").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(dated.schema).option("basePath", path).parquet(path)
 
 
 def run_report(spark: SparkSession, inputs: Inputs, out: str, options: Options = Options()) -> str:
     """Run all reports of a batch into the folder ``out``; returns the data date."""
-    data_date = options.data_date or max_date(inputs.sales).first()["data_date"].isoformat()
+    newest = None if options.data_date else max_date(inputs.sales).first()["data_date"]
+    if newest is None and options.data_date is None:
+        raise ValueError("the batch has no dated sale: give a data date")
+    data_date = options.data_date or newest.isoformat()
     on_day = F.col("snapshot_date") == F.lit(data_date).cast("date")
 
     cleaned = spark.read.parquet(storage.write_table(sales.clean_sales(inputs.sales), f"{out}/sales_clean"))
@@ -67,7 +70,7 @@ def run_report(spark: SparkSession, inputs: Inputs, out: str, options: Options =
         since=options.since,
         ordered=False,
     )
-    statuses = _snapshot(spark, dp_status, f"{out}/dp_status", data_date).filter(on_day)
+    statuses = snapshot_or_latest(_snapshot(spark, dp_status, f"{out}/dp_status", data_date), data_date)
     supplies = _snapshot(
         spark,
         supply.inactive_supply(inputs.quotes, inputs.dp_master, data_date=data_date, as_of=options.as_of),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import coerce_number
@@ -27,19 +27,20 @@ def unique_sales(cleaned: DataFrame) -> DataFrame:
 
 def enrich_sales(cleaned: DataFrame, status: DataFrame) -> DataFrame:
     """Every sales row with its partner's status."""
-    return enrich_status(cleaned, status)
+    return enrich_status(cleaned, status, clean_ids=True)
 
 
 def enrich_unique(unique: DataFrame, status: DataFrame) -> DataFrame:
     """The first row of every partner with its status."""
-    return enrich_status(unique, status, spread_by=None)
+    return enrich_status(unique, status, spread_by=None, clean_ids=True)
 
 
-def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_seq: int) -> DataFrame:
+def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_seq: int | Column) -> DataFrame:
     """A checked daily batch in the columns of the master, team included."""
     checked = validate_columns(daily, COLLATE_REQUIRED)
+    seq = batch_seq if isinstance(batch_seq, Column) else F.lit(batch_seq)
     rows = checked.select(
-        F.lit(batch_seq).alias("batch_seq"),
+        seq.alias("batch_seq"),
         "row_seq",
         "sale_date",
         "bdm_name",
@@ -52,7 +53,7 @@ def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_
 
 
 def collate_master(
-    master: DataFrame, daily: DataFrame, roster: DataFrame, overrides: DataFrame, *, batch_seq: int
+    master: DataFrame, daily: DataFrame, roster: DataFrame, overrides: DataFrame, *, batch_seq: int | Column
 ) -> DataFrame:
     """The master with a daily batch folded in; later deliveries of a sale replace earlier ones."""
     return dedup_keep_last(union_by_name(master, daily_rows(daily, roster, overrides, batch_seq)))

@@ -32,16 +32,18 @@ def dp_status(
 ) -> DataFrame:
     """Policies, premium and status of the partners of a sales file, per login.
 
-    The policies, the one large table, are read once and reduced to a row per login before
-    any join; the joins then work on one row per login or partner.
+    The policies, the one large table, are read once and restricted to the wanted logins by a
+    semi join (which Spark broadcasts when the logins are few), so only their policies are
+    shuffled and reduced to a row per login.
     """
-    per_login = login_totals(filter_policy(policy), F.lit(since).cast("timestamp_ntz"))
     # A partner listed twice counts its premium twice, as a join on the raw list would.
     logins = (
         semi_partner_ids(partner, ids)
         .groupBy("dpno", F.col("partner_id").alias("login_id"))
         .agg(F.count(F.lit(1)).alias("listed"))
     )
+    wanted = filter_policy(policy).join(logins.select("login_id").distinct(), "login_id", "left_semi")
+    per_login = login_totals(wanted, F.lit(since).cast("timestamp_ntz"))
     status = classify.classify_status(
         F.col("first_sale_date"),
         F.lit(already_before).cast("timestamp_ntz"),
@@ -69,6 +71,7 @@ WITH clients AS (
          max(created_at) AS last_sale_date
   FROM {policy}
   WHERE vertical = 'HEALTH' AND businesstype IN ('NEW', 'PORTABILITY')
+    AND login_id IN (SELECT login_id FROM clients)
   GROUP BY login_id
 )
 SELECT c.dpno, c.login_id, l.policy_count, l.total_netpremium,

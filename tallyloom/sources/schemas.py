@@ -15,6 +15,11 @@ def money(digits: int = 18) -> T.DecimalType:
     return T.DecimalType(digits, 2)
 
 
+def exact_money() -> T.DecimalType:
+    """Money that serves as a key: unrounded."""
+    return T.DecimalType(38, 10)
+
+
 def table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
@@ -99,7 +104,7 @@ MASTER = table(
     sale_date=DATE,
     bdm_name=STRING,
     dp_id=STRING,
-    net_premium=money(),
+    net_premium=exact_money(),
     dp_status=STRING,
     team=STRING,
 )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import BIGINT, table
+from .schemas import BIGINT, STRING, table
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,17 +75,12 @@ def write_audit(enriched: DataFrame, raw_lookup: DataFrame, path: str) -> dict[s
 def write_breakdown(tables: dict[str, DataFrame], path: str, data_date: str, mode: str) -> dict[str, str]:
     """One directory per table, partitioned by data date and run mode.
 
-    A re-run of one data date replaces the partition of that date and mode only.
+    A re-run of one data date replaces the partition of that date and mode only, also by
+    an empty one.
     """
     written = {}
     for name, df in tables.items():
-        tagged = df.withColumn("data_date", F.lit(data_date).cast("date")).withColumn("run_mode", F.lit(mode))
-        (
-            tagged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("data_date", "run_mode")
-            .parquet(f"{path}/{name}")
-        )
+        df.write.mode("overwrite").parquet(f"{path}/{name}/data_date={data_date}/run_mode={mode}")
         written[name] = f"{path}/{name}"
     return written
 
@@ -103,36 +98,40 @@ def load_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 class VersionedTable:
     """An accumulating table as a row of complete Parquet versions.
 
-    Every write makes a new version and then adds one row to the list of commits, so a
-    reader never sees half a version and a job may read the table it replaces. The list
-    has one small row per run.
+    Every write makes a new folder and then commits it as the next version, so a reader never
+    sees half a version and a job may read the table it replaces. A commit is a folder of its
+    own that must not exist yet: of two writers of the same version one fails. Each commit names
+    the stream and the batch it holds, if any.
     """
 
-    _COMMITS = table(version=BIGINT, batch_id=BIGINT)
+    _COMMIT = table(folder=STRING, stream_id=STRING, batch_id=BIGINT)
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path, schema
 
     def _commits(self) -> DataFrame:
-        return load_or_empty(self.spark, f"{self.path}/commits", self._COMMITS)
+        fields = [*self._COMMIT.fields, T.StructField("version", T.LongType())]
+        return load_or_empty(self.spark, f"{self.path}/commits", T.StructType(fields))
 
     def latest(self) -> int:
         return self._commits().agg(F.max("version")).first()[0] or 0
 
-    def has_batch(self, batch_id: int) -> bool:
-        return not self._commits().filter(F.col("batch_id") == batch_id).isEmpty()
+    def has_batch(self, stream_id: str, batch_id: int) -> bool:
+        return not self._commits().filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def read(self) -> DataFrame:
-        version = self.latest()
-        if version == 0:
+        newest = self._commits().orderBy(F.desc("version")).first()
+        if newest is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/version={version}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{newest['folder']}")
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> int:
-        version = self.latest() + 1
-        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/data/version={version}")
+    def write(self, df: DataFrame, stream_id: str | None = None, batch_id: int | None = None) -> int:
+        version, folder = self.latest() + 1, uuid.uuid4().hex
+        df.select(*self.schema.names).write.parquet(f"{self.path}/data/{folder}")
         commit = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id")
+            F.lit(folder).alias("folder"),
+            F.lit(stream_id).cast("string").alias("stream_id"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        commit.write.mode("append").parquet(f"{self.path}/commits")
+        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
         return version

@@ -1,43 +1,73 @@
 """Collation of daily batches as they arrive.
 
 A folder of daily batches is read as a file stream, and every micro-batch is folded into
-the master exactly once: the version written for a batch carries its number, and a batch
-delivered again after a failure is recognised by it. No watermark is used, since a sale
-may be re-delivered at any later time and is compared with the whole master.
+the master exactly once: a commit names the stream and the number of its batch, and a batch
+delivered again after a failure is recognised by them. Each file is a delivery; the file
+written later wins, whichever trigger it falls into. No watermark is used, since a sale may
+be re-delivered at any later time and is compared with the whole master.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.sales import collate_master
 from ..sources.schemas import SALES_ENRICHED
 from ..sources.storage import VersionedTable
 
+_DELIVERY = ["delivered_at", "delivery"]
+
 
 def read_batches(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Enriched daily sales, one Parquet file or more per delivery."""
+    """Enriched daily sales, one Parquet file or more per trigger, with the file they came in."""
     reader = spark.readStream.schema(SALES_ENRICHED).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    file = [F.col("_metadata.file_modification_time").alias("delivered_at"), F.col("_metadata.file_path").alias("delivery")]
+    return reader.parquet(folder).select("*", *file)
+
 
+def in_delivery_order(batch: DataFrame, base: int) -> DataFrame:
+    """Rows with ``batch_seq``: above ``base``, rising with the time (and name) of the file they came in."""
+    if not set(_DELIVERY) <= set(batch.columns):
+        return batch.withColumn("batch_seq", F.lit(base + 1))
+    rank = F.row_number().over(W.orderBy(*_DELIVERY))  # one row per file of a trigger
+    order = batch.select(*_DELIVERY).distinct().select(*_DELIVERY, (rank + base).alias("batch_seq"))
+    return batch.join(F.broadcast(order), _DELIVERY).drop(*_DELIVERY)
 
-def fold_batch(master: VersionedTable, batch: DataFrame, batch_id: int, roster: DataFrame, overrides: DataFrame) -> bool:
+
+def fold_batch(
+    master: VersionedTable, batch: DataFrame, batch_id: int, roster: DataFrame, overrides: DataFrame, stream_id: str
+) -> bool:
     """Fold one batch into the master unless that has been done; True if it was done now."""
-    if master.has_batch(batch_id):
+    if master.has_batch(stream_id, batch_id):
         return False
-    collated = collate_master(master.read(), batch, roster, overrides, batch_seq=master.latest() + 1)
-    master.write(collated, batch_id)
+    before = master.read()
+    base = before.agg(F.coalesce(F.max("batch_seq"), F.lit(0))).first()[0]
+    collated = collate_master(before, in_delivery_order(batch, base), roster, overrides, batch_seq=F.col("batch_seq"))
+    master.write(collated, stream_id, batch_id)
     return True
 
 
 def collate_stream(
-    batches: DataFrame, master: VersionedTable, roster: DataFrame, overrides: DataFrame, checkpoint: str
+    batches: DataFrame,
+    master: VersionedTable,
+    roster: DataFrame,
+    overrides: DataFrame,
+    checkpoint: str,
+    stream_id: str | None = None,
 ) -> StreamingQuery:
-    """Fold all batches that are there now, then stop; start again for later ones."""
+    """Fold all batches that are there now, then stop; start again for later ones.
+
+    Batch numbers start at 0 in every checkpoint folder, so they count within a stream only.
+    The stream is named by its checkpoint folder unless ``stream_id`` names it; give a new name
+    if a folder is emptied and used again.
+    """
+    stream = stream_id or checkpoint
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(master, batch, batch_id, roster, overrides)
+        fold_batch(master, batch, batch_id, roster, overrides, stream)
 
     return (
         batches.writeStream.foreachBatch(fold)

@@ -28,9 +28,9 @@ def hot_rows(spark, n=3000):
 def test_lookup_join_gives_the_plain_join(spark, how):
     rows = hot_rows(spark)
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3), ("absent", 4)], "k string, v int")
-    found = skew.find_hot_keys(rows, "k")
+    found = skew.hot_keys_of(rows.groupBy("k").count(), "k", "count")
     assert [key for key, _ in found.pieces] == ["hot"] and found.nulls
-    cut = skew.lookup_join(rows, lookup, "k", "id", how).select("id", "k", "v")
+    cut = skew.lookup_join(rows, lookup, "k", "id", how, found).select("id", "k", "v")
     assert bag(cut) == bag(rows.join(lookup, "k", how).select("id", "k", "v"))
 
 
@@ -39,7 +39,9 @@ def test_lookup_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
         lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
-        joined = skew.lookup_join(hot_rows(spark), lookup, "k", "id")
+        rows = hot_rows(spark)
+        found = skew.hot_keys_of(rows.groupBy("k").count(), "k", "count")
+        joined = skew.lookup_join(rows, lookup, "k", "id", hot_keys=found)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert max(r["count"] for r in sizes) < 3000 / 3
     finally:
@@ -49,7 +51,7 @@ def test_lookup_join_spreads_the_hot_key(spark):
 
 def test_lookup_join_without_hot_keys_is_plain(spark):
     rows = spark.range(1000).select("id", (F.col("id") % 500).cast("string").alias("k"))
-    assert skew.find_hot_keys(rows, "k") == skew.HotKeys([], False)
+    assert skew.hot_keys_of(rows.groupBy("k").count(), "k", "count") == skew.HotKeys([], False)
 
 
 def test_lookup_join_of_no_rows(spark):
@@ -218,3 +220,22 @@ def test_premium_stats_by_hand(spark):
     row = aggregates.premium_stats(spark.createDataFrame(rows, "dp_id string, net_premium string, dp_status string")).first()
     assert (float(row["inactive_premium"]), row["inactive_nop"], row["inactive_dps"]) == (15.0, 3, 1)
     assert (row["avg_premium_inactive"], row["nop_per_dp_inactive"], row["avg_premium_fav"]) == (5.0, 3.0, 8.0)
+
+
+# --- lookups listed twice, ids that are not clean ---------------------------------------------
+def test_a_roster_entry_listed_twice_multiplies_nothing(spark):
+    roster = spark.createDataFrame(
+        [(1, "asha.rao@example.com", "old"), (2, "asha.rao@example.com", "new")], "roster_seq int, email string, team string"
+    )
+    overrides = spark.createDataFrame([("BOSS", "asha.rao@example.com")] * 2, "clean_name string, email string")
+    rows = spark.createDataFrame([(1, "ASHA RAO"), (2, "BOSS")], "row_seq long, clean_name string")
+    mapped = fuzzy.map_lookup(rows, roster, overrides, spread_by="row_seq").collect()
+    assert sorted((r["row_seq"], r["team"]) for r in mapped) == [(1, "new"), (2, "new")]
+    assert joins.with_team(spark.createDataFrame([("asha.rao@example.com",)], "email string"), roster).count() == 1
+
+
+def test_ids_are_cleaned_on_both_sides(spark):
+    sales = spark.createDataFrame([(1, "12.0"), (2, "12"), (3, None)], "row_seq long, dp_id string")
+    status = spark.createDataFrame([("12", "Already Active")], "dpno string, client_status string")
+    found = {r["row_seq"]: r["dp_status"] for r in joins.enrich_status(sales, status).collect()}
+    assert found == {1: "Already Active", 2: "Already Active", 3: "Inactive"}

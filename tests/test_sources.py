@@ -130,7 +130,54 @@ def test_stream_folds_every_batch_once(spark, fx, tmp_path):
     once = collate_master(empty, first, fx.roster, fx.override, batch_seq=1)
     expected = collate_master(once, second, fx.roster, fx.override, batch_seq=2)
     assert sorted(map(str, master.read().collect())) == sorted(map(str, expected.select(*schemas.MASTER.names).collect()))
-    assert not fold_batch(master, second, 1, fx.roster, fx.override)
+    assert not fold_batch(master, second, 1, fx.roster, fx.override, str(tmp_path / "cp"))
+
+
+def _sale(row_seq, premium="10", status="Inactive", day="2024-05-01"):
+    return (row_seq, dt.date.fromisoformat(day), "Asha Rao", "7", premium, status)
+
+
+def _sales(spark, *rows):
+    kinds = "row_seq long, sale_date date, bdm_name string, dp_id string, net_premium string, dp_status string"
+    return spark.createDataFrame(rows, kinds).select(*schemas.SALES_ENRICHED.names)
+
+
+def test_premiums_that_differ_after_the_second_digit_are_different_sales(spark, fx):
+    rows = _sales(spark, _sale(1, "10.001"), _sale(2, "10.004"), _sale(3, "10.00"), _sale(4, "10"))
+    master = collate_master(spark.createDataFrame([], schemas.MASTER), rows, fx.roster, fx.override, batch_seq=1)
+    assert sorted(r["row_seq"] for r in master.collect()) == [1, 2, 4]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_the_later_delivery_wins_inside_a_trigger(spark, fx, tmp_path, files_per_batch):
+    folder = str(tmp_path / "in")
+    for rows in (_sale(5), _sale(1, status="Already Active")):
+        _sales(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    master = storage.VersionedTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    stream = read_batches(spark, folder, files_per_batch)
+    collate_stream(stream, master, fx.roster, fx.override, str(tmp_path / "cp")).awaitTermination()
+    (row,) = master.read().collect()
+    assert row["dp_status"] == "Already Active"
+
+
+def test_a_stream_with_a_new_checkpoint_loses_no_sale(spark, fx, tmp_path):
+    master = storage.VersionedTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    for at in (1, 2):
+        _sales(spark, _sale(at, day=f"2024-05-0{at}")).write.parquet(str(tmp_path / f"in{at}"))
+        stream = read_batches(spark, str(tmp_path / f"in{at}"))
+        collate_stream(stream, master, fx.roster, fx.override, str(tmp_path / f"cp{at}")).awaitTermination()
+    assert master.read().count() == 2
+
+
+def test_two_writers_cannot_commit_one_version(spark, tmp_path):
+    one = storage.VersionedTable(spark, str(tmp_path / "t"), schemas.FAV_POOL)
+    two = storage.VersionedTable(spark, str(tmp_path / "t"), schemas.FAV_POOL)
+    rows = spark.createDataFrame([("a", "old", 1)], schemas.FAV_POOL)
+    two.latest = lambda: 0
+    one.write(rows)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        two.write(rows.filter("false"))
+    assert one.read().count() == 1
 
 
 def test_whole_run(spark, fx, tmp_path):
