@@ -1,0 +1,345 @@
+"""Operators that compare texts with each other, against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tallyloom.llm import context_tree, packing, secrets, simhash, suffixes
+from tallyloom.llm.common import components
+
+from .helpers import COPY, PASSAGE, TEXTS, by_id, documents, words
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+# --- SimHash -----------------------------------------------------------------------------------
+def plain_fingerprint(text):
+    found = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+    if not found:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(found[i : i + 3]).encode(), 42) for i in range(max(1, len(found) - 2))]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def test_simhash_components(spark):
+    near = COPY.split()
+    rows = TEXTS + [(30 + i, " ".join(near[:i] + [w] + near[i + 1 :])) for i, w in enumerate(words(12, 77).split())]
+    found = simhash.near_duplicates(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    values = {int(r["fingerprint"], 16) for r in found}
+    assert values == {plain_fingerprint(t) for _, t in rows}
+    group = {v: v for v in values}
+    for a in values:
+        for b in values:
+            if (a ^ b).bit_count() <= 3:
+                old, new = group[a], group[b]
+                group = {v: new if g == old else g for v, g in group.items()}
+    smallest = {}
+    for doc_id, text in rows:
+        g = group[plain_fingerprint(text)]
+        if doc_id is not None:
+            smallest[g] = min(doc_id, smallest.get(g, doc_id))
+    for r in found:
+        assert r["component_id"] == smallest[group[int(r["fingerprint"], 16)]]
+    kept = simhash.keep_one(documents(spark, rows))
+    assert kept.columns == documents(spark).columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(smallest.values())
+    assert simhash.near_duplicates(documents(spark, [])).count() == simhash.keep_one(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 5])
+def test_bit_sliced_links_are_all_links(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 62, 40, dtype=np.int64)
+    values = np.unique(np.concatenate([base] + [base ^ (np.int64(1) << rng.integers(0, 62, 40)) for _ in range(6)]))
+    values = np.unique(np.concatenate([values, values ^ (np.int64(1) << rng.integers(0, 62, len(values)))]))
+    groups = np.sort(rng.integers(0, 3, len(values)))
+    a, b = simhash.star_links(groups, values, radius)
+    parent = {int(v): int(v) for v in values}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, j in zip(a.tolist(), b.tolist()):
+        parent[root(i)] = root(j)
+    plain = {int(v): int(v) for v in values}
+    for i in range(len(values)):
+        for j in range(i):
+            if groups[i] == groups[j] and (int(values[i]) ^ int(values[j])).bit_count() <= radius:
+                old, new = plain[int(values[i])], plain[int(values[j])]
+                plain = {v: new if g == old else g for v, g in plain.items()}
+    same = {(root(int(x)) == root(int(y))) == (plain[int(x)] == plain[int(y)]) for x in values for y in values}
+    assert same == {True}
+
+
+def test_large_buckets_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 8)
+    values = [1 << i for i in range(40)] + [(1 << i) | (1 << 50) for i in range(20)]
+    rows = spark.createDataFrame([(v,) for v in values], "fp long")
+    assert {r["root"] for r in simhash.classes(rows, 3).collect()} == {1}
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 130)] + [(5, 5)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 10 for i in range(10, 61)}, **{i: 100 for i in range(100, 130)}}
+
+
+# --- repeated spans ------------------------------------------------------------------------------
+def plain_removal(texts, span):
+    places = {}
+    for k, data in enumerate(texts):
+        for i in range(len(data) - span + 1):
+            places.setdefault(data[i : i + span], []).append((k, i))
+    gone = [np.zeros(len(data), bool) for data in texts]
+    for found in places.values():
+        if len(found) > 1:
+            for k, i in found:
+                gone[k][i : i + span] = True
+    return gone
+
+
+@pytest.mark.parametrize("group", [2048, 1])
+def test_repeated_spans_are_those_of_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(suffixes, "GROUP", group)
+    rows = TEXTS + [(40 + i, words(20, 60 + i) + " " + PASSAGE[i * 3 :] + words(25, 90 + i)) for i in range(6)]
+    found = suffixes.removal_digest(documents(spark, rows))
+    assert found.count() == len(rows)
+    data = [(t or "").encode() for _, t in rows]
+    found_rows = by_id(found)
+    for (doc_id, _), text, gone in zip(rows, data, plain_removal(data, 200)):
+        if doc_id is None:
+            continue
+        row = found_rows[doc_id]
+        left = np.frombuffer(text, np.uint8)[~gone].tobytes()
+        runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        expected = (len(text), int(gone.sum()), runs, hashlib.sha256(left).hexdigest())
+        assert tuple(row)[1:] == expected
+    assert suffixes.removal_digest(documents(spark, [])).count() == 0
+
+
+def test_cut_texts_keep_rows_and_columns(spark):
+    kept = suffixes.without_repeats(documents(spark))
+    assert kept.columns == documents(spark).columns and kept.count() == len(TEXTS)
+    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert texts[2] is None and texts[5] == "" and texts[1] == dict(TEXTS)[1] and PASSAGE not in texts[7]
+
+
+def test_multikey_quicksort():
+    rng = np.random.default_rng(1)
+    strings = [bytes(rng.integers(97, 99, 20, dtype=np.uint8)) for _ in range(3000)]
+    assert [strings[i] for i in suffixes.multikey_quicksort(strings)] == sorted(strings)
+
+
+# --- packing -------------------------------------------------------------------------------------
+def test_packing_is_gapless_and_exact(spark):
+    found = packing.packed_documents(documents(spark), WORDS, capacity=512).collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    pieces = Counter()
+    for doc_id, text in TEXTS:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        for piece, at in enumerate(range(0, len(ids), 512)):
+            part = ids[at : at + 512]
+            pieces[doc_id, piece, at, len(part), zlib.crc32(part.tobytes())] += 1
+    assert pieces == Counter(tuple(r)[:5] for r in found)
+    ends = {}
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 512
+    assert packing.packed_documents(documents(spark, []), WORDS).count() == 0
+
+
+def test_word_ids_are_those_of_whole_texts():
+    tokenizer = Tokenizer.from_file(WORDS)
+    rng = random.Random(5)
+    alphabet = list("abcXY c'sS  \n\t\r1290.,,..!?-éñÀΣσİ漢字😀\x1c\x85\xa0 'td́̈<|")
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(3000)] + ["a<|endoftext|>b", "ÅÅ"]
+    for text, ids in zip(texts, packing.word_ids(WORDS).of(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_packs_every_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, 101, 400) if seed % 2 else rng.integers(30, 71, 400)
+    counts = Counter(lengths.tolist())
+    plan = packing.Plan(counts, 100)
+    filled = {}
+    for length, n in counts.items():
+        sequence, offset = plan.place(np.full(n, length), np.arange(n))
+        for s, o in zip(sequence.tolist(), offset.tolist()):
+            filled.setdefault(s, []).append((o, o + length))
+    for spans in filled.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= 100
+    assert len(filled) == plan.sequences
+    best_fit = []
+    for length in sorted(lengths.tolist(), reverse=True):
+        room = [r for r in best_fit if r >= length]
+        if room:
+            best_fit.remove(min(room))
+            best_fit.append(min(room) - length)
+        else:
+            best_fit.append(100 - length)
+    assert math.ceil(lengths.sum() / 100) <= plan.sequences <= len(best_fit)
+    assert plan.fixed > 0
+
+
+def test_dominating_sets_are_fixed():
+    plan = packing.Plan({60: 2, 40: 1, 35: 1, 90: 1, 30: 1}, 100)
+    assert plan.fixed == 6 and plan.sequences == 4
+
+
+# --- language model --------------------------------------------------------------------------------
+def test_base_scores_and_probabilities(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "COMMON_WORDS", 20)
+    rows = TEXTS + [(50 + i, words(40, 200 + i).title()) for i in range(30)]
+    found = context_tree.scored(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+
+    def tokens(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", lower(text)) + [""]
+
+    def out(doc_id):
+        return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+    trained = Counter(w for i, t in rows if not out(i) for w in tokens(t))
+    n, v = sum(trained.values()), len(trained)
+    texts = dict(rows)
+    for r in found:
+        if r["doc_id"] is None:
+            continue
+        mine = tokens(texts[r["doc_id"]])
+        base = sum(math.log10((trained[w] + 1) / (n + 1 * (v + 1))) for w in mine)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (out(r["doc_id"]), len(mine), sum(trained[w] > 0 for w in mine), n)
+        assert r["base_score"] == pytest.approx(base) and r["score"] < 0
+    assert context_tree.scored(documents(spark, [])).count() == 0
+
+
+def plain_tree(texts, depth):
+    """The same model by recursion: counts by context and decision, estimates by products."""
+    counts = {}
+    for text in texts:
+        data = b"\xff" * depth + text + b"\xff"
+        for i in range(depth, len(data)):
+            for b in range(8):
+                decision = (1 << b) | (data[i] >> (8 - b))
+                for d in range(depth + 1):
+                    counts.setdefault((data[i - d : i], decision), [0, 0])[data[i] >> (7 - b) & 1] += 1
+
+    def own(n):
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.lgamma(n[0] + n[1] + 1) - math.log(math.pi)
+
+    total = {}
+    for d in range(depth, -1, -1):
+        for (context, decision), n in counts.items():
+            if len(context) != d:
+                continue
+            below = sum(total[c, e] for c, e in total if e == decision and len(c) == d + 1 and c[1:] == context) if d < depth else None
+            total[context, decision] = own(n) if below is None else math.log(0.5) + np.logaddexp(own(n), below)
+    return counts, total, own
+
+
+def test_tree_is_that_of_the_recursion(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "DEPTH", 2)
+    texts = ["abab", "abba", "aab"]
+    rows = [(i, t) for i, t in zip([0, 1, 3], texts)]
+    assert not any(zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows)
+    found = {r["doc_id"]: r["score"] for r in context_tree.scored(documents(spark, rows)).collect()}
+    counts, total, own = plain_tree([t.encode() for t in texts], 2)
+    for doc_id, text in rows:
+        data, score = b"\xff\xff" + text.encode() + b"\xff", 0.0
+        for i in range(2, len(data)):
+            for b in range(8):
+                decision, one = (1 << b) | (data[i] >> (8 - b)), data[i] >> (7 - b) & 1
+                said = None
+                for d in (2, 1, 0):
+                    context = data[i - d : i]
+                    n = counts[context, decision]
+                    p1 = (n[1] + 0.5) / (sum(n) + 1)
+                    if said is None:
+                        said = p1
+                    else:
+                        below = sum(total[c, e] for c, e in total if e == decision and len(c) == d + 1 and c[1:] == context)
+                        beta = math.exp(own(n) - below)
+                        said = (beta * p1 + said) / (beta + 1)
+                score += math.log10(said if one else 1 - said)
+        assert found[doc_id] == pytest.approx(score, rel=1e-4)
+
+
+# --- secrets -----------------------------------------------------------------------------------------
+def secret_rows(n=60):
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = []
+    for i in range(n):
+        hidden = [f'token = "{digest(i)}"', f"password={digest(i)[:18]}", "AKIA" + digest(i).upper()[:16].replace("0", "Q"), "4652511922028856"][i % 4]
+        rows.append((i, f"{words(20, i)} {hidden} {words(20, i + 99)}"))
+    return rows
+
+
+def test_secrets_are_found_and_replaced(spark):
+    rows = secret_rows()
+    found = secrets.findings(documents(spark, rows + [(None, None), (98, ""), (99, words(3000, 5))])).collect()
+    secret = {r["doc_id"]: r["secret"] for r in found}
+    assert {i for i, s in secret.items() if s} == {i for i in range(60) if i % 4 != 3}
+    assert not any(secret.get(i) for i in range(60) if i % 4 == 3)
+    changed = secrets.without_secrets(documents(spark, rows))
+    assert changed.columns == documents(spark).columns and changed.count() == 60
+    texts = {r["doc_id"]: r["text"] for r in changed.collect()}
+    assert texts[3] == rows[3][1] and "password=[SECRET] " in texts[1] and 'token = "[SECRET]"' in texts[0]
+
+
+def test_secret_scan_of_awkward_rows(spark):
+    assert secrets.scan(documents(spark, [])).count() == 0
+    kept = secrets.without_secrets(documents(spark))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, documents(spark).collect()))
+
+
+def test_secret_labels_may_be_given(spark):
+    rows = secret_rows()
+    labels = [(re.search(r"[0-9a-f]{40}", t).group(), 0) for i, t in rows if i % 4 == 0] + [("4652511922028856", 1)]
+    found = secrets.findings(documents(spark, rows), spark.createDataFrame(labels, "value string, label int")).collect()
+    assert not any(r["secret"] for r in found if len(r["value"]) == 40) and all(r["secret"] for r in found if r["value"] == "4652511922028856")
+
+
+def test_secret_scan_plan_has_no_python(spark):
+    plan = secrets.candidates(documents(spark))._jdf.queryExecution().toString()
+    plan += secrets.vocabulary(documents(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- the pipeline ------------------------------------------------------------------------------------
+def test_pipeline_stages(spark, tmp_path):
+    rows = TEXTS + [(i + 100, t) for i, t in secret_rows(20)]
+    docs = documents(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert len(corpus_pipeline.STAGES) == 5
+    current = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = stage(spark, current, str(tmp_path))
+        assert current.columns == docs.columns
+        current.write.parquet(str(tmp_path / name))
+        current = spark.read.parquet(str(tmp_path / name))
+    expected = corpus_pipeline.STAGES[-1][1](spark, current, str(tmp_path))
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    columns = ["doc_id", "piece", "length", "ids_crc32"]
+    assert Counter(map(tuple, whole.select(columns).collect())) == Counter(map(tuple, expected.select(columns).collect()))
+    assert {r["doc_id"] for r in whole.collect()} >= {1, 5, 7, 8, 100, 119}
