@@ -10,9 +10,9 @@ from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
 from ..sources.storage import cut_lineage
 from .joins import unique_roster
-from .skew import hot_keys_of, lookup_join, shuffle_width
+from .skew import hot_keys_of, lookup_join
 
-BLOCKS_PER_PARTITION = 4
+BLOCK_NAMES = 4096  # names per block, about
 ROSTER_PACK = 256  # roster entries per pack, at most
 
 
@@ -23,11 +23,11 @@ def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
     return roster.groupBy(pack.alias("pack")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
-def block_names(by_name: DataFrame) -> DataFrame:
-    """Rows of distinct names in hash blocks, a few blocks for every shuffle partition."""
-    blocks = shuffle_width(by_name) * BLOCKS_PER_PARTITION
+def block_names(names: DataFrame) -> DataFrame:
+    """Rows of about BLOCK_NAMES distinct names each, however many names there are."""
+    blocks = max(1, -(-names.count() // BLOCK_NAMES))
     block = F.pmod(F.xxhash64("clean_name"), F.lit(blocks))
-    return by_name.groupBy(block.alias("block")).agg(F.collect_list(F.struct(*by_name.columns)).alias("rows"))
+    return names.groupBy(block.alias("block")).agg(F.collect_list("clean_name").alias("names"))
 
 
 def match_names(
@@ -37,26 +37,26 @@ def match_names(
 
     Every name has to meet every roster entry. They meet as blocks of names and packs of
     the roster, one row for each block and pack, so no pair is ever a row; a roster of
-    usual size is one pack. A block holds one partition's share of the distinct names at
-    most, and the scorer works through it in slices of bounded size. Blocks and packs are
-    joined by an ordinary equi join that Spark broadcasts only below its size limit. Other
-    columns of the table travel with the names, so it need not be computed twice.
+    usual size is one pack. Blocks have a fixed size, so they do not grow with the data; they
+    carry names only, and the other columns are joined back by name. Blocks and packs are
+    joined by an ordinary equi join that Spark broadcasts only below its size limit. A missing
+    name is Unmapped. ``by_name`` is counted, matched and joined: give a table that is kept.
     """
     packs = pack_roster(roster, pack_size)
     ids = packs.agg(F.collect_set("pack")).scalar()  # one number per pack
     pack_ids = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(0))))
-    meetings = block_names(by_name).select("block", "rows", pack_ids.alias("pack")).join(packs, "pack", "left")
-    spread = meetings.repartition("block", "pack")
-    names = F.transform("rows", lambda row: row["clean_name"])
+    meetings = block_names(by_name.select("clean_name").dropna()).select("block", "names", pack_ids.alias("pack"))
+    spread = meetings.join(packs, "pack", "left").repartition("block", "pack")
     locals_ = F.transform("entries", lambda entry: entry["local"])
     no_entries = F.array().cast("array<string>")  # for an empty roster
-    scored = spread.select("rows", "entries", best_entries(names, F.coalesce(locals_, no_entries)).alias("best"))
+    scored = spread.select("names", "entries", best_entries(F.col("names"), F.coalesce(locals_, no_entries)).alias("best"))
     per_name = scored.select(
-        "entries", F.explode(F.arrays_zip("rows", F.col("best.score"), F.col("best.entry"))).alias("hit")
-    ).select("hit.rows.*", F.col("hit.score").alias("score"), F.get("entries", F.col("hit.entry")).alias("found"))
+        "entries", F.explode(F.arrays_zip("names", F.col("best.score"), F.col("best.entry"))).alias("hit")
+    ).select(F.col("hit.names").alias("clean_name"), F.col("hit.score").alias("score"), F.get("entries", F.col("hit.entry")).alias("found"))
     # The maximum of (score, -roster_seq) is the highest score and, among equals, the first entry.
     ranked = F.struct("score", (-F.col("found.roster_seq")).alias("order"), F.col("found.email").alias("email"))
-    best = per_name.groupBy(*by_name.columns).agg(F.max(ranked).alias("best"))
+    best = per_name.groupBy("clean_name").agg(F.max(ranked).alias("best"))
+    best = by_name.join(best, "clean_name", "left")
     score = F.coalesce("best.score", F.lit(0))
     accepted = F.when(score > labels.MATCH_THRESHOLD, F.col("best.email")).otherwise(F.lit(labels.UNMAPPED))
     override = overrides.groupBy("clean_name").agg(F.max("email").alias("override_email"))  # one e-mail per name
@@ -69,7 +69,7 @@ def fuzzy_map(
     names: DataFrame, roster: DataFrame, overrides: DataFrame, pack_size: int = ROSTER_PACK
 ) -> DataFrame:
     """Each distinct ``clean_name`` with its e-mail and best score."""
-    return match_names(names.select("clean_name").distinct(), roster, overrides, pack_size)
+    return match_names(cut_lineage(names.select("clean_name").distinct()), roster, overrides, pack_size)
 
 
 def map_lookup(rows: DataFrame, roster: DataFrame, overrides: DataFrame, spread_by: str) -> DataFrame:

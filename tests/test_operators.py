@@ -239,3 +239,31 @@ def test_ids_are_cleaned_on_both_sides(spark):
     status = spark.createDataFrame([("12", "Already Active")], "dpno string, client_status string")
     found = {r["row_seq"]: r["dp_status"] for r in joins.enrich_status(sales, status).collect()}
     assert found == {1: "Already Active", 2: "Already Active", 3: "Inactive"}
+
+
+def test_missing_names_and_blocks_of_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BLOCK_NAMES", 3)
+    names = spark.createDataFrame([("ASHA RAO",), (None,), ("",)] + [(f"NAME {chr(65 + i)}",) for i in range(20)], "clean_name string")
+    assert fuzzy.block_names(names.dropna()).selectExpr("max(size(names))").first()[0] < 15
+    roster = spark.createDataFrame([(1, "asha.rao@example.com", "old")], "roster_seq int, email string, team string")
+    none = spark.createDataFrame([], "clean_name string, email string")
+    found = {r["clean_name"]: r["email"] for r in fuzzy.fuzzy_map(names, roster, none).collect()}
+    assert len(found) == 23 and found["ASHA RAO"] == "asha.rao@example.com" and found[None] == "Unmapped"
+
+
+def test_policies_are_restricted_before_they_are_aggregated(spark, fx):
+    from checks.fixtures import CUTOFFS
+    from tallyloom.plans import status
+
+    few = spark.createDataFrame([("3",)], "dp_id string")
+    plan = status.dp_status(fx.partner, fx.policy, few, ordered=False, **CUTOFFS)._jdf.queryExecution().optimizedPlan().toString()
+    first_aggregate = plan.index("min(created_at")
+    assert "LeftSemi" in plan[first_aggregate:]
+
+
+def test_no_job_runs_while_enrichment_is_planned(spark, fx):
+    from checks import registry
+
+    spark.sparkContext.setJobGroup("planning", "planning")
+    registry.enriched(type(fx)(spark, fx.sf_dir))
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))

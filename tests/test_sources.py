@@ -84,8 +84,8 @@ def test_versioned_table_may_read_what_it_replaces(spark, tmp_path):
     table = storage.VersionedTable(spark, str(tmp_path / "v"), schemas.ROSTER)
     assert table.read().isEmpty()
     table.write(spark.createDataFrame([(1, "a@x.org", "old")], schemas.ROSTER))
-    table.write(table.read().unionByName(table.read()), batch_id=7)
-    assert (table.latest(), table.read().count(), table.has_batch(7), table.has_batch(8)) == (2, 2, True, False)
+    table.write(table.read().unionByName(table.read()), "s", 7)
+    assert (table.latest(), table.read().count(), table.has_batch("s", 7), table.has_batch("s", 8)) == (2, 2, True, False)
 
 
 def test_a_version_without_commit_is_not_read(spark, tmp_path):
