@@ -1075,7 +1075,7 @@ def _(fx):
     first, second = written_batches(fx)
     third = written_sales(fx).filter(F.col("row_seq") % 13 == 0).withColumn("dp_status", F.lit(labels.STATUS_INACTIVE))
     path = storage.fresh_path(fx.spark, "stream_collate")
-    master = storage.VersionedTable(fx.spark, f"{path}/master", schemas.MASTER)
+    master = storage.MonthlyTable(fx.spark, f"{path}/master", schemas.MASTER)
     for stream, deliveries in enumerate([(first, second), (third,)]):
         for rows in deliveries:
             rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in{stream}")

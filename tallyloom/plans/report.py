@@ -86,10 +86,10 @@ def run_report(spark: SparkSession, inputs: Inputs, out: str, options: Options =
     unique_path = storage.write_table(sales.enrich_unique(first_rows, statuses), f"{out}/enriched/unique")
     unique = spark.read.parquet(unique_path)
 
-    master = storage.VersionedTable(spark, f"{out}/master", MASTER)
-    master.write(
-        sales.collate_master(master.read(), health, inputs.roster, inputs.overrides, batch_seq=master.latest() + 1)
-    )
+    master = storage.MonthlyTable(spark, f"{out}/master", MASTER)
+    seq = master.last_seq() + 1
+    master.fold(health, lambda old, new: sales.collate_master(old, new, inputs.roster, inputs.overrides, batch_seq=seq))
+    storage.write_table(sales.collation_quality(master.read(), health), f"{out}/collation_counts")
     storage.write_table(sales.numbered_master(master.read()), f"{out}/master_report")
 
     day_supply, day_pool = supplies.filter(on_day), pools.filter(on_day)

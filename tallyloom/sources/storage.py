@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -135,3 +136,72 @@ class VersionedTable:
         )
         commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
         return version
+
+
+class MonthlyTable:
+    """An accumulating table in one folder per month of a date; a fold rewrites the months it touches.
+
+    Each version is a list of month folders, one row per month, committed as a folder that must
+    not exist yet. Folders of months that a fold does not touch are named again by the next
+    version, not copied, so the work of a daily batch does not grow with the table. A commit
+    also holds the stream and batch it came from and the last number given to a delivery.
+    """
+
+    _COMMIT = table(month=STRING, folder=STRING, stream_id=STRING, batch_id=BIGINT, last_seq=BIGINT)
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, date: str = "sale_date"):
+        self.spark, self.path, self.schema = spark, path, schema
+        self._month = F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none"))
+
+    def _commits(self) -> DataFrame:
+        fields = [*self._COMMIT.fields, T.StructField("version", T.LongType())]
+        return load_or_empty(self.spark, f"{self.path}/commits", T.StructType(fields))
+
+    def latest(self) -> int:
+        return self._commits().agg(F.max("version")).first()[0] or 0
+
+    def last_seq(self) -> int:
+        return self._commits().agg(F.max("last_seq")).first()[0] or 0
+
+    def has_batch(self, stream_id: str, batch_id: int) -> bool:
+        return not self._commits().filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).isEmpty()
+
+    def _folders(self) -> dict[str, str]:
+        """Folder of every month of the newest version."""
+        newest = self._commits().filter((F.col("version") == self.latest()) & F.col("month").isNotNull())
+        return {r["month"]: r["folder"] for r in newest.collect()}
+
+    def _read(self, folders: dict[str, str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/data/{folder}/month={month}" for month, folder in folders.items()]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def read(self, months: set[str] | None = None) -> DataFrame:
+        """The newest version, or only some months (``yyyy-MM``) of it."""
+        folders = self._folders()
+        return self._read({m: f for m, f in folders.items() if months is None or m in months})
+
+    def fold(
+        self,
+        batch: DataFrame,
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+        stream_id: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
+        """Commit ``merge(rows of the months that the batch touches, batch)`` for those months.
+
+        ``merge`` must leave every month of the batch some row, and touch no other month.
+        """
+        version, folders, folder = self.latest() + 1, self._folders(), uuid.uuid4().hex
+        touched = {r["month"] for r in batch.select(self._month.alias("month")).distinct().collect()}  # a calendar
+        known = {m: f for m, f in folders.items() if m in touched}
+        merged = merge(self._read(known), batch).select(*self.schema.names, self._month.alias("month"))
+        merged.write.partitionBy("month").parquet(f"{self.path}/data/{folder}")
+        last = self.last_seq()
+        if touched:
+            last = max(last, self._read(dict.fromkeys(touched, folder)).agg(F.max("batch_seq")).first()[0] or 0)
+        rows = [(m, f, stream_id, batch_id, last) for m, f in {**folders, **dict.fromkeys(touched, folder)}.items()]
+        commit = self.spark.createDataFrame(rows or [(None, None, stream_id, batch_id, last)], self._COMMIT).coalesce(1)
+        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
+        return version

@@ -4,7 +4,7 @@ A folder of daily batches is read as a file stream, and every micro-batch is fol
 the master exactly once: a commit names the stream and the number of its batch, and a batch
 delivered again after a failure is recognised by them. Each file is a delivery; the file
 written later wins, whichever trigger it falls into. No watermark is used, since a sale may
-be re-delivered at any later time and is compared with the whole master.
+be re-delivered at any later time and is compared with all sales of its month.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.sales import collate_master
 from ..sources.schemas import SALES_ENRICHED
-from ..sources.storage import VersionedTable
+from ..sources.storage import MonthlyTable
 
 _DELIVERY = ["delivered_at", "delivery"]
 
@@ -38,21 +38,22 @@ def in_delivery_order(batch: DataFrame, base: int) -> DataFrame:
 
 
 def fold_batch(
-    master: VersionedTable, batch: DataFrame, batch_id: int, roster: DataFrame, overrides: DataFrame, stream_id: str
+    master: MonthlyTable, batch: DataFrame, batch_id: int, roster: DataFrame, overrides: DataFrame, stream_id: str
 ) -> bool:
     """Fold one batch into the master unless that has been done; True if it was done now."""
     if master.has_batch(stream_id, batch_id):
         return False
-    before = master.read()
-    base = before.agg(F.coalesce(F.max("batch_seq"), F.lit(0))).first()[0]
-    collated = collate_master(before, in_delivery_order(batch, base), roster, overrides, batch_seq=F.col("batch_seq"))
-    master.write(collated, stream_id, batch_id)
+
+    def merge(known: DataFrame, rows: DataFrame) -> DataFrame:
+        return collate_master(known, rows, roster, overrides, batch_seq=F.col("batch_seq"))
+
+    master.fold(in_delivery_order(batch, master.last_seq()), merge, stream_id, batch_id)
     return True
 
 
 def collate_stream(
     batches: DataFrame,
-    master: VersionedTable,
+    master: MonthlyTable,
     roster: DataFrame,
     overrides: DataFrame,
     checkpoint: str,

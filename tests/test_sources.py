@@ -117,7 +117,7 @@ def test_messages(spark):
 def test_stream_folds_every_batch_once(spark, fx, tmp_path):
     first, second = registry.two_batches(fx)
     columns = schemas.SALES_ENRICHED.names
-    folder, master = str(tmp_path / "in"), storage.VersionedTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    folder, master = str(tmp_path / "in"), storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
 
     def arrive(df):
         df.select(*columns).coalesce(1).write.mode("append").parquet(folder)
@@ -153,7 +153,7 @@ def test_the_later_delivery_wins_inside_a_trigger(spark, fx, tmp_path, files_per
     folder = str(tmp_path / "in")
     for rows in (_sale(5), _sale(1, status="Already Active")):
         _sales(spark, rows).coalesce(1).write.mode("append").parquet(folder)
-    master = storage.VersionedTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    master = storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
     stream = read_batches(spark, folder, files_per_batch)
     collate_stream(stream, master, fx.roster, fx.override, str(tmp_path / "cp")).awaitTermination()
     (row,) = master.read().collect()
@@ -161,7 +161,7 @@ def test_the_later_delivery_wins_inside_a_trigger(spark, fx, tmp_path, files_per
 
 
 def test_a_stream_with_a_new_checkpoint_loses_no_sale(spark, fx, tmp_path):
-    master = storage.VersionedTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    master = storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
     for at in (1, 2):
         _sales(spark, _sale(at, day=f"2024-05-0{at}")).write.parquet(str(tmp_path / f"in{at}"))
         stream = read_batches(spark, str(tmp_path / f"in{at}"))
@@ -194,3 +194,31 @@ def test_whole_run(spark, fx, tmp_path):
     trend = storage.VersionedTable(spark, f"{out}/trend", schemas.TREND)
     (row,) = trend.read().collect()
     assert row["data_date"].isoformat() == newest and row["act_denominator"] > 0
+
+
+def test_a_fold_leaves_the_files_of_other_months_alone(spark, fx, tmp_path):
+    master = storage.MonthlyTable(spark, str(tmp_path / "m"), schemas.MASTER)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "m" / "data").rglob("part-*.parquet")}
+
+    def merge(seq):
+        return lambda old, new: collate_master(old, new, fx.roster, fx.override, batch_seq=seq)
+
+    master.fold(_sales(spark, _sale(1), _sale(2, day="2024-06-01"), (3, None, "x", "8", "1", "Inactive")), merge(1))
+    before = files()
+    master.fold(_sales(spark, _sale(4, status="Already Active")), merge(2))
+    after = files()
+    assert before.items() <= after.items() and len(after) > len(before)
+    assert {(r["row_seq"], r["dp_status"]) for r in master.read().collect()} == {(4, "Already Active"), (2, "Inactive"), (3, "Inactive")}
+    assert master.read({"2024-06"}).count() == 1 and (master.latest(), master.last_seq()) == (2, 2)
+
+
+def test_empty_snapshots_replace_older_ones(spark, tmp_path):
+    from tallyloom.plans.report import _snapshot
+
+    rows = spark.createDataFrame([("a@x.org", "old", 3)], schemas.FAV_POOL)
+    path = str(tmp_path / "pool")
+    assert _snapshot(spark, rows.limit(0), path, "2024-05-31").count() == 0
+    assert _snapshot(spark, rows, path, "2024-05-31").count() == 1
+    assert _snapshot(spark, rows.limit(0), path, "2024-05-31").count() == 0
