@@ -257,19 +257,19 @@ def plain_tree(texts, depth):
     return counts, total, own
 
 
-def test_tree_is_that_of_the_recursion(spark, monkeypatch):
-    monkeypatch.setattr(context_tree, "DEPTH", 2)
+def test_tree_is_that_of_the_recursion(spark):
+    deep = context_tree.DEPTH
     texts = ["abab", "abba", "aab"]
     rows = list(zip([i for i in range(30) if zlib.crc32(str(i).encode()) % 7 != 2], texts))
     found = {r["doc_id"]: r["score"] for r in context_tree.scored(documents(spark, rows)).collect()}
-    counts, total, own = plain_tree([t.encode() for t in texts], 2)
+    counts, total, own = plain_tree([t.encode() for t in texts], deep)
     for doc_id, text in rows:
-        data, score = b"\xff\xff" + text.encode() + b"\xff", 0.0
-        for i in range(2, len(data)):
+        data, score = b"\xff" * deep + text.encode() + b"\xff", 0.0
+        for i in range(deep, len(data)):
             for b in range(8):
                 decision, one = (1 << b) | (data[i] >> (8 - b)), data[i] >> (7 - b) & 1
                 said = None
-                for d in (2, 1, 0):
+                for d in range(deep, -1, -1):
                     context = data[i - d : i]
                     n = counts[context, decision]
                     p1 = (n[1] + 0.5) / (sum(n) + 1)
