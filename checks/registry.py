@@ -1098,6 +1098,15 @@ def _(fx):
     return joins.enrich_status(raw, status_of(fx)).select("row_seq", "dp_status")
 
 
+@query("enrich_fallback", "SELECT row_seq, dp_status FROM sales_enriched")
+def _(fx):
+    """No status snapshot of the data date: the newest one serves, not the older one of other statuses."""
+    newest = status_of(fx).withColumn("snapshot_date", F.lit("1998-06-10").cast("date"))
+    older = newest.withColumn("snapshot_date", F.lit("1998-05-31").cast("date")).withColumn("client_status", F.lit(labels.STATUS_INACTIVE))
+    chosen = batches.snapshot_or_latest(older.unionByName(newest), REPORT_DATE)
+    return sales.enrich_sales(cleaned(fx), chosen).select("row_seq", "dp_status")
+
+
 @query("roster_duplicates", "SELECT row_seq, team FROM daily_all")
 def _(fx):
     """Roster and overrides listed twice: the later entry of an e-mail counts, and no sale is multiplied."""
