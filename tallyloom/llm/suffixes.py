@@ -184,13 +184,14 @@ def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     keyed = _keyed(docs).select("id", "mark", "text")
     found = map_batches(keyed, lambda batch: _anchor_rows(batch, span), _ANCHORS)
     found = stored(found, "anchors")
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # Counts are stored before they are joined, so that Spark can split a common gram in the join.
+    twice = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     found = stored(found.join(twice, "gram", "left_semi"), "anchors")
     first = F.min(F.struct("id", "mark", "lo", "hi", "place")).alias("first")
     contexts = stored(found.groupBy("gram", "context").agg(F.count("*").alias("n"), first), "contexts")
     copies = contexts.filter("n > 1").select("gram", "context")
     whole = found.join(copies, ["gram", "context"], "left_semi").select("id", "mark", F.col("lo").alias("start"), (F.col("hi") + span).alias("end"))
-    mixed = contexts.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1")
+    mixed = stored(contexts.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "mixed")
     border = contexts.join(mixed, "gram").select("first.*", "gram", "n", (F.col("m") > GROUP).alias("hot"))
     wanted = border.groupBy(*_KEY).agg(F.collect_list(F.struct("place", "lo", "hi", "gram", "n", "hot")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"id": "wanted_id", "mark": "wanted_mark"})
@@ -202,7 +203,7 @@ def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     sorted_ = sorted_.repartitionByRange("lead", "gram").sortWithinPartitions("lead", "gram").drop("lead")
     by_sort = sorted_.mapInArrow(lambda batches: _sort_bucket(batches, span), spark_schema(_SPANS))
     counted = suffixes.filter("digest is not null")
-    again = counted.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
+    again = stored(counted.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "again")
     by_count = counted.filter("alone").join(again, "digest", "left_semi").select("id", "mark", F.col("lo").alias("start"), (F.col("lo") + span).alias("end"))
     return whole.unionByName(by_sort).unionByName(by_count)
 
