@@ -241,7 +241,8 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 3, radius: int = 3) -> Da
     marked = stored(fingerprints(keyed, "row_id", words_per_shingle), "fingerprints")
     roots = classes(marked.select("fp").distinct(), radius)
     known = marked.join(keyed.select("row_id", "doc_id"), "row_id").join(roots, "fp", "left")
+    known = stored(known.select("row_id", "doc_id", F.coalesce("root", "fp").alias("root")), "known")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
-    first = known.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(order).alias("first"))
-    out = known.select(F.coalesce("root", "fp").alias("root"), "row_id").join(first, "root").filter("row_id <> first.row_id").select("row_id")
+    first = stored(known.groupBy("root").agg(F.min(order).alias("first")), "first")  # so that Spark can split a large component
+    out = known.join(first, "root").filter("row_id <> first.row_id").select("row_id")
     return rows.join(out, "row_id", "left_anti").select("doc.*")
