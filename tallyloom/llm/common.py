@@ -26,13 +26,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task holds as Python objects at once.
+ROWS = 2048
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema) -> DataFrame:
-    """One output batch for each Arrow batch; `make` gives its columns by name."""
+    """An output batch for every ROWS rows of an Arrow batch; `make` gives its columns by name."""
+    rows = ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = make(batch) if batch.num_rows else None
-            if columns is not None:
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows):
+                columns = make(whole.slice(start, rows))
+                if columns is None:
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
     return df.mapInArrow(run, spark_schema(schema))
