@@ -7,8 +7,10 @@ children's, from the deepest nodes up, so all depths are mixed. A text is scored
 they are: at each node the estimate and what the child says are averaged by their weights, and a
 context that training never met gives way to the next shorter one.
 
-The counts come from all training texts, by two aggregations. The base score adds a word unigram:
-the commonest words are looked up in the task, all others by a join.
+The counts come from all training texts, by two aggregations. The commonest nodes are looked up in
+the task; what a text's other grams need of the tree is found by a join, so every text is scored at
+DEPTH whatever the size of the tree. The base score adds a word unigram: the commonest words are
+looked up in the task, all others by a join.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import spark_schema, stored
 
 DEPTH = 4
-#: Nodes of a tree that is sent to the executors. A deeper level that would exceed them is left out;
-#: two levels never have more (255 decisions in 1 + 256 + 65,536 contexts).
+#: Nodes that are looked up in the task, the commonest; the others are joined. Two levels never have
+#: more (255 decisions in 1 + 256 + 65,536 contexts).
 MOST_NODES = 255 * (1 + 256 + 65_536)
 #: Words looked up in the task; the others are joined.
 COMMON_WORDS = 50_000
@@ -114,7 +116,7 @@ def _estimate():
 
 
 def tree(counts: DataFrame) -> DataFrame:
-    """(depth, key, p1, beta) of all nodes. counts: (gram, n). key: context in the high bits, decision in the low 8.
+    """(depth, key, n, p1, beta) of all nodes. counts: (gram, n). key: context in the high bits, decision in the low 8.
 
     p1 is the node's own probability of a one; beta the weight of that against what its child says.
     """
@@ -141,7 +143,8 @@ def tree(counts: DataFrame) -> DataFrame:
         beta = F.exp(F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.col("own") - F.col("below"))))
         p1 = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
         key = F.shiftleft("context", 8) + F.col("decision")
-        levels.append(level.select(F.lit(depth).alias("depth"), key.alias("key"), p1.cast("float").alias("p1"), beta.cast("float").alias("beta")))
+        n = F.col("n0") + F.col("n1")
+        levels.append(level.select(F.lit(depth).alias("depth"), key.alias("key"), n.alias("n"), p1.cast("float").alias("p1"), beta.cast("float").alias("beta")))
     nodes = levels[0]
     for more in levels[1:]:
         nodes = nodes.unionByName(more)
@@ -149,23 +152,35 @@ def tree(counts: DataFrame) -> DataFrame:
 
 
 class ContextTree:
-    """The nodes as sorted arrays by depth, and a table of the grams met last."""
+    """Nodes as sorted arrays by depth, and a table of the grams met last.
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.levels = levels
+    The nodes are all of the tree (complete), or those with at least `least` counts. A node's
+    ancestors have no fewer counts than itself, so what is held of a path is always its upper part.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], least: int = 0):
+        self.levels, self.least = levels, least
         self.keys = self.values = None
 
+    @property
+    def complete(self) -> bool:
+        return self.least == 0
+
+    def _path(self, context: np.ndarray, decision: np.ndarray) -> list[tuple]:
+        """(held, p1, beta) of the nodes from depth 0 on."""
+        path = []
+        for depth, (keys, p1, beta) in enumerate(self.levels):
+            key = ((context & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8)) + decision
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            path.append((keys[at] == key, p1[at], beta[at]) if len(keys) else (np.zeros(len(key), bool), 0.5, 1.0))
+        return path
+
     def _lookup(self, gram: np.ndarray) -> np.ndarray:
-        """Logarithm (base 10) of the probability of the low byte after the bytes above it."""
+        """Logarithm (base 10) of the probability of the low byte after the bytes above it; nan if more nodes may count."""
         total = np.zeros(len(gram))
         byte, context = gram & np.uint64(255), gram >> np.uint64(8)
         for i in range(8):
-            decision = np.uint64(1 << i) + (byte >> np.uint64(8 - i))
-            path = []
-            for depth, (keys, p1, beta) in enumerate(self.levels):
-                key = ((context & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8)) + decision
-                at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-                path.append((keys[at] == key, p1[at], beta[at]) if len(keys) else (np.zeros(len(key), bool), 0.5, 1.0))
+            path = self._path(context, np.uint64(1 << i) + (byte >> np.uint64(8 - i)))
             said = np.full(len(gram), 0.5)
             below = np.zeros(len(gram), bool)
             for here, p1, beta in reversed(path):
@@ -174,10 +189,32 @@ class ContextTree:
                 below |= here
             one = (byte >> np.uint64(7 - i)) & np.uint64(1)
             total += np.log10(np.where(one == 1, said, 1 - said))
+            if not self.complete:
+                total[~path[-1][0]] = np.nan
         return total
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def parts(self, gram: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(decision, bit, depth, alone, add, times) of each of the eight decisions.
+
+        depth is that of the deepest node held, -1 if none. The probability of a one is `alone`
+        if the tree has no deeper node, else add + times * what the deeper nodes say.
+        """
+        byte, context = gram & np.uint64(255), gram >> np.uint64(8)
+        for i in range(8):
+            decision = np.uint64(1 << i) + (byte >> np.uint64(8 - i))
+            depth = np.full(len(gram), -1, np.int32)
+            alone, add, times = np.full(len(gram), 0.5), np.zeros(len(gram)), np.ones(len(gram))
+            for d, (here, p1, beta) in enumerate(self._path(context, decision)):
+                alone = np.where(here, add + times * p1, alone)
+                add = np.where(here, add + times * beta * p1 / (beta + 1.0), add)
+                times = np.where(here, times / (beta + 1.0), times)
+                depth[here] = d
+            yield decision, (byte >> np.uint64(7 - i)) & np.uint64(1), depth, alone, add, times
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Sums over the grams that the nodes held decide, and (gram, text, times) of the others, chunk by chunk."""
         out = np.zeros(len(texts))
+        others = []
         if self.keys is None:
             self.keys, self.values = np.zeros(1 << _MEMO, np.uint64), np.zeros(1 << _MEMO)
             self.values[0] = self._lookup(np.zeros(1, np.uint64))[0]  # the gram that empty places hold
@@ -192,29 +229,80 @@ class ContextTree:
                 place = (new * _HASH) >> np.uint64(64 - _MEMO)
                 place, last = np.unique(place, return_index=True)
                 self.keys[place], self.values[place] = new[last], found[last]
+            if not self.complete and len(open_ := np.flatnonzero(np.isnan(value))):
+                value[open_] = 0
+                pairs, n = np.unique((gram[open_] << np.uint64(24)) | text[open_].astype(np.uint64), return_counts=True)  # a gram has 40 bits
+                others.append((pairs >> np.uint64(24), (pairs & np.uint64((1 << 24) - 1)).astype(np.int64), n))
             out += np.bincount(text, weights=value, minlength=len(texts))
-        return out
+        return out, others
 
 
 def load(nodes: DataFrame) -> ContextTree:
-    """The tree on the driver, level by level, as deep as MOST_NODES allows."""
-    sizes = {r["depth"]: r["count"] for r in nodes.groupBy("depth").count().collect()}
-    levels, total = [], 0
-    for depth in range(DEPTH + 1):
-        total += sizes.get(depth, 0)
+    """The commonest nodes on the driver: all, or those with a power of two of counts at least, MOST_NODES at most."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r["power"]: r["count"] for r in nodes.groupBy(power.alias("power")).count().collect()}
+    total, least = 0, 1 << 62
+    for power in sorted(sizes, reverse=True):
+        total += sizes[power]
         if total > MOST_NODES:
             break
-        rows = nodes.filter(F.col("depth") == depth).select("key", "p1", "beta").toArrow()
+        least = 1 << power
+    else:
+        least = 0
+    levels = []
+    for depth in range(DEPTH + 1):
+        rows = nodes.filter((F.col("depth") == depth) & (F.col("n") >= least)).select("key", "p1", "beta").toArrow()
         keys = rows["key"].to_numpy().astype(np.uint64)
         order = np.argsort(keys)
         beta = rows["beta"].to_numpy(zero_copy_only=False)
         levels.append((keys[order], rows["p1"].to_numpy()[order].astype(np.float32), np.nan_to_num(beta[order], nan=1.0).astype(np.float32)))
-    return ContextTree(levels)
+    return ContextTree(levels, least)
+
+
+_PARTS = pa.schema(
+    [
+        ("gram", pa.int64()),
+        ("decision", pa.int64()),
+        ("bit", pa.int32()),
+        ("depth", pa.int32()),
+        ("alone", pa.float64()),
+        ("add", pa.float64()),
+        ("times", pa.float64()),
+    ]
+)
+
+
+def joined(grams: DataFrame, nodes: DataFrame, shared) -> DataFrame:
+    """(gram, value): scores of distinct grams at full depth. shared: broadcast of a tree that holds the common nodes, first.
+
+    A gram asks only for the nodes below those held, so no node with many counts is joined.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gram = batch[0].to_numpy().astype(np.uint64)
+            for part in shared.value[0].parts(gram):
+                yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip((gram, *part), _PARTS)], schema=_PARTS)
+
+    parts = stored(grams.mapInArrow(split, spark_schema(_PARTS)), "parts")
+    deeper = parts.filter(F.col("depth") < DEPTH).select("gram", "decision", F.explode(F.sequence(F.col("depth") + 1, F.lit(DEPTH))).alias("depth"))
+    masks = F.array(*[F.lit((1 << 8 * d) - 1).cast("long") for d in range(DEPTH + 1)])
+    key = F.shiftleft(F.shiftright("gram", 8).bitwiseAND(F.get(masks, F.col("depth"))), 8) + F.col("decision")
+    deeper = stored(deeper.withColumn("key", key), "deeper")
+    met = deeper.join(nodes.select("depth", "key", "p1", "beta"), ["depth", "key"])
+    met = met.groupBy("gram", "decision").agg(F.sort_array(F.collect_list(F.struct("depth", "p1", "beta")), asc=False).alias("met"))  # DEPTH + 1 at most
+    p1 = lambda x: x["p1"].cast("double")
+    mixed = lambda said, x: F.when(said.isNull(), p1(x)).otherwise((x["beta"] * p1(x) + said) / (x["beta"] + 1))
+    said = F.aggregate("met", F.lit(None).cast("double"), mixed)
+    parts = parts.join(met.select("gram", "decision", said.alias("said")), ["gram", "decision"], "left")
+    one = F.when(F.col("said").isNull(), F.col("alone")).otherwise(F.col("add") + F.col("times") * F.col("said"))
+    return parts.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, one).otherwise(1 - one))).alias("value"))
 
 
 _SCORED = pa.schema(
     [
         ("word", pa.binary()),
+        ("gram", pa.int64()),
         ("rows", pa.list_(pa.int64())),
         ("times", pa.list_(pa.int32())),
         ("row_id", pa.int64()),
@@ -242,7 +330,8 @@ def scored(docs: DataFrame) -> DataFrame:
     words = stored(counted.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "words")
     known = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     common = {bytes(r["word"]): r["n"] for r in words.orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()}
-    model = load(tree(counted.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))))
+    nodes = tree(counted.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")))
+    model = load(nodes)
     shared = spark.sparkContext.broadcast((model, {word: math.log10(n + 1) for word, n in common.items()}))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,11 +360,21 @@ def scored(docs: DataFrame) -> DataFrame:
                     rows[name].append(value)
             m, k = len(data), len(rare)
             columns = {"word": [None] * m + list(rare), "rows": [None] * m + [e[0] for e in rare.values()], "times": [None] * m + [e[1] for e in rare.values()]}
-            values = {"row_id": batch[0], "doc_id": batch[1], **rows, "score": own.scores(data), "n_bytes": [len(d) for d in data]}
+            columns["gram"] = pa.nulls(m + k, pa.int64())
+            score, others = own.scores(data)
+            values = {"row_id": batch[0], "doc_id": batch[1], **rows, "score": score, "n_bytes": [len(d) for d in data]}
             for name, value in values.items():
                 kind = _SCORED.field(name).type
                 columns[name] = pa.concat_arrays([pa.array(value, kind) if not isinstance(value, pa.Array) else value.cast(kind), pa.nulls(k, kind)])
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if isinstance(columns[f.name], list) else columns[f.name] for f in _SCORED], schema=_SCORED)
+            row_ids = batch[0].to_numpy()
+            for gram, text, n in others:
+                first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+                ends = pa.array(np.append(first, len(gram)), pa.int32())
+                columns = {"gram": pa.array(gram[first].astype(np.int64))}
+                columns["rows"] = pa.ListArray.from_arrays(ends, pa.array(row_ids[text], pa.int64()))
+                columns["times"] = pa.ListArray.from_arrays(ends, pa.array(n, pa.int32()))
+                yield pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(len(first), f.type) for f in _SCORED], schema=_SCORED)
 
     numbered = texts.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
     both = stored(numbered.mapInArrow(score, spark_schema(_SCORED)), "scored")
@@ -285,6 +384,11 @@ def scored(docs: DataFrame) -> DataFrame:
         F.sum("p.times").alias("more_known"), F.sum(F.col("p.times") * F.col("log")).alias("more_logs")
     )
     rows = both.filter("row_id is not null").join(rare, F.col("row_id") == F.col("rare_row"), "left")
+    if not model.complete:
+        others = both.filter("gram is not null").select("gram", "rows", "times")
+        values = stored(joined(others.select("gram").distinct(), nodes, shared), "values")
+        others = others.join(values, "gram").select(pair, "value").groupBy(F.col("p.rows").alias("other_row")).agg(F.sum(F.col("p.times") * F.col("value")).alias("more_score"))
+        rows = rows.join(others, F.col("row_id") == F.col("other_row"), "left").withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     bits = -F.col("score") / math.log10(2) / F.greatest(F.col("n_bytes"), F.lit(1))
     return rows.select(

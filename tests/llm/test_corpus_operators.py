@@ -283,6 +283,17 @@ def test_tree_is_that_of_the_recursion(spark):
         assert found[doc_id] == pytest.approx(score, rel=1e-4)
 
 
+@pytest.mark.parametrize("most", [0, 300, 3000])
+def test_scores_do_not_depend_on_the_nodes_held(spark, monkeypatch, most):
+    rows = TEXTS + [(50 + i, words(40, 200 + i).title()) for i in range(30)] + [(200 + i, f"çà {i} never met 漢{i}") for i in range(20)]
+    ids = lambda df: sorted((str(r["doc_id"]), r["score"]) for r in df.collect())
+    whole = ids(context_tree.scored(documents(spark, rows)))
+    monkeypatch.setattr(context_tree, "MOST_NODES", most)
+    again = ids(context_tree.scored(documents(spark, rows)))
+    assert [i for i, _ in again] == [i for i, _ in whole]
+    assert [s for _, s in again] == pytest.approx([s for _, s in whole], rel=1e-5)
+
+
 # --- secrets -----------------------------------------------------------------------------------------
 def secret_rows(n=60):
     digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
