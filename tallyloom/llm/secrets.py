@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives; DataFrame and SQL functions only.
 
-Candidates are words that hold a run of at least twelve letters and digits, a digit among them.
-Each is described by its length, its character classes and their transitions, how much of it the
+Candidates are all runs of at least twelve letters and digits, a digit among them, wherever they stand
+in a word, and values of any kind that a credential word announces and assigns. Each is described by its length, its character classes and their transitions, how much of it the
 corpus's own vocabulary covers, its path and its neighbouring words. A random forest trained on
 labelled findings decides which candidates are secrets. Labels come from a table, or, without one,
 from findings that formats and wording leave no doubt about; the forest decides about all others too.
@@ -23,12 +23,24 @@ LABELLED_FINDINGS = 20_000
 VOCABULARY_DOCS = 5
 
 # Prefixes of credential formats, and words that announce a credential.
-FORMATS = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|AIza[A-Za-z0-9_-]{35}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{20,})$"
-ANNOUNCED = r"(?i)passw|pwd|secret|token|api_?key|access_?key|private_?key|auth|credential|bearer"
+FORMATS = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|AIza[A-Za-z0-9_-]{35}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+)+)(?:\..*)?$"
+_NAMES = r"passw|pwd|secret|token|api_?key|access_?key|private_?key|auth(?!or)|credential|bearer"
+ANNOUNCED = rf"(?i){_NAMES}"
 
 _BLANK = r"[\x20\x09-\x0D]+"
-_RUN = r"[A-Za-z0-9+/_-]{12,}={0,2}"
-_VALUE = r"([A-Za-z0-9+/_-]{12,}={0,2})[^A-Za-z0-9+/_=-]*$"
+_RUN = r"[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![\"'`]?[A-Za-z0-9+/_=$-]))?"
+_PARTS = r"eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){1,4}|[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{20,}"
+_KEY = rf"(?i:{_NAMES})[\w.-]{{0,40}}[\"'`\]]{{0,2}}"  # a credential word to its end
+_SIGN = r"[=:]{1,3}>?[\"'`(\[{]{0,2}"
+_ANY = r"[^\s\"'`,;&<>(){}\[\]\\|]+(?<![.:])"
+_TOLD = rf"(?<={_KEY}{_SIGN}){_ANY}"
+_USER = r"(?<=://[^\s:/@\"'`]{0,64}:)[^\s/@\"'`]+(?=@)"  # the password of an address
+_FIRST = rf"(?<=^[\"'`(\[{{]{{0,3}}){_ANY}"
+# (text since the value before)(value), and eight characters after it. \\G: no second look at a tail without values.
+_VALUES = rf"(?s)\G(.*?)({_USER}|{_TOLD}|{_PARTS}|{_RUN})(?=(.{{0,8}}))"
+_VALUES_TOLD = rf"(?s)\G(.*?)({_FIRST}|{_USER}|{_TOLD}|{_PARTS}|{_RUN})(?=(.{{0,8}}))"
+#: Characters kept of the text before a value.
+_NEAR = 200
 FEATURES = [
     "length", "digits", "upper", "lower", "others", "hex", "transitions", "runs", "coverage",
     "in_path", "path_test", "at_sign", "dotted", "announced", "announced_before", "assigned", "quoted", "format", "numeric",
@@ -36,23 +48,60 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, place, value, word, before, earlier, after, path): candidate words of every text, in place order."""
+    """(doc_id, mark, place, value, key, tail, before, earlier, own, user, path): candidates of every text.
+
+    place is that of the word, which may hold several. key: the text before the value that belongs
+    to it; tail: some characters after it; before, earlier: the words before, where the key is bare
+    of letters. own: announced and assigned; user: the password of an address.
+    """
     text = F.col("text").cast("string")
     path = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark"), path.alias("path"), text.alias("text"))
-    rows = rows.filter(F.col("text").rlike(r"(?=[A-Za-z+/_-]{0,64}[0-9])" + _RUN))
+    holds = F.col("text").rlike(r"(?=[A-Za-z+/_-]{0,64}[0-9])" + _RUN) | F.col("text").rlike(_PARTS) | F.col("text").rlike("(?:" + _USER + ")")
+    rows = rows.filter(holds | F.col("text").rlike(_KEY + r"\s*[=:]") | F.col("text").rlike(r"(?i)\bbearer\s"))
     words = F.split("text", _BLANK)
     rows = rows.select("doc_id", "mark", "path", words.alias("words"))
 
     def around(word, place):
-        near = lambda step: F.get(F.col("words"), place + step)
-        return F.struct(place.alias("place"), word.alias("word"), near(-1).alias("before"), near(-2).alias("earlier"), near(1).alias("after"))
-
-    found = F.filter(F.transform("words", around), lambda w: w["word"].rlike(_RUN) & w["word"].rlike("[0-9]"))
-    rows = rows.select("doc_id", "mark", "path", F.explode(found).alias("w")).select("doc_id", "mark", "path", "w.*")
-    value = F.regexp_extract("word", _VALUE, 1)
-    rows = rows.withColumn("value", F.when(value != "", value).otherwise(F.regexp_extract("word", _RUN, 0)))
-    return rows.filter(F.col("value").rlike("[0-9]"))
+        near = lambda step: F.right(F.get(F.col("words"), place + step), F.lit(_NEAR))
+        return F.struct(place.alias("place"), word.alias("word"), near(-1).alias("before"), near(-2).alias("earlier"))
+
+    def told(w):
+        """The word before it announces and assigns the first value of a word."""
+        sign = w["before"].rlike(rf"^{_SIGN}$|^->$") & w["earlier"].rlike(_KEY + "$")
+        return F.coalesce(w["before"].rlike(rf"{_KEY}{_SIGN}$") | w["before"].rlike(r"(?i)(?:^|[\"'`=:])bearer$") | sign, F.lit(False))
+
+    def worth(w):
+        word = w["word"]
+        return (word.rlike("[0-9]") & word.rlike(_RUN)) | word.rlike(_PARTS) | word.rlike(_TOLD) | word.rlike(_USER) | told(w)
+
+    found = F.filter(F.transform("words", around), worth)
+    rows = rows.select("doc_id", "mark", "path", F.explode(found).alias("w")).withColumn("told", told(F.col("w")))
+
+    def group(i: int):
+        both = [F.regexp_extract_all("w.word", F.lit(pattern), F.lit(i)) for pattern in (_VALUES_TOLD, _VALUES)]
+        return F.when(F.col("told"), both[0]).otherwise(both[1])
+
+    rows = rows.select("doc_id", "mark", "path", "told", "w.place", "w.before", "w.earlier", group(1).alias("leads"), group(2).alias("values"), group(3).alias("tails"))
+    # A key may itself be a run, so the text before a value goes back over three of them.
+    texts = F.transform(F.arrays_zip("leads", "values"), lambda p: F.right(F.concat(p["leads"], p["values"]), F.lit(_NEAR)))
+    rows = rows.withColumn("texts", texts)
+
+    def one(value, i):
+        earlier = F.array_join(F.slice("texts", F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), "")
+        context = F.right(F.concat(earlier, F.get(F.col("leads"), i)), F.lit(_NEAR))
+        return F.struct(value.alias("value"), i.alias("i"), context.alias("context"), F.get(F.col("tails"), i).alias("tail"))
+
+    rows = rows.select("doc_id", "mark", "path", "told", "place", "before", "earlier", F.explode(F.transform("values", one)).alias("v"))
+    rows = rows.select("doc_id", "mark", "path", "told", "place", "before", "earlier", "v.*")
+    key = F.regexp_extract("context", r"[^&,;{}?|\s]*$", 0)
+    user = F.col("context").rlike(r"://[^\s:/@\"'`]{0,64}:$") & F.startswith(F.col("tail"), F.lit("@"))
+    rows = rows.withColumn("key", key).withColumn("user", user)
+    bare = ~F.col("key").rlike("[A-Za-z0-9]") & (F.col("i") == 0)
+    own = F.col("key").rlike(rf"{_KEY}{_SIGN}$") | (F.col("told") & (F.col("i") == 0)) | F.col("user")
+    rows = rows.withColumn("own", own).withColumns({c: F.when(bare, F.col(c)) for c in ("before", "earlier")}).drop("told", "context", "i")
+    long = (F.length("value") >= 12) & F.col("value").rlike("[0-9]")
+    return rows.filter(long | F.col("own") | F.col("value").rlike(FORMATS))
 
 
 def vocabulary(docs: DataFrame, least: int = VOCABULARY_DOCS) -> DataFrame:
@@ -76,7 +125,7 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[0-9]", "0"), "[A-Z]", "A"), "[a-z]", "a")
     runs = F.length(F.regexp_replace(shape, r"(.)\1+", "$1"))
     flag = lambda condition: F.coalesce(condition, F.lit(False)).cast("double")
-    key = F.expr("substring_index(word, value, 1)")
+    key = F.col("key")
     signs = F.concat_ws(" ", key, F.col("before"))
     columns = {
         "length": size.cast("double"),
@@ -88,13 +137,13 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         "transitions": (runs - 1) / size,
         "runs": runs.cast("double"),
         "coverage": F.coalesce(F.col("covered"), F.lit(0)) / size,
-        "in_path": flag(F.col("word").rlike(r"://|\\|^/|/.*/")),
+        "in_path": flag(F.concat("key", "value").rlike(r"://|\\|^/|/.*/")),
         "path_test": flag(F.col("path").rlike(r"(?i)test|example|sample|fixture")),
-        "at_sign": flag(F.col("word").contains("@")),
-        "dotted": flag(F.col("word").rlike(r"\w\.\w")),
-        "announced": flag(key.rlike(ANNOUNCED)),
+        "at_sign": flag(F.concat("key", "value", "tail").contains("@")),
+        "dotted": flag(key.rlike(r"\w\.$") | F.col("tail").rlike(r"^\.\w")),
+        "announced": flag(key.rlike(ANNOUNCED) | F.col("own")),
         "announced_before": flag(F.concat_ws(" ", "before", "earlier").rlike(ANNOUNCED)),
-        "assigned": flag(signs.rlike("[=:]")),
+        "assigned": flag(signs.rlike("[=:]") | F.col("own")),
         "quoted": flag(key.rlike("[\"'`]")),
         "format": flag(F.col("value").rlike(FORMATS)),
         "numeric": flag(F.col("value").rlike("^[0-9-]+$")),
@@ -148,13 +197,19 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def without_secrets(docs: DataFrame, labelled: DataFrame | None = None, replacement: str = "[SECRET]") -> DataFrame:
     """`docs`, all columns, with every secret in `text` replaced; no row goes."""
     secret = findings(docs, labelled).filter("secret")
-    # One row for each document with a secret, longest values first.
+    # One row for each document with a secret, longest values first. Short ones go where something assigns them only.
     values = secret.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("size"), "value"))).alias("secrets"))
     values = values.select(F.col("doc_id").alias("secret_id"), F.col("mark").alias("secret_mark"), "secrets")
     held = docs.select(F.struct("*").alias("doc"))
     mark = F.xxhash64(F.coalesce(F.col("doc.text").cast("string"), F.lit("")))
     same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("secret_id")) & (mark == F.col("secret_mark"))
     joined = held.join(values, same, "left")
-    redacted = F.aggregate("secrets", F.col("doc.text"), lambda text, s: F.replace(text, s["value"], F.lit(replacement)))
+    plain = F.lit(replacement.replace("\\", "\\\\").replace("$", "\\$"))
+
+    def replaced(text, s):
+        quoted = F.concat(F.lit(r"(?<=(?:[=:>]|(?i:bearer))[\x20\x09-\x0D\"'`(\[{]{0,8})\Q"), s["value"], F.lit(r"\E(?![A-Za-z0-9])"))
+        return F.when(F.length(s["value"]) >= 12, F.replace(text, s["value"], F.lit(replacement))).otherwise(F.regexp_replace(text, quoted, plain))
+
+    redacted = F.aggregate("secrets", F.col("doc.text"), replaced)
     changed = F.when(F.col("secrets").isNull(), F.col("doc.text")).otherwise(redacted)
     return joined.select(*[(changed if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
