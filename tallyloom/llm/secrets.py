@@ -137,9 +137,9 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         "transitions": (runs - 1) / size,
         "runs": runs.cast("double"),
         "coverage": F.coalesce(F.col("covered"), F.lit(0)) / size,
-        "in_path": flag(F.concat("key", "value").rlike(r"://|\\|^/|/.*/")),
+        "in_path": flag(~F.col("user") & (F.concat(key, F.substring("value", 1, 2)).rlike(r"://|\\") | F.col("tail").rlike(r"^\.[A-Za-z]{1,5}(?![A-Za-z0-9])"))),
         "path_test": flag(F.col("path").rlike(r"(?i)test|example|sample|fixture")),
-        "at_sign": flag(F.concat("key", "value", "tail").contains("@")),
+        "at_sign": flag(~F.col("user") & (key.contains("@") | F.startswith(F.col("tail"), F.lit("@")))),
         "dotted": flag(key.rlike(r"\w\.$") | F.col("tail").rlike(r"^\.\w")),
         "announced": flag(key.rlike(ANNOUNCED) | F.col("own")),
         "announced_before": flag(F.concat_ws(" ", "before", "earlier").rlike(ANNOUNCED)),
@@ -152,10 +152,16 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def beyond_doubt():
-    """1 for a credential format or an announced, assigned value; 0 for numbers, addresses and paths; else null."""
+    """1 for a credential format or an announced, assigned value; 0 for numbers, addresses, paths and vocabulary; else null.
+
+    The signs of paths and addresses are around a value: slashes inside it say nothing. Where a
+    credential word announces what else looks harmless, the signs conflict: null, but 0 for plain vocabulary.
+    """
     told = (F.col("announced") + F.col("announced_before") > 0) & (F.col("assigned") == 1)
+    plain = (F.col("coverage") >= 0.8) & (F.col("digits") == 0)
     harmless = (F.col("numeric") == 1) | (F.col("at_sign") == 1) | (F.col("in_path") == 1) | (F.col("coverage") >= 0.8)
-    return F.when((F.col("format") == 1) | (told & ~harmless & (F.col("digits") > 0.1)), 1.0).when(harmless, 0.0)
+    certain = told & ~harmless & (F.col("digits") > 0.1) & (F.col("length") >= 8)
+    return F.when((F.col("format") == 1) | certain, 1.0).when(plain | (harmless & ~told), 0.0)
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20) -> DataFrame:

@@ -363,6 +363,24 @@ def test_short_secrets_are_replaced_where_they_are_assigned(spark):
     assert texts[70] == "the hunter2x9 said password=[SECRET] to all"
 
 
+def test_slashes_inside_a_value_are_no_path(spark):
+    told = [
+        "aws_secret_access_key = wJ4lrXUtn7EMI/K7MD3NG/bPx2fiCYEX1MPL3KEY",
+        "postgres://user:pa55w0rdABCDEF@db1/x",
+        "https://host.example/login?access_token=0123/456789/abcdef0123",
+        "aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        "token: 4652511922028856",
+        "https://host.example/0123456789abcdef",
+        "somebody_123456@host.example",
+    ]
+    docs = documents(spark, list(enumerate(told)))
+    rows = secrets.described(secrets.candidates(docs), secrets.vocabulary(docs)).withColumn("label", secrets.beyond_doubt())
+    labels = {r["doc_id"]: r["label"] for r in rows.collect()}
+    assert [labels[i] for i in range(len(told))] == [1, 1, 1, None, None, 0, 0]
+    found = secrets.findings(documents(spark, secret_rows() + [(100 + i, t) for i, t in enumerate(told[:4])])).collect()
+    assert {r["doc_id"] for r in found if r["secret"]} >= {100, 101, 102, 103}
+
+
 # --- the pipeline ------------------------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path):
     rows = TEXTS + [(i + 100, t) for i, t in secret_rows(20)]
