@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Labelled findings that the forest is trained on: more of them are thinned by a hash.
+#: Distinct labelled findings that the forest is trained on, about: more are thinned, each class by its own rate.
 LABELLED_FINDINGS = 20_000
 #: Documents in which a word occurs at least to count as vocabulary.
 VOCABULARY_DOCS = 5
@@ -164,6 +164,22 @@ def beyond_doubt():
     return F.when((F.col("format") == 1) | certain, 1.0).when(plain | (harmless & ~told), 0.0)
 
 
+def training(rows: DataFrame) -> DataFrame:
+    """(label, weight, features): the labelled findings among `rows`, each described value once, thinned.
+
+    A class under half of LABELLED_FINDINGS is kept whole; the other gets what is left. Weights
+    restore the proportion of the classes.
+    """
+    named = stored(rows.filter("label is not null").select("label", "value", *FEATURES).distinct(), "named")
+    counts = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}
+    half = LABELLED_FINDINGS // 2
+    few = min(counts.values(), default=0)
+    share = {label: min(1.0, max(half, LABELLED_FINDINGS - few) / n) if n > few else min(1.0, half / n) for label, n in counts.items()}
+    rate = F.when(F.col("label") == 1, share.get(1.0, 1.0)).otherwise(share.get(0.0, 1.0))
+    chosen = named.filter(F.pmod(F.xxhash64("value", *FEATURES), F.lit(1_000_000_000)) < rate * 1_000_000_000)
+    return stored(chosen.select("label", (1 / rate).alias("weight"), *FEATURES), "labelled")
+
+
 def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20) -> DataFrame:
     """One row per candidate: doc_id, mark, place (word from 0), value, probability, secret.
 
@@ -179,16 +195,14 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20
     else:
         named = labelled.filter("label is not null").groupBy("value").agg(F.max("label").cast("double").alias("label"))
         rows = rows.join(named, "value", "left")
-    counts = {r["label"]: r["count"] for r in rows.filter("label is not null").groupBy("label").count().collect()}
+    chosen = training(rows)
     out = ["doc_id", "mark", "place", "value", "probability", "secret"]
-    if len(counts) < 2:
+    if chosen.select("label").distinct().count() < 2:
         certain = F.coalesce("label", F.lit(0.0))
         return rows.select("doc_id", "mark", "place", "value", certain.alias("probability"), (certain == 1).alias("secret"))
-    share = min(1.0, LABELLED_FINDINGS / sum(counts.values()))
-    chosen = rows.filter("label is not null").filter(F.pmod(F.xxhash64("value", "place"), F.lit(1_000_000)) < share * 1_000_000)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=6, seed=7, cacheNodeIds=False)
-    model = forest.fit(vectors.transform(stored(chosen.select("label", *FEATURES), "labelled")))
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=6, seed=7, cacheNodeIds=False)
+    model = forest.fit(vectors.transform(chosen))
     judged = model.transform(vectors.transform(rows.drop("label")))
     judged = judged.withColumn("chance", vector_to_array("probability")[1]).drop("probability")
     return judged.withColumn("probability", F.col("chance")).withColumn("secret", F.col("chance") >= 0.5).select(*out)

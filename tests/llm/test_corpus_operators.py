@@ -381,6 +381,20 @@ def test_slashes_inside_a_value_are_no_path(spark):
     assert {r["doc_id"] for r in found if r["secret"]} >= {100, 101, 102, 103}
 
 
+def test_rare_secrets_train_the_forest(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "LABELLED_FINDINGS", 60)
+    rows = [(i, f"{words(4, i)} {4652511922020000 + i}") for i in range(1500)]
+    rows += [(2000 + i, "copy 9999511922028856") for i in range(600)]  # one described value
+    rows += [(3000 + i, t) for i, t in secret_rows(8) if i % 4 != 3]
+    docs = documents(spark, rows)
+    described = secrets.described(secrets.candidates(docs), secrets.vocabulary(docs)).withColumn("label", secrets.beyond_doubt())
+    chosen = [(r["label"], r["weight"]) for r in secrets.training(described).collect()]
+    assert sum(label == 1 for label, _ in chosen) == 6 and 20 < len(chosen) < 110
+    assert sum(w for label, w in chosen if label == 1) == 6 and 600 < sum(w for label, w in chosen if label == 0) < 3000
+    found = secrets.findings(docs).collect()
+    assert {r["doc_id"] for r in found if r["secret"]} == {3000 + i for i in range(8) if i % 4 != 3}
+
+
 # --- the pipeline ------------------------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path):
     rows = TEXTS + [(i + 100, t) for i, t in secret_rows(20)]
