@@ -9,6 +9,9 @@ from findings that formats and wording leave no doubt about; the forest decides
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -29,12 +32,16 @@ ANNOUNCED = rf"(?i){_NAMES}"
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _RUN = r"[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![\"'`]?[A-Za-z0-9+/_=$-]))?"
-_PARTS = r"eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){1,4}|[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{20,}"
+_PARTS = r"eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){1,4}|(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{20,}"
 _KEY = rf"(?i:{_NAMES})[\w.-]{{0,40}}[\"'`\]]{{0,2}}"  # a credential word to its end
 _SIGN = r"[=:]{1,3}>?[\"'`(\[{]{0,2}"
 _ANY = r"[^\s\"'`,;&<>(){}\[\]\\|]+(?<![.:])"
 _TOLD = rf"(?<={_KEY}{_SIGN}){_ANY}"
 _USER = r"(?<=://[^\s:/@\"'`]{0,64}:)[^\s/@\"'`]+(?=@)"  # the password of an address
+# The same read forward, which costs no look back at every character.
+_HAS_TOLD = rf"{_KEY}{_SIGN}[^\s]"
+_HAS_USER = r"://[^\s:/@\"'`]{0,64}:[^\s/@\"'`]+@"
+_HINTS = ("passw", "pwd", "secret", "token", "key", "auth", "credential", "bearer")  # parts of all of _NAMES
 _FIRST = rf"(?<=^[\"'`(\[{{]{{0,3}}){_ANY}"
 # (text since the value before)(value), and eight characters after it. \\G: no second look at a tail without values.
 _VALUES = rf"(?s)\G(.*?)({_USER}|{_TOLD}|{_PARTS}|{_RUN})(?=(.{{0,8}}))"
@@ -57,8 +64,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     path = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark"), path.alias("path"), text.alias("text"))
-    holds = F.col("text").rlike(r"(?=[A-Za-z+/_-]{0,64}[0-9])" + _RUN) | F.col("text").rlike(_PARTS) | F.col("text").rlike("(?:" + _USER + ")")
-    rows = rows.filter(holds | F.col("text").rlike(_KEY + r"\s*[=:]") | F.col("text").rlike(r"(?i)\bbearer\s"))
+    whole, lower = F.col("text"), F.lower("text")
+    hinted = reduce(or_, [F.contains(lower, F.lit(hint)) for hint in _HINTS]) & whole.rlike(_KEY + r"\s*[=:]|(?i:bearer)\s")
+    address = F.contains(whole, F.lit("://")) & whole.rlike(_HAS_USER)
+    rows = rows.filter(whole.rlike(r"(?=[A-Za-z+/_-]{0,64}[0-9])" + _RUN) | hinted | address | whole.rlike(_PARTS))
     words = F.split("text", _BLANK)
     rows = rows.select("doc_id", "mark", "path", words.alias("words"))
 
@@ -73,7 +82,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     def worth(w):
         word = w["word"]
-        return (word.rlike("[0-9]") & word.rlike(_RUN)) | word.rlike(_PARTS) | word.rlike(_TOLD) | word.rlike(_USER) | told(w)
+        return (word.rlike("[0-9]") & word.rlike(_RUN)) | word.rlike(_PARTS) | word.rlike(_HAS_TOLD) | word.rlike(_HAS_USER) | told(w)
 
     found = F.filter(F.transform("words", around), worth)
     rows = rows.select("doc_id", "mark", "path", F.explode(found).alias("w")).withColumn("told", told(F.col("w")))
