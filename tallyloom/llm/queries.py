@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import byte_bpe, context_tree, fingerprint, licenses, packing, quality, secrets, simhash, suffixes, toxicity
+from . import byte_bpe, context_tree, fingerprint, language, licenses, packing, quality, repair, secrets, simhash, suffixes, toxicity, whitening
 from .common import table
 
 
@@ -53,6 +53,18 @@ def op10_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +78,9 @@ QUERIES = {
         op8_byte_bpe,
         op9_simhash_near_dedup,
         op10_context_tree_scores,
+        op11_language,
+        op12_conversation_repair,
+        op13_embedding_whitening,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
