@@ -355,6 +355,37 @@ SELECT w.week_start,
 FROM week_counts w
 """)
 
+
+# --- rates of a kept master ----------------------------------------------------------------------
+for _kept, _counts in (("kept_period_counts", "period_counts"), ("kept_week_counts", "week_counts")):
+    _cte(_kept, CTES[_counts].replace("rate_master", "master"))
+_cte("kept_week_supply", CTES["week_supply"].replace("week_counts", "kept_week_counts"))
+
+# --- a run after another -----------------------------------------------------------------------------
+_cte("run_sales", """
+SELECT *, CASE WHEN sale_date < DATE '1998-06-01' THEN 1 ELSE 2 END AS run_no, TRY_CAST(trim(net_premium) AS DECIMAL(38,10)) AS p
+FROM sales_clean WHERE sale_date BETWEEN DATE '1998-05-01' AND DATE '1998-06-15'
+""")
+_cte("run_master", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY dp_id, sale_date, p ORDER BY row_seq DESC) AS rn FROM run_sales) t WHERE rn = 1
+""")
+_cte("run_unique", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY run_no, dp_id ORDER BY row_seq) AS rn FROM run_sales) t WHERE rn = 1
+""")
+_cte("run_status", "SELECT DISTINCT s.run_no, d.* FROM run_sales s JOIN dp_status d ON d.dpno = s.dp_id")
+_cte("stream_rows", """
+SELECT 1 AS delivery, row_seq, sale_date, dp_id, dp_status FROM sales_enriched WHERE sale_date <= DATE '1998-06-15'
+UNION ALL SELECT 2, row_seq, sale_date, dp_id, 'Activated by LGLC' FROM sales_enriched WHERE sale_date >= DATE '1998-06-08'
+""")
+_cte("stream_unique", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY delivery, dp_id ORDER BY row_seq) AS rn FROM stream_rows) t WHERE rn = 1
+""")
+_cte("stream_days", """
+SELECT delivery, data_date, coalesce((SELECT MAX(snapshot_date) FROM fx_supply WHERE snapshot_date = data_date), (SELECT MAX(snapshot_date) FROM fx_supply)) AS supply_day,
+       coalesce((SELECT MAX(snapshot_date) FROM fx_fav_pool WHERE snapshot_date = data_date), (SELECT MAX(snapshot_date) FROM fx_fav_pool)) AS pool_day
+FROM (SELECT delivery, MAX(sale_date) AS data_date FROM stream_rows GROUP BY delivery) t
+""")
+
 _NAMES = re.compile(r"\b[a-z_]+\b")
 
 

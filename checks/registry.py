@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import functools
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import classify, dates, labels, numbers, text
 from tallyloom.operators import aggregates, fuzzy, joins, ordering, windows
-from tallyloom.plans import metrics, rates, sales, status, supply
+from tallyloom.plans import directory, metrics, presence, rates, report, sales, status, steps, supply
 from tallyloom.sources import batches, messages, schemas, storage
 from tallyloom.streaming import collation
 
@@ -1035,10 +1038,47 @@ def _(fx):
     )
 
 
+def folded(fx: Fixtures, path: str, *deliveries: DataFrame) -> tuple[storage.MonthlyTable, list[storage.Fold]]:
+    """A kept master that has taken the deliveries in, one fold each."""
+    master, names = sales.master_table(fx.spark, f"{path}/master"), directory.NameDirectory(fx.spark, f"{path}/names")
+    folds = [
+        sales.fold_sales(master, rows, fx.roster, fx.override, batch_seq=seq, names=names)
+        for seq, rows in enumerate(deliveries, 1)
+    ]
+    return master, folds
+
+
 @query("collate_master", NUMBERED.format(columns="sale_date, bdm_name, dp_id, net_premium, dp_status, team", source="master"),
        dates=("sale_date",), doubles=("net_premium",))
 def _(fx):
-    return sales.numbered_master(master_of(fx)).drop("batch_seq", "row_seq")
+    """Two overlapping deliveries folded into the months they touch, numbered by the index of months."""
+    master, _ = folded(fx, storage.fresh_path(fx.spark, "collate_master"), *written_batches(fx))
+    return master.numbered().drop("batch_seq", "row_seq")
+
+
+LATE = "sale_date BETWEEN DATE '1995-03-01' AND DATE '1995-03-31'"
+
+
+@query("serial_no_incremental", NUMBERED.format(columns="row_seq, dp_id, sale_date, dp_status", source=f"""
+(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY dp_id, sale_date, net_premium ORDER BY batch_seq DESC, row_seq DESC) AS rn FROM (
+  SELECT * FROM collate_rows UNION ALL SELECT 3, * REPLACE ('Inactive' AS dp_status) FROM daily_all WHERE {LATE}) a) t WHERE rn = 1) m"""), dates=("sale_date",))
+def _(fx):
+    """A late delivery of one old month: only that month is placed anew, and every number is right."""
+    late = written_sales(fx).filter(F.expr(LATE)).withColumn("dp_status", F.lit(labels.STATUS_INACTIVE))
+    master, _ = folded(fx, storage.fresh_path(fx.spark, "serial_no_incremental"), *written_batches(fx), late)
+    return master.numbered().select("serial_no", "row_seq", "dp_id", "sale_date", "dp_status")
+
+
+@query("run_collation_counts", """
+SELECT v.version, v.rows_batch, v.rows_in, v.rows_in - v.rows_out AS duplicates, v.rows_out FROM (
+  SELECT 1 AS version, n1 AS rows_batch, n1 AS rows_in, o1 AS rows_out FROM c UNION ALL SELECT 2, n2, o1 + n2, o2 FROM c UNION ALL SELECT 3, n2, o2 + n2, o2 FROM c) v
+""".replace(" FROM c", """ FROM (SELECT (SELECT COUNT(*) FROM collate_rows WHERE batch_seq = 1) AS n1, (SELECT COUNT(*) FROM collate_rows WHERE batch_seq = 2) AS n2,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT dp_id, sale_date, net_premium FROM collate_rows WHERE batch_seq = 1) d) AS o1, (SELECT COUNT(*) FROM master) AS o2) c"""))
+def _(fx):
+    """A first run, one that overlaps it, and the overlapping batch once more."""
+    first, second = written_batches(fx)
+    master, _ = folded(fx, storage.fresh_path(fx.spark, "run_collation_counts"), first, second, second)
+    return sales.collation_counts(master).drop("stream_id", "batch_id")
 
 
 RATE_COLUMNS = "act_num, fav_num, con_num, act_den, fav_den, act_den + fav_den AS con_den"
@@ -1064,6 +1104,37 @@ def _(fx):
     return rates.weekly_rates(rate_master(fx), fx.supply, fx.fav_pool)
 
 
+def kept_presence(fx: Fixtures, name: str) -> presence.Presence:
+    """The day bitmaps of two deliveries, the second taken over for its months only."""
+    path = storage.fresh_path(fx.spark, name)
+    master, kept = sales.master_table(fx.spark, f"{path}/master"), presence.Presence(fx.spark, path)
+    names = directory.NameDirectory(fx.spark, f"{path}/names")
+    for seq, rows in enumerate(written_batches(fx), 1):
+        fold = sales.fold_sales(master, rows, fx.roster, fx.override, batch_seq=seq, names=names)
+        kept.refresh(master, fold.months)
+    return kept
+
+
+@query("kept_period_rates", with_rates("""(
+SELECT d.snapshot_date, d.period_start, coalesce(c.act_num, 0) AS act_num, coalesce(c.fav_num, 0) AS fav_num, coalesce(c.con_num, 0) AS con_num,
+       d.act_den, coalesce(p.fav_den, 0) AS fav_den, d.act_den + coalesce(p.fav_den, 0) AS con_den
+FROM deltas d LEFT JOIN kept_period_counts c ON c.snapshot_date = d.snapshot_date
+LEFT JOIN pools p ON p.month_first = CAST(date_trunc('month', d.snapshot_date) AS DATE)) t"""),
+       dates=("snapshot_date", "period_start"), rates=RATES)
+def _(fx):
+    return rates.kept_period_rates(kept_presence(fx, "kept_period_rates"), fx.supply, fx.fav_pool)
+
+
+@query("kept_weekly_rates", with_rates("""(
+SELECT c.week_start, c.act_num, c.fav_num, c.con_num, w.mtd_end - w.mtd_before AS act_den, coalesce(p.fav_den, 0) AS fav_den,
+       w.mtd_end - w.mtd_before + coalesce(p.fav_den, 0) AS con_den
+FROM kept_week_counts c JOIN kept_week_supply w ON w.week_start = c.week_start
+LEFT JOIN pools p ON p.month_first = CAST(date_trunc('month', c.week_start) AS DATE)
+WHERE NOT (w.mtd_end - w.mtd_before = 0 AND c.act_num = 0)) t"""), dates=("week_start",), rates=RATES)
+def _(fx):
+    return rates.kept_weekly_rates(kept_presence(fx, "kept_weekly_rates"), fx.supply, fx.fav_pool)
+
+
 @query("stream_collate", """
 SELECT sale_date, bdm_name, dp_id, net_premium, dp_status, team FROM (
   SELECT *, row_number() OVER (PARTITION BY dp_id, sale_date, net_premium ORDER BY batch_seq DESC, row_seq DESC) AS rn FROM (
@@ -1075,7 +1146,7 @@ def _(fx):
     first, second = written_batches(fx)
     third = written_sales(fx).filter(F.col("row_seq") % 13 == 0).withColumn("dp_status", F.lit(labels.STATUS_INACTIVE))
     path = storage.fresh_path(fx.spark, "stream_collate")
-    master = storage.MonthlyTable(fx.spark, f"{path}/master", schemas.MASTER)
+    master = sales.master_table(fx.spark, f"{path}/master")
     for stream, deliveries in enumerate([(first, second), (third,)]):
         for rows in deliveries:
             rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in{stream}")
@@ -1084,6 +1155,134 @@ def _(fx):
     return master.read().select("sale_date", "bdm_name", "dp_id", "net_premium", "dp_status", "team")
 
 
+class FailingOnce(storage.VersionedTable):
+    """A table whose first write is lost, as if the job had died before it."""
+
+    failed = False
+
+    def write(self, *args):
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError("interrupted between two commits")
+        return super().write(*args)
+
+
+@query("stream_trend", """
+SELECT d.data_date, u.act_numerator, u.fav_numerator, u.con_numerator, (SELECT SUM(sum_inactive_dps_creating_quotes) FROM fx_supply WHERE snapshot_date = d.supply_day) AS act_denominator,
+       (SELECT SUM(dp_count) FROM fx_fav_pool WHERE snapshot_date = d.pool_day) AS fav_denominator, 'REGULAR' AS run_mode, (SELECT COUNT(*) FROM master) AS master_rows
+FROM stream_days d JOIN (SELECT delivery, COUNT(*) FILTER (WHERE dp_status = 'Inactive') AS act_numerator,
+  COUNT(*) FILTER (WHERE dp_status IN ('Activated by LGLC','Already Active')) AS fav_numerator, COUNT(dp_status) AS con_numerator FROM stream_unique GROUP BY delivery) u ON u.delivery = d.delivery
+""", dates=("data_date",))
+def _(fx):
+    """Two deliveries feed master and trend. The stream dies between the first batch's commits and is started again."""
+    path = storage.fresh_path(fx.spark, "stream_trend")
+    master, trend = sales.master_table(fx.spark, f"{path}/master"), FailingOnce(fx.spark, f"{path}/trend", schemas.TREND)
+    feed = collation.TrendFeed(trend, fx.supply, fx.fav_pool)
+    for rows in written_batches(fx):
+        rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    for attempt in range(2):
+        arriving = collation.read_batches(fx.spark, f"{path}/in", files_per_batch=1)
+        run = collation.collate_stream(arriving, master, fx.roster, fx.override, f"{path}/checkpoint", feed=feed)
+        try:
+            run.awaitTermination()
+        except StreamingQueryException:
+            if attempt:
+                raise
+    names = ["data_date", "act_numerator", "fav_numerator", "con_numerator", "act_denominator", "fav_denominator", "run_mode"]
+    rows = master.read().agg(F.count(F.lit(1)).alias("master_rows"))
+    return trend.read().select(*names, rows.scalar().alias("master_rows"))
+
+
+@query("name_directory", """
+SELECT clean_name, email, best_score, CASE WHEN clean_name IN (SELECT DISTINCT clean_name FROM named_sales WHERE bdm_name < 'D') THEN 1 ELSE 2 END AS matched_in FROM fuzzy_map
+UNION ALL SELECT m.clean_name, CASE WHEN m.best_score > 55 THEN s.email ELSE 'Unmapped' END, m.best_score, 3 FROM fuzzy_map m
+  LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY clean_name ORDER BY score DESC, roster_seq) AS rn FROM fuzzy_scores) s ON s.clean_name = m.clean_name AND s.rn = 1
+""")
+def _(fx):
+    """Names of a first batch, of a second with new ones, and all of them again after the overrides have changed."""
+    kept = directory.NameDirectory(fx.spark, storage.fresh_path(fx.spark, "name_directory"))
+    named = fx.sales.select("bdm_name", text.clean_name(F.col("bdm_name")).alias("clean_name"))
+    every, none = named.select("clean_name").distinct(), fx.override.limit(0)
+    kept.match(named.filter("bdm_name < 'D'").select("clean_name").distinct(), fx.roster, fx.override)
+    kept.match(every, fx.roster, fx.override)
+    kept.match(every, fx.roster, none)
+    versions = [directory.roster_version(fx.roster, o) for o in (fx.override, none)]
+    return kept.known(versions[0]).unionByName(kept.known(versions[1]))
+
+
+def dated_files(fx: Fixtures, name: str) -> str:
+    """A folder with a CSV file per snapshot of the supply; each arrived some days after its date."""
+    folder = storage.fresh_path(fx.spark, name)
+    batches.write_dated_csv(fx.supply, folder, "Supply")
+    for row in fx.supply.select("snapshot_date").distinct().collect():  # four files a month
+        arrived = row["snapshot_date"] + dt.timedelta(days=row["snapshot_date"].day * 37 % 11)
+        batches.set_arrival(fx.spark, f"{folder}/Supply_{row['snapshot_date']}.csv", arrived)
+    return folder
+
+
+SUPPLY_FILE = schemas.table(agent_mapped=schemas.STRING, sum_inactive_dps_creating_quotes=schemas.BIGINT)
+
+
+@query("dated_csv_series", "SELECT agent_mapped, sum_inactive_dps_creating_quotes, snapshot_date FROM fx_supply WHERE snapshot_date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'",
+       dates=("snapshot_date",))
+def _(fx):
+    series = batches.read_dated_csv(fx.spark, dated_files(fx, "dated_csv_series"), SUPPLY_FILE, prefix="Supply")
+    return series.filter(F.col("snapshot_date").between(F.lit("1996-01-01").cast("date"), F.lit("1997-06-30").cast("date")))
+
+
+@query("latest_file", """
+SELECT agent_mapped, sum_inactive_dps_creating_quotes, snapshot_date FROM fx_supply WHERE snapshot_date = (
+  SELECT snapshot_date FROM fx_supply ORDER BY snapshot_date + CAST(day(snapshot_date) * 37 % 11 AS INTEGER) DESC, snapshot_date DESC LIMIT 1)
+""", dates=("snapshot_date",))
+def _(fx):
+    return batches.read_newest_csv(fx.spark, dated_files(fx, "latest_file"), SUPPLY_FILE, prefix="Supply")
+
+
+RUN_STEPS = 19
+
+
+@query("run_report_tables", f"""
+SELECT 'sales_clean' AS table_name, COUNT(*) AS n_rows, SUM(row_seq) AS total FROM run_sales WHERE run_no = 2
+UNION ALL SELECT 'sales_unique', COUNT(*), SUM(row_seq) FROM run_unique WHERE run_no = 2
+UNION ALL SELECT 'dp_status', COUNT(*), SUM(policy_count) FROM run_status
+UNION ALL SELECT 'master', COUNT(*), SUM(row_seq) FROM run_master
+UNION ALL SELECT 'master_report', COUNT(*), COUNT(*) * (COUNT(*) + 1) // 2 FROM run_master
+UNION ALL SELECT 'collation_counts', 2, (SELECT COUNT(*) FROM run_master WHERE run_no = 1) + (SELECT COUNT(*) FROM run_master)
+UNION ALL SELECT 'trend', 3, 7 + (SELECT COUNT(*) FROM run_unique)
+UNION ALL SELECT 'steps', {2 * RUN_STEPS}, {2 * RUN_STEPS}
+""")
+def _(fx):
+    """A run for a gap month that is broken off, then the same call again: it resumes, closes the gap and runs the current batch."""
+    out = storage.fresh_path(fx.spark, "run_report_tables")
+    seed = fx.spark.createDataFrame([(dt.date(1998, 5, 20), 7)], "data_date date, con_numerator long")
+    trend = report.trend_table(fx.spark, out)
+    trend.write(ordering.union_by_name(trend.read(), seed))
+    day = F.col("sale_date")
+    of_month = lambda month: fx.sales.filter(F.date_format(day, "yyyy-MM") == month)
+    current = of_month("1998-06").filter(day <= F.lit(BATCH1_LAST).cast("date"))
+    inputs = report.Inputs(current, fx.partner, fx.policy, fx.quotes, fx.dp_master, fx.roster, fx.override)
+    broken = dataclasses.replace(inputs, quotes=fx.quotes.withColumn("stage", F.raise_error(F.concat(F.lit("interrupted at "), "quote_id")).cast("string")))
+    options = report.Options(already_before=CUTOFFS["already_before"], since=CUTOFFS["since"])
+    for attempt in (broken, inputs):
+        try:
+            report.run_with_catch_up(fx.spark, attempt, out, options, today="1998-06-16", sales_of=of_month)
+        except PySparkException as error:
+            if "interrupted" not in str(error):
+                raise
+    tables = {
+        "sales_clean": (fx.spark.read.parquet(f"{out}/sales_clean"), "row_seq"),
+        "sales_unique": (fx.spark.read.parquet(f"{out}/sales_unique"), "row_seq"),
+        "dp_status": (fx.spark.read.parquet(f"{out}/dp_status"), "policy_count"),
+        "master": (sales.master_table(fx.spark, f"{out}/master").read(), "row_seq"),
+        "master_report": (report.master_report(fx.spark, out), "serial_no"),
+        "collation_counts": (fx.spark.read.parquet(f"{out}/collation_counts"), "rows_out"),
+        "trend": (trend.read(), "con_numerator"),
+        "steps": (steps.Steps(fx.spark, out, "any").record.read(), "attempt"),
+    }
+    rows = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(total).cast("bigint").alias("total")) for name, (df, total) in tables.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 @query("dp_status_few", "SELECT * FROM dp_status WHERE CAST(dpno AS INTEGER) % 20 = 3", doubles=("total_netpremium",))
 def _(fx):
     """The status of a short list of partners: only their policies are aggregated."""

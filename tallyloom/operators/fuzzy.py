@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,16 +74,22 @@ def fuzzy_map(
     return match_names(cut_lineage(names.select("clean_name").distinct()), roster, overrides, pack_size)
 
 
-def map_lookup(rows: DataFrame, roster: DataFrame, overrides: DataFrame, spread_by: str) -> DataFrame:
+def map_lookup(
+    rows: DataFrame,
+    roster: DataFrame,
+    overrides: DataFrame,
+    spread_by: str,
+    match: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = match_names,
+) -> DataFrame:
     """Rows with the ``email`` and ``team`` of their clean name.
 
     One pass counts the rows per name. That short table serves twice, so it is kept: its
     names are matched, and its counts show which names hold so many rows that the join has
-    to cut them.
+    to cut them. ``match`` is match_names, or the form of it that keeps its results.
     """
     counts = cut_lineage(rows.groupBy("clean_name").agg(F.count(F.lit(1)).alias("n_rows")))
     teams = unique_roster(roster)
-    lookup = match_names(counts, roster, overrides).select("clean_name", "email").join(teams, "email", "left")
+    lookup = match(counts, roster, overrides).select("clean_name", "email").join(teams, "email", "left")
     hot = hot_keys_of(counts, "clean_name", "n_rows")
     joined = lookup_join(rows, lookup, "clean_name", spread_by, hot_keys=hot)
     return joined.withColumn("team", F.coalesce("team", F.lit(labels.TEAM_UNKNOWN)))

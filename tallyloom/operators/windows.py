@@ -32,6 +32,20 @@ def dedup_keep_last(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, ["dp_id", "sale_date", "net_premium"], order)
 
 
+def keep_last_counted(known: DataFrame, new: DataFrame) -> DataFrame:
+    """dedup_keep_last of both, with the rows each kept one stands for (``copies``), new ones among them (``fresh``).
+
+    One aggregation: tasks reduce their copies of a sale before the shuffle, and the counts come
+    with the result.
+    """
+    both = known.withColumn("fresh", F.lit(0)).unionByName(new.withColumn("fresh", F.lit(1)))
+    keys = ["dp_id", "sale_date", "net_premium"]
+    others = [c for c in known.columns if c not in (*keys, "batch_seq", "row_seq")]
+    last = F.max(F.struct("batch_seq", "row_seq", *others)).alias("last")  # a null is the smallest
+    kept = both.groupBy(*keys).agg(last, F.count(F.lit(1)).alias("copies"), F.sum("fresh").alias("fresh"))
+    return kept.select(*[c if c in keys else F.col(f"last.{c}").alias(c) for c in known.columns], "copies", "fresh")
+
+
 def latest_quote_stage(quotes: DataFrame) -> DataFrame:
     """One row per quote and day, the one with the highest stage (in text order)."""
     order = [F.col("stage").desc_nulls_last(), F.col("dp_id").asc_nulls_last()]

@@ -13,25 +13,34 @@ from ..operators import aggregates, joins
 from ..operators.fuzzy import match_names
 from ..operators.ordering import order_trend, union_by_name
 from ..sources.schemas import TREND
+from .directory import NameDirectory
 
 
-def email_counts(unique_dps: DataFrame, roster: DataFrame, overrides: DataFrame) -> DataFrame:
+def email_counts(
+    unique_dps: DataFrame, roster: DataFrame, overrides: DataFrame, names: NameDirectory | None = None
+) -> DataFrame:
     """Numerators per e-mail.
 
     Partners are counted per clean name before the names are matched, so the matcher sees
-    one row per name however many partners a manager has.
+    one row per name however many partners a manager has. ``names`` keeps what names were matched to.
     """
     named = unique_dps.select(clean_name(F.col("bdm_name")).alias("clean_name"), "dp_status")
     by_name = aggregates.status_counts(named, "clean_name")
-    return aggregates.email_numerators(match_names(by_name, roster, overrides))
+    match = match_names if names is None else names.match
+    return aggregates.email_numerators(match(by_name, roster, overrides))
 
 
 def email_level(
-    unique_dps: DataFrame, supply: DataFrame, pool: DataFrame, roster: DataFrame, overrides: DataFrame
+    unique_dps: DataFrame,
+    supply: DataFrame,
+    pool: DataFrame,
+    roster: DataFrame,
+    overrides: DataFrame,
+    names: NameDirectory | None = None,
 ) -> DataFrame:
     """Numerators and denominators of everyone who has either, with team and rates."""
     merged = joins.outer_num_den(
-        email_counts(unique_dps, roster, overrides),
+        email_counts(unique_dps, roster, overrides, names),
         aggregates.supply_by_agent(supply),
         aggregates.pool_by_agent(pool),
     )

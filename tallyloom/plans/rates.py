@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_shift, month_start, week_start
 from ..operators import aggregates, joins, windows
+from .presence import Presence
 
 
 def _with_pool_and_rates(df: DataFrame, pool: DataFrame, month_of: str) -> DataFrame:
@@ -25,11 +26,22 @@ def period_sales(master: DataFrame, supply: DataFrame) -> DataFrame:
     return aggregates.distinct_dps(joins.range_join_period(rows, periods), ["snapshot_date"])
 
 
+def period_rates_of(counts: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
+    """One row per supply snapshot, from the distinct partners of the period up to it."""
+    periods = windows.supply_delta(aggregates.snapshot_totals(supply))
+    counted = periods.join(counts, "snapshot_date", "left")
+    return _with_pool_and_rates(counted, pool, "snapshot_date").orderBy(F.col("snapshot_date").desc())
+
+
 def period_rates(master: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
     """One row per supply snapshot: what the period up to it added."""
+    return period_rates_of(period_sales(master, supply), supply, pool)
+
+
+def kept_period_rates(presence: Presence, supply: DataFrame, pool: DataFrame) -> DataFrame:
+    """period_rates from the kept day bitmaps: no sale is read."""
     periods = windows.supply_delta(aggregates.snapshot_totals(supply))
-    counted = periods.join(period_sales(master, supply), "snapshot_date", "left")
-    return _with_pool_and_rates(counted, pool, "snapshot_date").orderBy(F.col("snapshot_date").desc())
+    return period_rates_of(presence.periods(periods), supply, pool)
 
 
 def week_sales(master: DataFrame) -> DataFrame:
@@ -55,8 +67,18 @@ def weekly_supply(weeks: DataFrame, supply: DataFrame) -> DataFrame:
     return known.groupBy(*weeks.columns).agg(F.sum(F.col("sign") * F.col("mtd")).alias("act_den"))
 
 
-def weekly_rates(master: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
-    """One row per week with sales; weeks with neither supply nor an inactive seller drop out."""
-    counted = weekly_supply(week_sales(master), supply)
+def weekly_rates_of(weeks: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
+    """One row per week with sales, from its distinct partners; weeks with neither supply nor an inactive seller drop out."""
+    counted = weekly_supply(weeks, supply)
     kept = counted.filter((F.col("act_den") != 0) | (F.col("act_num") != 0))
     return _with_pool_and_rates(kept, pool, "week_start").orderBy(F.col("week_start").desc())
+
+
+def weekly_rates(master: DataFrame, supply: DataFrame, pool: DataFrame) -> DataFrame:
+    """One row per week with sales; weeks with neither supply nor an inactive seller drop out."""
+    return weekly_rates_of(week_sales(master), supply, pool)
+
+
+def kept_weekly_rates(presence: Presence, supply: DataFrame, pool: DataFrame) -> DataFrame:
+    """weekly_rates from the kept day bitmaps: no sale is read."""
+    return weekly_rates_of(presence.weeks(), supply, pool)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import coerce_number
 from ..functions.text import clean_name, normalize_id, strip_dp_prefix
 from ..operators.aggregates import batch_quality
-from ..operators.fuzzy import map_lookup
+from ..operators.fuzzy import map_lookup, match_names
 from ..operators.joins import enrich_status
 from ..operators.ordering import union_by_name
-from ..operators.windows import dedup_keep_last, serial_no, unique_dps_first
-from ..sources.schemas import COLLATE_REQUIRED, validate_columns
+from ..operators.windows import dedup_keep_last, keep_last_counted, serial_no, unique_dps_first
+from ..sources.schemas import COLLATE_REQUIRED, MASTER, validate_columns
+from ..sources.storage import Fold, MonthlyTable
+from .directory import NameDirectory
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
@@ -35,8 +37,10 @@ def enrich_unique(unique: DataFrame, status: DataFrame) -> DataFrame:
     return enrich_status(unique, status, spread_by=None, clean_ids=True)
 
 
-def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_seq: int | Column) -> DataFrame:
-    """A checked daily batch in the columns of the master, team included."""
+def daily_rows(
+    daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_seq: int | Column, names: NameDirectory | None = None
+) -> DataFrame:
+    """A checked daily batch in the columns of the master, team included; ``names`` keeps what names were matched to."""
     checked = validate_columns(daily, COLLATE_REQUIRED)
     seq = batch_seq if isinstance(batch_seq, Column) else F.lit(batch_seq)
     rows = checked.select(
@@ -49,7 +53,8 @@ def daily_rows(daily: DataFrame, roster: DataFrame, overrides: DataFrame, batch_
         "dp_status",
         clean_name(F.col("bdm_name")).alias("clean_name"),
     )
-    return map_lookup(rows, roster, overrides, spread_by="row_seq").drop("clean_name", "email")
+    match = match_names if names is None else names.match
+    return map_lookup(rows, roster, overrides, spread_by="row_seq", match=match).drop("clean_name", "email")
 
 
 def collate_master(
@@ -59,14 +64,58 @@ def collate_master(
     return dedup_keep_last(union_by_name(master, daily_rows(daily, roster, overrides, batch_seq)))
 
 
-def numbered_master(master: DataFrame) -> DataFrame:
-    """The master as reported: newest first, with serial numbers."""
-    order = [
+def master_order() -> list[Column]:
+    """Newest first; total, since no two rows of a master have the same day, partner and premium."""
+    return [
         F.col("sale_date").desc_nulls_last(),
         F.col("dp_id").asc_nulls_last(),
         F.col("net_premium").asc_nulls_last(),
     ]
-    return serial_no(master, order)
+
+
+def numbered_master(master: DataFrame) -> DataFrame:
+    """The master as reported: newest first, with serial numbers."""
+    return serial_no(master, master_order())
+
+
+def master_table(spark: SparkSession, path: str) -> MonthlyTable:
+    """The master in month folders, whose rows can be numbered without being moved."""
+    return MonthlyTable(spark, path, MASTER, order=master_order())
+
+
+def fold_sales(
+    master: MonthlyTable,
+    daily: DataFrame,
+    roster: DataFrame,
+    overrides: DataFrame,
+    *,
+    batch_seq: int | Column,
+    names: NameDirectory | None = None,
+    stream_id: str | None = None,
+    batch_id: int | None = None,
+) -> Fold:
+    """collate_master for a kept master: only the months of the batch are read and written.
+
+    The job that writes also counts what it took in, for collation_counts.
+    """
+    def merge(known: DataFrame, rows: DataFrame) -> DataFrame:
+        return keep_last_counted(known, daily_rows(rows, roster, overrides, batch_seq, names))
+
+    return master.fold(daily, merge, stream_id, batch_id, {"rows_batch": F.sum("fresh"), "rows_taken": F.sum("copies")})
+
+
+def collation_counts(master: MonthlyTable) -> DataFrame:
+    """What each fold took in and dropped: rows of the batch, of old master and batch together, duplicates, rows left.
+
+    Read from the commits, one row for each fold; no sale is read.
+    """
+    versions = master.rows_by_version()
+    before = F.coalesce(F.lag("n_rows").over(Window.orderBy("version")), F.lit(0))
+    rows_in = before + F.col("measured")["rows_batch"]
+    return versions.select(
+        "version", "stream_id", "batch_id", F.col("measured")["rows_batch"].alias("rows_batch"),
+        rows_in.alias("rows_in"), (rows_in - F.col("n_rows")).alias("duplicates"), F.col("n_rows").alias("rows_out"),
+    )
 
 
 def collation_quality(master: DataFrame, daily: DataFrame) -> DataFrame:

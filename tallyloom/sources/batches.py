@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +42,51 @@ def snapshot_date_from_name(file_name) -> "F.Column":
     return F.try_to_date(F.nullif(F.regexp_extract(file_name, _DATE_IN_NAME, 1), F.lit("")), "yyyy-MM-dd")
 
 
-def read_dated_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A series of dated CSV files as one table with a ``snapshot_date`` column."""
+def read_dated_csv(spark: SparkSession, path: str, schema, prefix: str = "") -> DataFrame:
+    """A series of dated CSV files as one table with a ``snapshot_date`` column.
+
+    The date is made from the file's name, so a filter on it is decided on the list of files, and
+    files outside it are not opened. Files of other names (lock files too) do not take part.
+    """
     reader = spark.read.schema(schema).option("header", True)
-    return reader.csv(path).select("*", snapshot_date_from_name(F.col("_metadata.file_name")).alias("snapshot_date"))
+    name = F.col("_metadata.file_name")
+    dated = reader.csv(path).filter(name.startswith(prefix) & ~name.startswith("~$"))
+    return dated.select("*", snapshot_date_from_name(name).alias("snapshot_date"))
+
+
+def read_newest_csv(spark: SparkSession, folder: str, schema, prefix: str = "") -> DataFrame:
+    """The dated CSV file of a folder that arrived last; an empty table where there is none."""
+    newest = latest_batch(list_files(spark, folder), [".csv"], prefix).first()
+    if newest is None:
+        return read_dated_csv(spark, folder, schema, prefix).limit(0)
+    return read_dated_csv(spark, newest["path"], schema, prefix)
+
+
+def write_dated_csv(df: DataFrame, folder: str, prefix: str) -> str:
+    """A small result table with a ``snapshot_date`` as a file ``<prefix>_<date>.csv`` per date.
+
+    Spark writes a file for each date; the files are then given their names. Dates that are there
+    already are replaced.
+    """
+    spark = df.sparkSession
+    parts = f"{folder}/_parts_{uuid.uuid4().hex}"  # not seen by readers of the folder
+    writer = df.repartition("snapshot_date").write.partitionBy("snapshot_date").option("header", True)
+    writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(parts)
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    files = where(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in files.globStatus(where(f"{parts}/snapshot_date=*/part-*.csv")):
+        name = f"{prefix}_{day.getPath().getParent().getName().removeprefix('snapshot_date=')}.csv"
+        files.delete(where(f"{folder}/{name}"), False)
+        files.rename(day.getPath(), where(f"{folder}/{name}"))
+    files.delete(where(parts), True)
+    return folder
+
+
+def set_arrival(spark: SparkSession, path: str, day) -> None:
+    """Give a file the time at which it arrived, as a copy from elsewhere keeps it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    moment = int(dt.datetime.combine(day, dt.time(), dt.timezone.utc).timestamp() * 1000)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(where, moment, -1)
 
 
 def snapshot_or_latest(snapshots: DataFrame, data_date) -> DataFrame:

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import BIGINT, STRING, table
 
+NO_MONTH = "none"  # the month of rows without a date
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
@@ -102,13 +105,14 @@ class VersionedTable:
     Every write makes a new folder and then commits it as the next version, so a reader never
     sees half a version and a job may read the table it replaces. A commit is a folder of its
     own that must not exist yet: of two writers of the same version one fails. Each commit names
-    the stream and the batch it holds, if any.
+    the stream and the batch it holds, if any. With ``grows`` a version adds its rows to those of
+    the versions before it.
     """
 
     _COMMIT = table(folder=STRING, stream_id=STRING, batch_id=BIGINT)
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, grows: bool = False):
+        self.spark, self.path, self.schema, self.grows = spark, path, schema, grows
 
     def _commits(self) -> DataFrame:
         fields = [*self._COMMIT.fields, T.StructField("version", T.LongType())]
@@ -121,10 +125,11 @@ class VersionedTable:
         return not self._commits().filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def read(self) -> DataFrame:
-        newest = self._commits().orderBy(F.desc("version")).first()
-        if newest is None:
+        newest_first = self._commits().orderBy(F.desc("version"))
+        folders = [r["folder"] for r in (newest_first if self.grows else newest_first.limit(1)).select("folder").collect()]
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{newest['folder']}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/{folder}" for folder in folders])
 
     def write(self, df: DataFrame, stream_id: str | None = None, batch_id: int | None = None) -> int:
         version, folder = self.latest() + 1, uuid.uuid4().hex
@@ -138,20 +143,41 @@ class VersionedTable:
         return version
 
 
+@dataclass(frozen=True)
+class Fold:
+    """What a fold did: its version, the months it rewrote, and what it measured."""
+
+    version: int
+    months: frozenset[str]
+    measured: dict[str, int]
+
+
 class MonthlyTable:
     """An accumulating table in one folder per month of a date; a fold rewrites the months it touches.
 
-    Each version is a list of month folders, one row per month, committed as a folder that must
-    not exist yet. Folders of months that a fold does not touch are named again by the next
-    version, not copied, so the work of a daily batch does not grow with the table. A commit
-    also holds the stream and batch it came from and the last number given to a delivery.
+    Each version is an index of month folders, committed as a folder that must not exist yet.
+    Folders of months that a fold does not touch are named again by the next version, not copied,
+    so the work of a daily batch does not grow with the table. A commit also holds the stream
+    and batch it came from, the last number given to a delivery, and what the fold measured.
+
+    Rows are stored in ``order`` (sort columns, total within a month; none where no order is
+    needed) with their place in it. The index has a row for each month and partition that wrote
+    it, with the rows it holds; so the number of a row in the whole table is a sum over the index
+    plus its place, and a fold gives new places to the months it touches only.
     """
 
-    _COMMIT = table(month=STRING, folder=STRING, stream_id=STRING, batch_id=BIGINT, last_seq=BIGINT)
+    _COMMIT = table(
+        month=STRING, folder=STRING, part=BIGINT, first_place=BIGINT, n_rows=BIGINT,
+        stream_id=STRING, batch_id=BIGINT, last_seq=BIGINT, measured=T.MapType(STRING, BIGINT),
+    )
+    _PLACE_BITS = 33  # layout of monotonically_increasing_id
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, date: str = "sale_date"):
-        self.spark, self.path, self.schema = spark, path, schema
-        self._month = F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none"))
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, date: str = "sale_date", order: Sequence[Column] = ()
+    ):
+        self.spark, self.path, self.schema, self.order = spark, path, schema, list(order)
+        self.stored = T.StructType([*schema.fields, T.StructField("row_place", T.LongType())])
+        self.month = F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
 
     def _commits(self) -> DataFrame:
         fields = [*self._COMMIT.fields, T.StructField("version", T.LongType())]
@@ -166,21 +192,45 @@ class MonthlyTable:
     def has_batch(self, stream_id: str, batch_id: int) -> bool:
         return not self._commits().filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).isEmpty()
 
-    def _folders(self) -> dict[str, str]:
-        """Folder of every month of the newest version."""
-        newest = self._commits().filter((F.col("version") == self.latest()) & F.col("month").isNotNull())
-        return {r["month"]: r["folder"] for r in newest.collect()}
+    def _index(self, version: int | None = None) -> DataFrame:
+        """Segments of a version, the newest unless given: month, folder, part, first_place, n_rows."""
+        newest = self.latest() if version is None else version
+        rows = self._commits().filter((F.col("version") == newest) & F.col("month").isNotNull())
+        return rows.select("month", "folder", "part", "first_place", "n_rows")
+
+    def folders(self, version: int | None = None) -> dict[str, str]:
+        """Folder of every month of a version."""
+        return {r["month"]: r["folder"] for r in self._index(version).select("month", "folder").distinct().collect()}
 
     def _read(self, folders: dict[str, str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.stored)
         paths = [f"{self.path}/data/{folder}/month={month}" for month, folder in folders.items()]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return self.spark.read.schema(self.stored).parquet(*paths)
 
-    def read(self, months: set[str] | None = None) -> DataFrame:
+    def read(self, months: Collection[str] | None = None) -> DataFrame:
         """The newest version, or only some months (``yyyy-MM``) of it."""
-        folders = self._folders()
-        return self._read({m: f for m, f in folders.items() if months is None or m in months})
+        folders = self.folders()
+        chosen = {m: f for m, f in folders.items() if months is None or m in months}
+        return self._read(chosen).select(*self.schema.names)
+
+    def numbered(self, name: str = "serial_no", newest_first: bool = True) -> DataFrame:
+        """The newest version with 1..n by month and the order inside it; rows without a date come last.
+
+        Only the index, a row for each month and writing partition, is sorted: no row moves.
+        """
+        month = F.col("month").desc() if newest_first else F.col("month").asc()
+        before = Window.orderBy(F.col("month") == NO_MONTH, month, "part").rowsBetween(Window.unboundedPreceding, -1)
+        index = self._index().select("month", "part", (F.coalesce(F.sum("n_rows").over(before), F.lit(0)) - F.col("first_place")).alias("offset"))
+        rows = self._read(self.folders())
+        placed = rows.withColumn("month", self.month).withColumn("part", F.shiftright("row_place", self._PLACE_BITS))
+        numbered = placed.join(index, ["month", "part"]).withColumn(name, F.col("offset") + F.col("row_place") + 1)
+        return numbered.select(*self.schema.names, name)
+
+    def rows_by_version(self) -> DataFrame:
+        """version, stream_id, batch_id, measured and n_rows (of the whole table) of every commit."""
+        keys = ["version", "stream_id", "batch_id"]
+        return self._commits().groupBy(*keys).agg(F.any_value("measured").alias("measured"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
     def fold(
         self,
@@ -188,20 +238,64 @@ class MonthlyTable:
         merge: Callable[[DataFrame, DataFrame], DataFrame],
         stream_id: str | None = None,
         batch_id: int | None = None,
-    ) -> int:
+        measures: dict[str, Column] | None = None,
+    ) -> Fold:
         """Commit ``merge(rows of the months that the batch touches, batch)`` for those months.
 
         ``merge`` must leave every month of the batch some row, and touch no other month.
+        ``measures`` are aggregates over what it gives, whole numbers, taken by the job that
+        writes. They stand behind the last shuffle, where each row counts once even if tasks
+        run again.
         """
-        version, folders, folder = self.latest() + 1, self._folders(), uuid.uuid4().hex
-        touched = {r["month"] for r in batch.select(self._month.alias("month")).distinct().collect()}  # a calendar
-        known = {m: f for m, f in folders.items() if m in touched}
-        merged = merge(self._read(known), batch).select(*self.schema.names, self._month.alias("month"))
-        merged.write.partitionBy("month").parquet(f"{self.path}/data/{folder}")
-        last = self.last_seq()
-        if touched:
-            last = max(last, self._read(dict.fromkeys(touched, folder)).agg(F.max("batch_seq")).first()[0] or 0)
-        rows = [(m, f, stream_id, batch_id, last) for m, f in {**folders, **dict.fromkeys(touched, folder)}.items()]
-        commit = self.spark.createDataFrame(rows or [(None, None, stream_id, batch_id, last)], self._COMMIT).coalesce(1)
+        version, folders, folder = self.latest() + 1, self.folders(), uuid.uuid4().hex
+        touched = {r["month"] for r in batch.select(self.month.alias("month")).distinct().collect()}  # a calendar
+        known = self._read({m: f for m, f in folders.items() if m in touched}).select(*self.schema.names)
+        merged = merge(known, batch).withColumn("month", self.month)
+        keys = [F.col("month").asc(), *self.order]
+        ordered = merged.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("row_place", F.monotonically_increasing_id())
+        watch = Observation()
+        numbers = "batch_seq" in self.schema.names
+        last = F.max("batch_seq") if numbers else F.lit(None).cast("bigint")
+        asked = {"last_seq": last, **(measures or {})}
+        watched = ordered.observe(watch, F.count(F.lit(1)).alias("written"), *[c.cast("bigint").alias(n) for n, c in asked.items()])
+        path = f"{self.path}/data/{folder}"
+        watched.select(*self.stored.names, "month").write.partitionBy("month").parquet(path)
+        found = watch.get
+        measured = {n: int(found[n] or 0) for n in measures or {}}
+        constants = {
+            "stream_id": F.lit(stream_id).cast("string"),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "last_seq": F.lit(max(self.last_seq(), found["last_seq"] or 0)).cast("bigint"),
+            "measured": F.create_map(*[F.lit(x) for pair in measured.items() for x in pair]).cast(self._COMMIT["measured"].dataType),
+        }
+        kept = self._index(version - 1).filter(~F.col("month").isin(*touched)) if touched else self._index(version - 1)
+        index = kept.unionByName(self._segments(path, folder)) if found["written"] else kept
+        if index.isEmpty():  # the commit of an empty batch into an empty table
+            index = self.spark.createDataFrame([(None,) * 5], index.schema)
+        commit = index.coalesce(1).withColumns(constants).select(*self._COMMIT.names)
         commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
-        return version
+        return Fold(version, frozenset(touched), measured)
+
+    def _segments(self, path: str, folder: str) -> DataFrame:
+        """The index of a folder just written: two columns of it are read."""
+        schema = T.StructType([T.StructField("row_place", T.LongType()), T.StructField("month", T.StringType())])
+        part = F.shiftright("row_place", self._PLACE_BITS).alias("part")
+        rows = self.spark.read.schema(schema).option("basePath", path).parquet(path)
+        sizes = rows.groupBy("month", part).agg(F.min("row_place").alias("first_place"), F.count(F.lit(1)).alias("n_rows"))
+        return sizes.select("month", F.lit(folder).alias("folder"), "part", "first_place", "n_rows")
+
+    def remove_old(self, keep_last: int = 2) -> list[str]:
+        """Delete data that none of the last versions names; the commits stay. Returns the folders deleted.
+
+        Call it when no job reads or writes the table.
+        """
+        newest = self.latest()
+        kept = {f for v in range(max(1, newest - keep_last + 1), newest + 1) for f in self.folders(v).values()}
+        named = {r["folder"] for r in self._commits().filter("folder is not null").select("folder").distinct().collect()}
+        return [f for f in sorted(named - kept) if delete_folder(self.spark, f"{self.path}/data/{f}")]
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store its path names; False if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

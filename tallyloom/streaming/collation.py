@@ -5,18 +5,28 @@ the master exactly once: a commit names the stream and the number of its batch,
 delivered again after a failure is recognised by them. Each file is a delivery; the file
 written later wins, whichever trigger it falls into. No watermark is used, since a sale may
 be re-delivered at any later time and is compared with all sales of its month.
+
+A micro-batch may feed the trend as well. Master and trend are committed one after the other, each
+commit naming the batch, so a failure between them is made good when the batch is delivered again:
+what is committed is left alone, what is missing is done.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.sales import collate_master
+from ..operators.aggregates import max_date
+from ..plans.directory import NameDirectory
+from ..plans.metrics import trend_row, trend_upsert
+from ..plans.sales import clean_sales, fold_sales, unique_sales
+from ..sources.batches import snapshot_or_latest
 from ..sources.schemas import SALES_ENRICHED
-from ..sources.storage import MonthlyTable
+from ..sources.storage import MonthlyTable, VersionedTable, cut_lineage
 
 _DELIVERY = ["delivered_at", "delivery"]
 
@@ -38,17 +48,44 @@ def in_delivery_order(batch: DataFrame, base: int) -> DataFrame:
 
 
 def fold_batch(
-    master: MonthlyTable, batch: DataFrame, batch_id: int, roster: DataFrame, overrides: DataFrame, stream_id: str
+    master: MonthlyTable,
+    batch: DataFrame,
+    batch_id: int,
+    roster: DataFrame,
+    overrides: DataFrame,
+    stream_id: str,
+    names: NameDirectory | None = None,
 ) -> bool:
     """Fold one batch into the master unless that has been done; True if it was done now."""
     if master.has_batch(stream_id, batch_id):
         return False
+    rows = in_delivery_order(batch, master.last_seq())
+    fold_sales(master, rows, roster, overrides, batch_seq=F.col("batch_seq"), names=names, stream_id=stream_id, batch_id=batch_id)
+    return True
 
-    def merge(known: DataFrame, rows: DataFrame) -> DataFrame:
-        return collate_master(known, rows, roster, overrides, batch_seq=F.col("batch_seq"))
 
-    master.fold(in_delivery_order(batch, master.last_seq()), merge, stream_id, batch_id)
-    return True
+@dataclass(frozen=True)
+class TrendFeed:
+    """The trend that micro-batches add to, and the snapshots their denominators come from."""
+
+    trend: VersionedTable
+    supply: DataFrame
+    pool: DataFrame
+    mode: str = "REGULAR"
+
+    def add(self, batch: DataFrame, batch_id: int, stream_id: str) -> bool:
+        """Put in the row of the batch's newest day unless that has been done; True if it was done now."""
+        if self.trend.has_batch(stream_id, batch_id):
+            return False
+        newest = max_date(batch).first()["data_date"]
+        if newest is None:
+            return False
+        day = newest.isoformat()
+        rows = clean_sales(batch)
+        supply, pool = (snapshot_or_latest(df, day) for df in (self.supply, self.pool))
+        row = cut_lineage(trend_row(unique_sales(rows), rows, supply, pool, data_date=day, mode=self.mode))
+        self.trend.write(trend_upsert(self.trend.read(), row, data_date=day), stream_id, batch_id)
+        return True
 
 
 def collate_stream(
@@ -58,17 +95,21 @@ def collate_stream(
     overrides: DataFrame,
     checkpoint: str,
     stream_id: str | None = None,
+    feed: TrendFeed | None = None,
+    names: NameDirectory | None = None,
 ) -> StreamingQuery:
     """Fold all batches that are there now, then stop; start again for later ones.
 
     Batch numbers start at 0 in every checkpoint folder, so they count within a stream only.
     The stream is named by its checkpoint folder unless ``stream_id`` names it; give a new name
-    if a folder is emptied and used again.
+    if a folder is emptied and used again. With ``feed`` every micro-batch also adds to the trend.
     """
     stream = stream_id or checkpoint
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(master, batch, batch_id, roster, overrides, stream)
+        fold_batch(master, batch, batch_id, roster, overrides, stream, names)
+        if feed is not None:
+            feed.add(batch, batch_id, stream)
 
     return (
         batches.writeStream.foreachBatch(fold)
