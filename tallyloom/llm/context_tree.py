@@ -16,6 +16,7 @@ looked up in the task, all others by a join.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,17 +25,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spark_schema, stored
+from .common import ROWS, spark_schema, stored
 
 DEPTH = 4
-#: Nodes that are looked up in the task, the commonest; the others are joined. Two levels never have
-#: more (255 decisions in 1 + 256 + 65,536 contexts).
-MOST_NODES = 255 * (1 + 256 + 65_536)
+#: Nodes that are looked up in the task, the commonest; the others are joined. A node has 16 bytes, and each
+#: worker, the driver and the broadcast hold the nodes once: 64 MB.
+MOST_NODES = (64 << 20) // 16
 #: Words looked up in the task; the others are joined.
 COMMON_WORDS = 50_000
 _END = b"\xff"  # not a byte of UTF-8: before and after each text
-_CHUNK = 1 << 20
-_MEMO = 21
+_CHUNK = 1 << 19
+_MEMO = 20
+#: Grams that a task counts before it gives them out; an eighth as many words.
+_HELD = 1 << 21
+#: Grams looked up at once.
+_LOOKED_UP = 1 << 16
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,25 +83,44 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 _COUNTS = pa.schema([("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
+def _counts_batch(words: Counter[bytes], seen: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+    value, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen]), return_inverse=True)
+    n = np.bincount(place, weights=np.concatenate([np.zeros(0), *times]), minlength=len(value)).astype(np.int64)
+    word = pa.concat_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(value), pa.binary())])
+    gram = pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(value.view(np.int64))])
+    total = np.concatenate((np.fromiter(words.values(), np.int64, len(words)), n))
+    return pa.RecordBatch.from_arrays([word, gram, pa.array(total)], schema=_COUNTS)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    """Words and grams of a task with counts, given out whenever _HELD of either are held."""
+    words: Counter[bytes] = Counter()
+    seen: list[np.ndarray] = []
+    times: list[np.ndarray] = []
+    for batch in _sliced(batches):
         texts = [(t or "").encode() for t in batch[0].to_pylist()]
-        words: Counter[bytes] = Counter()
+        words[b""] += len(texts)  # the ends
         for text in texts:
             words.update(words_of(text))
-        words[b""] += len(texts)  # the ends
-        seen: list[np.ndarray] = []
-        times: list[np.ndarray] = []
         for value, _ in grams(texts):
             value = np.sort(value)
             new = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
             seen.append(value[new])
-            times.append(np.diff(np.append(new, len(value))))
-        value, place = np.unique(np.concatenate(seen), return_inverse=True)
-        n = np.bincount(place, weights=np.concatenate(times)).astype(np.int64)
-        columns = [list(words) + [None] * len(value), pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(value.view(np.int64))])]
-        columns.append(np.concatenate((np.fromiter(words.values(), np.int64, len(words)), n)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTS)], schema=_COUNTS)
+            times.append(np.diff(np.append(new, len(value))).astype(np.int32))
+            if sum(map(len, seen)) > _HELD:
+                yield _counts_batch(Counter(), seen, times)
+                seen, times = [], []
+        if len(words) > _HELD // 8:
+            yield _counts_batch(words, [], [])
+            words = Counter()
+    yield _counts_batch(words, seen, times)
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ROWS rows at a time: so many are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
 
 
 def _log_gamma(x):
@@ -177,6 +201,10 @@ class ContextTree:
 
     def _lookup(self, gram: np.ndarray) -> np.ndarray:
         """Logarithm (base 10) of the probability of the low byte after the bytes above it; nan if more nodes may count."""
+        parts = [self._lookup_part(gram[i : i + _LOOKED_UP]) for i in range(0, len(gram), _LOOKED_UP)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _lookup_part(self, gram: np.ndarray) -> np.ndarray:
         total = np.zeros(len(gram))
         byte, context = gram & np.uint64(255), gram >> np.uint64(8)
         for i in range(8):
@@ -251,11 +279,12 @@ def load(nodes: DataFrame) -> ContextTree:
         least = 0
     levels = []
     for depth in range(DEPTH + 1):
-        rows = nodes.filter((F.col("depth") == depth) & (F.col("n") >= least)).select("key", "p1", "beta").toArrow()
-        keys = rows["key"].to_numpy().astype(np.uint64)
-        order = np.argsort(keys)
-        beta = rows["beta"].to_numpy(zero_copy_only=False)
-        levels.append((keys[order], rows["p1"].to_numpy()[order].astype(np.float32), np.nan_to_num(beta[order], nan=1.0).astype(np.float32)))
+        beta = F.coalesce("beta", F.lit(1.0)).cast("float").alias("beta")
+        rows = nodes.filter((F.col("depth") == depth) & (F.col("n") >= least)).select("key", "p1", beta).toArrow()
+        order = np.argsort(rows["key"].to_numpy())
+        key, p1, beta = (rows[c].to_numpy()[order] for c in ("key", "p1", "beta"))
+        levels.append((key.view(np.uint64), p1, beta))
+        del rows, order  # the driver holds a level twice at most
     return ContextTree(levels, least)
 
 
@@ -316,6 +345,20 @@ _SCORED = pa.schema(
 )
 
 
+def _lists(ends: np.ndarray, rows: np.ndarray, times: np.ndarray) -> dict[str, pa.Array]:
+    """Columns rows and times: the values between neighbouring ends are a list."""
+    ends = pa.array(ends, pa.int32())
+    return {
+        "rows": pa.ListArray.from_arrays(ends, pa.array(rows, pa.int64())),
+        "times": pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
+    }
+
+
+def _scored_batch(n: int, values: dict) -> pa.RecordBatch:
+    columns = [pa.array(values[f.name], f.type) if f.name in values and not isinstance(values[f.name], pa.Array) else values.get(f.name, pa.nulls(n, f.type)) for f in _SCORED]
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _SCORED)], schema=_SCORED)
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -336,45 +379,39 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, logs_of = shared.value
-        for batch in batches:
+        for batch in _sliced(batches):
             data = [(t or "").encode() for t in batch[2].to_pylist()]
-            rare: dict[bytes, tuple[list[int], list[int]]] = {}
-            rows = {name: [] for name in ("n_tokens", "n_known", "logs")}
-            for row_id, text in zip(batch[0].to_pylist(), data):
+            row_ids = batch[0].to_numpy()
+            rare: dict[bytes, int] = {}
+            rare_word, rare_row, rare_times = array("i"), array("i"), array("i")
+            rows = {name: np.zeros(len(data), kind) for name, kind in (("n_tokens", np.int64), ("n_known", np.int64), ("logs", float))}
+            for i, text in enumerate(data):
                 times = Counter(words_of(text))
                 times[b""] = 1
-                logs, n_known, n_tokens = 0.0, 0, 0
+                rows["n_tokens"][i] = times.total()
+                logs, n_known = 0.0, 0
                 for word, n in times.items():
-                    n_tokens += n
                     value = logs_of.get(word)
                     if value is None:
-                        entry = rare.get(word)
-                        if entry is None:
-                            entry = rare[word] = ([], [])
-                        entry[0].append(row_id)
-                        entry[1].append(n)
+                        rare_word.append(rare.setdefault(word, len(rare)))
+                        rare_row.append(i)
+                        rare_times.append(n)
                     else:
                         logs += n * value
                         n_known += n
-                for name, value in (("n_tokens", n_tokens), ("n_known", n_known), ("logs", logs)):
-                    rows[name].append(value)
-            m, k = len(data), len(rare)
-            columns = {"word": [None] * m + list(rare), "rows": [None] * m + [e[0] for e in rare.values()], "times": [None] * m + [e[1] for e in rare.values()]}
-            columns["gram"] = pa.nulls(m + k, pa.int64())
+                rows["logs"][i], rows["n_known"][i] = logs, n_known
             score, others = own.scores(data)
-            values = {"row_id": batch[0], "doc_id": batch[1], **rows, "score": score, "n_bytes": [len(d) for d in data]}
-            for name, value in values.items():
-                kind = _SCORED.field(name).type
-                columns[name] = pa.concat_arrays([pa.array(value, kind) if not isinstance(value, pa.Array) else value.cast(kind), pa.nulls(k, kind)])
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if isinstance(columns[f.name], list) else columns[f.name] for f in _SCORED], schema=_SCORED)
-            row_ids = batch[0].to_numpy()
+            values = {"row_id": batch[0], "doc_id": batch[1], **rows, "score": score, "n_bytes": np.array([len(d) for d in data], np.int64)}
+            yield _scored_batch(len(data), values)
+            if rare:
+                order = np.argsort(rare_word, kind="stable")
+                rows_of, times_of = row_ids[np.array(rare_row, np.int32)[order]], np.array(rare_times, np.int32)[order]
+                ends = np.searchsorted(np.array(rare_word, np.int32)[order], np.arange(len(rare) + 1))
+                yield _scored_batch(len(rare), {"word": pa.array(list(rare), pa.binary()), **_lists(ends, rows_of, times_of)})
             for gram, text, n in others:
                 first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-                ends = pa.array(np.append(first, len(gram)), pa.int32())
-                columns = {"gram": pa.array(gram[first].astype(np.int64))}
-                columns["rows"] = pa.ListArray.from_arrays(ends, pa.array(row_ids[text], pa.int64()))
-                columns["times"] = pa.ListArray.from_arrays(ends, pa.array(n, pa.int32()))
-                yield pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(len(first), f.type) for f in _SCORED], schema=_SCORED)
+                ends = np.append(first, len(gram))
+                yield _scored_batch(len(first), {"gram": gram[first].astype(np.int64), **_lists(ends, row_ids[text], n)})
 
     numbered = texts.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
     both = stored(numbered.mapInArrow(score, spark_schema(_SCORED)), "scored")

@@ -44,6 +44,8 @@ _SIZES = (2, 3, 4)
 _SPACE = 32
 _CHUNK = 1 << 20
 _UNKNOWN = "und"
+#: Parts into which the hashes of a language's texts are dealt.
+_SPREAD = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(1_000_003)
 #: Neighbouring grams say much the same: so many count as one in the probability of a family.
@@ -134,9 +136,11 @@ def family_counts(train: DataFrame, family: dict[str, int]) -> np.ndarray:
 def sample(train: DataFrame, languages: list[str], rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """(text, lang) of at most `rows` distinct texts of each language, those with the smallest hashes."""
     marked = train.filter(F.col("lang").isin(languages)).withColumn("mark", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("mark")
-    marks = marked.select("lang", "mark").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
-    marks = stored(marks.select("lang", "mark"), "marks")  # LANGUAGES * rows at most
+    marks = marked.select("lang", "mark").distinct()
+    for keys in (["lang", F.pmod("mark", F.lit(_SPREAD))], ["lang"]):  # the first of a part, then of a language
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))
+        marks = marks.withColumn("rank", rank).filter(F.col("rank") <= rows).drop("rank")
+    marks = stored(marks, "marks")  # LANGUAGES * rows at most
     return marked.join(F.broadcast(marks), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
 
 

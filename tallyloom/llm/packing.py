@@ -18,6 +18,7 @@ import unicodedata
 import zlib
 from bisect import bisect_left
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, stored
 
-#: Entries of a worker's table of encoded words; a full one is emptied and filled anew.
+#: Entries of a worker's table of encoded words, and the length of a word that is kept; a full one is emptied
+#: and filled anew.
 KEPT = 500_000
+_KEPT_LENGTH = 64
 #: Parts into which the pieces of one length are dealt to be numbered.
 SPREAD = 256
 _SEPARATOR = "<|endoftext|>"
@@ -37,8 +40,10 @@ class WordIds:
     """Ids of whole texts by the tokenizers library, word by word.
 
     The tokenizer drops white space and cuts at it, so a text's ids are those of its words one after
-    another; each word is encoded once and kept. Texts in which words may influence each other (its
-    special tokens, characters that normalisation changes, unusual white space) are encoded whole.
+    another; each word is encoded once and kept. A single stop or comma behind a letter is a token of
+    its own, so `word.` is the ids of `word` and of the stop. Texts in which words may influence each
+    other (the tokenizer's special tokens, characters that normalisation changes, unusual white space)
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -53,42 +58,53 @@ class WordIds:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that are not known, many at a time with a special token between them."""
-        if len(self.known) + len(words) > KEPT:
-            self.known.clear()
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, many at a time with a special token between them."""
+        out = {}
         for start in range(0, len(words), 20_000):
             part = words[start : start + 20_000]
             ids = np.array(self.tokenizer.encode(_SEPARATOR.join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.separator), len(ids)).tolist()
-            begin = 0
-            for word, end in zip(part, ends, strict=True):
-                self.known[word] = ids[begin:end].tobytes()
-                begin = end + 1
+            ends = np.append(np.flatnonzero(ids == self.separator), len(ids)) * 4
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                out[word] = data[begin:end]
+                begin = end + 4
+        return out
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not known. Short ones are kept; a full table makes room for them all at once."""
+        stems = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+        wanted = (words - stems.keys()) | set(stems.values()) | {".", ","}
+        new = self._encoded(list(wanted - self.known.keys()))
+        get = lambda w: new[w] if w in new else self.known[w]
+        new |= {word: get(stem) + get(word[-1]) for word, stem in stems.items()}
+        if len(self.known) + len(new) > KEPT:
+            self.known = {}
+        for word in islice((w for w in new if len(w) <= _KEPT_LENGTH), KEPT):
+            self.known[word] = new[word]
+        return new
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out: list[bytes] = []
         for start in range(0, len(texts), 256):
+            words: list[list[str] | None] = []
             part = texts[start : start + 256]
-            words = [None if self.unusual(t) or not unicodedata.is_normalized("NFC", low := t.lower()) else self._split(low) for t in part]
-            new = {w for ws in words if ws for w in ws} - self.known.keys()
-            if new:
-                room = len(self.known) + len(new) <= KEPT
-                self._learn(list(new if room else {w for ws in words if ws for w in ws}))
-            get = self.known.__getitem__
+            for text in part:
+                if self.unusual(text):
+                    words.append(None)
+                elif text.isascii():
+                    words.append(text.lower().split())
+                else:
+                    low = text.lower()
+                    words.append(low.split() if unicodedata.is_normalized("NFC", low) else None)
+            distinct: set[str] = set().union(*(ws for ws in words if ws))
+            known = self.known
+            new = self._learn(missing) if (missing := distinct - known.keys()) else {}
+            get = known.__getitem__ if distinct <= known.keys() else lambda w: new[w] if w in new else known[w]
             out += [self._whole(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(part, words)]
         return out
 
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        """Words; a full stop or comma after a letter is a token of its own and counts as a word."""
-        return _STOP.sub(r" \1", text).split()
-
-
-#: A single stop or comma between a letter and white space or the end.
-_STOP = re.compile(r"(?<=[^\W\d_])([.,])(?=\s|$)")
-
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
