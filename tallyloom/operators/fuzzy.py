@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,10 @@ from ..sources.storage import cut_lineage
 from .joins import unique_roster
 from .skew import hot_keys_of, lookup_join
 
-BLOCK_NAMES = 4096  # names per block, about
+# The tasks carry this module with them, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BLOCK_NAMES = 4096  # names per block, at most
 ROSTER_PACK = 256  # roster entries per pack, at most
 
 
@@ -25,11 +31,17 @@ def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
     return roster.groupBy(pack.alias("pack")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK_NAMES):
+            part = batch.column(0).slice(start, BLOCK_NAMES)
+            ends = pa.array([0, len(part)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, part.cast(pa.string()))], names=["names"])
+
+
 def block_names(names: DataFrame) -> DataFrame:
-    """Rows of about BLOCK_NAMES distinct names each, however many names there are."""
-    blocks = max(1, -(-names.count() // BLOCK_NAMES))
-    block = F.pmod(F.xxhash64("clean_name"), F.lit(blocks))
-    return names.groupBy(block.alias("block")).agg(F.collect_list("clean_name").alias("names"))
+    """Rows of at most BLOCK_NAMES names each: those that lie together, so nothing is counted or moved."""
+    return names.select("clean_name").mapInArrow(_blocks, "names array<string>").withColumn("block", F.monotonically_increasing_id())
 
 
 def match_names(
@@ -38,11 +50,11 @@ def match_names(
     """A table of one row per ``clean_name`` with the e-mail (or Unmapped) and best score of the name.
 
     Every name has to meet every roster entry. They meet as blocks of names and packs of
-    the roster, one row for each block and pack, so no pair is ever a row; a roster of
-    usual size is one pack. Blocks have a fixed size, so they do not grow with the data; they
-    carry names only, and the other columns are joined back by name. Blocks and packs are
-    joined by an ordinary equi join that Spark broadcasts only below its size limit. A missing
-    name is Unmapped. ``by_name`` is counted, matched and joined: give a table that is kept.
+    the roster, one row for each block and pack, so no pair is ever a row, and only pairs whose
+    letters can give a name's best score are scored. A roster of usual size is one pack. Blocks
+    have at most BLOCK_NAMES names; they carry names only, and the other columns are joined
+    back by name. Blocks and packs are joined by an ordinary equi join that Spark broadcasts only
+    below its size limit. A missing name is Unmapped. No job runs before the result is asked for.
     """
     packs = pack_roster(roster, pack_size)
     ids = packs.agg(F.collect_set("pack")).scalar()  # one number per pack

@@ -189,8 +189,7 @@ class MonthlyTable:
     def last_seq(self) -> int:
         return self._commits().agg(F.max("last_seq")).first()[0] or 0
 
-    def has_batch(self, stream_id: str, batch_id: int) -> bool:
-        return not self._commits().filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).isEmpty()
+    has_batch = VersionedTable.has_batch
 
     def _index(self, version: int | None = None) -> DataFrame:
         """Segments of a version, the newest unless given: month, folder, part, first_place, n_rows."""
@@ -247,17 +246,18 @@ class MonthlyTable:
         writes. They stand behind the last shuffle, where each row counts once even if tasks
         run again.
         """
-        version, folders, folder = self.latest() + 1, self.folders(), uuid.uuid4().hex
+        folder, newest = uuid.uuid4().hex, self.latest()
+        index = self._index(newest)
+        head = self._commits().filter(F.col("version") == newest).select("month", "folder", "last_seq").distinct().collect()
         touched = {r["month"] for r in batch.select(self.month.alias("month")).distinct().collect()}  # a calendar
-        known = self._read({m: f for m, f in folders.items() if m in touched}).select(*self.schema.names)
+        known = self._read({r["month"]: r["folder"] for r in head if r["month"] in touched}).select(*self.schema.names)
         merged = merge(known, batch).withColumn("month", self.month)
         keys = [F.col("month").asc(), *self.order]
         ordered = merged.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("row_place", F.monotonically_increasing_id())
+        last = F.max("batch_seq") if "batch_seq" in self.schema.names else F.lit(None)
+        asked = {"written": F.count(F.lit(1)), "last_seq": last, **(measures or {})}
         watch = Observation()
-        numbers = "batch_seq" in self.schema.names
-        last = F.max("batch_seq") if numbers else F.lit(None).cast("bigint")
-        asked = {"last_seq": last, **(measures or {})}
-        watched = ordered.observe(watch, F.count(F.lit(1)).alias("written"), *[c.cast("bigint").alias(n) for n, c in asked.items()])
+        watched = ordered.observe(watch, *[c.cast("bigint").alias(n) for n, c in asked.items()])
         path = f"{self.path}/data/{folder}"
         watched.select(*self.stored.names, "month").write.partitionBy("month").parquet(path)
         found = watch.get
@@ -265,16 +265,16 @@ class MonthlyTable:
         constants = {
             "stream_id": F.lit(stream_id).cast("string"),
             "batch_id": F.lit(batch_id).cast("bigint"),
-            "last_seq": F.lit(max(self.last_seq(), found["last_seq"] or 0)).cast("bigint"),
+            "last_seq": F.lit(max([found["last_seq"] or 0, *(r["last_seq"] or 0 for r in head)])).cast("bigint"),
             "measured": F.create_map(*[F.lit(x) for pair in measured.items() for x in pair]).cast(self._COMMIT["measured"].dataType),
         }
-        kept = self._index(version - 1).filter(~F.col("month").isin(*touched)) if touched else self._index(version - 1)
-        index = kept.unionByName(self._segments(path, folder)) if found["written"] else kept
-        if index.isEmpty():  # the commit of an empty batch into an empty table
+        if found["written"]:
+            index = index.filter(~F.col("month").isin(*touched)).unionByName(self._segments(path, folder))
+        elif not any(r["month"] for r in head):  # an empty batch into an empty table is committed as well
             index = self.spark.createDataFrame([(None,) * 5], index.schema)
         commit = index.coalesce(1).withColumns(constants).select(*self._COMMIT.names)
-        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
-        return Fold(version, frozenset(touched), measured)
+        commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={newest + 1}")
+        return Fold(newest + 1, frozenset(touched), measured)
 
     def _segments(self, path: str, folder: str) -> DataFrame:
         """The index of a folder just written: two columns of it are read."""

@@ -1,6 +1,7 @@
 """Golden values and properties of the column expressions."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, dates, labels, numbers, text
-from tallyloom.functions.similarity import score_matrix
+from tallyloom.functions.similarity import best_of
 
 
 def apply(spark, function, values):
@@ -105,14 +106,32 @@ def brute_score(a: str, b: str) -> int:
 words = st.lists(st.text("ABCZ", min_size=1, max_size=9), max_size=14).map(" ".join)
 
 
-@settings(max_examples=60, deadline=None)
+def brute_best(names, entries):
+    scores = [[brute_score(a, b) for b in entries] for a in names]
+    return [max(row) for row in scores], [row.index(max(row)) for row in scores]
+
+
+@settings(max_examples=120, deadline=None)
 @given(st.lists(words, min_size=1, max_size=6), st.lists(words, min_size=1, max_size=6))
-def test_scores_match_the_textbook(names, entries):
-    assert score_matrix(names, entries).tolist() == [[brute_score(a, b) for b in entries] for a in names]
+def test_best_entries_match_the_textbook(names, entries):
+    score, entry, scored = best_of(names, entries)
+    assert (score.tolist(), entry.tolist()) == brute_best(names, entries)
+    assert scored <= len(names) * len(entries)
 
 
 @pytest.mark.parametrize("size", [61, 62, 63, 64, 65, 130])
 def test_scores_of_long_entries(size):
     entry = ("AB" * size)[:size]
     names = [entry, entry[::-1], "A", "", "AB BA" * 20]
-    assert score_matrix(names, [entry, "B"]).tolist() == [[brute_score(a, b) for b in (entry, "B")] for a in names]
+    for entries in ([entry, "B"], ["B", entry], [entry]):
+        score, best, _ = best_of(names, entries)
+        assert (score.tolist(), best.tolist()) == brute_best(names, entries)
+
+
+def test_only_pairs_that_can_be_best_are_scored():
+    rng = random.Random(1)
+    entries = ["".join(rng.choices("ABCDEFGHIJKLMNOPRSTUVWY", k=rng.randint(4, 8))) + " " + "".join(rng.choices("AEIORSTLN", k=6)) for _ in range(200)]
+    names = [e.replace("A", "E", 1) for e in entries]
+    score, best, scored = best_of(names, entries)
+    assert (score.tolist(), best.tolist()) == brute_best(names, entries)
+    assert scored < 0.05 * len(names) * len(entries)

@@ -244,7 +244,8 @@ def test_ids_are_cleaned_on_both_sides(spark):
 def test_missing_names_and_blocks_of_fixed_size(spark, monkeypatch):
     monkeypatch.setattr(fuzzy, "BLOCK_NAMES", 3)
     names = spark.createDataFrame([("ASHA RAO",), (None,), ("",)] + [(f"NAME {chr(65 + i)}",) for i in range(20)], "clean_name string")
-    assert fuzzy.block_names(names.dropna()).selectExpr("max(size(names))").first()[0] < 15
+    blocks = fuzzy.block_names(names.dropna()).selectExpr("max(size(names))", "sum(size(names))", "count(distinct block) = count(1)")
+    assert tuple(blocks.first()) == (3, 22, True)
     roster = spark.createDataFrame([(1, "asha.rao@example.com", "old")], "roster_seq int, email string, team string")
     none = spark.createDataFrame([], "clean_name string, email string")
     found = {r["clean_name"]: r["email"] for r in fuzzy.fuzzy_map(names, roster, none).collect()}
@@ -265,5 +266,7 @@ def test_no_job_runs_while_enrichment_is_planned(spark, fx):
     from checks import registry
 
     spark.sparkContext.setJobGroup("planning", "planning")
-    registry.enriched(type(fx)(spark, fx.sf_dir))
+    fresh = type(fx)(spark, fx.sf_dir)
+    registry.enriched(fresh)
+    registry.by_email(fresh)
     assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))

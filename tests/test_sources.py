@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from checks import registry
 from checks.fixtures import PREFERRED, SENDERS
-from tallyloom.plans.report import Inputs, Options, run_report
-from tallyloom.plans.sales import collate_master
+from tallyloom.plans.report import Inputs, Options, master_report, run_report
+from tallyloom.plans.sales import collate_master, master_table
 from tallyloom.sources import batches, messages, schemas, storage
 from tallyloom.streaming.collation import collate_stream, fold_batch, read_batches
 
@@ -117,7 +117,7 @@ def test_messages(spark):
 def test_stream_folds_every_batch_once(spark, fx, tmp_path):
     first, second = registry.two_batches(fx)
     columns = schemas.SALES_ENRICHED.names
-    folder, master = str(tmp_path / "in"), storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    folder, master = str(tmp_path / "in"), master_table(spark, str(tmp_path / "master"))
 
     def arrive(df):
         df.select(*columns).coalesce(1).write.mode("append").parquet(folder)
@@ -153,7 +153,7 @@ def test_the_later_delivery_wins_inside_a_trigger(spark, fx, tmp_path, files_per
     folder = str(tmp_path / "in")
     for rows in (_sale(5), _sale(1, status="Already Active")):
         _sales(spark, rows).coalesce(1).write.mode("append").parquet(folder)
-    master = storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    master = master_table(spark, str(tmp_path / "master"))
     stream = read_batches(spark, folder, files_per_batch)
     collate_stream(stream, master, fx.roster, fx.override, str(tmp_path / "cp")).awaitTermination()
     (row,) = master.read().collect()
@@ -161,7 +161,7 @@ def test_the_later_delivery_wins_inside_a_trigger(spark, fx, tmp_path, files_per
 
 
 def test_a_stream_with_a_new_checkpoint_loses_no_sale(spark, fx, tmp_path):
-    master = storage.MonthlyTable(spark, str(tmp_path / "master"), schemas.MASTER)
+    master = master_table(spark, str(tmp_path / "master"))
     for at in (1, 2):
         _sales(spark, _sale(at, day=f"2024-05-0{at}")).write.parquet(str(tmp_path / f"in{at}"))
         stream = read_batches(spark, str(tmp_path / f"in{at}"))
@@ -187,10 +187,15 @@ def test_whole_run(spark, fx, tmp_path):
     options = Options(already_before="1996-08-01", since="1996-01-01")
     out = str(tmp_path / "out")
     newest = run_report(spark, inputs, out, options)
-    sizes = {n: spark.read.parquet(f"{out}/{n}").count() for n in ("master_report", "daily_rates", "weekly_rates", "breakdown/email_level")}
+    sizes = {n: spark.read.parquet(f"{out}/{n}").count() for n in ("daily_rates", "weekly_rates", "breakdown/email_level")}
+    sizes["master"] = master_report(spark, out).count()
     assert run_report(spark, inputs, out, options) == newest
-    again = {n: spark.read.parquet(f"{out}/{n}").count() for n in sizes}
-    assert sizes == again and all(sizes.values())
+    again = {n: spark.read.parquet(f"{out}/{n}").count() for n in sizes if n != "master"}
+    assert sizes == {**again, "master": master_report(spark, out).count()} and all(sizes.values())
+    counts = {r["version"]: r for r in spark.read.parquet(f"{out}/collation_counts").collect()}
+    n = batch.count()
+    assert counts[1]["rows_in"] == n == counts[1]["rows_out"] + counts[1]["duplicates"]
+    assert counts[2]["duplicates"] == n and counts[2]["rows_out"] == counts[1]["rows_out"]  # the same batch once more
     trend = storage.VersionedTable(spark, f"{out}/trend", schemas.TREND)
     (row,) = trend.read().collect()
     assert row["data_date"].isoformat() == newest and row["act_denominator"] > 0
@@ -215,10 +220,9 @@ def test_a_fold_leaves_the_files_of_other_months_alone(spark, fx, tmp_path):
 
 
 def test_empty_snapshots_replace_older_ones(spark, tmp_path):
-    from tallyloom.plans.report import _snapshot
+    from tallyloom.plans.report import _series
 
-    rows = spark.createDataFrame([("a@x.org", "old", 3)], schemas.FAV_POOL)
-    path = str(tmp_path / "pool")
-    assert _snapshot(spark, rows.limit(0), path, "2024-05-31").count() == 0
-    assert _snapshot(spark, rows, path, "2024-05-31").count() == 1
-    assert _snapshot(spark, rows.limit(0), path, "2024-05-31").count() == 0
+    rows, path = spark.createDataFrame([("a@x.org", "old", 3)], schemas.FAV_POOL), str(tmp_path / "pool")
+    for part, n in ((rows.limit(0), 0), (rows, 1), (rows.limit(0), 0)):
+        storage.write_table(part, f"{path}/snapshot_date=2024-05-31")
+        assert _series(spark, path, part, "2024-05-31").count() == n
