@@ -155,17 +155,6 @@ def split_batches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second.withColumn("dp_status", F.lit(labels.STATUS_ACTIVATED))
 
 
-@shared
-def first_master(fx: Fixtures) -> DataFrame:
-    """The first delivery as rows of a master, not yet deduplicated."""
-    return sales.daily_rows(written_batches(fx)[0], fx.roster, fx.override, batch_seq=1)
-
-
-@shared
-def master_of(fx: Fixtures) -> DataFrame:
-    return sales.collate_master(first_master(fx), written_batches(fx)[1], fx.roster, fx.override, batch_seq=2)
-
-
 @shared
 def rate_master(fx: Fixtures) -> DataFrame:
     return enriched(fx).select("row_seq", "sale_date", "dp_id", "dp_status")
@@ -1051,9 +1040,11 @@ def folded(fx: Fixtures, path: str, *deliveries: DataFrame) -> tuple[storage.Mon
 @query("collate_master", NUMBERED.format(columns="sale_date, bdm_name, dp_id, net_premium, dp_status, team", source="master"),
        dates=("sale_date",), doubles=("net_premium",))
 def _(fx):
-    """Two overlapping deliveries folded into the months they touch, numbered by the index of months."""
-    master, _ = folded(fx, storage.fresh_path(fx.spark, "collate_master"), *written_batches(fx))
-    return master.numbered().drop("batch_seq", "row_seq")
+    """A master built at once from two overlapping deliveries, whose names are matched together."""
+    first, second = (rows.withColumn("batch_seq", F.lit(seq)) for seq, rows in enumerate(written_batches(fx), 1))
+    nothing = fx.spark.createDataFrame([], schemas.MASTER)
+    master = sales.collate_master(nothing, first.unionByName(second), fx.roster, fx.override, batch_seq=F.col("batch_seq"))
+    return sales.numbered_master(master).drop("batch_seq", "row_seq")
 
 
 LATE = "sale_date BETWEEN DATE '1995-03-01' AND DATE '1995-03-31'"

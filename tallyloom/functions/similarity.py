@@ -14,6 +14,7 @@ this form 4 s for the whole query.
 from __future__ import annotations
 
 import sys
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from .labels import FIRST_LETTER_BONUS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _WORD = 64  # longest entry the bit-parallel form can hold
-_SLICE = 512  # names per matrix
+_CELLS = 1 << 18  # names times entries of a matrix, about
 _PAIRS = 1 << 18  # pairs scored at once
 
 BEST_TYPE = T.StructType(
@@ -106,27 +107,32 @@ def _lcs_rows(names: np.ndarray, entry: np.ndarray) -> np.ndarray:
     return row[:, -1]
 
 
+@lru_cache(maxsize=16)
+def _described(texts: tuple[str, ...]) -> tuple[np.ndarray, ...]:
+    """Letter codes, sizes, signatures and first letters of a block or a pack, which meet many times."""
+    codes = _letters([sort_tokens(t) for t in texts])
+    return codes, np.count_nonzero(codes, axis=1), *_signatures(codes), np.array([t[:1] for t in texts], dtype="U1")
+
+
 def best_of(names: list[str], locals_: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
     """For each name the best score (with first-letter bonus) and its entry, the first of equals; and the pairs scored.
 
     Both are cleaned texts (A..Z, blanks). The letters two texts have in common bound their score.
-    The entry with the highest bound is scored first, and then only those whose bound reaches its
-    score: no other can be better, or as good and earlier.
+    The entries with the highest bounds are scored first, and then only those whose bound reaches the
+    best score so far: no other can be better, or as good and earlier.
     """
-    codes, entries = _letters([sort_tokens(n) for n in names]), _letters([sort_tokens(t) for t in locals_])
-    sizes, entry_sizes = np.count_nonzero(codes, axis=1), np.count_nonzero(entries, axis=1)
+    codes, sizes, mask, beyond, initials = _described(tuple(names))
+    entries, entry_sizes, entry_mask, entry_beyond, entry_initials = _described(tuple(locals_))
     total = np.maximum(sizes[:, None] + entry_sizes[None, :], 1)
-    initials, entry_initials = (np.array([t[:1] for t in texts], dtype="U1") for texts in (names, locals_))
     bonus = FIRST_LETTER_BONUS * ((initials[:, None] == entry_initials[None, :]) & (initials[:, None] != ""))
     some = (sizes > 0)[:, None] & (entry_sizes > 0)[None, :]
 
     def score(lcs: np.ndarray, at=slice(None)) -> np.ndarray:
-        return (np.rint(200.0 * lcs / total[at]) * some[at] + bonus[at]).astype(np.int64)
+        return (np.rint(200.0 * lcs / total[at]) * some[at] + bonus[at]).astype(np.int32)
 
-    (mask, beyond), (entry_mask, entry_beyond) = _signatures(codes), _signatures(entries)
     common = np.bitwise_count(mask[:, None] & entry_mask[None, :]).astype(np.int64)
     bound = score(common + np.minimum(beyond[:, None], entry_beyond[None, :]))
-    exact = np.full(bound.shape, -1, np.int64)
+    exact = np.full(bound.shape, -1, np.int32)
     for at in np.flatnonzero(entry_sizes > _WORD):
         exact[:, at] = bound[:, at] = score(_lcs_rows(codes, entries[at, : entry_sizes[at]])[:, None], (slice(None), slice(at, at + 1)))[:, 0]
 
@@ -137,10 +143,12 @@ def best_of(names: list[str], locals_: list[str]) -> tuple[np.ndarray, np.ndarra
             exact[of_name, of_entry] = score(_lcs_pairs(codes, sizes, entries[:, :_WORD], of_name, of_entry), (of_name, of_entry))
         return len(of_name)
 
-    first = bound.argmax(axis=1)
-    every = np.arange(len(names))
-    scored = settle(every, first)
-    scored += settle(*np.nonzero(bound >= exact[every, first][:, None]))
+    every, scored = np.arange(len(names))[:, None], 0
+    for few in (1, 16):
+        if few < len(locals_):
+            likely = np.argpartition(-bound, few - 1, axis=1)[:, :few]
+            scored += settle(np.repeat(every, few), likely.ravel())
+    scored += settle(*np.nonzero(bound >= exact.max(axis=1, keepdims=True)))
     return exact.max(axis=1), exact.argmax(axis=1), scored
 
 
@@ -155,8 +163,9 @@ def best_entries(names: pd.Series, locals_: pd.Series) -> pd.DataFrame:
         best_score = np.zeros(len(block), dtype=np.int32)
         best_entry = np.full(len(block), -1, dtype=np.int32)
         counts.append(0)
-        for start in range(0, len(block) if len(pack) else 0, _SLICE):
-            part = slice(start, start + _SLICE)
+        step = max(1, _CELLS // max(len(pack), 1))
+        for start in range(0, len(block) if len(pack) else 0, step):
+            part = slice(start, start + step)
             best_score[part], best_entry[part], scored = best_of(list(block[part]), list(pack))
             counts[-1] += scored
         scores.append(best_score)

@@ -21,7 +21,7 @@ from .skew import hot_keys_of, lookup_join
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_NAMES = 4096  # names per block, at most
-ROSTER_PACK = 256  # roster entries per pack, at most
+ROSTER_PACK = 1024  # roster entries per pack, at most
 
 
 def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
