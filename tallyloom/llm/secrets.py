@@ -2,28 +2,35 @@
 
 Candidates are all runs of at least twelve letters and digits, a digit among them, wherever they stand
 in a word, and values of any kind that a credential word announces and assigns. Each is described by its length, its character classes and their transitions, how much of it the
-corpus's own vocabulary covers, its path and its neighbouring words. A random forest trained on
-labelled findings decides which candidates are secrets. Labels come from a table, or, without one,
-from findings that formats and wording leave no doubt about; the forest decides about all others too.
+corpus's own vocabulary covers, how likely its letter pairs are in that vocabulary, its path and what
+its neighbouring words say. A random forest trained on labelled findings decides which candidates are
+secrets. Labels come from a table, or, without one, from findings that formats and wording leave no
+doubt about; the forest, which also sees these without the signs that labelled them, decides about
+all others.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
 #: Distinct labelled findings that the forest is trained on, about: more are thinned, each class by its own rate.
 LABELLED_FINDINGS = 20_000
-#: Documents in which a word occurs at least to count as vocabulary.
-VOCABULARY_DOCS = 5
+#: Share of the distinct texts that a word occurs in at least to count as vocabulary, and the texts it needs in a small corpus.
+VOCABULARY_SHARE, VOCABULARY_TEXTS = 1e-4, 5
+#: Groups of copies above this part of the rows, fewer than its inverse, are looked up when words are counted.
+_COPIES = 20_000
+#: Labelled findings beside which a word stands at least to say something about others.
+NEIGHBOUR_FINDINGS = 5
 
 # Prefixes of credential formats, and words that announce a credential.
 FORMATS = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|AIza[A-Za-z0-9_-]{35}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+)+)(?:\..*)?$"
@@ -46,12 +53,16 @@ _FIRST = rf"(?<=^[\"'`(\[{{]{{0,3}}){_ANY}"
 # (text since the value before)(value), and eight characters after it. \\G: no second look at a tail without values.
 _VALUES = rf"(?s)\G(.*?)({_USER}|{_TOLD}|{_PARTS}|{_RUN})(?=(.{{0,8}}))"
 _VALUES_TOLD = rf"(?s)\G(.*?)({_FIRST}|{_USER}|{_TOLD}|{_PARTS}|{_RUN})(?=(.{{0,8}}))"
-#: Characters kept of the text before a value.
+#: Characters kept of the text before a value: a longer key or address is read from its end.
 _NEAR = 200
+#: Log probability of a letter pair that the vocabulary lacks.
+_RARE_PAIR = -8.0
 FEATURES = [
-    "length", "digits", "upper", "lower", "others", "hex", "transitions", "runs", "coverage",
+    "length", "digits", "upper", "lower", "others", "hex", "transitions", "runs", "coverage", "pairs", "neighbours",
     "in_path", "path_test", "at_sign", "dotted", "announced", "announced_before", "assigned", "quoted", "format", "numeric",
 ]
+#: Inputs that beyond_doubt() labels by. The forest is trained with them and, on masked copies, without.
+LABELLED_BY = ["digits", "coverage", "in_path", "at_sign", "announced", "announced_before", "assigned", "format", "numeric"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -113,11 +124,66 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.filter(long | F.col("own") | F.col("value").rlike(FORMATS))
 
 
-def vocabulary(docs: DataFrame, least: int = VOCABULARY_DOCS) -> DataFrame:
-    """(fragment): lower-cased words of letters that occur in at least `least` documents."""
-    words = F.array_distinct(F.split(F.lower(F.col("text").cast("string")), _BLANK))
-    words = docs.select(F.explode(words).alias("fragment")).filter(F.col("fragment").rlike(r"^\p{L}{3,24}$"))
-    return words.groupBy("fragment").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("fragment")
+def vocabulary(docs: DataFrame, share: float = VOCABULARY_SHARE, least: int = VOCABULARY_TEXTS) -> DataFrame:
+    """(fragment): lower-cased words of letters that occur in at least this share of the distinct texts.
+
+    A row of a group of copies counts for its part of one text. Smaller groups than 1 / _COPIES of
+    the rows could not make a word vocabulary; their rows count whole.
+    """
+    text = F.col("text").cast("string")
+    rows = docs.select(text.alias("text"), F.xxhash64(text).alias("mark"))
+    marks = stored(rows.groupBy("mark").agg(F.count("*").alias("n")), "marks")
+    total = marks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("texts")).first()
+    many = F.broadcast(marks.filter(F.col("n") * _COPIES > total["rows"]))  # fewer than _COPIES rows
+    rows = rows.join(many, "mark", "left").withColumn("weight", 1 / F.coalesce("n", F.lit(1)))
+    words = F.array_distinct(F.split(F.lower("text"), _BLANK))
+    words = rows.select(F.explode(words).alias("fragment"), "weight").filter(F.col("fragment").rlike(r"^\p{L}{3,24}$"))
+    needed = max(least, share * total["texts"]) - 1e-6
+    return words.groupBy("fragment").agg(F.sum("weight").alias("n")).filter(F.col("n") >= needed).select("fragment")
+
+
+def letter_pairs(known: DataFrame) -> DataFrame:
+    """(pair, log): log probability of the second of two letters a-z after the first, in the vocabulary; 676 rows at most."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length("fragment") - 1), lambda i: F.substring("fragment", i, F.lit(2)))
+    pairs = known.select(F.explode(pairs).alias("pair")).filter(F.col("pair").rlike("^[a-z]{2}$")).groupBy("pair").agg(F.count("*").alias("n"))
+    first = Window.partitionBy(F.substring("pair", 1, 1))
+    return pairs.select("pair", F.log((F.col("n") + 0.5) / (F.sum("n").over(first) + 13)).alias("log"))
+
+
+def _pair_likelihood(values: DataFrame, known: DataFrame) -> DataFrame:
+    """(value, pairs): mean log probability of the letter pairs of distinct values; pairs the vocabulary lacks have a floor."""
+    low = F.lower("value")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(2)))
+    each = values.select("value", F.explode(pairs).alias("pair")).filter(F.col("pair").rlike("^[a-z]{2}$"))
+    each = each.join(F.broadcast(letter_pairs(known)), "pair", "left")
+    return each.groupBy("value").agg(F.avg(F.coalesce("log", F.lit(_RARE_PAIR))).alias("pairs"))
+
+
+def neighbours(rows: DataFrame) -> DataFrame:
+    """`rows` with `words`: the words of letters around a value, without those that announce a credential."""
+    text = F.lower(F.concat_ws(" ", "key", "before", "earlier"))
+    words = F.filter(F.array_distinct(F.split(text, "[^a-z]+")), lambda w: (F.length(w) >= 3) & ~w.rlike(ANNOUNCED))
+    return rows.withColumn("words", words)
+
+
+def with_neighbours(rows: DataFrame) -> DataFrame:
+    """Rows (with label) with `neighbours`: how much the words around a value speak for a secret, on average.
+
+    A word's weight is the logarithm of its odds among distinct labelled values, against all of them.
+    A labelled row's own value does not count for it.
+    """
+    rows = neighbours(rows).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows, "neighbours")
+    each = rows.select("row", "value", "label", F.explode("words").alias("word"))
+    told = each.filter("label is not null").select("value", "label", "word").distinct()
+    one = F.col("label")
+    seen = told.groupBy("word").agg(F.sum(one).alias("ones"), F.count("*").alias("all")).filter(F.col("all") >= NEIGHBOUR_FINDINGS)
+    overall = told.select("value", "label").distinct().agg(F.coalesce(F.avg("label"), F.lit(0.5))).first()[0]
+    own, mine = F.coalesce(one, F.lit(0.0)), F.col("label").isNotNull().cast("double")
+    ones, all_ = F.col("ones") - own, F.col("all") - mine
+    odds = F.log((ones + overall) / (all_ - ones + 1 - overall)) - math.log((overall + 1e-6) / (1 - overall + 1e-6))
+    weighed = each.join(seen, "word").groupBy("row").agg(F.avg(odds).alias("neighbours"))
+    return rows.join(weighed, "row", "left").withColumn("neighbours", F.coalesce("neighbours", F.lit(0.0))).drop("row", "words")
 
 
 def described(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -125,7 +191,7 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
     parts = F.filter(F.split(F.lower("value"), "[^a-z]+"), lambda p: F.length(p) >= 3)
     own = found.select("value").distinct().select("value", F.explode(parts).alias("fragment")).distinct()
     covered = own.join(known, "fragment", "left_semi").groupBy("value").agg(F.sum(F.length("fragment")).alias("covered"))
-    rows = found.join(covered, "value", "left")
+    rows = found.join(covered, "value", "left").join(_pair_likelihood(found.select("value").distinct(), known), "value", "left")
     size = F.length("value")
 
     def share(pattern: str):
@@ -146,6 +212,7 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         "transitions": (runs - 1) / size,
         "runs": runs.cast("double"),
         "coverage": F.coalesce(F.col("covered"), F.lit(0)) / size,
+        "pairs": F.coalesce(F.col("pairs"), F.lit(0.0)),
         "in_path": flag(~F.col("user") & (F.concat(key, F.substring("value", 1, 2)).rlike(r"://|\\") | F.col("tail").rlike(r"^\.[A-Za-z]{1,5}(?![A-Za-z0-9])"))),
         "path_test": flag(F.col("path").rlike(r"(?i)test|example|sample|fixture")),
         "at_sign": flag(~F.col("user") & (key.contains("@") | F.startswith(F.col("tail"), F.lit("@")))),
@@ -173,11 +240,12 @@ def beyond_doubt():
     return F.when((F.col("format") == 1) | certain, 1.0).when(plain | (harmless & ~told), 0.0)
 
 
-def training(rows: DataFrame) -> DataFrame:
+def training(rows: DataFrame, masked: bool = True) -> DataFrame:
     """(label, weight, features): the labelled findings among `rows`, each described value once, thinned.
 
     A class under half of LABELLED_FINDINGS is kept whole; the other gets what is left. Weights
-    restore the proportion of the classes.
+    restore the proportion of the classes. With ``masked`` each finding is given twice, once with
+    nothing to see of LABELLED_BY, so that the other inputs are learned too.
     """
     named = stored(rows.filter("label is not null").select("label", "value", *FEATURES).distinct(), "named")
     counts = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}
@@ -186,15 +254,18 @@ def training(rows: DataFrame) -> DataFrame:
     share = {label: min(1.0, max(half, LABELLED_FINDINGS - few) / n) if n > few else min(1.0, half / n) for label, n in counts.items()}
     rate = F.when(F.col("label") == 1, share.get(1.0, 1.0)).otherwise(share.get(0.0, 1.0))
     chosen = named.filter(F.pmod(F.xxhash64("value", *FEATURES), F.lit(1_000_000_000)) < rate * 1_000_000_000)
-    return stored(chosen.select("label", (1 / rate).alias("weight"), *FEATURES), "labelled")
+    chosen = chosen.select("label", (1 / rate).alias("weight"), *FEATURES)
+    if masked:
+        chosen = chosen.unionByName(chosen.withColumns({c: F.lit(0.0) for c in LABELLED_BY}))
+    return stored(chosen, "labelled")
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20) -> DataFrame:
     """One row per candidate: doc_id, mark, place (word from 0), value, probability, secret.
 
-    labelled: findings (value, label 0/1) from a review; without it beyond_doubt() labels. With one
-    class of label only there is nothing to learn, and the label rule decides alone (undecided
-    candidates are no secrets). Null and empty texts have no candidates; a null doc_id stays null;
+    labelled: findings (value, label 0/1) from a review; without it beyond_doubt() labels, what it
+    labels stays so, and the forest decides about all others. With one class of label only there is
+    nothing to learn, and the label rule decides alone (undecided candidates are no secrets). Null and empty texts have no candidates; a null doc_id stays null;
     repeated rows give repeated findings. Columns besides doc_id, text and source are not read.
     """
     rows = stored(candidates(docs), "candidates")
@@ -204,7 +275,8 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20
     else:
         named = labelled.filter("label is not null").groupBy("value").agg(F.max("label").cast("double").alias("label"))
         rows = rows.join(named, "value", "left")
-    chosen = training(rows)
+    rows = stored(with_neighbours(rows), "weighed")
+    chosen = training(rows, masked=labelled is None)
     out = ["doc_id", "mark", "place", "value", "probability", "secret"]
     if chosen.select("label").distinct().count() < 2:
         certain = F.coalesce("label", F.lit(0.0))
@@ -212,8 +284,11 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, trees: int = 20
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=6, seed=7, cacheNodeIds=False)
     model = forest.fit(vectors.transform(chosen))
-    judged = model.transform(vectors.transform(rows.drop("label")))
-    judged = judged.withColumn("chance", vector_to_array("probability")[1]).drop("probability")
+    judged = model.transform(vectors.transform(rows.withColumnRenamed("label", "known_label")))
+    chance = vector_to_array("probability")[1]
+    if labelled is None:
+        chance = F.coalesce("known_label", chance)
+    judged = judged.withColumn("chance", chance).drop("probability")
     return judged.withColumn("probability", F.col("chance")).withColumn("secret", F.col("chance") >= 0.5).select(*out)
 
 
@@ -224,7 +299,11 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 
 def without_secrets(docs: DataFrame, labelled: DataFrame | None = None, replacement: str = "[SECRET]") -> DataFrame:
-    """`docs`, all columns, with every secret in `text` replaced; no row goes."""
+    """`docs`, all columns, with every secret in `text` replaced; no row goes.
+
+    Null and empty texts stay as they are; repeated rows are replaced alike, with or without a doc_id;
+    an empty table stays empty.
+    """
     secret = findings(docs, labelled).filter("secret")
     # One row for each document with a secret, longest values first. Short ones go where something assigns them only.
     values = secret.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("size"), "value"))).alias("secrets"))
