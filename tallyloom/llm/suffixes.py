@@ -32,6 +32,8 @@ from .common import map_batches, spark_schema, stored
 
 #: Contexts of one gram that one task sorts.
 GROUP = 2048
+#: Fewer keys than this may have more than its inverse part of the rows.
+_HOT = 1000
 _GRAM = 40
 #: Windows sorted at once.
 _WINDOWS = 1 << 18
@@ -175,6 +177,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("mark", F.xxhash64(text))
 
 
+def _semi(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are in `counted` (keys, n: how many rows have them).
+
+    Keys with more than a 1 / _HOT part of the rows, fewer than _HOT, are broadcast, so no common gram
+    or passage is shuffled to one task; the others are joined.
+    """
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(stored(counted.filter(F.col("n") * _HOT > total).select(*keys), "hot"))
+    others = rows.join(hot, keys, "left_anti").join(counted.filter(F.col("n") * _HOT <= total).select(*keys), keys, "left_semi")
+    return rows.join(hot, keys, "left_semi").unionByName(others)
+
+
 def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     """(id, mark, start, end): pieces of texts whose every byte a repeated span covers; they may overlap.
 
@@ -184,20 +198,18 @@ def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     keyed = _keyed(docs).select("id", "mark", "text")
     found = map_batches(keyed, lambda batch: _anchor_rows(batch, span), _ANCHORS)
     found = stored(found, "anchors")
-    # Counts are stored before they are joined, so that Spark can split a common gram in the join.
-    twice = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
-    found = stored(found.join(twice, "gram", "left_semi"), "anchors")
+    twice = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
+    found = stored(_semi(found, twice, ["gram"]), "anchors")
     first = F.min(F.struct("id", "mark", "lo", "hi", "place")).alias("first")
     contexts = stored(found.groupBy("gram", "context").agg(F.count("*").alias("n"), first), "contexts")
-    copies = contexts.filter("n > 1").select("gram", "context")
-    whole = found.join(copies, ["gram", "context"], "left_semi").select("id", "mark", F.col("lo").alias("start"), (F.col("hi") + span).alias("end"))
+    copies = contexts.filter("n > 1").select("gram", "context", "n")
+    whole = _semi(found, copies, ["gram", "context"]).select("id", "mark", F.col("lo").alias("start"), (F.col("hi") + span).alias("end"))
     mixed = stored(contexts.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "mixed")
     border = contexts.join(mixed, "gram").select("first.*", "gram", "n", (F.col("m") > GROUP).alias("hot"))
     wanted = border.groupBy(*_KEY).agg(F.collect_list(F.struct("place", "lo", "hi", "gram", "n", "hot")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"id": "wanted_id", "mark": "wanted_mark"})
-    once = keyed.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("mark") == F.col("wanted_mark")))
+    once = keyed.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("mark") == F.col("wanted_mark"))).dropDuplicates(_KEY)
     suffixes = map_batches(once.select("id", "mark", "text", "wanted"), lambda batch: _suffix_rows(batch, span), _SUFFIXES)
-    # Copies of a text would give their contexts once each, and a context of them occurs twice already.
     suffixes = stored(suffixes, "suffixes")
     sorted_ = suffixes.filter("digest is null").select("id", "mark", "gram", "lo", "alone", "bytes", "lead")
     sorted_ = sorted_.repartitionByRange("lead", "gram").sortWithinPartitions("lead", "gram").drop("lead")
@@ -224,7 +236,8 @@ def _cut(text: str | None, pieces: list | None) -> tuple[bytes, bytes, int]:
 def _with_pieces(docs: DataFrame, span: int) -> DataFrame:
     keyed = _keyed(docs)
     pieces = repeated_spans(docs.select("id", "text"), span)
-    pieces = pieces.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("pieces"))
+    # Rows of one id and text have the same pieces: as a set they are no more than the text has anchors.
+    pieces = pieces.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("pieces"))
     pieces = pieces.withColumnsRenamed({"id": "piece_id", "mark": "piece_mark"})
     same = F.col("id").eqNullSafe(F.col("piece_id")) & (F.col("mark") == F.col("piece_mark"))
     return keyed.join(pieces, same, "left").drop("mark", "piece_id", "piece_mark")
@@ -257,7 +270,9 @@ def removal_digest(docs: DataFrame, span: int = 200) -> DataFrame:
 def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     """`docs`, all columns, with every repeated span cut out of `text` (what is left of a split character is dropped).
 
-    A document's other copies lose the span too, as the contract of removal says; no row goes.
+    A document's other copies lose the span too, as the contract of removal says; no row goes. Null
+    texts stay null, empty and short ones as they are; repeated rows are cut alike, with or without a
+    doc_id; an empty table stays empty.
     """
     names = docs.columns
     held = docs.select(F.col("doc_id").alias("id"), F.col("text"), F.struct("*").alias("doc"))
