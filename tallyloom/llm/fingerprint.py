@@ -13,12 +13,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spark_schema
+from .common import ROWS, spark_schema, stored
 
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _LEAST, _LENGTH, _COMMON = 3, 64, 7
@@ -121,68 +121,71 @@ _ROWS = pa.schema(
 )
 
 
+_INSIDE, _HEAD, _TAIL = 0, 1, 2
+_WALKED = pa.schema([*_ROWS, ("edge", pa.int32()), ("part", pa.int32()), ("text", pa.string())])
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """batches: (bucket, guest, doc_id, text) in order; a bucket's guest stands at its end."""
-    before: tuple | None = None
+    """Of (doc_id, text) in order: each row compared with the next; the first and the last row of the task as its edges."""
+    part, before = TaskContext.get().partitionId(), None
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            out: list[tuple] = []
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(start, ROWS).columns)):
+                row = (doc_id, text or "", fingerprint((text or "").encode()))
+                if before is None:
+                    out.append(_edge(row, _HEAD, part))
+                else:
+                    out.append((*_compare(*before, row[1], row[2]), _INSIDE, part, None))
+                before = row
+            yield _batch(out, _WALKED)
+    if before is not None:
+        yield _batch([_edge(before, _TAIL, part)], _WALKED)
+
+
+def _edge(row: tuple, edge: int, part: int) -> tuple:
+    return (row[0], None, None, None, None, None, None, edge, part, row[1])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (doc_id, text, following text): the last rows of the tasks."""
     for batch in batches:
-        out: list[tuple] = []
-        for bucket, guest, doc_id, text in zip(*(batch[c].to_pylist() for c in range(4))):
-            text = text or ""
-            if guest and (before is None or before[0] != bucket or before[1]):
-                before = (bucket, True, doc_id, text, "")  # copies of a guest, or a guest alone
-                continue
-            own = fingerprint(text.encode())
-            if before is not None and before[0] == bucket and not before[1]:
-                out.append(_compare(before, text, own))
-            before = (bucket, guest, doc_id, text, own)
-        columns = zip(*out) if out else [[]] * len(_ROWS)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS)], schema=_ROWS)
-
-
-def _compare(row: tuple, following: str, near: str) -> tuple:
-    _, _, doc_id, text, own = row
+        for start in range(0, batch.num_rows, 16):
+            rows = zip(*(c.to_pylist() for c in batch.slice(start, 16).columns))
+            yield _batch([_compare(d, t, fingerprint(t.encode()), f, fingerprint(f.encode())) for d, t, f in rows], _ROWS)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _compare(doc_id: int | None, text: str, own: str, following: str, near: str) -> tuple:
     third = len(text) // 3
     edited = (text[: len(text) - third] + following[:third]).encode()
     changed = fingerprint(edited)
     return doc_id, len(text), hashlib.sha256(edited).hexdigest(), own, changed, likeness(own, changed), likeness(own, near)
 
 
-#: Documents of one bucket, about.
-BUCKET = 4096
-
-
-def compared(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def compared(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and the likeness to that and to the next document's.
 
     Documents follow each other by falling doc_id, nulls last, rows of one id by a hash of the text;
     after the last comes the first (a single document follows itself). Null texts are empty. Other
-    columns are not read. Ranges of ids, cut at quantiles of all ids, are buckets; the first document
-    of a bucket is also sent, as a guest, to the end of the bucket before. The only things that leave
-    the executors are the cuts and one row for each bucket.
+    columns are not read. The documents are range partitioned in this order, so that rows of one id
+    or without one spread as well; each task compares its rows in passing, and its last row is joined
+    with the first of the next task that has rows. ``partitions`` is the number of ranges, Spark's
+    choice unless given.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = rows.count()
-    buckets = max(1, n // bucket)
-    cuts = sorted(set(rows.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets))) if buckets > 1 else []
-    spark, edges = docs.sparkSession, np.array(cuts, float)
-
-    @F.pandas_udf("int")
-    def bucket_of(doc_id):  # the number of cuts greater than the id; all of them where it is null
-        above = len(edges) - np.searchsorted(edges, doc_id.to_numpy(float), "right")
-        return pd.Series(np.where(doc_id.isna(), len(edges), above).astype(np.int32))
-
-    rows = rows.withColumn("bucket", bucket_of("doc_id"))
-    rows = rows.withColumn("order", F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.xxhash64("text")))
-    heads = rows.groupBy("bucket").agg(F.min("order").alias("head")).orderBy("bucket").collect()
-    numbers = [h["bucket"] for h in heads]
-    host = spark.createDataFrame(
-        [(b, h["head"], numbers[i - 1]) for i, (b, h) in enumerate(zip(numbers, heads))],
-        rows.select("bucket", F.col("order").alias("head"), F.col("bucket").alias("host")).schema,
-    )
-    # One row for each bucket.
-    placed = rows.join(F.broadcast(host), "bucket", "left")
-    copies = F.array(F.struct(F.lit(False).alias("guest"), F.col("bucket").alias("bucket")), F.struct(F.lit(True).alias("guest"), F.col("host").alias("bucket")))
-    copies = F.when(F.col("order") == F.col("head"), copies).otherwise(F.slice(copies, 1, 1))
-    dealt = placed.select(F.explode(copies).alias("to"), "doc_id", "text", "order").select("to.bucket", "to.guest", "doc_id", "text", "order")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", "order").select("bucket", "guest", "doc_id", "text")
-    return dealt.mapInArrow(_walk, spark_schema(_ROWS))
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())  # copies spread too
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").asc(), F.col("nth").asc()]
+    dealt = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
+    walked = stored(dealt.select("doc_id", "text").mapInArrow(_walk, spark_schema(_WALKED)), "walked")
+    tails, heads = (walked.filter(F.col("edge") == edge).select("part", "doc_id", "text") for edge in (_TAIL, _HEAD))
+    parts = heads.select("part").orderBy("part")  # a number for each task
+    follows = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy()))
+    pairs = tails.join(parts.select("part", follows.alias("next_part")), "part")
+    heads = heads.select(F.col("part").alias("next_part"), F.col("text").alias("following"))
+    ends = pairs.join(heads, "next_part").select("doc_id", "text", "following").mapInArrow(_across, spark_schema(_ROWS))
+    return walked.filter(F.col("edge") == _INSIDE).select(*_ROWS.names).unionByName(ends)
