@@ -34,7 +34,7 @@ MOST_NODES = (64 << 20) // 16
 #: Words looked up in the task; the others are joined.
 COMMON_WORDS = 50_000
 _END = b"\xff"  # not a byte of UTF-8: before and after each text
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
 _MEMO = 20
 #: Grams that a task counts before it gives them out; an eighth as many words.
 _HELD = 1 << 21
