@@ -66,6 +66,11 @@ LICENSES = [
         " Public License as published by the Free Software Foundation, either version 3 of the License"),
     (8, "This program is free software: you can sell it and/or modify it under the terms of the GNU General"
         " Public License as published by the Free Software Foundation, either version 3 of the License"),
+    (9, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)"
+        " any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
+        " without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General"
+        " Public License for more details."),
 ]
 
 
@@ -87,18 +92,97 @@ def test_license_phrases_and_templates(spark):
     assert rows[1]["labels"] == "mit,mit-notice" and rows[1]["score"] == 1
     assert rows[3]["labels"] == "cc-by-nc-4.0-notice"
     assert rows[4]["labels"] == "" and rows[4]["score"] == 0
-    assert "gpl-notice" in rows[7]["labels"] and rows[8]["labels"] == "gpl"  # mandatory wording differs
+    assert (rows[7]["labels"], rows[7]["score"]) == ("gpl", 0.7)  # a beginning
+    assert (rows[8]["labels"], rows[8]["score"]) == ("gpl", 0.5)  # mandatory wording differs
+    assert (rows[9]["labels"], rows[9]["score"]) == ("gpl,gpl-notice", 1)
     assert licenses.licenses(documents(spark, [])).count() == 0
 
 
 def test_template_regions():
     automaton = licenses.Automaton("start [[maybe [[more]]]] {{2}} end")
-    accepted = {t: automaton.longest(t.encode().split(), 0) for t in (
+    accepted = {t: automaton.longest(t.encode().split(), 0)[0] for t in (
         "start end", "start maybe end", "start maybe more end", "start a b end", "start a b c end", "start more x end", "maybe end", "start",
     )}
     assert list(accepted.values()) == [2, 3, 4, 4, 0, 4, 0, 0]
 
 
+def accepts(template, words):
+    """The same by taking the template apart: every text that a short template stands for is listed."""
+
+    def texts(parts):
+        if not parts:
+            return {()}
+        head, rest = parts[0], texts(parts[1:])
+        if head == "[[":
+            depth, end = 1, 1
+            while depth:
+                depth += {"[[": 1, "]]": -1}.get(parts[end], 0)
+                end += 1
+            return {a + b for a in {(), *texts(parts[1 : end - 1])} for b in texts(parts[end:])}
+        if head == "||":
+            return rest
+        if head.startswith("{{"):
+            return {("*",) * n + t for n in range(int(head[2:-2]) + 1) for t in rest}
+        return {(head, *t) for t in rest}
+
+    ways = texts(licenses._MARKUP.findall(template))
+    return max((len(w) for w in ways if len(w) <= len(words) and all(x in ("*", y) for x, y in zip(w, words))), default=0)
+
+
+def test_automata_accept_what_the_template_lists():
+    rng = random.Random(5)
+    for _ in range(300):
+        template, opened = [], 0
+        for _ in range(rng.randint(1, 8)):
+            kind = rng.random()
+            if kind < 0.2:
+                template.append("[[")
+                opened += 1
+                template.append(rng.choice("abc"))
+            elif kind < 0.3 and opened:
+                template.append("]]")
+                opened -= 1
+            elif kind < 0.4:
+                template.append("{{%d}}" % rng.randint(1, 2))
+            else:
+                template.append(rng.choice("abc"))
+        template = " ".join([*template, *["]]"] * opened])
+        text = [rng.choice("abc") for _ in range(rng.randint(0, 8))]
+        assert licenses.Automaton(template).longest([w.encode() for w in text], 0)[0] == accepts(template, text)
+
+
+def wording(label, **fill):
+    """A template as a text: optional parts left out, replaceable ones filled."""
+    text = licenses.TEMPLATES[label].replace("||", "")
+    while "[[" in text:
+        text = re.sub(r"\[\[[^\[\]]*\]\]", "", text)
+    return re.sub(r"\{\{\d+\}\}", "the acme people", text)
+
+
+@pytest.mark.parametrize("label", [x for x in licenses.TEMPLATES if "||" in licenses.TEMPLATES[x]])
+def test_whole_wording_is_accepted_and_altered_wording_is_not(label):
+    text = wording(label)
+    row = licenses.scan("Copyright (c) 2020 Acme. " + text.upper() + " The end.")
+    assert label in row["labels"].split(",") and row["score"] == 1
+    found = text.split()
+    beginning = len(wording_of_beginning(label).split())
+    for at in (at for at in (beginning, beginning + 3, len(found) - 1) if found[at] not in ("the", "acme", "people")):
+        altered = licenses.scan(" ".join(found[:at] + ["never"] + found[at + 1 :]))
+        assert label not in altered["labels"].split(",") and altered["score"] <= (1 if altered["labels"] else 0.7)
+        cut = licenses.scan(" ".join(found[:at]) + " never by banks, and never commercially")
+        assert label not in cut["labels"].split(",")
+        assert cut["score"] == 0.7 or "reference" in cut["labels"]
+
+
+def wording_of_beginning(label):
+    saved = licenses.TEMPLATES[label]
+    try:
+        licenses.TEMPLATES[label] = saved.split("||")[0]
+        return wording(label)
+    finally:
+        licenses.TEMPLATES[label] = saved
+
+
 # --- quality -----------------------------------------------------------------------------------
 def plain_measures(text):
     found = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -131,10 +215,10 @@ def test_hosts_are_shrunk_to_the_common_rate(spark):
 
 
 # --- fingerprints ------------------------------------------------------------------------------
-@pytest.mark.parametrize("bucket", [3, 4096])
-def test_fingerprints_follow_the_order_of_ids(spark, bucket):
+@pytest.mark.parametrize("partitions", [None, 1, 3, 50])
+def test_fingerprints_follow_the_order_of_ids(spark, partitions):
     unique = [(i, t) for i, t in dict(TEXTS).items() if i is not None] + [(None, None)]
-    found = fingerprint.compared(documents(spark, unique), bucket=bucket)
+    found = fingerprint.compared(documents(spark, unique), partitions)
     assert found.count() == len(unique)
     rows = by_id(found)
     order = sorted((i for i, _ in unique if i is not None), reverse=True)
@@ -148,16 +232,64 @@ def test_fingerprints_follow_the_order_of_ids(spark, bucket):
         assert row["fingerprint"] == fingerprint.fingerprint(text.encode())
         assert row["edited_fingerprint"] == fingerprint.fingerprint(edited.encode())
         assert row["near_next"] == pytest.approx(fingerprint.likeness(row["fingerprint"], fingerprint.fingerprint(after.encode())))
-        assert 0 <= row["near_edited"] <= 1
+        assert row["near_edited"] == pytest.approx(fingerprint.likeness(row["fingerprint"], row["edited_fingerprint"]))
 
 
 def test_fingerprints_of_repeated_rows_and_of_none(spark):
-    assert fingerprint.compared(documents(spark), bucket=2).count() == len(TEXTS)
-    assert fingerprint.compared(documents(spark, []), bucket=2).count() == 0
-    (row,) = fingerprint.compared(documents(spark, [(1, "abc def")]), bucket=2).collect()
+    assert fingerprint.compared(documents(spark), 4).count() == len(TEXTS)
+    assert fingerprint.compared(documents(spark, []), 2).count() == 0
+    (row,) = fingerprint.compared(documents(spark, [(1, "abc def")]), 2).collect()
     assert row["near_next"] == 1
 
 
+def test_rows_of_one_id_and_without_id_follow_each_other_too(spark):
+    rows = [(7, words(20, i)) for i in range(100)] + [(None, words(20, 200 + i)) for i in range(100)] + [(i, "same") for i in (1, 2)] + [(9, "same")] * 100
+    out = fingerprint.compared(documents(spark, rows), 8).collect()
+    assert len(out) == len(rows) and sum(r["doc_id"] == 7 for r in out) == sum(r["doc_id"] is None for r in out) == 100
+    assert sum(r["doc_id"] == 9 and r["near_next"] == 1 for r in out) == 99  # copies follow copies
+    assert len({r["fingerprint"] for r in out}) == 201
+
+
+def plain_fingerprint(data):
+    """The signature byte by byte."""
+    step, mask = int(fingerprint._STEP), (1 << 64) - 1
+    value = [int(v) for v in fingerprint._VALUES]
+
+    def mixed(chunk):
+        return sum(value[b] * pow(step, i, 1 << 64) for i, b in enumerate(chunk)) & mask
+
+    ends_at = []
+    for end in range(7, len(data) + 1):
+        x = mixed(data[end - 7 : end])
+        ends_at.append(((x ^ x >> 33) * step & mask) >> 16)
+
+    def ends(size):
+        return [7 + i for i, x in enumerate(ends_at) if x % size == size - 1]
+
+    def signature(size):
+        cuts = ends(size)
+        cuts = cuts[:63] if len(cuts) >= 64 else cuts
+        cuts = cuts if cuts and cuts[-1] == len(data) else [*cuts, len(data)]
+        out = ""
+        for start, end in zip([0, *cuts], cuts):
+            x = mixed(data[start:end])
+            out += chr(fingerprint._LETTERS[((x ^ x >> 32) * step & mask) >> 58])
+        return out
+
+    size = 3
+    while size * 64 < len(data):
+        size *= 2
+    while size > 3 and len(ends(size)) + 1 < 32:
+        size //= 2
+    return f"{size}:{signature(size)}:{signature(2 * size)}" if data else "3::"
+
+
+@pytest.mark.parametrize("n", [0, 1, 6, 7, 8, 100, 191, 192, 193, 1500, 5000])
+def test_signatures_are_those_of_the_plain_form(n):
+    data = words(2000, n).encode()[:n]
+    assert fingerprint.fingerprint(data) == plain_fingerprint(data)
+
+
 def test_likeness():
     text = words(400, 3)
     one = fingerprint.fingerprint(text.encode())
@@ -204,6 +336,70 @@ def test_toxicity_is_learned_and_disguises_are_undone(spark):
     assert toxicity.without_toxic(documents(spark, rows), labels).count() == len(rows) - 104
 
 
+def plain_decode(token, model, apart):
+    """Every path through the lattice."""
+    best = []
+
+    def walk(at, state, cost, word, seen):
+        if at == len(token):
+            best.append((cost + model.cost(state, "$"), word))
+            return
+        char = token[at]
+        mark = char in toxicity._APART or char.isspace()
+        letters = [(char, 0.0)] if char.isalpha() else []
+        letters += [(x, toxicity._CHANGE) for x in toxicity.LEET.get(char, "")]
+        then = seen if apart and mark else char
+        for letter, change in letters:
+            walk(at + 1, state[1] + letter, cost + change + model.cost(state, letter), word + letter, then)
+            if seen == char and word.endswith(letter):
+                walk(at + 1, state, cost + toxicity._REPEAT, word, then)
+        if not letters or mark:
+            walk(at + 1, state, cost + toxicity._DROP, word, then)
+        if apart and mark and state != "^^":
+            walk(at + 1, "^^", cost + toxicity._BREAK + model.cost(state, "$"), word + " ", then)
+
+    walk(0, "^^", 0.0, "", "")
+    return min(best)
+
+
+def test_decoding_finds_the_cheapest_path():
+    counts = Counter()
+    for word in words(400, 3).split() + ["stupid"] * 20:
+        line = f"^^{word}$"
+        counts.update(line[i : i + 3] for i in range(len(line) - 2))
+    model = toxicity.CharacterModel(counts)
+    rng = random.Random(2)
+    for _ in range(250):
+        token = "".join(rng.choices("stupid1!$|. -é5", k=rng.randint(1, 7)))
+        apart = rng.random() < 0.5
+        found = toxicity.decode(token, model, apart)
+        cost, word = plain_decode(token, model, apart)
+        assert found == word, (token, apart, cost)
+
+
+SPACED = [
+    "s t u p ! d", "$ t u p i d", "i d ! o t", "s  t  u  p  i  d", "m\to\tr\to\tn", "m, o, r, o, n", "m|o|r|o|n", "l / o / s / e / r", "you s t u p i d x", "l o s e r s",
+]
+
+
+def test_letters_kept_apart_are_read_together(spark):
+    rows, labels = toxic_rows()
+    rows += [(2000 + i, words(20, i) + " " + h + " " + words(20, i + 50)) for i, h in enumerate(SPACED)]
+    clean = ["a b c d e", "1 2 3 4 5 6", "x - y - z", "I I I", "1. 2. 3. a. b. c."]
+    rows += [(3000 + i, words(20, i) + " " + h + " " + words(20, i + 50)) for i, h in enumerate(clean)]
+    found = by_id(toxicity.toxicity(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")))
+    assert [h for i, h in enumerate(SPACED) if not found[2000 + i]["predicted"]] == []
+    assert [h for i, h in enumerate(clean) if found[3000 + i]["predicted"]] == []
+
+
+def test_a_labelled_id_on_many_rows_does_not_fill_the_sample(spark):
+    rows, labels = toxic_rows(200)
+    rows += [(1, words(30, 9000 + i)) for i in range(500)] + [(4, rows[4][1])] * 500
+    sample, share = toxicity.labelled(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), 60)
+    sizes = Counter(r["toxic"] for r in sample.collect())
+    assert sizes[True] == 30 and sizes[False] == 30 and share[False] > 10 and 1 < share[True] < 2
+
+
 def test_toxicity_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 0), (5, 1)], "doc_id long, toxic int")
     found = toxicity.toxicity(documents(spark), labels)
