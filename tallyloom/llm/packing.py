@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, stored
 
-#: Entries of a worker's table of encoded words, and the length of a word that is kept; a full one is emptied
-#: and filled anew.
-KEPT = 500_000
+#: Entries of each of a worker's two tables of encoded words, and the length of a word that is kept.
+KEPT = 400_000
 _KEPT_LENGTH = 64
 #: Parts into which the pieces of one length are dealt to be numbered.
 SPREAD = 256
@@ -40,10 +39,9 @@ class WordIds:
     """Ids of whole texts by the tokenizers library, word by word.
 
     The tokenizer drops white space and cuts at it, so a text's ids are those of its words one after
-    another; each word is encoded once and kept. A single stop or comma behind a letter is a token of
-    its own, so `word.` is the ids of `word` and of the stop. Texts in which words may influence each
-    other (the tokenizer's special tokens, characters that normalisation changes, unusual white space)
-    are encoded whole.
+    another; each word is encoded once and kept. Texts in which words may influence each other (the
+    tokenizer's special tokens, characters that normalisation changes, unusual white space) are
+    encoded whole.
     """
 
     def __init__(self, path: str):
@@ -52,34 +50,43 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.unusual = re.compile("[\x1c-\x1fΣİ]|<\\|").search
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, many at a time with a special token between them."""
-        out = {}
-        for start in range(0, len(words), 20_000):
-            part = words[start : start + 20_000]
-            ids = np.array(self.tokenizer.encode(_SEPARATOR.join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.separator), len(ids)) * 4
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(part, ends.tolist(), strict=True):
-                out[word] = data[begin:end]
-                begin = end + 4
-        return out
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _cut(self, words: list[str], between: str) -> dict[str, bytes] | None:
+        """Ids of words that are encoded together: a blank between words of letters, whose last ids show where they
+        end, or a special token between any. None where the ends do not tell the words apart."""
+        ids = self._ids(between.join(words))
+        if between == " ":
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            starts = np.append(0, stops[:-1])
+        else:
+            stops = np.append(np.flatnonzero(ids == self.separator), len(ids))
+            starts = np.append(0, stops[:-1] + 1)
+        if len(stops) != len(words):
+            return None
+        data = ids.tobytes()
+        return {w: data[i:j] for w, i, j in zip(words, (starts * 4).tolist(), (stops * 4).tolist())}
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not known. Short ones are kept; a full table makes room for them all at once."""
-        stems = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
-        wanted = (words - stems.keys()) | set(stems.values()) | {".", ","}
-        new = self._encoded(list(wanted - self.known.keys()))
-        get = lambda w: new[w] if w in new else self.known[w]
-        new |= {word: get(stem) + get(word[-1]) for word, stem in stems.items()}
+        """Ids of words that are not known. Short ones are kept: a full table becomes the older one, whose words move up when they are met."""
+        met = words.intersection(self.older)
+        new = {w: self.older[w] for w in met}
+        rest = words - met
+        plain = [w for w in rest if w.isalpha()]
+        for group, between in ((plain, " "), ([w for w in rest if not w.isalpha()], _SEPARATOR)):
+            for start in range(0, len(group), 20_000):
+                part = group[start : start + 20_000]
+                found = self._cut(part, between)
+                new |= self._cut(part, _SEPARATOR) if found is None else found
         if len(self.known) + len(new) > KEPT:
-            self.known = {}
+            self.known, self.older = {}, self.known
         for word in islice((w for w in new if len(w) <= _KEPT_LENGTH), KEPT):
             self.known[word] = new[word]
         return new
@@ -91,21 +98,22 @@ class WordIds:
             words: list[list[str] | None] = []
             part = texts[start : start + 256]
             for text in part:
-                if self.unusual(text):
-                    words.append(None)
-                elif text.isascii():
-                    words.append(text.lower().split())
-                else:
-                    low = text.lower()
-                    words.append(low.split() if unicodedata.is_normalized("NFC", low) else None)
+                low = text.lower()
+                usual = not self.unusual(text) and (low.isascii() or unicodedata.is_normalized("NFC", low))
+                words.append(_STOP.sub(r" \1", low).split() if usual else None)
             distinct: set[str] = set().union(*(ws for ws in words if ws))
             known = self.known
-            new = self._learn(missing) if (missing := distinct - known.keys()) else {}
-            get = known.__getitem__ if distinct <= known.keys() else lambda w: new[w] if w in new else known[w]
-            out += [self._whole(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(part, words)]
+            new = self._learn(missing) if (missing := distinct.difference(known)) else {}
+            kept = self.known is known and (not new or max(map(len, new)) <= _KEPT_LENGTH)
+            get = known.__getitem__ if kept else lambda w: new[w] if w in new else known[w]
+            out += [self._ids(t).tobytes() if ws is None else b"".join(map(get, ws)) for t, ws in zip(part, words)]
         return out
 
 
+#: A single stop or comma between a letter and white space or the end: a token of its own.
+_STOP = re.compile(r"(?<=[^\W\d_])([.,])(?=\s|$)")
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """One encoder for each worker process and vocabulary."""
