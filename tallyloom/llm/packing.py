@@ -2,10 +2,11 @@
 
 A packing problem with lengths of 1 to `capacity` is a histogram, one count for each length; it has
 `capacity` rows at most, however many documents there are. On the histogram the Martello-Toth
-reduction fixes sets that some best packing contains: the longest piece left is closed with
-nothing, with the piece that fills its sequence exactly, or with the longest piece that fits where
-no two pieces fit beside it, since such a set dominates every other set with that piece. What the
-reduction leaves is packed best-fit by decreasing length, whole groups of equal sequences at a
+reduction fixes sets that some best packing contains, since they dominate every other set with the
+longest piece left: that piece alone; with the piece that fills its sequence exactly; with the longest
+piece that fits, where no two fit or any two fit into its place; with the longest and the longest
+beside that, where no pair has a longer second piece. Where three pieces fit beside the longest,
+nothing but an exact fill is fixed. What the reduction leaves is packed best-fit by decreasing length, whole groups of equal sequences at a
 time. The plan is a list of patterns with multiplicities; Spark then numbers the pieces of each
 length and looks up their places.
 """
@@ -13,10 +14,10 @@ length and looks up their places.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from functools import lru_cache
 from itertools import islice
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored
 
 #: Entries of each of a worker's two tables of encoded words, and the length of a word that is kept.
-KEPT = 400_000
+KEPT = 700_000
 _KEPT_LENGTH = 64
 #: Parts into which the pieces of one length are dealt to be numbered.
 SPREAD = 256
@@ -54,7 +55,6 @@ class WordIds:
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.unusual = re.compile("[\x1c-\x1fΣİ]|<\\|").search
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -99,8 +99,8 @@ class WordIds:
             part = texts[start : start + 256]
             for text in part:
                 low = text.lower()
-                usual = not self.unusual(text) and (low.isascii() or unicodedata.is_normalized("NFC", low))
-                words.append(_STOP.sub(r" \1", low).split() if usual else None)
+                usual = not any(c in text for c in _UNUSUAL) and (low.isascii() or unicodedata.is_normalized("NFC", low))
+                words.append(_split(low) if usual else None)
             distinct: set[str] = set().union(*(ws for ws in words if ws))
             known = self.known
             new = self._learn(missing) if (missing := distinct.difference(known)) else {}
@@ -110,8 +110,20 @@ class WordIds:
         return out
 
 
-#: A single stop or comma between a letter and white space or the end: a token of its own.
-_STOP = re.compile(r"(?<=[^\W\d_])([.,])(?=\s|$)")
+#: Texts with one of these are encoded whole.
+_UNUSUAL = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "Σ", "İ")
+
+
+def _split(text: str) -> list[str]:
+    """Words; a single stop or comma behind a letter is a token of its own and counts as a word."""
+    out = []
+    for word in text.split():
+        if word[-1] in ".," and len(word) > 1 and word[-2].isalpha():
+            out.append(word[:-1])
+            out.append(word[-1])
+        else:
+            out.append(word)
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -164,6 +176,7 @@ class Plan:
         self.total = int((self.left * np.arange(capacity + 1)).sum())
         self.groups: list[tuple[int, list[tuple[int, int]]]] = []  # sequences alike, and (length, pieces in a row)
         self.fixed = self._reduce()
+        self.rest = self.left.copy()
         self._best_fit()
         self.rows = self._places()
         self.sequences = sum(n for n, _ in self.groups)
@@ -185,30 +198,50 @@ class Plan:
         before = int(self.left.sum())
         for longest in range(self.capacity, 0, -1):
             while self.left[longest]:
-                n, room = int(self.left[longest]), self.capacity - longest
-                shorter = np.flatnonzero(self.left[: room + 1])
-                if not len(shorter) or (shorter[-1] == longest and n == 1 and len(shorter) == 1):
-                    self._take(n if not len(shorter) else 1, longest)  # nothing fits beside it
-                    continue
-                best = int(shorter[-1])
-                if best == longest:
-                    if n == 1:
-                        best = int(shorter[-2])
-                    elif 2 * longest == self.capacity:
-                        self._take(n // 2, longest, longest)
-                        continue
-                    else:
-                        break
-                if best == room:  # it fills the sequence: at most one piece each way
-                    self._take(min(n, int(self.left[best])), longest, best)
-                    continue
-                least = int(shorter[0])
-                second = least if self.left[least] > 1 else int(shorter[1]) if len(shorter) > 1 else room + 1
-                if least + second <= room:
-                    break  # two pieces fit beside it: no pair dominates
-                self._take(min(n, int(self.left[best])), longest, best)
+                partners = self._dominating(longest)
+                if partners is None:
+                    break
+                needed = Counter([longest, *partners])  # what holds for a set holds until one of its lengths is used up
+                self._take(min(int(self.left[length]) // each for length, each in needed.items()), longest, *partners)
         return int(self.left.sum()) < before
 
+    def _dominating(self, longest: int) -> list[int] | None:
+        """Pieces that dominate everything else that could share a sequence with a longest piece; None if none is known to.
+
+        A set dominates another if the other's pieces can be dealt to the places of its own, so that
+        each place is long enough.
+        """
+        room = self.capacity - longest
+        left = self.left[: room + 1].copy()
+        if longest <= room:
+            left[longest] -= 1
+        lengths = np.flatnonzero(left)
+        if not len(lengths):
+            return []
+        best = int(lengths[-1])
+        few = np.repeat(lengths[:3], left[lengths[:3]].clip(max=3))[:3]  # the three shortest
+        if best == room or len(few) < 2 or few[0] + few[1] > room:
+            return [best]  # it fills the room, or no two fit beside the longest
+        if len(few) > 2 and few.sum() <= room:
+            return None
+        # At most two fit. The longer piece of a pair, and the longest that fits beside it:
+        at = np.searchsorted(lengths, np.minimum(room - lengths, lengths), "right") - 1
+        at = np.where((at >= 0) & (lengths[at] == lengths) & (left[lengths] < 2), at - 1, at)
+        pairs = lengths[at >= 0] + lengths[at[at >= 0]]
+        if not len(pairs) or pairs.max() <= best:
+            return [best]  # any pair fits into its place
+        left[best] -= 1
+        beside = np.flatnonzero(left[: room - best + 1])
+        if not len(beside):
+            return None
+        second = int(beside[-1])
+        left[best] += 1
+        longer = np.flatnonzero(left[second + 1 :]) + second + 1
+        two = np.repeat(longer[:2], left[longer[:2]].clip(max=2))[:2]
+        if len(two) < 2 or two.sum() > room:
+            return [best, second]  # the shorter piece of any pair is no longer than the second
+        return None
+
     def _best_fit(self) -> None:
         """Decreasing lengths; each goes to the fullest open sequence with room for it."""
         open_: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}

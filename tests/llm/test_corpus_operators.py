@@ -207,6 +207,40 @@ def test_dominating_sets_are_fixed():
     assert plan.fixed == 6 and plan.sequences == 4
 
 
+def fewest(lengths, capacity):
+    """The least number of sequences: for each subset, the fewest closed ones and the room left in the open one."""
+    n = len(lengths)
+    best = [(n + 1, 0)] * (1 << n)
+    best[0] = (0, 0)
+    for chosen in range(1 << n):
+        used, room = best[chosen]
+        for i, length in enumerate(lengths):
+            if not chosen >> i & 1:
+                then = (used, room - length) if length <= room else (used + 1, capacity - length)
+                at = chosen | 1 << i
+                if (then[0], -then[1]) < (best[at][0], -best[at][1]):
+                    best[at] = then
+    return best[-1][0]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_the_reduction_keeps_a_best_packing(seed):
+    rng = random.Random(seed)
+    triples = 0
+    for _ in range(60):
+        capacity = rng.choice([12, 20, 30])
+        lengths = [rng.randint(rng.choice([1, capacity // 4, capacity // 3]), capacity) for _ in range(rng.randint(1, 9))]
+        plan = packing.Plan(Counter(lengths), capacity)
+        rest = np.repeat(np.arange(capacity + 1), plan.rest).tolist()
+        reduced = packing.Plan.__new__(packing.Plan)
+        reduced.capacity, reduced.left, reduced.groups = capacity, np.bincount(lengths, minlength=capacity + 1), []
+        reduced._reduce()
+        assert sum(n for n, _ in reduced.groups) + fewest(rest, capacity) == fewest(lengths, capacity)
+        assert rest or plan.sequences == fewest(lengths, capacity)
+        triples += any(sum(each for _, each in runs) == 3 for _, runs in reduced.groups)
+    assert triples
+
+
 # --- language model --------------------------------------------------------------------------------
 def test_base_scores_and_probabilities(spark, monkeypatch):
     monkeypatch.setattr(context_tree, "COMMON_WORDS", 20)
