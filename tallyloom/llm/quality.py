@@ -78,11 +78,15 @@ def rule_failures() -> dict:
     }
 
 
-def host_verdicts(rows: DataFrame, limit: float = 0.5) -> DataFrame:
+#: Least and greatest strength of the prior, in documents: hosts that differ as chance would have them give no end of it.
+STRENGTH = (1.0, 10_000.0)
+
+
+def host_verdicts(rows: DataFrame, limit: float = 0.5, bounds: tuple[float, float] = STRENGTH) -> DataFrame:
     """(host, n_docs, n_failed, rate, rejected): shrunk failure rates, rejected above `limit`.
 
     The prior is Beta(m s, (1 - m) s): m the rate of all documents, s the strength at which the
-    spread of the hosts' rates is what the binomial spread leaves (at least 1, at most 10,000).
+    spread of the hosts' rates is what the binomial spread leaves, within `bounds`.
     """
     any_rule = F.greatest(*[f.cast("int") for f in rule_failures().values()])
     hosts = rows.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(any_rule).alias("n_failed"))
@@ -101,7 +105,7 @@ def host_verdicts(rows: DataFrame, limit: float = 0.5) -> DataFrame:
         spread = total["squares"] / total["n"] - mean * mean
         freedom = total["n"] - total["sizes"] / total["n"]
         between = (total["n"] * spread - (total["hosts"] - 1) * inside) / freedom if freedom > 0 else 0.0
-        strength = min(max(inside / between - 1, 1.0), 10_000.0) if between > 0 else 10_000.0
+        strength = min(max(inside / between - 1, bounds[0]), bounds[1]) if between > 0 else bounds[1]
     shrunk = (F.col("n_failed") + mean * strength) / (F.col("n_docs") + strength)
     return hosts.withColumn("rate", shrunk).withColumn("rejected", F.col("rate") > limit)
 
