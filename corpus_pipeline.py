@@ -9,6 +9,11 @@ again as the next stage's documents. All but the last keep the columns of docume
 3. repeated_spans: spans of 200 bytes that occur again are cut out of the texts.
 4. secrets: secrets are replaced in the texts.
 5. packing: one row per piece, with its place in a sequence of 4096 tokens.
+
+Every stage keeps null and empty texts (the last packs them as the end id alone) and rows without a
+doc_id, treats repeated rows alike (the second keeps one row of a group of copies), reads very long
+texts whole, ignores other columns but passes them on up to the last, and gives an empty table for an
+empty table.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import packing, secrets, simhash, suffixes, toxicity
 from tallyloom.llm.common import stored, table
+from tallyloom.sources.storage import made_paths, remove_intermediates
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over `documents`. What a stage has written is deleted when its successor's rows are stored."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
+        earlier = len(made_paths(spark))
         docs = stored(stage(spark, docs, sf_dir), name)
+        *within, result = made_paths(spark)[earlier:]
+        remove_intermediates(spark, [*within, *before])
+        before = [result]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,8 @@ row per task. Distinct counts first reduce to one row per (group, partner)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,14 +23,14 @@ def policy_totals(policy: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def login_totals(policy: DataFrame, since) -> DataFrame:
-    """Per login in one pass: first sale of all time, and what was sold from ``since`` on.
+def login_totals(policy: DataFrame, since, keys: Sequence[str] = ("login_id",)) -> DataFrame:
+    """Per login (and what goes with it) in one pass: first sale of all time, and what was sold from ``since`` on.
 
     Logins without a policy since then drop out, as they have no row in the report.
     """
     recent = F.col("created_at") >= since
     return (
-        policy.groupBy("login_id")
+        policy.groupBy(*keys)
         .agg(
             F.min("created_at").alias("first_sale_date"),
             F.count_if(recent).alias("n_recent"),

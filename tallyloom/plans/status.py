@@ -32,24 +32,22 @@ def dp_status(
 ) -> DataFrame:
     """Policies, premium and status of the partners of a sales file, per login.
 
-    The policies, the one large table, are read once and restricted to the wanted logins by a
-    semi join (which Spark broadcasts when the logins are few), so only their policies are
-    shuffled and reduced to a row per login.
+    The policies, the one large table, are read once and joined with the wanted logins (which Spark
+    broadcasts when they are few), so only their policies are shuffled and reduced to a row per
+    login; a login's partners travel along, as a short list, and become rows at the end.
     """
     # A partner listed twice counts its premium twice, as a join on the raw list would.
-    logins = (
-        semi_partner_ids(partner, ids)
-        .groupBy("dpno", F.col("partner_id").alias("login_id"))
-        .agg(F.count(F.lit(1)).alias("listed"))
-    )
-    wanted = filter_policy(policy).join(logins.select("login_id").distinct(), "login_id", "left_semi")
-    per_login = login_totals(wanted, F.lit(since).cast("timestamp_ntz"))
+    listed = semi_partner_ids(partner, ids).groupBy("dpno", "partner_id").agg(F.count(F.lit(1)).alias("listed"))
+    # One row per login with its partners, mostly one, so that policies meet the logins once.
+    logins = listed.groupBy(F.col("partner_id").alias("login_id")).agg(F.collect_list(F.struct("dpno", "listed")).alias("partners"))
+    wanted = filter_policy(policy).join(logins, "login_id")
+    per_login = login_totals(wanted, F.lit(since).cast("timestamp_ntz"), ["login_id", "partners"])
     status = classify.classify_status(
         F.col("first_sale_date"),
         F.lit(already_before).cast("timestamp_ntz"),
         month_start(as_date(data_date)).cast("timestamp_ntz"),
     )
-    result = per_login.join(logins, "login_id").select(
+    result = per_login.select("*", F.inline("partners")).select(
         "dpno",
         "login_id",
         "policy_count",

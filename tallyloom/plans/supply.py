@@ -46,11 +46,18 @@ def month_quotes(quotes: DataFrame, *, data_date: str) -> DataFrame:
 def agent_quotes(
     quotes: DataFrame, dp_master: DataFrame, *, data_date: str, as_of: str | None = None
 ) -> DataFrame:
-    """Partners that created quotes in the month, with agent and category."""
+    """Partners that created quotes in the month, with agent and category.
+
+    Snapshots and completed sales are restricted to these partners before they are reduced: their
+    history is the large part.
+    """
     latest = windows.latest_quote_stage(month_quotes(quotes, data_date=data_date))
     per_dp = aggregates.quotes_per_dp_month(latest.withColumn("quote_month", month_start(F.col("creation_day"))))
+    own = latest.select("dp_id")
     joined = joins.join_dp_details(
-        per_dp, windows.latest_dp_snapshot(dp_master, as_of), windows.first_sale_done(quotes)
+        per_dp,
+        windows.latest_dp_snapshot(dp_master.join(own, "dp_id", "left_semi"), as_of),
+        windows.first_sale_done(quotes.filter(F.col("stage") == labels.STAGE_SALE_DONE).join(own, "dp_id", "left_semi")),
     )
     category = classify.classify_category(F.col("dp_category"), F.col("first_sale_done"), F.col("quote_month"))
     return joined.select("dp_id", "agent_mapped", "quote_month", "quotes_count", category.alias("category_type"))

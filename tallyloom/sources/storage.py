@@ -34,7 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tallyloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallyloom/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_MADE: dict[str, list[str]] = {}  # fresh paths of each application, in order
+
+
+def made_paths(spark: SparkSession) -> list[str]:
+    """The fresh paths this application has asked for and not removed."""
+    return list(_MADE.get(spark.sparkContext.applicationId, []))
+
+
+def remove_intermediates(spark: SparkSession, paths: Collection[str] | None = None) -> None:
+    """Delete tables under fresh paths, all of this application or some of them, once nothing reads them any more."""
+    own = _MADE.get(spark.sparkContext.applicationId, [])
+    for path in own[:] if paths is None else paths:
+        delete_folder(spark, path)
+        own.remove(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

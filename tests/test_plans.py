@@ -38,3 +38,19 @@ def test_one_snapshot_partition_is_read(spark, fx, tmp_path):
     plan = physical(supply.favourite_rows(table, data_date="2024-01-31"))
     assert "(sqldate" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "2023-12-31" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def scans(plan, table):
+    return plan.count(f"/{table}.parquet")
+
+
+def test_statuses_read_partners_once_and_orders_twice(spark):
+    plan = physical(QUERIES["dp_status"](spark, SF_DIR))
+    assert (scans(plan, "customer"), scans(plan, "orders")) == (1, 2)  # orders are both the sales file and the policies
+
+
+def test_lookups_of_the_supply_are_restricted_before_they_are_reduced(fx):
+    plan = supply.inactive_supply(fx.quotes, fx.dp_master, data_date="2024-01-31")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2
+    for reduced in ("min(done_on", "rn#"):
+        assert "LeftSemi" in plan[plan.index(reduced) :]
