@@ -2,17 +2,19 @@
 
 A byte goes when a span of `span` bytes that starts elsewhere too covers it. Only suffixes at
 content-defined anchors (anchors.py) are looked at; a repeated span has its anchor at the same
-place in both copies, so its anchor's gram occurs twice.
-
-1. Each document gives its anchors: gram hash, the windows they stand for, a digest of the bytes
-   of those windows (the context). Grams that occur once are dropped.
-2. A context that occurs twice makes all its windows repeats.
-3. The contexts left share a gram but not all bytes. They are dealt out by range of the leading
-   bytes of their suffixes (Spark samples the splitters). A bucket sorts the suffixes of its
-   windows by multikey quicksort and marks equal neighbours. The bytes that a window leads with
-   decide its place together with its gram, so suffixes that may be equal never lie on two sides
-   of a boundary. A gram with more than GROUP contexts is not sorted in one task: its windows are
-   counted by digest instead, which Spark aggregates before the shuffle.
+place in both copies, so its anchor's suffix has an equal beginning, the gram, elsewhere.
+
+1. Each document gives its anchors: the suffix's leading bytes, its gram's hash, the windows the
+   anchor stands for, and a digest of the bytes of those windows (the context).
+2. Anchors are dealt out by range of leading bytes, then gram and context (Spark samples the
+   splitters), and sorted: suffixes that begin alike are neighbours. Neighbours with an equal context
+   make all its windows repeats; neighbours with one gram and several contexts are left for step 3.
+   A common suffix is split between ranges like any others, so the grams at the ends of a range are
+   compared with those of the ranges beside it, by what each range has found out about them.
+3. Contexts that share a gram but not all bytes are dealt out by range of the leading bytes again. A
+   bucket sorts the suffixes of their windows by multikey quicksort and marks equal neighbours; all
+   contexts of one gram are in one bucket. A gram with more than GROUP contexts is not sorted in one
+   task: its windows are counted by digest instead, which Spark aggregates before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,8 +34,6 @@ from .common import map_batches, spark_schema, stored
 
 #: Contexts of one gram that one task sorts.
 GROUP = 2048
-#: Fewer keys than this may have more than its inverse part of the rows.
-_HOT = 1000
 _GRAM = 40
 #: Windows sorted at once.
 _WINDOWS = 1 << 18
@@ -59,7 +59,7 @@ def _pieces(texts: list[bytes], span: int) -> Iterator[tuple[bytes, list[tuple[i
 def _anchor_rows(batch: pa.RecordBatch, span: int) -> dict:
     texts = [(t or "").encode() for t in batch[2].to_pylist()]
     marks = np.asarray(batch[1])
-    out: dict[str, list] = {c: [] for c in ("doc", "place", "gram", "lo", "hi", "context")}
+    out: dict[str, list] = {c: [] for c in ("doc", "lead", "place", "gram", "lo", "hi", "context")}
     for data, held in _pieces(texts, span):
         valid = np.zeros(len(data) - span + 1, bool)
         for _, at, _, size in held:
@@ -73,6 +73,7 @@ def _anchor_rows(batch: pa.RecordBatch, span: int) -> dict:
         out["doc"].append(np.array([h[0] for h in held])[which])
         out["context"].append(np.array(context, np.uint64).view(np.int64))
         out["gram"].append(gram.view(np.int64))
+        out["lead"].append(_leading(data, place))
         for name, values in (("place", place), ("lo", lo), ("hi", hi)):
             out[name].append((values + moved).astype(np.int32))
     if not out["doc"]:
@@ -82,7 +83,63 @@ def _anchor_rows(batch: pa.RecordBatch, span: int) -> dict:
     return {"id": batch[0].take(pa.array(doc)), "mark": marks[doc], **rows}
 
 
-_ANCHORS = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("place", pa.int32()), ("gram", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("context", pa.int64())])
+def _leading(data: bytes, place: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place as a number that sorts as they do."""
+    values = np.frombuffer(data + bytes(8), np.uint8)
+    words = np.stack([values[place + i] for i in range(8)], axis=1)
+    return (np.ascontiguousarray(words).view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+_ANCHORS = pa.schema(
+    [("id", pa.int64()), ("mark", pa.int64()), ("lead", pa.int64()), ("gram", pa.int64()), ("context", pa.int64()), ("place", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())]
+)
+_WHOLE, _PART, _EDGE = 0, 1, 2
+_NEIGHBOURS = pa.schema([("kind", pa.int32()), *[f for f in _ANCHORS if f.name != "lead"], ("n", pa.int64())])
+#: Anchors compared at once.
+_ROWS_HELD = 1 << 18
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors in order of lead, gram and context: those whose context a neighbour has too (_WHOLE); of each other
+    context that shares its gram, one anchor and their number (_PART). The first and last gram of the range may go on
+    in others: one anchor of each of their contexts, and their number (_EDGE).
+    """
+    held: list[pa.RecordBatch] = []
+    first = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if first is None:
+            first = batch.column("gram")[0].as_py()
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= _ROWS_HELD:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            gram = rows["gram"].to_numpy()
+            others = np.flatnonzero(gram != gram[-1])
+            cut = int(others[-1]) + 1 if len(others) else 0  # the last gram may go on
+            if cut:
+                yield from _compared(rows.slice(0, cut), {first})
+            held = rows.slice(cut).to_batches()
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield from _compared(rows, {first, rows["gram"][rows.num_rows - 1].as_py()})
+
+
+def _compared(rows: pa.Table, edges: set[int]) -> Iterator[pa.RecordBatch]:
+    gram, context = rows["gram"].to_numpy(), rows["context"].to_numpy()
+    new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
+    starts = np.flatnonzero(new_gram | np.concatenate(([True], context[1:] != context[:-1])))
+    n = np.diff(np.append(starts, len(gram)))
+    of_gram = np.cumsum(new_gram)[starts] - 1
+    several = np.bincount(of_gram)[of_gram] > 1
+    edge = np.isin(gram[starts], list(edges))
+    again = np.flatnonzero(np.repeat(n > 1, n))
+    for kind, at, number in ((_WHOLE, again, np.zeros(len(again), np.int64)), (_PART, starts[several & ~edge], n[several & ~edge]), (_EDGE, starts[edge], n[edge])):
+        chosen = rows.take(pa.array(at))
+        columns = {"kind": pa.array(np.full(len(at), kind, np.int32)), "n": pa.array(number)}
+        yield from pa.table([columns[f.name] if f.name in columns else chosen[f.name] for f in _NEIGHBOURS], schema=_NEIGHBOURS).to_batches(max_chunksize=10_000)
+
+
 _SUFFIXES = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("lead", pa.binary()), ("gram", pa.int64()), ("lo", pa.int32()), ("alone", pa.bool_()), ("bytes", pa.binary()), ("digest", pa.binary())])
 
 
@@ -177,18 +234,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("mark", F.xxhash64(text))
 
 
-def _semi(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys are in `counted` (keys, n: how many rows have them).
-
-    Keys with more than a 1 / _HOT part of the rows, fewer than _HOT, are broadcast, so no common gram
-    or passage is shuffled to one task; the others are joined.
-    """
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(stored(counted.filter(F.col("n") * _HOT > total).select(*keys), "hot"))
-    others = rows.join(hot, keys, "left_anti").join(counted.filter(F.col("n") * _HOT <= total).select(*keys), keys, "left_semi")
-    return rows.join(hot, keys, "left_semi").unionByName(others)
-
-
 def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     """(id, mark, start, end): pieces of texts whose every byte a repeated span covers; they may overlap.
 
@@ -198,14 +243,23 @@ def repeated_spans(docs: DataFrame, span: int = 200) -> DataFrame:
     keyed = _keyed(docs).select("id", "mark", "text")
     found = map_batches(keyed, lambda batch: _anchor_rows(batch, span), _ANCHORS)
     found = stored(found, "anchors")
-    twice = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
-    found = stored(_semi(found, twice, ["gram"]), "anchors")
-    first = F.min(F.struct("id", "mark", "lo", "hi", "place")).alias("first")
-    contexts = stored(found.groupBy("gram", "context").agg(F.count("*").alias("n"), first), "contexts")
-    copies = contexts.filter("n > 1").select("gram", "context", "n")
-    whole = _semi(found, copies, ["gram", "context"]).select("id", "mark", F.col("lo").alias("start"), (F.col("hi") + span).alias("end"))
-    mixed = stored(contexts.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "mixed")
-    border = contexts.join(mixed, "gram").select("first.*", "gram", "n", (F.col("m") > GROUP).alias("hot"))
+    order = ["lead", "gram", "context", "id", "lo"]
+    found = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    found = stored(found.mapInArrow(_neighbours, spark_schema(_NEIGHBOURS)), "neighbours")
+    one = [*_KEY, "place", "lo", "hi", "gram"]
+    # What lies at the ends of the ranges: the contexts of a gram or two of each range.
+    edges = found.filter(F.col("kind") == _EDGE)
+    totals = edges.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(F.struct(*_KEY, "place", "lo", "hi")).alias("first"))
+    totals = stored(totals, "edges")
+    across = edges.filter("n = 1").join(totals.filter("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
+    whole = found.filter(F.col("kind") == _WHOLE).select(*one).unionByName(across.select(*one))
+    whole = whole.select(*_KEY, F.col("lo").alias("start"), (F.col("hi") + span).alias("end"))
+    mixed = totals.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1").select("gram")
+    at_ends = totals.join(mixed, "gram", "left_semi").select("first.*", "gram", "n")
+    border = found.filter(F.col("kind") == _PART).select(*one, "n").unionByName(at_ends.select(*one, "n"))
+    border = stored(border, "border")
+    many = border.groupBy("gram").agg(F.count("*").alias("m")).filter(F.col("m") > GROUP).select("gram", F.lit(True).alias("many"))
+    border = border.join(many, "gram", "left").withColumn("hot", F.coalesce("many", F.lit(False))).drop("many")
     wanted = border.groupBy(*_KEY).agg(F.collect_list(F.struct("place", "lo", "hi", "gram", "n", "hot")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"id": "wanted_id", "mark": "wanted_mark"})
     once = keyed.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("mark") == F.col("wanted_mark"))).dropDuplicates(_KEY)

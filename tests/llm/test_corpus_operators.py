@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -134,6 +135,60 @@ def test_repeated_spans_are_those_of_brute_force(spark, monkeypatch, group):
     assert suffixes.removal_digest(documents(spark, [])).count() == 0
 
 
+def repeats(tables):
+    """What ranges of sorted anchors find together: repeated anchors, and (gram, context, n) of contexts that share a gram."""
+    whole, part, edges = set(), Counter(), []
+    for rows in tables:
+        for batch in suffixes._neighbours(iter(rows.to_batches(max_chunksize=7))):
+            for row in batch.to_pylist():
+                at = (row["id"], row["lo"])
+                if row["kind"] == suffixes._WHOLE:
+                    whole.add(at)
+                elif row["kind"] == suffixes._PART:
+                    part[row["gram"], row["context"]] += row["n"]
+                else:
+                    edges.append(row)
+    total = Counter()
+    for row in edges:
+        total[row["gram"], row["context"]] += row["n"]
+    whole |= {(r["id"], r["lo"]) for r in edges if r["n"] == 1 and total[r["gram"], r["context"]] > 1}
+    grams = Counter(gram for gram, _ in total)
+    part.update({key: n for key, n in total.items() if grams[key[0]] > 1})
+    return whole, part
+
+
+@pytest.mark.parametrize("held", [1, 5, 1 << 18])
+def test_ranges_that_split_equal_suffixes_find_what_one_range_finds(monkeypatch, held):
+    monkeypatch.setattr(suffixes, "_ROWS_HELD", held)
+    rng = random.Random(held)
+    for _ in range(60):
+        n = rng.randint(1, 40)
+        keys = sorted((rng.randint(0, 3), rng.randint(0, 2)) for _ in range(n))
+        rows = [{"id": i, "mark": 0, "lead": g, "gram": g, "context": c, "place": 0, "lo": i, "hi": i} for i, (g, c) in enumerate(keys)]
+        table = pa.Table.from_pylist(rows, schema=suffixes._ANCHORS)
+        cuts = sorted(rng.sample(range(n + 1), min(n, rng.randint(0, 6))))
+        found = repeats(table.slice(i, j - i) for i, j in zip([0, *cuts], [*cuts, n]))
+        counts, contexts = Counter(keys), Counter(g for g, _ in set(keys))
+        assert found == ({(i, i) for i, k in enumerate(keys) if counts[k] > 1}, Counter({k: m for k, m in counts.items() if contexts[k[0]] > 1}))
+
+
+def test_a_common_passage_over_many_ranges(spark, monkeypatch):
+    """Equal suffixes lie on both sides of many boundaries; one doc_id and text is on many rows."""
+    monkeypatch.setattr(suffixes, "_ROWS_HELD", 16)
+    rows = [(i, words(6, i) + " " + PASSAGE + " " + words(7, 500 + i)) for i in range(150)] + [(900, COPY)] * 150 + [(901, words(50, 77))]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for c, v in zip(before, ("40", "false")):
+            spark.conf.set(c, v)
+        found = suffixes.removal_digest(documents(spark, rows)).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    data = [t.encode() for _, t in rows]
+    wanted = Counter((i, int(gone.sum())) for (i, _), gone in zip(rows, plain_removal(data, 200)))
+    assert Counter((r["doc_id"], r["n_removed"]) for r in found) == wanted and wanted[901, 0] == 1
+
+
 def test_cut_texts_keep_rows_and_columns(spark):
     kept = suffixes.without_repeats(documents(spark))
     assert kept.columns == documents(spark).columns and kept.count() == len(TEXTS)
