@@ -552,3 +552,12 @@ def test_pipeline_stages(spark, tmp_path):
     columns = ["doc_id", "piece", "length", "ids_crc32"]
     assert Counter(map(tuple, whole.select(columns).collect())) == Counter(map(tuple, expected.select(columns).collect()))
     assert {r["doc_id"] for r in whole.collect()} >= {1, 5, 7, 8, 100, 119}
+
+
+def test_stages_of_an_empty_table_are_empty(spark, tmp_path):
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    empty = documents(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0
+        assert name == "packing" or out.columns == empty.columns

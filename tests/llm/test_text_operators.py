@@ -8,6 +8,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 
 from tallyloom.llm import byte_bpe, fingerprint, licenses, quality, toxicity
@@ -214,6 +215,16 @@ def test_hosts_are_shrunk_to_the_common_rate(spark):
     assert rates["small"]["rate"] < 1.0 and rates["bad"]["rate"] > rates["small"]["rate"]
 
 
+def test_hosts_may_be_those_of_addresses(spark):
+    rows = [(i, words(40, i) if i % 2 else "short", f"https://{'bad' if i % 2 == 0 else 'good'}.example/p{i}") for i in range(60)]
+    rows += [(100 + i, words(40, 100 + i), "https://bad.example/x") for i in range(5)] + [(200, words(40, 7), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, url string").withColumn("site", F.parse_url("url", F.lit("HOST")))
+    found = {r["doc_id"]: r["kept"] for r in quality.quality(docs, host="site").collect()}
+    assert all(found[i] == (i % 2 == 1) for i in range(60)) and not any(found[100 + i] for i in range(5)) and found[200]
+    lenient = quality.host_verdicts(quality.measured(docs, "site"), bounds=(1e9, 1e9)).collect()
+    assert not any(r["rejected"] for r in lenient)  # a prior as strong as that leaves every host at the common rate
+
+
 # --- fingerprints ------------------------------------------------------------------------------
 @pytest.mark.parametrize("partitions", [None, 1, 3, 50])
 def test_fingerprints_follow_the_order_of_ids(spark, partitions):
