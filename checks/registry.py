@@ -1252,7 +1252,8 @@ def _(fx):
     of_month = lambda month: fx.sales.filter(F.date_format(day, "yyyy-MM") == month)
     current = of_month("1998-06").filter(day <= F.lit(BATCH1_LAST).cast("date"))
     inputs = report.Inputs(current, fx.partner, fx.policy, fx.quotes, fx.dp_master, fx.roster, fx.override)
-    broken = dataclasses.replace(inputs, quotes=fx.quotes.withColumn("stage", F.raise_error(F.concat(F.lit("interrupted at "), "quote_id")).cast("string")))
+    unreadable = F.raise_error(F.concat(F.lit("interrupted at "), "policy_id")).cast("decimal(18,2)")
+    broken = dataclasses.replace(inputs, policy=fx.policy.withColumn("net_premium", unreadable))
     options = report.Options(already_before=CUTOFFS["already_before"], since=CUTOFFS["since"])
     for attempt in (broken, inputs):
         try:
