@@ -36,7 +36,7 @@ from .common import map_batches, spark_schema, stored
 GROUP = 2048
 _GRAM = 40
 #: Windows sorted at once.
-_WINDOWS = 1 << 18
+_WINDOWS = 1 << 16
 _KEY = ["id", "mark"]
 
 
@@ -96,7 +96,7 @@ _ANCHORS = pa.schema(
 _WHOLE, _PART, _EDGE = 0, 1, 2
 _NEIGHBOURS = pa.schema([("kind", pa.int32()), *[f for f in _ANCHORS if f.name != "lead"], ("n", pa.int64())])
 #: Anchors compared at once.
-_ROWS_HELD = 1 << 18
+_ROWS_HELD = 1 << 16
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
