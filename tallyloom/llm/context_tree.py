@@ -142,7 +142,8 @@ def _estimate():
 def tree(counts: DataFrame) -> DataFrame:
     """(depth, key, n, p1, beta) of all nodes. counts: (gram, n). key: context in the high bits, decision in the low 8.
 
-    p1 is the node's own probability of a one; beta the weight of that against what its child says.
+    p1 is the node's own probability of a one, less 1 where that is over a half: a float near 1 would round to 1,
+    and a zero after many ones would be impossible. beta is the weight of it against what its child says.
     """
     byte = F.col("gram").bitwiseAND(F.lit(255))
     bits = F.array(
@@ -165,7 +166,8 @@ def tree(counts: DataFrame) -> DataFrame:
             level = level.withColumn("all", high + F.log1p(F.exp(low - high)) - math.log(2))
         level = stored(level, "level")
         beta = F.exp(F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.col("own") - F.col("below"))))
-        p1 = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+        ones, zeros = F.col("n1") + 0.5, F.col("n0") + 0.5
+        p1 = F.when(ones > zeros, -zeros).otherwise(ones) / (ones + zeros)
         key = F.shiftleft("context", 8) + F.col("decision")
         n = F.col("n0") + F.col("n1")
         levels.append(level.select(F.lit(depth).alias("depth"), key.alias("key"), n.alias("n"), p1.cast("float").alias("p1"), beta.cast("float").alias("beta")))
@@ -196,7 +198,8 @@ class ContextTree:
         for depth, (keys, p1, beta) in enumerate(self.levels):
             key = ((context & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8)) + decision
             at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            path.append((keys[at] == key, p1[at], beta[at]) if len(keys) else (np.zeros(len(key), bool), 0.5, 1.0))
+            near = p1[at].astype(float) if len(keys) else np.full(len(key), 0.5)
+            path.append((keys[at] == key, near + (near < 0), beta[at]) if len(keys) else (np.zeros(len(key), bool), near, 1.0))
         return path
 
     def _lookup(self, gram: np.ndarray) -> np.ndarray:
@@ -320,7 +323,7 @@ def joined(grams: DataFrame, nodes: DataFrame, shared) -> DataFrame:
     deeper = stored(deeper.withColumn("key", key), "deeper")
     met = deeper.join(nodes.select("depth", "key", "p1", "beta"), ["depth", "key"])
     met = met.groupBy("gram", "decision").agg(F.sort_array(F.collect_list(F.struct("depth", "p1", "beta")), asc=False).alias("met"))  # DEPTH + 1 at most
-    p1 = lambda x: x["p1"].cast("double")
+    p1 = lambda x: x["p1"].cast("double") + (x["p1"] < 0).cast("double")
     mixed = lambda said, x: F.when(said.isNull(), p1(x)).otherwise((x["beta"] * p1(x) + said) / (x["beta"] + 1))
     said = F.aggregate("met", F.lit(None).cast("double"), mixed)
     parts = parts.join(met.select("gram", "decision", said.alias("said")), ["gram", "decision"], "left")

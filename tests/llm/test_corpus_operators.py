@@ -383,6 +383,23 @@ def test_scores_do_not_depend_on_the_nodes_held(spark, monkeypatch, most):
     assert [s for _, s in again] == pytest.approx([s for _, s in whole], rel=1e-5)
 
 
+@pytest.mark.parametrize("most", [0, 300])
+def test_what_never_follows_a_common_beginning_has_a_finite_score(spark, monkeypatch, most):
+    """A line feed is all that training met behind four zero bits, 200 million times: a text may hold another character."""
+    grams = [(int.from_bytes(b"abcd\n"), 200_000_000), (int.from_bytes(b"\nabcd"), 200_000_000)]
+    counts = spark.createDataFrame(grams, "gram long, n long")
+    monkeypatch.setattr(context_tree, "MOST_NODES", most)
+    nodes = context_tree.tree(counts)
+    model = context_tree.load(nodes)
+    odd = spark.createDataFrame([(int.from_bytes(b"abcd\x01"),), (grams[0][0],)], "gram long")
+    values = [r["value"] for r in context_tree.joined(odd, nodes, spark.sparkContext.broadcast((model,))).orderBy("gram").collect()]
+    # the bit after 0000 is a zero with probability 0.5 / 200,000,001, and the last of the eight decisions was never met
+    assert values[0] == pytest.approx(math.log10(0.5 / 200_000_001) + 3 * math.log10(0.5), abs=0.01)
+    assert values[1] == pytest.approx(0, abs=1e-6)
+    if model.complete:
+        assert model._lookup(np.array([g for g, in odd.collect()], np.uint64)) == pytest.approx(values, abs=1e-4)
+
+
 # --- secrets -----------------------------------------------------------------------------------------
 def secret_rows(n=60):
     digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
