@@ -79,53 +79,82 @@ class PerfectHash:
         return slot if self.keys[slot] == key else -1
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a piece: bytes as a doubly linked list, pairs in a heap by rank and place."""
-    end = len(piece)
-    part = [piece[i : i + 1] for i in range(end)]
-    after = list(range(1, end + 1))
-    before = list(range(-1, end - 1))
+class Ranks(dict):
+    """Rank of every token, and lists of those of single bytes and of pairs of bytes (None: no token)."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__(ranks)
+        self.one = [ranks.get(bytes([a])) for a in range(256)]
+        self.two = [[ranks.get(bytes([a, b])) for b in range(256)] for a in range(256)]
+
+
+_PLACE = 40  # bits of a heap entry that hold the place
+_AT = (1 << _PLACE) - 1
+
+
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
+    """Ids of a piece: its parts as a doubly linked list by their first bytes, pairs in a heap by rank and place."""
+    size, two = len(piece), ranks.two
     find = ranks.get
-    heap = [(rank, i, part[i] + part[i + 1]) for i in range(end - 1) if (rank := find(part[i] + part[i + 1])) is not None]
+    ids = [ranks.one[a] for a in piece]
+    end = list(range(1, size + 1))  # where a part ends and the next begins
+    before = list(range(-1, size - 1))
+    pair: list[int | None] = []  # heap entry of a part and the next together
+    for i, (a, b) in enumerate(zip(piece, piece[1:])):
+        rank = two[a][b]
+        pair.append(None if rank is None else rank << _PLACE | i)
+    heap = [p for p in pair if p is not None]
+    pair.append(None)
     heapify(heap)
     while heap:
-        _, i, pair = heappop(heap)
-        j = after[i]
-        if part[i] is None or j == end or len(part[i]) + len(part[j]) != len(pair) or part[i] + part[j] != pair:
+        top = heappop(heap)
+        i = top & _AT
+        if pair[i] != top:
             continue  # one of the two has been merged since
-        k = after[j]
-        part[i], part[j], after[i] = pair, None, k
-        if k < end:
+        ids[i] = top >> _PLACE
+        j = end[i]
+        k = end[i] = end[j]
+        pair[i] = pair[j] = None
+        if k < size:
             before[k] = i
-            joined = pair + part[k]
-            if (rank := find(joined)) is not None:
-                heappush(heap, (rank, i, joined))
+            rank = find(piece[i : end[k]])
+            if rank is not None:
+                pair[i] = rank = rank << _PLACE | i
+                heappush(heap, rank)
         h = before[i]
         if h >= 0:
-            joined = part[h] + pair
-            if (rank := find(joined)) is not None:
-                heappush(heap, (rank, h, joined))
-    return [ranks[p] for p in part if p is not None]
+            pair[h] = None
+            rank = find(piece[h:k])
+            if rank is not None:
+                pair[h] = rank = rank << _PLACE | h
+                heappush(heap, rank)
+    out = []
+    i = 0
+    while i < size:
+        out.append(ids[i])
+        i = end[i]
+    return out
 
 
 class Encoder:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.ranks = Ranks({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.decimal = {rank: str(rank) for rank in self.tokens}
         self.whole = PerfectHash(list(self.ranks))
         self.slot_ranks = [self.ranks.get(key, -1) for key in self.whole.keys]
         pattern = pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]")
         self.matches = regex.compile(pattern).findall
-        self.by_match: dict[str, list[int]] = {}
+        self.by_match: dict[str, tuple[int, ...]] = {}  # the garbage collector passes over tuples of numbers
         self.by_chunk: dict[str, tuple[str, int, bytes]] = {}
 
-    def _match_ids(self, match: str) -> list[int]:
+    def _match_ids(self, match: str) -> tuple[int, ...]:
         ids = self.by_match.get(match)
         if ids is None:
             data = match.encode()
             slot = self.whole.slot(data)
-            ids = [self.slot_ranks[slot]] if slot >= 0 else merge(data, self.ranks)
+            ids = (self.slot_ranks[slot],) if slot >= 0 else tuple(merge(data, self.ranks))
             if len(self.by_match) >= KEPT:
                 self.by_match.clear()
             self.by_match[match] = ids
@@ -139,7 +168,7 @@ class Encoder:
 
     def _entry(self, chunk: str) -> tuple[str, int, bytes]:
         ids = self.ids(chunk)
-        return " ".join(map(str, ids)), len(ids), self.decode(ids)
+        return " ".join([self.decimal[i] for i in ids]), len(ids), self.decode(ids)
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids in decimal, SHA-256 of the decoded bytes."""
