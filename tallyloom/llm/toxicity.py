@@ -18,13 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROWS, map_batches, spark_schema, stored
 
-#: Distinct labelled texts that the model is fitted on, about, at most; half of them of either class.
-LABELLED_ROWS = 20_000
 #: Words and beginnings in the lexicon at most, those with the most evidence: texts whose toxic words are all rarer score as clean.
 LEXICON = 1_000
 #: Letter trigrams of the character model at most, the commonest; others have its floor.
@@ -34,7 +34,7 @@ SUPPORT = 0.01
 #: Share of the toxic texts that an entry occurs in at least to decide alone, with next to no clean text.
 SURE = 0.03
 _BEGINNINGS = (4, 5, 6, 7)
-_KEPT = 150_000
+_KEPT = 60_000
 #: Length of a token that is kept, and of a run that is decoded at once.
 _KEPT_LENGTH, _RUN = 64, 400
 
@@ -149,30 +149,84 @@ class Scorer:
         return out
 
     def score(self, text: str | None) -> float:
-        found = self.found(text or "")
-        logit = self.prior + sum(self.lexicon[f] for f in found)
+        return self.score_of(self.found(text or ""))
+
+    def score_of(self, found: set[str]) -> float:
+        logit = self.prior + math.fsum(self.lexicon[f] for f in found)
         return max(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))), *(self.sure.get(f, 0.0) for f in found), 0.0)
 
 
-_COUNTS = pa.schema([("feature", pa.string()), ("kind", pa.int32()), ("source", pa.int64()), ("n", pa.int64())])
-_CLEAN, _TOXIC, _GRAM = 0, 1, 2
+_COUNTS = pa.schema([("feature", pa.string()), ("source", pa.int64())])
+_PRESENT = pa.schema([("feature", pa.string()), ("n", pa.float64()), ("grams", pa.float64())])
+
+
+def _words(text: str | None) -> set[str]:
+    return {w for token in set((text or "").lower().split()) if (w := _edge("", token)).isalpha()}
+
+
+def _sources(batch: pa.RecordBatch) -> dict:
+    """Of (text): its features, each with a sketch of the text; the feature "" is in every text."""
+    features, sources = [], []
+    for text in batch[0].to_pylist():
+        words = _words(text)
+        sketch = min((xxhash.xxh3_64_intdigest(w) >> 1 for w in words), default=0)  # near copies share most words, so mostly their smallest hash
+        own = {f for w in words for f in _features(w)} | {""}
+        features += own
+        sources += [sketch] * len(own)
+    return {"feature": features, "source": sources}
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (text, toxic): features of clean texts with counts, of toxic texts by a sketch of the text, letter trigrams."""
-    for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
-        rows: Counter[tuple[str, int, int]] = Counter()
-        for text, toxic in zip(batch[0].to_pylist(), batch[1].to_pylist()):
-            words = {w for token in (text or "").lower().split() if (w := _edge("", token)).isalpha()}
-            sketch = min((xxhash.xxh3_64_intdigest(w) >> 1 for w in words), default=0)
-            source = sketch if toxic else 0  # near copies share most words, so mostly their smallest hash
-            rows.update((f, _TOXIC if toxic else _CLEAN, source) for f in {f for w in words for f in _features(w)})
-            rows[("", _TOXIC if toxic else _CLEAN, source)] += 1
-            for word in words:
+def _counter(asked: frozenset[str]):
+    """Of (text, share, toxic): sums of the shares of clean texts by the features asked for, and of all texts by letter trigram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present: Counter[str] = Counter()
+        words: Counter[str] = Counter()
+        grams: Counter[str] = Counter()
+        known: dict[str, tuple[str, tuple[str, ...]] | None] = {}
+
+        def spell() -> None:
+            for word, n in words.items():
                 line = f"^^{word}$"
-                rows.update((line[i : i + 3], _GRAM, 0) for i in range(len(line) - 2))
-        columns = ([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], list(rows.values()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTS)], schema=_COUNTS)
+                for i in range(len(line) - 2):
+                    grams[line[i : i + 3]] += n
+            words.clear()
+
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
+            for text, share, toxic in zip(*(batch[i].to_pylist() for i in range(3))):
+                own, hits = set(), set()
+                for token in set((text or "").lower().split()):
+                    entry = known.get(token, "")
+                    if entry == "":
+                        core = _edge("", token)
+                        entry = (core, tuple(f for f in _features(core) if f in asked)) if core.isalpha() else None
+                        if len(known) >= _KEPT:
+                            known.clear()
+                        if len(token) <= _KEPT_LENGTH:
+                            known[token] = entry
+                    if entry:
+                        own.add(entry[0])
+                        hits.update(entry[1])
+                for word in own:
+                    words[word] += share
+                if not toxic:
+                    present[""] += share
+                    for f in hits:
+                        present[f] += share
+            if len(words) > _KEPT:
+                spell()
+            if len(grams) > _KEPT:
+                yield _present(Counter(), grams)
+                grams.clear()
+        spell()
+        yield _present(present, grams)
+
+    return run
+
+
+def _present(present: Counter[str], grams: Counter[str]) -> pa.RecordBatch:
+    columns = [[*present, *grams], [*present.values(), *[0.0] * len(grams)], [*[0.0] * len(present), *grams.values()]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PRESENT)], schema=_PRESENT)
 
 
 def held_out(folds: int = 5):
@@ -180,47 +234,66 @@ def held_out(folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> tuple[DataFrame, dict[bool, float]]:
-    """(text, toxic) of labelled documents that are not held out, and the rows that one of each class stands for.
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, mark): null texts are empty, equal texts have equal marks."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.withColumn("mark", F.xxhash64("text"))
+
+
+def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(mark, toxic, copies): the distinct labelled texts that are not held out, and the rows that hold each. No text moves."""
+    toxic = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic") == 1).alias("toxic")).filter(~held_out())
+    own = texts_of(docs).groupBy("doc_id", "mark").agg(F.count("*").alias("n"))
+    own = stored(own.join(toxic, "doc_id", "left").groupBy("mark", "toxic").agg(F.sum("n").alias("n")), "marks")  # toxic: null if unlabelled
+    copies = own.groupBy("mark").agg(F.sum("n").alias("copies"))
+    return stored(own.filter("toxic is not null").select("mark", "toxic").join(copies, "mark"), "marked")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame, dict[bool, float]]:
+    """A sample of about ``most`` rows (text, toxic) of the labelled texts, to look at, and the rows that one of each class stands for.
 
     Copies of a text count once in a class. A class with more than half of ``most`` texts is thinned
-    to about that by their hashes: toxic texts may be rare, and no document may fill the sample.
+    to about that by their hashes. The model does not use it: it is learned from all of them.
     """
-    toxic = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic") == 1).alias("toxic")).filter(~held_out())
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
-    marks = stored(texts.select("doc_id", "mark").join(toxic, "doc_id").select("toxic", "mark").distinct(), "marks")  # no text moves
+    marks = marked(docs, labels)
     sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     share = {k: max(1.0, n / max(most // 2, 1)) for k, n in sizes.items()}
     part = F.when(F.col("toxic"), 1 / share.get(True, 1.0)).otherwise(1 / share.get(False, 1.0))
-    chosen = F.broadcast(marks.filter(F.pmod(F.xxhash64("mark"), F.lit(1 << 40)) < part * (1 << 40)))  # about `most` rows at most
-    rows = texts.select("text", "mark").join(chosen, "mark").groupBy("toxic", "mark").agg(F.min("text").alias("text"))
+    chosen = marks.filter(F.pmod(F.xxhash64("mark"), F.lit(1 << 40)) < part * (1 << 40)).drop("copies")
+    rows = texts_of(docs).select("text", "mark").join(chosen, "mark").groupBy("toxic", "mark").agg(F.min("text").alias("text"))
     return stored(rows.select("text", "toxic"), "labelled"), share
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> Scorer:
-    """Lexicon and character model from the labelled documents that are not held out."""
-    rows, share = labelled(docs, labels, labelled_rows)
-    counts = rows.mapInArrow(_count, spark_schema(_COUNTS))
-    by_text = counts.groupBy("feature", "kind", "source").agg(F.sum("n").alias("n"))
-    counts = stored(
-        by_text.groupBy("feature").agg(
-            F.count(F.when(F.col("kind") == _TOXIC, 1)).alias("toxic"),
-            F.coalesce(F.sum(F.when(F.col("kind") == _CLEAN, F.col("n"))), F.lit(0)).alias("clean"),
-            F.coalesce(F.sum(F.when(F.col("kind") == _GRAM, F.col("n"))), F.lit(0)).alias("grams"),
-        ),
-        "features",
-    )
+def learned(docs: DataFrame, marks: DataFrame) -> Scorer:
+    """Lexicon and character model from all labelled texts that are not held out; the weights are not fitted.
+
+    Features of toxic texts first: those that enough of them have are then counted in the clean ones. So only
+    candidates are counted there, at most 1 / SUPPORT times the features of a text, and each row of a text counts
+    for one over its copies: texts move only where Spark does not broadcast the marks.
+    """
+    texts = texts_of(docs).select("text", "mark")
+    toxic = texts.join(marks.filter("toxic").select("mark"), "mark").groupBy("mark").agg(F.min("text").alias("text")).select("text")
+    support = map_batches(toxic, _sources, _COUNTS).distinct().groupBy("feature").agg(F.count("*").alias("toxic"))
+    support = stored(support.filter("toxic >= 3 or feature = ''"), "support")
+    total = support.filter("feature = ''").first()
+    n_toxic = total["toxic"] if total else 0
+    candidates = support.filter((F.col("feature") == "") | (F.col("toxic") >= max(3, SUPPORT * n_toxic)))
+    asked = frozenset(r["feature"] for r in candidates.select("feature").collect()) - {""}
+    rows = texts.join(marks, "mark").select("text", (1 / F.col("copies")).alias("share"), "toxic")
+    counts = rows.mapInArrow(_counter(asked), spark_schema(_PRESENT)).groupBy("feature").agg(F.sum("n").alias("clean"), F.sum("grams").alias("grams"))
+    counts = stored(counts, "features")
     total = counts.filter("feature = ''").first()
-    n_toxic, n_clean = (total["toxic"], total["clean"]) if total else (0, 0)
-    weight = F.log(((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1)))
-    kept = counts.filter((F.col("feature") != "") & (F.col("toxic") >= max(3, SUPPORT * n_toxic))).withColumn("weight", weight).filter("weight > 2")
-    best = kept.orderBy(F.desc(F.col("toxic") * F.col("weight")), "feature").limit(LEXICON)
-    best = best.collect()
+    n_clean = total["clean"] if total else 0
+    clean = F.coalesce("clean", F.lit(0.0))
+    weight = F.log(((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((clean + 0.5) / (n_clean + 1)))
+    kept = candidates.filter("feature <> ''").join(counts.filter("clean > 0").select("feature", "clean"), "feature", "left")
+    kept = kept.select("feature", "toxic", clean.alias("clean"), weight.alias("weight")).filter("weight > 2")
+    best = kept.orderBy(F.desc(F.round(F.col("toxic") * F.col("weight"), 9)), "feature").limit(LEXICON).collect()
     lexicon = {r["feature"]: r["weight"] for r in best}
     # Words that share a text share its weight in the regression; one alone may still say enough.
     precise = {r["feature"]: r["toxic"] / (r["toxic"] + r["clean"] + 2) for r in best if r["toxic"] >= max(20, SURE * n_toxic)}
     sure = {feature: share for feature, share in precise.items() if share >= 0.95}
-    common = counts.filter("grams > 0").orderBy(F.desc("grams"), "feature").limit(GRAMS).collect()
+    common = counts.filter("grams > 0").orderBy(F.desc(F.round("grams", 6)), "feature").limit(GRAMS).collect()
     grams = {r["feature"]: float(r["grams"]) for r in common}
     bulk, rare = sum(grams.values()), Counter()
     for word in lexicon:
@@ -228,70 +301,73 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         rare.update(line[i : i + 3] for i in range(len(line) - 2 - word.endswith("*")))
     for gram, n in rare.items():  # half of the model's weight is on what is looked for
         grams[gram] = grams.get(gram, 0.0) + n * bulk / sum(rare.values())
-    of_toxic, of_clean = n_toxic * share.get(True, 1.0), n_clean * share.get(False, 1.0)
-    scorer = Scorer(lexicon, math.log((of_toxic + 0.5) / (of_clean + of_toxic + 5.0)), grams, sure)
-    names = sorted(lexicon)
-    place = {f: i for i, f in enumerate(names)}
+    return Scorer(lexicon, math.log((n_toxic + 0.5) / (n_clean + n_toxic + 5.0)), grams, sure)
 
-    def present(batch: pa.RecordBatch) -> dict:
-        return {"found": [sorted(place[f] for f in scorer.found(t or "")) for t in batch[0].to_pylist()], "toxic": batch[1]}
 
-    schema = pa.schema([("found", pa.list_(pa.int32())), ("toxic", pa.bool_())])
-    if names:  # LABELLED_ROWS rows at most
-        scorer.prior, weights = fit(map_batches(rows, present, schema).collect(), len(names), scorer.prior, share)
-        scorer.lexicon = dict(zip(names, weights))
-    return scorer
+_FOUND = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("found", pa.list_(pa.int32()))])
+
+
+def found_in(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """(doc_id, mark, found): places in the sorted lexicon of what each text holds, stored; no text is."""
+    place = {f: i for i, f in enumerate(sorted(scorer.lexicon))}
+
+    def make(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch[0], "mark": batch[2], "found": [sorted(place[f] for f in scorer.found(t)) for t in batch[1].to_pylist()]}
+
+    return stored(map_batches(texts_of(docs), make, _FOUND), "found")
 
 
-def fit(rows: list, width: int, prior: float, share: dict[bool, float], penalty: float = 0.03, steps: int = 600) -> tuple[float, list[float]]:
-    """Bias and weights of a logistic regression on 0/1 features, by accelerated gradient descent.
+def fit(scorer: Scorer, found: DataFrame, marks: DataFrame, penalty: float = 0.03, steps: int = 100) -> None:
+    """Weights of a logistic regression on 0/1 features over all labelled texts, by Spark ML; a text counts once.
 
-    A row counts for as many as its class's share says, over the mean.
+    The bias stays what the classes say: a text without any of the words is no more or less toxic than others. Equal sets of features are one row with a weight. Without texts of both classes the lexicon's own weights stay.
     """
-    each = np.array([share.get(row["toxic"], 1.0) for row in rows], np.float32)
-    each /= max(float(each.mean()), 1e-9) if len(each) else 1.0
-    matrix = np.zeros((len(rows), width), np.float32)
-    for i, row in enumerate(rows):
-        matrix[i, row["found"]] = 1
-    toxic = np.array([row["toxic"] for row in rows], np.float32)
-    probe = np.ones(width, np.float32)
-    for _ in range(20):  # the largest curvature, by power iteration
-        probe = matrix.T @ (each * (matrix @ (probe / max(float(np.linalg.norm(probe)), 1e-9))))
-    rate = 1 / (0.3 * float(np.linalg.norm(probe)) + penalty)
-    weights = ahead = np.zeros(width, np.float32)
-    for step in range(steps):
-        wrong = each * (1 / (1 + np.exp(-np.clip(matrix @ ahead + prior, -30, 30))) - toxic)
-        now = ahead - rate * (matrix.T @ wrong + penalty * ahead)
-        weights, ahead = now, now + step / (step + 3) * (now - weights)
-    return prior, [float(w) for w in weights]
+    names = sorted(scorer.lexicon)
+    once = found.join(marks, "mark").groupBy("mark", "toxic").agg(F.min("found").alias("found"))
+    rows = stored(once.groupBy("found", "toxic").agg(F.count("*").cast("double").alias("weight")), "patterns")
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
+    if not names or len(sizes) < 2:
+        return
+    ones = F.udf(lambda places: Vectors.sparse(len(names), places, [1.0] * len(places)), VectorUDT())
+    rows = rows.select(ones("found").alias("features"), F.col("toxic").cast("double").alias("label"), "weight")
+    regression = LogisticRegression(weightCol="weight", regParam=penalty / sum(sizes.values()), standardization=False, maxIter=steps)
+    bias = Vectors.dense([scorer.prior])
+    model = regression.setLowerBoundsOnIntercepts(bias).setUpperBoundsOnIntercepts(bias).fit(rows)
+    scorer.lexicon = dict(zip(names, model.coefficients.toArray().tolist()))
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
     Null and empty texts get the score of a text without lexicon words. Labels may be few, repeated
     (toxic if one row says so) or null (left out); without any toxic label no text is predicted.
     Repeated rows give repeated rows; a null doc_id is never held out. Other columns are not read.
     """
-    scorer = train(docs, labels, labelled_rows)
+    marks = marked(docs, labels)
+    scorer = learned(docs, marks)
+    found = found_in(docs, scorer)
+    fit(scorer, found, marks)
+    names, score_of = sorted(scorer.lexicon), scorer.score_of
 
     def make(batch: pa.RecordBatch) -> dict:
-        return {"doc_id": batch[0], "score": np.array([scorer.score(t) for t in batch[1].to_pylist()], float)}
+        return {"doc_id": batch[0], "score": np.array([score_of({names[i] for i in row}) for row in batch[1].to_pylist()], float)}
 
-    scored = map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, _SCORES)
+    scored = map_batches(found.select("doc_id", "found"), make, _SCORES)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, whose text is not predicted toxic.
 
     Null and empty texts score as texts without lexicon words; rows of one text stay or go together,
     with or without a doc_id. An empty table stays empty, and without toxic labels every row stays.
     """
-    scorer = train(docs, labels, labelled_rows)
+    marks = marked(docs, labels)
+    scorer = learned(docs, marks)
+    fit(scorer, found_in(docs, scorer), marks)
 
     @F.pandas_udf("double")
     def score(text):

@@ -2,14 +2,17 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 import tiktoken
+import xxhash
+from pyspark.sql import functions as F
 
 from tallyloom.llm import byte_bpe, fingerprint, licenses, quality, toxicity
 
@@ -411,6 +414,27 @@ def test_a_labelled_id_on_many_rows_does_not_fill_the_sample(spark):
     assert 15 <= sizes[True] <= 45 and 10 <= sizes[False] <= 50 and share[False] > 10 and 1 < share[True] < 2
 
 
+def test_every_labelled_text_is_counted_once(spark):
+    """30,000 texts, more than a sample held; the 20,000 clean ones stand on three rows each, and a toxic one on a hundred."""
+    n = F.col("id").cast("string")
+    texts = F.when(F.col("id") % 3 == 0, F.concat(F.lit("idiot w"), F.translate(n, "0123456789", "abcdefghij"))).otherwise(F.concat(F.lit("kind person "), n))
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    labels = rows.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    copies = rows.filter("doc_id % 3 <> 0").crossJoin(spark.range(2)).drop("id").unionByName(rows.filter("doc_id = 3").crossJoin(spark.range(99)).drop("id"))
+    docs = rows.unionByName(copies)
+    marks = toxicity.marked(docs, labels)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    learned = [i for i in range(30_000) if zlib.crc32(str(i).encode()) % 5]
+    n_toxic = sum(i % 3 == 0 for i in learned)
+    assert {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()} == {True: n_toxic, False: len(learned) - n_toxic}
+    scorer = toxicity.learned(docs, marks)
+    sketches = {min(xxhash.xxh3_64_intdigest(w) >> 1 for w in ("idiot", "w" + str(i).translate(letters))) for i in learned if i % 3 == 0}
+    n_clean = len(learned) - n_toxic
+    assert scorer.prior == pytest.approx(math.log((len(sketches) + 0.5) / (n_clean + len(sketches) + 5.0)))
+    toxicity.fit(scorer, toxicity.found_in(docs, scorer), marks)
+    assert scorer.score("an idiot") > 0.9 and scorer.score("a kind person") < 0.5 and "kind" not in scorer.lexicon
+
+
 def test_toxicity_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 0), (5, 1)], "doc_id long, toxic int")
     found = toxicity.toxicity(documents(spark), labels)
