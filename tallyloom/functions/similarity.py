@@ -28,8 +28,10 @@ from .labels import FIRST_LETTER_BONUS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _WORD = 64  # longest entry the bit-parallel form can hold
-_CELLS = 1 << 18  # names times entries of a matrix, about
-_PAIRS = 1 << 18  # pairs scored at once
+_GROUP = 64  # entries of one size and first letter that meet all names at once, at most
+_PAIRS = 1 << 16  # pairs scored at once, about
+_NEAR = 8  # neighbours of a name in alphabetical order that are scored first
+_LAST = (1 << 32) - 1
 
 BEST_TYPE = T.StructType(
     [
@@ -73,26 +75,31 @@ def _signatures(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _THIRD = [1, *(ord(c) - 63 for c in "AEINORSTL")]
 
 
-def _lcs_pairs(names: np.ndarray, sizes: np.ndarray, entries: np.ndarray, of_name: np.ndarray, of_entry: np.ndarray) -> np.ndarray:
-    """LCS of pairs (name, entry), entries of at most 64 letters."""
+def _letter_masks(entries: np.ndarray) -> np.ndarray:
+    """For each letter code and entry of at most 64 letters the places of the letter, as bits."""
     masks = np.zeros((28, len(entries)), dtype=np.uint64)
-    for at in range(entries.shape[1]):
+    for at in range(min(entries.shape[1], _WORD)):
         masks[entries[:, at], np.arange(len(entries))] |= np.uint64(1) << np.uint64(at)
     masks[0] = 0
-    lengths = np.count_nonzero(entries, axis=1).astype(np.uint64)
+    return masks
+
+
+def _lcs_pairs(columns: np.ndarray, sizes: np.ndarray, masks: np.ndarray, entry_sizes: np.ndarray, of_name: np.ndarray, of_entry: np.ndarray) -> np.ndarray:
+    """LCS of pairs (name, entry), entries of at most 64 letters; ``columns`` are the names' letters by place."""
+    longest = int(sizes.max(initial=0))
+    key = (longest - sizes).astype(np.uint16 if longest < 1 << 16 else np.int64)
+    order = np.argsort(key[of_name], kind="stable")  # the longest names first
+    name, entry = of_name[order], of_entry[order]
+    state, falling = np.full(len(name), ~np.uint64(0)), -sizes[name]
+    for at in range(-int(falling[0])):
+        active = int(np.searchsorted(falling, -at, side="left"))  # names longer than `at`
+        rows = state[:active]
+        hit = rows & masks[columns[at][name[:active]], entry[:active]]
+        state[:active] = (rows + hit) | (rows - hit)
+    lengths = entry_sizes[entry].astype(np.uint64)
     used = np.where(lengths == _WORD, ~np.uint64(0), (np.uint64(1) << (lengths % np.uint64(_WORD))) - np.uint64(1))
-    out = np.zeros(len(of_name), np.int64)
-    order = np.argsort(-sizes[of_name], kind="stable")  # the longest names first
-    for start in range(0, len(order), _PAIRS):
-        part = order[start : start + _PAIRS]
-        name, entry = of_name[part], of_entry[part]
-        state, falling = np.full(len(part), ~np.uint64(0)), -sizes[name]
-        for at in range(-int(falling[0])):
-            active = int(np.searchsorted(falling, -at, side="left"))  # names longer than `at`
-            rows = state[:active]
-            hit = rows & masks[names[name[:active], at], entry[:active]]
-            state[:active] = (rows + hit) | (rows - hit)
-        out[part] = np.bitwise_count(~state & used[entry])
+    out = np.empty(len(name), np.int64)
+    out[order] = np.bitwise_count(~state & used)
     return out
 
 
@@ -114,42 +121,96 @@ def _described(texts: tuple[str, ...]) -> tuple[np.ndarray, ...]:
     return codes, np.count_nonzero(codes, axis=1), *_signatures(codes), np.array([t[:1] for t in texts], dtype="U1")
 
 
+def _alphabetical(codes: np.ndarray) -> np.ndarray:
+    """Rows of letter codes as texts that sort."""
+    return np.ascontiguousarray(codes).view(f"S{codes.shape[1]}")[:, 0] if codes.shape[1] else np.zeros(len(codes), "S1")
+
+
+@lru_cache(maxsize=16)
+def _arranged(texts: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of a pack: letter masks, alphabetical order, the texts in it, and groups of entries of one size and first letter."""
+    codes, sizes, _, _, initials = _described(texts)
+    sorted_texts = _alphabetical(codes)
+    alphabetical = np.argsort(sorted_texts, kind="stable")
+    order = np.lexsort((initials, sizes))
+    order = order[(sizes[order] > 0) & (sizes[order] <= _WORD)]
+    cuts = np.flatnonzero((np.diff(sizes[order]) != 0) | (initials[order][1:] != initials[order][:-1])) + 1
+    groups = [run[at : at + _GROUP] for run in np.split(order, cuts) for at in range(0, len(run), _GROUP)]
+    return _letter_masks(codes), alphabetical, sorted_texts[alphabetical], groups
+
+
 def best_of(names: list[str], locals_: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
     """For each name the best score (with first-letter bonus) and its entry, the first of equals; and the pairs scored.
 
     Both are cleaned texts (A..Z, blanks). The letters two texts have in common bound their score.
-    The entries with the highest bounds are scored first, and then only those whose bound reaches the
-    best score so far: no other can be better, or as good and earlier.
+    Neighbours in alphabetical order are scored first, and then, group after group, only pairs whose
+    bound reaches the best so far, which is carried on: no other can be better, or as good and earlier.
     """
     codes, sizes, mask, beyond, initials = _described(tuple(names))
     entries, entry_sizes, entry_mask, entry_beyond, entry_initials = _described(tuple(locals_))
-    total = np.maximum(sizes[:, None] + entry_sizes[None, :], 1)
-    bonus = FIRST_LETTER_BONUS * ((initials[:, None] == entry_initials[None, :]) & (initials[:, None] != ""))
-    some = (sizes > 0)[:, None] & (entry_sizes > 0)[None, :]
-
-    def score(lcs: np.ndarray, at=slice(None)) -> np.ndarray:
-        return (np.rint(200.0 * lcs / total[at]) * some[at] + bonus[at]).astype(np.int32)
-
-    common = np.bitwise_count(mask[:, None] & entry_mask[None, :]).astype(np.int64)
-    bound = score(common + np.minimum(beyond[:, None], entry_beyond[None, :]))
-    exact = np.full(bound.shape, -1, np.int32)
-    for at in np.flatnonzero(entry_sizes > _WORD):
-        exact[:, at] = bound[:, at] = score(_lcs_rows(codes, entries[at, : entry_sizes[at]])[:, None], (slice(None), slice(at, at + 1)))[:, 0]
-
-    def settle(of_name: np.ndarray, of_entry: np.ndarray) -> int:
-        open_ = exact[of_name, of_entry] < 0
-        of_name, of_entry = of_name[open_], of_entry[open_]
-        if len(of_name):
-            exact[of_name, of_entry] = score(_lcs_pairs(codes, sizes, entries[:, :_WORD], of_name, of_entry), (of_name, of_entry))
-        return len(of_name)
-
-    every, scored = np.arange(len(names))[:, None], 0
-    for few in (1, 16):
-        if few < len(locals_):
-            likely = np.argpartition(-bound, few - 1, axis=1)[:, :few]
-            scored += settle(np.repeat(every, few), likely.ravel())
-    scored += settle(*np.nonzero(bound >= exact.max(axis=1, keepdims=True)))
-    return exact.max(axis=1), exact.argmax(axis=1), scored
+    masks, alphabetical, sorted_texts, groups = _arranged(tuple(locals_))
+    columns = np.ascontiguousarray(codes.T)
+    best = np.full(len(names), _LAST, np.int64)  # score and, falling, entry: score 0 at the first entry
+    scored = 0
+
+    def ranked(common: np.ndarray, of_name: np.ndarray, of_entry: np.ndarray) -> np.ndarray:
+        """What pairs with so many letters in common rank: by score, then by entry."""
+        bonus = FIRST_LETTER_BONUS * ((initials[of_name] == entry_initials[of_entry]) & (initials[of_name] != ""))
+        score = np.rint(200.0 * common / np.maximum(sizes[of_name] + entry_sizes[of_entry], 1))
+        score = score * ((sizes[of_name] > 0) & (entry_sizes[of_entry] > 0)) + bonus
+        return (score.astype(np.int64) << 32) + (_LAST - of_entry)
+
+    def settle(of_name: np.ndarray, of_entry: np.ndarray) -> None:
+        nonlocal scored
+        scored += len(of_name)
+        for at in range(0, len(of_name), _PAIRS):
+            name, entry = of_name[at : at + _PAIRS], of_entry[at : at + _PAIRS]
+            np.maximum.at(best, name, ranked(_lcs_pairs(columns, sizes, masks, entry_sizes, name, entry), name, entry))
+
+    every = np.arange(len(names))
+    for entry in np.flatnonzero(entry_sizes > _WORD):
+        lcs = _lcs_rows(codes, entries[entry, : entry_sizes[entry]])
+        scored += len(names)
+        np.maximum(best, ranked(lcs, every, np.full(len(names), entry)), out=best)
+    near = _NEAR if len(locals_) > _NEAR * _NEAR else 0
+    place = np.empty(len(locals_), np.int64)
+    place[alphabetical] = np.arange(len(locals_))
+    first = np.clip(np.searchsorted(sorted_texts, _alphabetical(codes)) - near // 2, 0, max(len(locals_) - near, 0))
+    if near:
+        of_name, of_entry = np.repeat(every, near), alphabetical[(first[:, None] + np.arange(near)).ravel()]
+        short = entry_sizes[of_entry] <= _WORD
+        settle(of_name[short], of_entry[short])
+
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n_waiting = 0
+
+    def settle_waiting() -> None:
+        of_name, of_entry, bound = (np.concatenate(parts) for parts in zip(*waiting))
+        waiting.clear()
+        open_ = bound > best[of_name]
+        settle(of_name[open_], of_entry[open_])
+
+    for group in groups:
+        wanted = (best >> 32) - FIRST_LETTER_BONUS * ((initials == entry_initials[group[0]]) & (initials != ""))
+        need = np.ceil((wanted - 0.5) * (sizes + entry_sizes[group[0]]) / 200.0 - 1e-9)  # letters that a score as good takes
+        common = np.bitwise_count(entry_mask[group][:, None] & mask[None, :])
+        if entry_beyond[group].any():
+            common = common + np.minimum(entry_beyond[group][:, None], beyond[None, :])
+        reach = common >= np.where(sizes > 0, np.clip(need, 0, 255), 255).astype(np.uint8)
+        found = np.flatnonzero(reach)
+        at_entry, of_name = np.divmod(found, len(names))
+        of_entry = group[at_entry]
+        bound = ranked(common.ravel()[found], of_name, of_entry)
+        after = place[of_entry] - first[of_name]
+        open_ = (bound > best[of_name]) & ((after < 0) | (after >= near))
+        waiting.append((of_name[open_], of_entry[open_], bound[open_]))
+        n_waiting += len(waiting[-1][0])
+        if n_waiting >= _PAIRS:
+            settle_waiting()
+            n_waiting = 0
+    if waiting:
+        settle_waiting()
+    return (best >> 32).astype(np.int32), (_LAST - (best & _LAST)).astype(np.int64), scored
 
 
 @F.pandas_udf(BEST_TYPE)
@@ -163,11 +224,8 @@ def best_entries(names: pd.Series, locals_: pd.Series) -> pd.DataFrame:
         best_score = np.zeros(len(block), dtype=np.int32)
         best_entry = np.full(len(block), -1, dtype=np.int32)
         counts.append(0)
-        step = max(1, _CELLS // max(len(pack), 1))
-        for start in range(0, len(block) if len(pack) else 0, step):
-            part = slice(start, start + step)
-            best_score[part], best_entry[part], scored = best_of(list(block[part]), list(pack))
-            counts[-1] += scored
+        if len(pack):
+            best_score, best_entry, counts[-1] = best_of(list(block), list(pack))
         scores.append(best_score)
         entries.append(best_entry)
     return pd.DataFrame({"score": scores, "entry": entries, "scored": counts})

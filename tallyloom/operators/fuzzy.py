@@ -15,13 +15,14 @@ from ..functions.similarity import best_entries
 from ..functions.text import email_local_part
 from ..sources.storage import cut_lineage
 from .joins import unique_roster
-from .skew import hot_keys_of, lookup_join
+from .skew import hot_keys_of, lookup_join, shuffle_width
 
 # The tasks carry this module with them, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_NAMES = 4096  # names per block, at most
 ROSTER_PACK = 1024  # roster entries per pack, at most
+SHELF = 16384  # roster entries that a block of names meets at once, at most (or one pack)
 
 
 def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
@@ -31,6 +32,13 @@ def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
     return roster.groupBy(pack.alias("pack")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
 
+def shelve(packs: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
+    """Packs put together in rows of at most SHELF entries, still in roster order."""
+    shelf = F.floor(F.col("pack") / max(1, SHELF // pack_size)).cast("int")
+    held = packs.groupBy(shelf.alias("shelf")).agg(F.array_sort(F.collect_list(F.struct("pack", "entries"))).alias("packs"))
+    return held.select("shelf", F.flatten(F.col("packs.entries")).alias("entries"))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, BLOCK_NAMES):
@@ -49,24 +57,27 @@ def match_names(
 ) -> DataFrame:
     """A table of one row per ``clean_name`` with the e-mail (or Unmapped) and best score of the name.
 
-    Every name has to meet every roster entry. They meet as blocks of names and packs of
-    the roster, one row for each block and pack, so no pair is ever a row, and only pairs whose
-    letters can give a name's best score are scored. A roster of usual size is one pack. Blocks
-    have at most BLOCK_NAMES names; they carry names only, and the other columns are joined
-    back by name. Blocks and packs are joined by an ordinary equi join that Spark broadcasts only
-    below its size limit. A missing name is Unmapped. No job runs before the result is asked for.
+    Every name has to meet every roster entry. They meet as blocks of names and shelves (several
+    packs) of the roster, one row for each block and shelf, so no pair is ever a row, a name comes back
+    once for each shelf, and only pairs whose letters can give a name's best score in the shelf are
+    scored. A roster of usual size is one shelf. Blocks have at most BLOCK_NAMES names; they carry names
+    only, and the other columns are joined back by name. Blocks and shelves are joined by an ordinary equi
+    join that Spark broadcasts only below its size limit; their number of partitions is given, since few
+    bytes mean much work. A missing name is Unmapped. No job runs before the result is asked for.
     """
-    packs = pack_roster(roster, pack_size)
-    ids = packs.agg(F.collect_set("pack")).scalar()  # one number per pack
-    pack_ids = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(0))))
-    meetings = block_names(by_name.select("clean_name").dropna()).select("block", "names", pack_ids.alias("pack"))
-    spread = meetings.join(packs, "pack", "left").repartition("block", "pack")
+    shelves = shelve(pack_roster(roster, pack_size), pack_size)
+    ids = shelves.agg(F.collect_set("shelf")).scalar()  # one number per shelf
+    shelf_ids = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(0))))
+    meetings = block_names(by_name.select("clean_name").dropna()).select("block", "names", shelf_ids.alias("shelf"))
+    spread = meetings.join(shelves, "shelf", "left").repartition(shuffle_width(by_name), "block", "shelf")
     locals_ = F.transform("entries", lambda entry: entry["local"])
     no_entries = F.array().cast("array<string>")  # for an empty roster
     scored = spread.select("names", "entries", best_entries(F.col("names"), F.coalesce(locals_, no_entries)).alias("best"))
-    per_name = scored.select(
-        "entries", F.explode(F.arrays_zip("names", F.col("best.score"), F.col("best.entry"))).alias("hit")
-    ).select(F.col("hit.names").alias("clean_name"), F.col("hit.score").alias("score"), F.get("entries", F.col("hit.entry")).alias("found"))
+    hits = F.transform(  # before the rows are multiplied, so that no row of a name carries the entries
+        F.arrays_zip("names", F.col("best.score"), F.col("best.entry")),
+        lambda hit: F.struct(hit["names"].alias("clean_name"), hit["score"].alias("score"), F.get("entries", hit["entry"]).alias("found")),
+    )
+    per_name = scored.select(F.explode(hits).alias("hit")).select("hit.*")
     # The maximum of (score, -roster_seq) is the highest score and, among equals, the first entry.
     ranked = F.struct("score", (-F.col("found.roster_seq")).alias("order"), F.col("found.email").alias("email"))
     best = per_name.groupBy("clean_name").agg(F.max(ranked).alias("best"))

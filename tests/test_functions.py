@@ -135,3 +135,24 @@ def test_only_pairs_that_can_be_best_are_scored():
     score, best, scored = best_of(names, entries)
     assert (score.tolist(), best.tolist()) == brute_best(names, entries)
     assert scored < 0.15 * len(names) * len(entries)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_neighbours_first_gives_the_same_best(seed):
+    rng = random.Random(seed)
+    text = lambda most: " ".join("".join(rng.choices("ABCDE", k=rng.randint(1, 6))) for _ in range(rng.randint(0, most)))
+    entries = [text(3) for _ in range(170)] + ["AB" * 40, "", "E" * 70, "ABCDE " * 13]
+    rng.shuffle(entries)
+    names = [text(4) for _ in range(40)] + ["", "AB" * 45, "E" * 300, entries[5]]
+    score, best, scored = best_of(names, entries)
+    assert (score.tolist(), best.tolist()) == brute_best(names, entries)
+    assert scored <= len(names) * len(entries)
+
+
+def test_a_larger_roster_needs_fewer_pairs_a_name_than_its_packs():
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("AEINORSTLM", k=10)) + " " + rng.choice(["ASHA", "BINOD", "CARLA"]) for _ in range(2300)]
+    names, entries = texts[:60], texts[60:]
+    whole = best_of(names, entries)[2]
+    packs = sum(best_of(names, entries[at : at + 64])[2] for at in range(0, len(entries), 64))
+    assert whole < 0.2 * len(names) * len(entries) and whole < packs

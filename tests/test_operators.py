@@ -88,6 +88,20 @@ def test_first_roster_entry_wins_ties_across_packs(spark, fx):
         assert found == {"RAO B": "rao.b@x.org", "B RAO": "b.rao@x.org", "C RAO": "b.rao@x.org"}
 
 
+def test_packs_meet_a_block_together(spark, fx, monkeypatch):
+    local = [f"{a}{b}{a}.{c}" for a in "abc" for b in "defgh" for c in "xyz"]
+    roster = spark.createDataFrame([(100 - i, f"{t}@x.org", "new") for i, t in enumerate(local)], "roster_seq int, email string, team string")
+    packs = fuzzy.pack_roster(roster, 2)
+    whole = fuzzy.shelve(packs, 2).collect()  # a row for each pack met a block before
+    assert [[e["email"] for e in row["entries"]] for row in whole] == [[f"{t}@x.org" for t in reversed(local)]]
+    names = spark.createDataFrame([(f"{a}{b}{a} {c}",) for a in "ABC" for b in "DQ" for c in "XYQ"], "clean_name string")
+    expected = sorted(map(tuple, fuzzy.fuzzy_map(names, roster, fx.override, 2).collect()))
+    monkeypatch.setattr(fuzzy, "SHELF", 8)
+    assert max(len(row["entries"]) for row in fuzzy.shelve(packs, 2).collect()) <= 8
+    assert sorted(map(tuple, fuzzy.fuzzy_map(names, roster, fx.override, 2).collect())) == expected
+    assert ("ADA X", "ada.x@x.org", 105) in expected and len(expected) == 18
+
+
 def test_empty_roster(spark, fx):
     names = spark.createDataFrame([("ASHA",)], "clean_name string")
     assert [r[1] for r in fuzzy.fuzzy_map(names, fx.roster.filter("false"), fx.override).collect()] == ["Unmapped"]
