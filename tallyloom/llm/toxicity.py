@@ -16,6 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import LogisticRegression
@@ -37,6 +38,8 @@ _BEGINNINGS = (4, 5, 6, 7)
 _KEPT = 60_000
 #: Length of a token that is kept, and of a run that is decoded at once.
 _KEPT_LENGTH, _RUN = 64, 400
+#: Bits of the filter that texts pass before they are moved to their marks, 4 MB at every size.
+_FILTER = 1 << 25
 
 # Letters that other characters are used for.
 LEET = {
@@ -49,6 +52,7 @@ _FLOOR = math.log(1e-5)
 
 _edge = re.compile(r"^[^\w$@!|€£]+|(?:[^\w]|_)+$").sub
 _disguised = re.compile(r"[^\W\d_].*[\d@$!|+(<€£¡*._~·'/\\-]|[\d@$!|+(<€£¡].*[^\W\d_]|([^\W\d_])\1\1").search
+_tripled = re.compile(r"([^\W\d_])\1\1").search
 _LETTER = r"[^\W_]|[@$!|+(<€£¡]"
 #: Three or more letters, or characters used for one, each kept apart by up to three blanks or marks.
 _spaced = re.compile(rf"(?<![^\W_])(?:{_LETTER})(?:[\s.*_~·,/\\'|-]{{1,3}}(?:{_LETTER})){{2,}}(?![^\W_])").finditer
@@ -99,6 +103,12 @@ def decode(token: str, model: CharacterModel, apart: bool = False) -> str:
     return min((cost + model.cost(state, "$"), word) for state, (cost, word) in paths.items())[1]
 
 
+def _core(token: str) -> str:
+    """A token without what stands around the word; usual marks are taken off without the pattern."""
+    plain = token.lstrip("\"'([").rstrip(".,;:!?\"')]")
+    return plain if plain.isalpha() else _edge("", token)
+
+
 def _features(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in _BEGINNINGS if len(word) > n)]
 
@@ -109,22 +119,34 @@ class Scorer:
     def __init__(self, lexicon: dict[str, float], prior: float, grams: dict[str, float], sure: dict[str, float]):
         self.lexicon, self.prior, self.sure = lexicon, prior, sure
         self.model = CharacterModel(grams)
+        self.heads = {f[:4] for f in lexicon}  # what every feature of a word with one in the lexicon begins with
         self.known: dict[str, tuple[str, ...]] = {}
         whole = sorted((re.escape(w) for w in lexicon if not w.endswith("*") and len(w) > 3), key=len, reverse=True)
         self.inside = re.compile("|".join(whole)).findall if whole else lambda text: []
 
+    def _own(self, word: str) -> list[str]:
+        return [f for f in _features(word) if f in self.lexicon] if word[:4] in self.heads else []
+
     def _token(self, token: str) -> tuple[str, ...]:
-        core = _edge("", token)
-        words = [core]
+        core = _core(token)
+        hits = self._own(core)
         if _disguised(core):
-            words.append(decode(core, self.model))
-        return tuple(f for w in words for f in _features(w) if f in self.lexicon)
+            hits += self._own(decode(core, self.model))
+        return tuple(hits)
 
     def found(self, text: str) -> set[str]:
         text = text.lower()
         out: set[str] = set()
-        known = self.known
-        for token in set(text.split()):
+        known, heads = self.known, self.heads
+        tokens = set(text.split())
+        letters = [t for t in tokens if t.isalpha()]  # words as they stand, disguised only by repeated letters
+        rest = tokens.difference(letters)
+        for token in letters:
+            if token[:4] in heads:
+                out.update(self._own(token))
+        if _tripled(" ".join(letters)):
+            rest.update(filter(_tripled, letters))
+        for token in rest:
             hits = known.get(token)
             if hits is None:
                 if len(known) >= _KEPT:
@@ -161,7 +183,9 @@ _PRESENT = pa.schema([("feature", pa.string()), ("n", pa.float64()), ("grams", p
 
 
 def _words(text: str | None) -> set[str]:
-    return {w for token in set((text or "").lower().split()) if (w := _edge("", token)).isalpha()}
+    tokens = set((text or "").lower().split())
+    letters = {t for t in tokens if t.isalpha()}
+    return letters | {w for token in tokens - letters if (w := _core(token)).isalpha()}
 
 
 def _sources(batch: pa.RecordBatch) -> dict:
@@ -179,39 +203,29 @@ def _sources(batch: pa.RecordBatch) -> dict:
 def _counter(asked: frozenset[str]):
     """Of (text, share, toxic): sums of the shares of clean texts by the features asked for, and of all texts by letter trigram."""
 
+    heads = {f[:4] for f in asked}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present: Counter[str] = Counter()
-        words: Counter[str] = Counter()
+        words: dict[str, float] = {}
         grams: Counter[str] = Counter()
-        known: dict[str, tuple[str, tuple[str, ...]] | None] = {}
 
         def spell() -> None:
             for word, n in words.items():
                 line = f"^^{word}$"
                 for i in range(len(line) - 2):
-                    grams[line[i : i + 3]] += n
+                    gram = line[i : i + 3]
+                    grams[gram] = grams.get(gram, 0.0) + n
             words.clear()
 
         for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
             for text, share, toxic in zip(*(batch[i].to_pylist() for i in range(3))):
-                own, hits = set(), set()
-                for token in set((text or "").lower().split()):
-                    entry = known.get(token, "")
-                    if entry == "":
-                        core = _edge("", token)
-                        entry = (core, tuple(f for f in _features(core) if f in asked)) if core.isalpha() else None
-                        if len(known) >= _KEPT:
-                            known.clear()
-                        if len(token) <= _KEPT_LENGTH:
-                            known[token] = entry
-                    if entry:
-                        own.add(entry[0])
-                        hits.update(entry[1])
+                own = _words(text)
                 for word in own:
-                    words[word] += share
+                    words[word] = words.get(word, 0.0) + share
                 if not toxic:
                     present[""] += share
-                    for f in hits:
+                    for f in {f for word in own if word[:4] in heads for f in _features(word) if f in asked}:
                         present[f] += share
             if len(words) > _KEPT:
                 spell()
@@ -264,22 +278,42 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame,
     return stored(rows.select("text", "toxic"), "labelled"), share
 
 
+def among(marks: DataFrame):
+    """A function of a mark: false only where it is not one of ``marks``, a fixed number of bits at every size."""
+    word, bit = f"shiftright(pmod(mark, {_FILTER}), 6)", "cast(pmod(mark, 64) as int)"
+    held = marks.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")).toArrow()
+    bits = np.zeros(_FILTER // 64, np.int64)
+    bits[held["word"].to_numpy()] = held["bits"].to_numpy()
+
+    @F.pandas_udf("boolean")
+    def held_by(mark):
+        place = mark.to_numpy() % _FILTER
+        return pd.Series((bits[place >> 6] >> (place & 63) & 1).astype(bool))
+
+    return held_by
+
+
+def of_marks(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """``texts`` joined with their marks: only those that pass a filter move, by a shuffle at every size."""
+    return texts.filter(among(marks)("mark")).join(marks.hint("merge"), "mark")
+
+
 def learned(docs: DataFrame, marks: DataFrame) -> Scorer:
     """Lexicon and character model from all labelled texts that are not held out; the weights are not fitted.
 
     Features of toxic texts first: those that enough of them have are then counted in the clean ones. So only
     candidates are counted there, at most 1 / SUPPORT times the features of a text, and each row of a text counts
-    for one over its copies: texts move only where Spark does not broadcast the marks.
+    for one over its copies. Of the texts only those with such a mark (and a few more) move.
     """
     texts = texts_of(docs).select("text", "mark")
-    toxic = texts.join(marks.filter("toxic").select("mark"), "mark").groupBy("mark").agg(F.min("text").alias("text")).select("text")
+    toxic = of_marks(texts, marks.filter("toxic").select("mark")).groupBy("mark").agg(F.min("text").alias("text")).select("text")
     support = map_batches(toxic, _sources, _COUNTS).distinct().groupBy("feature").agg(F.count("*").alias("toxic"))
     support = stored(support.filter("toxic >= 3 or feature = ''"), "support")
     total = support.filter("feature = ''").first()
     n_toxic = total["toxic"] if total else 0
     candidates = support.filter((F.col("feature") == "") | (F.col("toxic") >= max(3, SUPPORT * n_toxic)))
     asked = frozenset(r["feature"] for r in candidates.select("feature").collect()) - {""}
-    rows = texts.join(marks, "mark").select("text", (1 / F.col("copies")).alias("share"), "toxic")
+    rows = of_marks(texts, marks).select("text", (1 / F.col("copies")).alias("share"), "toxic")
     counts = rows.mapInArrow(_counter(asked), spark_schema(_PRESENT)).groupBy("feature").agg(F.sum("n").alias("clean"), F.sum("grams").alias("grams"))
     counts = stored(counts, "features")
     total = counts.filter("feature = ''").first()

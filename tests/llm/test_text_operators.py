@@ -442,3 +442,23 @@ def test_toxicity_of_awkward_rows(spark):
     none = labels.limit(0)
     assert {r["predicted"] for r in toxicity.toxicity(documents(spark), none).collect()} == {0}
     assert toxicity.toxicity(documents(spark, []), none).count() == 0
+
+
+def test_only_texts_of_the_marks_move_to_them(spark):
+    docs = documents(spark, [(i, f"text {i % 400}") for i in range(1200)])
+    texts = toxicity.texts_of(docs)
+    marks = texts.filter("doc_id < 20").select("mark").distinct()
+    found = toxicity.of_marks(texts, marks)
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(i for i in range(1200) if i % 400 < 20)
+    assert texts.filter(toxicity.among(marks)("mark")).count() < 80  # the others stay where they are
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan  # the same at every size
+    assert toxicity.of_marks(texts, marks.limit(0)).count() == 0
+
+
+def test_shortcuts_find_what_every_token_holds():
+    scorer = toxicity.Scorer({"vile": 1.0, "vile*": 1.0, "bad": 1.0, "nasti*": 1.0}, -3.0, {"^^v": 1.0, "^vi": 1.0, "vil": 1.0, "ile": 1.0, "le$": 1.0}, {})
+    for text in ("(vile)", "«vile»", "'bad!?", "viiile", "VILEness,", "v1le", "nastier_", "bad__", "plain words", "viiile. bad vileness"):
+        expected = {f for token in text.lower().split() for f in scorer._token(token)}
+        assert scorer.found(text) == expected and bool(expected) == (text != "plain words")
+    assert toxicity._words("«Ab» (cd), E.F 12 gh_ 'ij'") == {"ab", "cd", "gh", "ij"}
