@@ -1126,6 +1126,12 @@ def _(fx):
     return rates.kept_weekly_rates(kept_presence(fx, "kept_weekly_rates"), fx.supply, fx.fav_pool)
 
 
+def deliver(rows: DataFrame, folder: str) -> None:
+    """One file, as a delivery is, in row groups that several tasks can read."""
+    one = rows.select(*schemas.SALES_ENRICHED.names).repartition(1)
+    one.write.mode("append").option("parquet.block.size", 16 << 20).parquet(folder)
+
+
 @query("stream_collate", """
 SELECT sale_date, bdm_name, dp_id, net_premium, dp_status, team FROM (
   SELECT *, row_number() OVER (PARTITION BY dp_id, sale_date, net_premium ORDER BY batch_seq DESC, row_seq DESC) AS rn FROM (
@@ -1140,7 +1146,7 @@ def _(fx):
     master = sales.master_table(fx.spark, f"{path}/master")
     for stream, deliveries in enumerate([(first, second), (third,)]):
         for rows in deliveries:
-            rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in{stream}")
+            deliver(rows, f"{path}/in{stream}")
         arriving = collation.read_batches(fx.spark, f"{path}/in{stream}")
         collation.collate_stream(arriving, master, fx.roster, fx.override, f"{path}/checkpoint{stream}").awaitTermination()
     return master.read().select("sale_date", "bdm_name", "dp_id", "net_premium", "dp_status", "team")
@@ -1168,9 +1174,10 @@ def _(fx):
     """Two deliveries feed master and trend. The stream dies between the first batch's commits and is started again."""
     path = storage.fresh_path(fx.spark, "stream_trend")
     master, trend = sales.master_table(fx.spark, f"{path}/master"), FailingOnce(fx.spark, f"{path}/trend", schemas.TREND)
-    feed = collation.TrendFeed(trend, fx.supply, fx.fav_pool)
+    kept = [storage.write_table(df, f"{path}/{name}") for name, df in (("supply", fx.supply), ("pool", fx.fav_pool))]
+    feed = collation.TrendFeed(trend, *[storage.read_parquet(fx.spark, at) for at in kept])  # a few rows a snapshot, read by every batch
     for rows in written_batches(fx):
-        rows.select(*schemas.SALES_ENRICHED.names).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        deliver(rows, f"{path}/in")
     for attempt in range(2):
         arriving = collation.read_batches(fx.spark, f"{path}/in", files_per_batch=1)
         run = collation.collate_stream(arriving, master, fx.roster, fx.override, f"{path}/checkpoint", feed=feed)

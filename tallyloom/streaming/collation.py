@@ -26,7 +26,7 @@ from ..plans.metrics import trend_row, trend_upsert
 from ..plans.sales import clean_sales, fold_sales, unique_sales
 from ..sources.batches import snapshot_or_latest
 from ..sources.schemas import SALES_ENRICHED
-from ..sources.storage import MonthlyTable, VersionedTable, cut_lineage
+from ..sources.storage import MonthlyTable, VersionedTable, cut_lineage, fresh_path, read_parquet, remove_intermediates, write_table
 
 _DELIVERY = ["delivered_at", "delivery"]
 
@@ -47,6 +47,16 @@ def in_delivery_order(batch: DataFrame, base: int) -> DataFrame:
     return batch.join(F.broadcast(order), _DELIVERY).drop(*_DELIVERY)
 
 
+def spread_out(batch: DataFrame) -> tuple[DataFrame, str]:
+    """The batch stored once in parts of like size, and where.
+
+    A delivered file may be a single row group. One task reads that, whatever the cluster, and would sort
+    and reduce all of it as well each time the batch is used. Here it only deals the rows out.
+    """
+    path = write_table(batch.repartition(*batch.columns), fresh_path(batch.sparkSession, "micro_batch"))
+    return read_parquet(batch.sparkSession, path, batch.schema), path
+
+
 def fold_batch(
     master: MonthlyTable,
     batch: DataFrame,
@@ -107,9 +117,15 @@ def collate_stream(
     stream = stream_id or checkpoint
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(master, batch, batch_id, roster, overrides, stream, names)
-        if feed is not None:
-            feed.add(batch, batch_id, stream)
+        if master.has_batch(stream, batch_id) and (feed is None or feed.trend.has_batch(stream, batch_id)):
+            return
+        rows, path = spread_out(batch)
+        try:
+            fold_batch(master, rows, batch_id, roster, overrides, stream, names)
+            if feed is not None:
+                feed.add(rows, batch_id, stream)
+        finally:
+            remove_intermediates(batch.sparkSession, [path])
 
     return (
         batches.writeStream.foreachBatch(fold)

@@ -11,6 +11,7 @@ from checks.fixtures import PREFERRED, SENDERS
 from tallyloom.plans.report import Inputs, Options, master_report, run_report
 from tallyloom.plans.sales import collate_master, master_table
 from tallyloom.sources import batches, messages, schemas, storage
+from tallyloom.streaming import collation
 from tallyloom.streaming.collation import collate_stream, fold_batch, read_batches
 
 
@@ -169,6 +170,27 @@ def test_a_stream_with_a_new_checkpoint_loses_no_sale(spark, fx, tmp_path):
     assert master.read().count() == 2
 
 
+def test_a_delivery_of_one_row_group_is_work_for_several_tasks(spark, fx, tmp_path, monkeypatch):
+    found = []
+
+    def folded(master, batch, *_):
+        found.extend(r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect())
+
+    monkeypatch.setattr(collation, "fold_batch", folded)
+    kept, off = storage.made_paths(spark), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, False)  # few rows, which would be put together
+    try:
+        rows = _sales(spark, *[_sale(i, premium=str(i)) for i in range(400)])
+        rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+        master = master_table(spark, str(tmp_path / "master"))
+        stream = read_batches(spark, str(tmp_path / "in"))
+        collate_stream(stream, master, fx.roster, fx.override, str(tmp_path / "cp")).awaitTermination()
+    finally:
+        spark.conf.unset(off)
+    assert sum(found) == 400 and max(found) < 250
+    assert storage.made_paths(spark) == kept
+
+
 def test_two_writers_cannot_commit_one_version(spark, tmp_path):
     one = storage.VersionedTable(spark, str(tmp_path / "t"), schemas.FAV_POOL)
     two = storage.VersionedTable(spark, str(tmp_path / "t"), schemas.FAV_POOL)
