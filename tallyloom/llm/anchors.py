@@ -14,8 +14,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Positions of one piece of work; a position fits in the low bits of a key.
-PIECE = 1 << 20
+#: Positions of one piece of work, which takes about 150 bytes of memory each; a position fits in the low bits of a key.
+PIECE = 1 << 18
 _PLACE = np.uint64((1 << 21) - 1)
 _powers: list[np.ndarray] = []
 

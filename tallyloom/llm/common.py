@@ -30,9 +30,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 ROWS = 2048
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema) -> DataFrame:
-    """An output batch for every ROWS rows of an Arrow batch; `make` gives its columns by name."""
-    rows = ROWS
+def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema, rows: int | None = None) -> DataFrame:
+    """An output batch for every ROWS (or `rows`) rows of an Arrow batch; `make` gives its columns by name."""
+    rows = rows or ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -38,6 +38,8 @@ _BEGINNINGS = (4, 5, 6, 7)
 _KEPT = 60_000
 #: Length of a token that is kept, and of a run that is decoded at once.
 _KEPT_LENGTH, _RUN = 64, 400
+#: Texts whose features, some hundred rows each, a task holds at once.
+_TEXTS = 256
 #: Bits of the filter that texts pass before they are moved to their marks, 4 MB at every size.
 _FILTER = 1 << 25
 
@@ -307,7 +309,7 @@ def learned(docs: DataFrame, marks: DataFrame) -> Scorer:
     """
     texts = texts_of(docs).select("text", "mark")
     toxic = of_marks(texts, marks.filter("toxic").select("mark")).groupBy("mark").agg(F.min("text").alias("text")).select("text")
-    support = map_batches(toxic, _sources, _COUNTS).distinct().groupBy("feature").agg(F.count("*").alias("toxic"))
+    support = map_batches(toxic, _sources, _COUNTS, _TEXTS).distinct().groupBy("feature").agg(F.count("*").alias("toxic"))
     support = stored(support.filter("toxic >= 3 or feature = ''"), "support")
     total = support.filter("feature = ''").first()
     n_toxic = total["toxic"] if total else 0

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tallyloom.llm import context_tree, packing, secrets, simhash, suffixes
-from tallyloom.llm.common import components
+from tallyloom.llm.common import components, map_batches
 
 from .helpers import COPY, PASSAGE, SYLLABLES, TEXTS, by_id, documents, words
 
@@ -135,6 +136,24 @@ def test_repeated_spans_are_those_of_brute_force(spark, monkeypatch, group):
     assert suffixes.removal_digest(documents(spark, [])).count() == 0
 
 
+def test_anchors_of_many_texts_take_little_memory_at_once():
+    texts = [words(900, i) for i in range(600)]  # 3 MB
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["id", "mark", "text"])
+    suffixes._anchor_rows(batch.slice(0, 1), 200)
+    tracemalloc.start()
+    suffixes._anchor_rows(batch, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
+def test_an_operator_may_take_fewer_rows_at_once(spark):
+    sizes = map_batches(spark.range(100, numPartitions=2), lambda batch: {"n": [batch.num_rows]}, pa.schema([("n", pa.int64())]), 8)
+    found = [r["n"] for r in sizes.collect()]
+    assert sum(found) == 100 and max(found) == 8
+
+
 def repeats(tables):
     """What ranges of sorted anchors find together: repeated anchors, and (gram, context, n) of contexts that share a gram."""
     whole, part, edges = set(), Counter(), []
