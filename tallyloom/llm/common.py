@@ -30,11 +30,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 ROWS = 2048
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema, rows: int | None = None) -> DataFrame:
-    """An output batch for every ROWS (or `rows`) rows of an Arrow batch; `make` gives its columns by name."""
+_KEPT = []
+
+
+def kept_in_worker(cached):
+    """Marks a cache that serves later tasks of its own operator and is emptied when another operator uses the worker."""
+    _KEPT.append(cached)
+    return cached
+
+
+def let_go() -> None:
+    for cached in _KEPT:
+        cached.cache_clear()
+
+
+def map_batches(
+    df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema, rows: int | None = None, keeps: bool = False
+) -> DataFrame:
+    """An output batch for every ROWS (or `rows`) rows of an Arrow batch; `make` gives its columns by name.
+
+    Only an operator that `keeps` finds again what kept_in_worker caches hold.
+    """
     rows = rows or ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            let_go()
         for whole in batches:
             for start in range(0, whole.num_rows, rows):
                 columns = make(whole.slice(start, rows))

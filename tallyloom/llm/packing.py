@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import kept_in_worker, map_batches, stored
 
 #: Entries of each of a worker's two tables of encoded words, and the length of a word that is kept.
 KEPT = 700_000
@@ -126,6 +126,7 @@ def _split(text: str) -> list[str]:
     return out
 
 
+@kept_in_worker
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """One encoder for each worker process and vocabulary."""
@@ -157,7 +158,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 1, wit
                     out[name].append(value)
         return out
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema, keeps=True)
 
 
 class Plan:

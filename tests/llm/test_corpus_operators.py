@@ -154,6 +154,20 @@ def test_an_operator_may_take_fewer_rows_at_once(spark):
     assert sum(found) == 100 and max(found) == 8
 
 
+def test_words_that_packing_keeps_in_a_worker_go_when_another_operator_uses_it():
+    class Taken:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    schema = pa.schema([("n", pa.int64())])
+    batch = pa.RecordBatch.from_arrays([pa.array([1])], names=["n"])
+    packing.word_ids(WORDS)
+    for keeps in (True, False):
+        run = map_batches(Taken(), lambda part: {"n": [part.num_rows]}, schema, **({"keeps": True} if keeps else {}))
+        assert [b.num_rows for b in run(iter([batch]))] == [1]
+        assert packing.word_ids.cache_info().currsize == keeps
+
+
 def repeats(tables):
     """What ranges of sorted anchors find together: repeated anchors, and (gram, context, n) of contexts that share a gram."""
     whole, part, edges = set(), Counter(), []
