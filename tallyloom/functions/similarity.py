@@ -3,229 +3,322 @@
 The score is the token-sort ratio: sort the words of both names, take the length L of the
 longest common subsequence (LCS) and return 100 * 2L / (|a| + |b|), rounded half to even.
 
-Spark hands over a block of names and a pack of roster entries per row. Letters in common bound
-the score from above, so only pairs that can still be a name's best are scored. LCS uses the bit-parallel recurrence of Crochemore et
-al. (2001) and Hyyro (2004): one 64-bit integer holds a row of the dynamic program, so a
-comparison costs a few integer operations per letter. The same recurrence written with
-Spark's higher-order functions took 151 s for 15,000 names against 1,000 entries on 8 cores,
-this form 4 s for the whole query.
+A block of names meets a shelf of roster entries. LCS uses the bit-parallel recurrence of
+Crochemore et al. (2001) and Hyyro (2004): one 32- or 64-bit integer, the lane of an entry, holds
+a row of the dynamic program, so a letter costs four integer operations on all lanes. The names are
+walked in order of their texts, so the rows of a beginning that several names share are computed
+once, and a lane is dropped as soon as its unmatched letters rule out the best score known so far.
 """
 
 from __future__ import annotations
 
 import sys
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .labels import FIRST_LETTER_BONUS
 
 # The tasks carry this module with them, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_WORD = 64  # longest entry the bit-parallel form can hold
-_GROUP = 64  # entries of one size and first letter that meet all names at once, at most
-_PAIRS = 1 << 16  # pairs scored at once, about
 _NEAR = 8  # neighbours of a name in alphabetical order that are scored first
+_FIRST_LANES = 1024  # lanes that a name meets at first; the later ones have its best score to reach
+_MORE_LANES = 8  # and how many times as many it meets after that
+_FEW = 1 << 14  # pairs below a beginning that are put aside, to be scored with others
+_PAIRS = 1 << 16  # pairs put aside that are scored at once, about
 _LAST = (1 << 32) - 1
 
-BEST_TYPE = T.StructType(
-    [
-        T.StructField("score", T.ArrayType(T.IntegerType())),
-        T.StructField("entry", T.ArrayType(T.IntegerType())),
-        T.StructField("scored", T.LongType()),
-    ]
-)
+_CODES = np.full(256, 255, np.uint8)  # letter codes: 0 past the end, 1 for a blank, 2..27 for A..Z
+_CODES[0], _CODES[32], _CODES[65:91] = 0, 1, np.arange(2, 28)
 
 
 def sort_tokens(name: str) -> str:
-    return " ".join(sorted(name.split()))
+    return " ".join(sorted(name.split())) if " " in name else name
 
 
-def _letters(texts: list[str]) -> np.ndarray:
-    """Texts as rows of letter codes: 0 past the end, 1 for a blank, 2..27 for A..Z."""
-    width = max(map(len, texts), default=0)
-    codes = np.zeros((len(texts), width), dtype=np.uint8)
-    for row, text in zip(codes, texts):
-        raw = np.frombuffer(text.encode("ascii"), dtype=np.uint8)
-        row[: len(raw)] = np.where(raw == 32, 1, raw - 63)
-    return codes
+def _letters(texts: list[str], width: int) -> np.ndarray:
+    """Texts of at most ``width`` letters as rows of letter codes."""
+    return _CODES[np.array(texts, dtype=f"S{width}").view(np.uint8).reshape(len(texts), width)]
 
 
-def _signatures(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts as 64 bits for the first and second of each letter and the third of ten common ones, and the letters beyond.
-
-    Letters in common are at most the common bits plus the smaller number of letters beyond, and a
-    common subsequence has no more letters than that.
-    """
-    mask, beyond = np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.int64)
-    for letter in range(1, 28):
-        count = (codes == letter).sum(axis=1)
-        bits = [2 * letter - 2, 2 * letter - 1] + [54 + i for i, c in enumerate(_THIRD) if c == letter]
-        for nth, bit in enumerate(bits):
-            mask |= (count > nth).astype(np.uint64) << np.uint64(bit)
-        beyond += np.maximum(count - len(bits), 0)
-    return mask, beyond
-
-
-_THIRD = [1, *(ord(c) - 63 for c in "AEINORSTL")]
-
-
-def _letter_masks(entries: np.ndarray) -> np.ndarray:
-    """For each letter code and entry of at most 64 letters the places of the letter, as bits."""
-    masks = np.zeros((28, len(entries)), dtype=np.uint64)
-    for at in range(min(entries.shape[1], _WORD)):
-        masks[entries[:, at], np.arange(len(entries))] |= np.uint64(1) << np.uint64(at)
-    masks[0] = 0
-    return masks
-
-
-def _lcs_pairs(columns: np.ndarray, sizes: np.ndarray, masks: np.ndarray, entry_sizes: np.ndarray, of_name: np.ndarray, of_entry: np.ndarray) -> np.ndarray:
-    """LCS of pairs (name, entry), entries of at most 64 letters; ``columns`` are the names' letters by place."""
-    longest = int(sizes.max(initial=0))
-    key = (longest - sizes).astype(np.uint16 if longest < 1 << 16 else np.int64)
-    order = np.argsort(key[of_name], kind="stable")  # the longest names first
-    name, entry = of_name[order], of_entry[order]
-    state, falling = np.full(len(name), ~np.uint64(0)), -sizes[name]
-    for at in range(-int(falling[0])):
-        active = int(np.searchsorted(falling, -at, side="left"))  # names longer than `at`
-        rows = state[:active]
-        hit = rows & masks[columns[at][name[:active]], entry[:active]]
-        state[:active] = (rows + hit) | (rows - hit)
-    lengths = entry_sizes[entry].astype(np.uint64)
-    used = np.where(lengths == _WORD, ~np.uint64(0), (np.uint64(1) << (lengths % np.uint64(_WORD))) - np.uint64(1))
-    out = np.empty(len(name), np.int64)
-    out[order] = np.bitwise_count(~state & used)
-    return out
+def _as_texts(codes: np.ndarray) -> np.ndarray:
+    """Rows of letter codes as texts that sort."""
+    return np.ascontiguousarray(codes).view(f"S{codes.shape[1]}")[:, 0]
+
+
+def _ranks(score: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """By score, then the first entry."""
+    return (score.astype(np.int64) << 32) + (_LAST - number)
+
+
+def _ratio(common: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    return np.rint(200.0 * common / letters)
+
+
+class _Lanes:
+    """Entries side by side: in lane k, the bits of masks[c] are the places of letter c in entry k, the last place on top."""
+
+    def __init__(self, texts: list[str], initials: np.ndarray, numbers: np.ndarray, kind: type):
+        self.bits = np.dtype(kind).itemsize * 8
+        self.initials, self.numbers = initials, numbers
+        self.sizes = np.array([len(text) for text in texts])
+        self.codes = _letters(texts, int(self.sizes.max()))
+        self.masks = np.zeros((28, len(texts)), kind)
+        for at in range(self.codes.shape[1]):
+            lane = np.flatnonzero(self.codes[:, at])
+            self.masks[self.codes[lane, at], lane] |= kind(1) << (self.bits - self.sizes[lane] + at).astype(kind)
+        self.unmatched = ~kind(0) << (self.bits - self.sizes).astype(kind)  # a bit for each letter
+        as_texts = _as_texts(self.codes)
+        self.alphabetical = np.argsort(as_texts, kind="stable")
+        self.texts = as_texts[self.alphabetical]
+
+
+class Shelf:
+    """Entries (cleaned texts) that names meet together; the first of them is entry number ``first``."""
+
+    def __init__(self, locals_: list[str], first: int = 0):
+        texts = [sort_tokens(text) for text in locals_]
+        sizes, initials = np.array([len(text) for text in texts]), np.array([text[:1] for text in locals_], dtype="U1")
+        self.lanes = []
+        for kind, shortest, longest in ((np.uint32, 1, 32), (np.uint64, 33, 64)):
+            at = np.flatnonzero((sizes >= shortest) & (sizes <= longest))
+            if len(at):
+                self.lanes.append(_Lanes([texts[i] for i in at], initials[at], first + at, kind))
+        beyond = np.flatnonzero(sizes > 64).tolist()  # too long for a lane
+        self.long = [(_letters([texts[i]], len(texts[i]))[0], initials[i], first + i) for i in beyond]
+
+
+class _Slack:
+    """How many letters of an entry a pair with a name of ``size`` letters may leave unmatched to reach a score, and one."""
+
+    def __init__(self, size: int, bits: int):
+        entry, common = np.arange(bits + 1), np.arange(size + 1)
+        self.most = np.minimum(size, entry)
+        self.scores = np.where(common <= self.most[:, None], _ratio(common, size + entry[:, None]), np.inf)
+        self.tables: dict[int, np.ndarray] = {}
+
+    def table(self, score: int) -> np.ndarray:
+        """By size of the entry, without and then with the bonus of the first letter; 0 is out of reach."""
+        if score not in self.tables:
+            needs = [(self.scores + bonus < score).sum(axis=1) for bonus in (0, FIRST_LETTER_BONUS)]
+            slack = [np.where(need <= self.most, np.arange(len(need)) - need + 1, 0) for need in needs]
+            self.tables[score] = np.concatenate(slack).astype(np.uint8)
+        return self.tables[score]
+
+
+class _Chosen:
+    """Lanes that a beginning still meets: masks, entry numbers, kinds (size and bonus) and which of all lanes they are."""
+
+    def __init__(self, masks: np.ndarray, numbers: np.ndarray, kinds: np.ndarray, lane: np.ndarray, slack: _Slack):
+        self.masks, self.numbers, self.kinds, self.lane, self.slack = masks, numbers, kinds, lane, slack
+        self.by_score: dict[int, np.ndarray] = {}
+
+    def take(self, at: np.ndarray) -> _Chosen:
+        return _Chosen(self.masks.take(at, axis=1), self.numbers.take(at), self.kinds.take(at), self.lane.take(at), self.slack)
+
+    def _reaching(self, score: int) -> np.ndarray:
+        if score not in self.by_score:
+            self.by_score[score] = self.slack.table(score).take(self.kinds)
+        return self.by_score[score]
+
+    def allowed(self, at: np.ndarray | None, rank: int) -> np.ndarray:
+        """The slack of the lanes ``at`` (None: all) for a rank above ``rank``: entries before its entry need its score, later ones more."""
+        same, more = self._reaching(rank >> 32), self._reaching((rank >> 32) + 1)
+        cut = int(self.numbers.searchsorted(_LAST - (rank & _LAST)))
+        if at is not None:
+            cut = int(at.searchsorted(cut))
+            same, more = same.take(at[:cut], mode="clip"), more.take(at[cut:], mode="clip")
+        else:
+            same, more = same[:cut], more[cut:]
+        return more if cut == 0 else same if not len(more) else np.concatenate((same, more))
+
+
+class _Walk:
+    """Names of one size (sorted texts, as letter codes) and first letter meet lanes; ``best`` has their ranks and is raised."""
+
+    def __init__(self, codes: np.ndarray, initial: str, best: np.ndarray):
+        self.codes, self.initial, self.best = codes, initial, best
+        self.n, self.size = codes.shape
+        self.letters = codes.tolist()
+        shared = np.zeros(self.n, np.int64)  # letters at the beginning that a name shares with the one before
+        equal = codes[1:] == codes[:-1]
+        shared[1:] = np.where(equal.all(axis=1), self.size, equal.argmin(axis=1))
+        self.shared = shared.tolist()
+        self.ends = []  # by depth and name: the next name with another beginning of so many letters
+        for depth in range(self.size + 1):
+            other = np.where(shared < depth, np.arange(self.n), self.n)
+            self.ends.append([*np.minimum.accumulate(other[::-1])[::-1][1:].tolist(), self.n])
+
+    def meet(self, lanes: _Lanes) -> int:
+        """Returns how many pairs were scored to the end."""
+        self.lanes, self.scored = lanes, 0
+        kind, width = lanes.masks.dtype.type, len(lanes.sizes)
+        # Unmatched letters of an entry that are followed by at least so many others: the name's last letters cannot make up for them.
+        self.before = [kind((1 << max(lanes.bits - left, 0)) - 1) for left in range(self.size + 1)]
+        self.kinds = (lanes.sizes + (lanes.bits + 1) * (lanes.initials == self.initial)).astype(np.uint8)
+        self.offsets = self.codes.T.astype(np.int64) * width  # of the letters' masks
+        self.flat_masks = lanes.masks.ravel()
+        self.aside: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(self.size)]
+        self.n_aside = 0
+        slack = _Slack(self.size, lanes.bits)
+        if width > _NEAR * _NEAR:
+            self._meet_neighbours()
+        low, step = 0, _FIRST_LANES
+        while low < width:
+            some = slice(low, min(width, low + step))
+            chosen = _Chosen(lanes.masks[:, some], lanes.numbers[some], self.kinds[some], np.arange(width)[some], slack)
+            self._walk(chosen, lanes.unmatched[some])
+            low, step = some.stop, step * _MORE_LANES
+        return self.scored
+
+    def _meet_neighbours(self) -> None:
+        lanes = self.lanes
+        texts = _as_texts(self.codes[:, : lanes.codes.shape[1]])
+        first = np.clip(np.searchsorted(lanes.texts, texts) - _NEAR // 2, 0, len(lanes.texts) - _NEAR)
+        lane = lanes.alphabetical[(first[:, None] + np.arange(_NEAR)).ravel()]
+        name, allowed = np.repeat(np.arange(self.n), _NEAR), np.full(len(lane), 255, np.uint8)
+        self.aside[0].append((name, lane, lanes.unmatched.take(lane), allowed))
+        self._score_aside()
+
+    def _walk(self, chosen: _Chosen, state: np.ndarray) -> None:
+        """All names, beginning by beginning, against some lanes."""
+        open_ = np.bitwise_count(state & self.before[self.size]) < chosen.allowed(None, int(self.best.min()))
+        at = np.flatnonzero(open_)
+        if len(at) < len(open_):
+            chosen, state = chosen.take(at), state.take(at)
+        at = None  # which of the chosen lanes are left; None: all
+        beginnings = [(chosen, at, state)] * (self.size + 1)  # by depth
+        name = 0
+        while name < self.n and len(state):
+            depth, letters = self.shared[name], self.letters[name]
+            chosen, at, state = beginnings[depth]
+            while True:
+                hit = chosen.masks[letters[depth]]
+                hit = state & (hit if at is None else hit.take(at, mode="clip"))
+                more = state + hit
+                np.bitwise_xor(state, hit, out=hit)
+                state = np.bitwise_or(more, hit, out=more)
+                depth += 1
+                end = self.ends[depth][name]
+                n_names = end - name
+                rank = int(self.best[name] if n_names == 1 else self.best[name:end].min())
+                missing = np.bitwise_count(state & self.before[self.size - depth])
+                allowed = chosen.allowed(at, rank)
+                open_ = missing < allowed
+                n_open = int(np.count_nonzero(open_))
+                if depth == self.size:
+                    self.scored += len(open_) * n_names
+                if not n_open:
+                    break
+                if depth == self.size:
+                    which = np.flatnonzero(open_)
+                    lane = chosen.lane.take(which if at is None else at.take(which))
+                    np.maximum(self.best[name:end], self._ranked(lane, missing.take(which)).max(), out=self.best[name:end])
+                    break
+                if n_open * n_names <= _FEW:
+                    which = np.flatnonzero(open_)
+                    lane = chosen.lane.take(which if at is None else at.take(which))
+                    pairs = (lane, state.take(which), allowed.take(which))
+                    if n_names > 1:
+                        pairs = tuple(np.tile(column, n_names) for column in pairs)
+                    self.aside[depth].append((np.repeat(np.arange(name, end), n_open), *pairs))
+                    self.n_aside += n_open * n_names
+                    if self.n_aside >= _PAIRS:
+                        self._score_aside()
+                    break
+                if n_open < 0.75 * len(open_):
+                    which = np.flatnonzero(open_)
+                    state, at = state.take(which), which if at is None else at.take(which)
+                    if n_names > 8:  # enough to copy the masks for
+                        chosen, at = chosen.take(at), None
+                beginnings[depth] = chosen, at, state
+            name = end
+            state = beginnings[0][2]
+        self._score_aside()
+
+    def _score_aside(self) -> None:
+        """Pairs put aside go on letter by letter, each from the depth where it was put aside."""
+        pairs = [np.empty(0, np.int64), np.empty(0, np.int64), self.lanes.unmatched[:0], np.empty(0, np.uint8)]
+        for depth in range(self.size):
+            if self.aside[depth]:
+                pairs = [np.concatenate(columns) for columns in zip(pairs, *self.aside[depth])]
+                self.aside[depth] = []
+            name, lane, state, allowed = pairs
+            if not len(name):
+                continue
+            at = self.offsets[depth].take(name)
+            at += lane
+            hit = self.flat_masks.take(at)
+            hit &= state
+            more = state + hit
+            state = np.bitwise_or(more, state ^ hit, out=more)
+            missing = np.bitwise_count(state & self.before[self.size - depth - 1])
+            open_ = np.flatnonzero(missing < allowed)
+            if depth + 1 == self.size:
+                self.scored += len(name)
+                lane = lane.take(open_)
+                np.maximum.at(self.best, name.take(open_), self._ranked(lane, missing.take(open_)))
+            elif len(open_) < 0.8 * len(name):
+                pairs = [column.take(open_) for column in (name, lane, state, allowed)]
+            else:
+                pairs = [name, lane, state, allowed]
+        self.n_aside = 0
+
+    def _ranked(self, lane: np.ndarray, missing: np.ndarray) -> np.ndarray:
+        sizes = self.lanes.sizes.take(lane)
+        bonus = FIRST_LETTER_BONUS * (self.kinds.take(lane) > self.lanes.bits)
+        return _ranks(_ratio(sizes - missing, self.size + sizes) + bonus, self.lanes.numbers.take(lane))
 
 
 def _lcs_rows(names: np.ndarray, entry: np.ndarray) -> np.ndarray:
-    """LCS of all names with one entry of any length: a dynamic program row per letter."""
+    """LCS of names of one size with one entry of any length: a dynamic program row per letter."""
     row = np.zeros((len(names), len(entry) + 1), dtype=np.int64)
     for at in range(names.shape[1]):
-        letter = names[:, at : at + 1]
         longer = row.copy()
-        longer[:, 1:] = np.maximum(row[:, 1:], row[:, :-1] + ((letter == entry) & (letter != 0)))
+        longer[:, 1:] = np.maximum(row[:, 1:], row[:, :-1] + (names[:, at : at + 1] == entry))
         row = np.maximum.accumulate(longer, axis=1)
     return row[:, -1]
 
 
-@lru_cache(maxsize=16)
-def _described(texts: tuple[str, ...]) -> tuple[np.ndarray, ...]:
-    """Letter codes, sizes, signatures and first letters of a block or a pack, which meet many times."""
-    codes = _letters([sort_tokens(t) for t in texts])
-    return codes, np.count_nonzero(codes, axis=1), *_signatures(codes), np.array([t[:1] for t in texts], dtype="U1")
+class Block:
+    """Names (cleaned texts) with the best score and entry each has met, which are carried on from shelf to shelf."""
 
+    def __init__(self, names: list[str]):
+        texts = [sort_tokens(name) for name in names]
+        kinds = [(len(text), name[:1]) for name, text in zip(names, texts)]
+        order = sorted((i for i, text in enumerate(texts) if text), key=lambda i: (kinds[i], texts[i]))
+        cuts = [i for i in range(1, len(order)) if kinds[order[i]] != kinds[order[i - 1]]]
+        runs = [order[low:high] for low, high in zip([0, *cuts], [*cuts, len(order)]) if low < high]
+        self.runs = [(np.array(run), _letters([texts[i] for i in run], kinds[run[0]][0]), kinds[run[0]][1]) for run in runs]
+        self.best = np.full(len(names), _LAST, np.int64)  # score 0 at the first entry
 
-def _alphabetical(codes: np.ndarray) -> np.ndarray:
-    """Rows of letter codes as texts that sort."""
-    return np.ascontiguousarray(codes).view(f"S{codes.shape[1]}")[:, 0] if codes.shape[1] else np.zeros(len(codes), "S1")
+    def meet(self, shelf: Shelf) -> int:
+        """Shelves come in order of their entries. Returns how many pairs were scored to the end."""
+        scored = 0
+        for at, codes, initial in self.runs:
+            walk = _Walk(codes, initial, self.best[at])
+            scored += sum(walk.meet(lanes) for lanes in shelf.lanes) + len(codes) * len(shelf.long)
+            for entry, entry_initial, number in shelf.long:
+                score = _ratio(_lcs_rows(codes, entry), codes.shape[1] + len(entry)) + FIRST_LETTER_BONUS * (initial == entry_initial)
+                np.maximum(walk.best, _ranks(score, number), out=walk.best)
+            self.best[at] = walk.best
+        return scored
 
+    def scores(self) -> np.ndarray:
+        return (self.best >> 32).astype(np.int32)
 
-@lru_cache(maxsize=16)
-def _arranged(texts: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of a pack: letter masks, alphabetical order, the texts in it, and groups of entries of one size and first letter."""
-    codes, sizes, _, _, initials = _described(texts)
-    sorted_texts = _alphabetical(codes)
-    alphabetical = np.argsort(sorted_texts, kind="stable")
-    order = np.lexsort((initials, sizes))
-    order = order[(sizes[order] > 0) & (sizes[order] <= _WORD)]
-    cuts = np.flatnonzero((np.diff(sizes[order]) != 0) | (initials[order][1:] != initials[order][:-1])) + 1
-    groups = [run[at : at + _GROUP] for run in np.split(order, cuts) for at in range(0, len(run), _GROUP)]
-    return _letter_masks(codes), alphabetical, sorted_texts[alphabetical], groups
+    def entries(self) -> np.ndarray:
+        """Numbers of the best entries, the first of equals."""
+        return _LAST - (self.best & _LAST)
 
 
 def best_of(names: list[str], locals_: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
-    """For each name the best score (with first-letter bonus) and its entry, the first of equals; and the pairs scored.
+    """For each name the best score (with first-letter bonus) and its entry, the first of equals; and the pairs scored to the end.
 
-    Both are cleaned texts (A..Z, blanks). The letters two texts have in common bound their score.
-    Neighbours in alphabetical order are scored first, and then, group after group, only pairs whose
-    bound reaches the best so far, which is carried on: no other can be better, or as good and earlier.
-    """
-    codes, sizes, mask, beyond, initials = _described(tuple(names))
-    entries, entry_sizes, entry_mask, entry_beyond, entry_initials = _described(tuple(locals_))
-    masks, alphabetical, sorted_texts, groups = _arranged(tuple(locals_))
-    columns = np.ascontiguousarray(codes.T)
-    best = np.full(len(names), _LAST, np.int64)  # score and, falling, entry: score 0 at the first entry
-    scored = 0
-
-    def ranked(common: np.ndarray, of_name: np.ndarray, of_entry: np.ndarray) -> np.ndarray:
-        """What pairs with so many letters in common rank: by score, then by entry."""
-        bonus = FIRST_LETTER_BONUS * ((initials[of_name] == entry_initials[of_entry]) & (initials[of_name] != ""))
-        score = np.rint(200.0 * common / np.maximum(sizes[of_name] + entry_sizes[of_entry], 1))
-        score = score * ((sizes[of_name] > 0) & (entry_sizes[of_entry] > 0)) + bonus
-        return (score.astype(np.int64) << 32) + (_LAST - of_entry)
-
-    def settle(of_name: np.ndarray, of_entry: np.ndarray) -> None:
-        nonlocal scored
-        scored += len(of_name)
-        for at in range(0, len(of_name), _PAIRS):
-            name, entry = of_name[at : at + _PAIRS], of_entry[at : at + _PAIRS]
-            np.maximum.at(best, name, ranked(_lcs_pairs(columns, sizes, masks, entry_sizes, name, entry), name, entry))
-
-    every = np.arange(len(names))
-    for entry in np.flatnonzero(entry_sizes > _WORD):
-        lcs = _lcs_rows(codes, entries[entry, : entry_sizes[entry]])
-        scored += len(names)
-        np.maximum(best, ranked(lcs, every, np.full(len(names), entry)), out=best)
-    near = _NEAR if len(locals_) > _NEAR * _NEAR else 0
-    place = np.empty(len(locals_), np.int64)
-    place[alphabetical] = np.arange(len(locals_))
-    first = np.clip(np.searchsorted(sorted_texts, _alphabetical(codes)) - near // 2, 0, max(len(locals_) - near, 0))
-    if near:
-        of_name, of_entry = np.repeat(every, near), alphabetical[(first[:, None] + np.arange(near)).ravel()]
-        short = entry_sizes[of_entry] <= _WORD
-        settle(of_name[short], of_entry[short])
-
-    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    n_waiting = 0
-
-    def settle_waiting() -> None:
-        of_name, of_entry, bound = (np.concatenate(parts) for parts in zip(*waiting))
-        waiting.clear()
-        open_ = bound > best[of_name]
-        settle(of_name[open_], of_entry[open_])
-
-    for group in groups:
-        wanted = (best >> 32) - FIRST_LETTER_BONUS * ((initials == entry_initials[group[0]]) & (initials != ""))
-        need = np.ceil((wanted - 0.5) * (sizes + entry_sizes[group[0]]) / 200.0 - 1e-9)  # letters that a score as good takes
-        common = np.bitwise_count(entry_mask[group][:, None] & mask[None, :])
-        if entry_beyond[group].any():
-            common = common + np.minimum(entry_beyond[group][:, None], beyond[None, :])
-        reach = common >= np.where(sizes > 0, np.clip(need, 0, 255), 255).astype(np.uint8)
-        found = np.flatnonzero(reach)
-        at_entry, of_name = np.divmod(found, len(names))
-        of_entry = group[at_entry]
-        bound = ranked(common.ravel()[found], of_name, of_entry)
-        after = place[of_entry] - first[of_name]
-        open_ = (bound > best[of_name]) & ((after < 0) | (after >= near))
-        waiting.append((of_name[open_], of_entry[open_], bound[open_]))
-        n_waiting += len(waiting[-1][0])
-        if n_waiting >= _PAIRS:
-            settle_waiting()
-            n_waiting = 0
-    if waiting:
-        settle_waiting()
-    return (best >> 32).astype(np.int32), (_LAST - (best & _LAST)).astype(np.int64), scored
-
-
-@F.pandas_udf(BEST_TYPE)
-def best_entries(names: pd.Series, locals_: pd.Series) -> pd.DataFrame:
-    """For each name of a block the best entry of the pack and its score, the first of equals; and the pairs scored.
-
-    A pack without entries gives score 0 and entry -1.
+    Both are cleaned texts (A..Z, blanks). Neighbours in alphabetical order are scored first. A pair is left as soon
+    as the letters it has missed rule out the best score so far, or one above it for an entry behind the best.
     """
-    scores, entries, counts = [], [], []
-    for block, pack in zip(names, locals_):
-        best_score = np.zeros(len(block), dtype=np.int32)
-        best_entry = np.full(len(block), -1, dtype=np.int32)
-        counts.append(0)
-        if len(pack):
-            best_score, best_entry, counts[-1] = best_of(list(block), list(pack))
-        scores.append(best_score)
-        entries.append(best_entry)
-    return pd.DataFrame({"score": scores, "entry": entries, "scored": counts})
+    block = Block(names)
+    scored = block.meet(Shelf(locals_))
+    return block.scores(), block.entries(), scored

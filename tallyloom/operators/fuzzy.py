@@ -5,13 +5,14 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.similarity import best_entries
+from ..functions.similarity import Block, Shelf
 from ..functions.text import email_local_part
 from ..sources.storage import cut_lineage
 from .joins import unique_roster
@@ -22,8 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_NAMES = 4096  # names per block, at most
 ROSTER_PACK = 1024  # roster entries per pack, at most
-SHELF = 16384  # roster entries that a block of names meets at once, at most (or one pack)
-
+SHELF = 16384  # roster entries per row that travels, at most (or one pack)
+LANES = 131072  # roster entries that a task gathers before its names meet them, about
 
 def pack_roster(roster: DataFrame, pack_size: int = ROSTER_PACK) -> DataFrame:
     """The roster as rows of at most ``pack_size`` entries in roster order (``roster_seq`` is unique)."""
@@ -52,32 +53,68 @@ def block_names(names: DataFrame) -> DataFrame:
     return names.select("clean_name").mapInArrow(_blocks, "names array<string>").withColumn("block", F.monotonically_increasing_id())
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a part: first its blocks of names, then, in roster order, the shelves they all meet."""
+    blocks: list[tuple[pa.Array, Block]] = []
+    shelves: list[int] = []  # and the number of the first entry of each
+    firsts, n_entries, waiting = [], 0, []
+
+    def meet() -> None:
+        shelf = Shelf(waiting, n_entries - len(waiting))
+        for _, block in blocks:
+            block.meet(shelf)
+        waiting.clear()
+
+    for batch in batches:
+        for shelf, texts in zip(batch.column("shelf").to_pylist(), batch.column("texts")):
+            if shelf is None:
+                blocks.append((texts.values.cast(pa.string()), Block(texts.as_py())))
+            elif blocks:
+                shelves.append(shelf)
+                firsts.append(n_entries)
+                waiting.extend(texts.as_py())
+                n_entries += len(texts)
+                if len(waiting) >= LANES:
+                    meet()
+    if waiting:
+        meet()
+    for names, block in blocks:
+        if shelves:
+            at = np.searchsorted(firsts, block.entries(), side="right") - 1
+            found = [pa.array(np.array(shelves)[at], pa.int32()), pa.array(block.entries() - np.array(firsts)[at], pa.int32())]
+        else:
+            found = [pa.nulls(len(names), pa.int32())] * 2
+        yield pa.RecordBatch.from_arrays([names, pa.array(block.scores()), *found], names=["clean_name", "score", "shelf", "entry"])
+
+
 def match_names(
     by_name: DataFrame, roster: DataFrame, overrides: DataFrame, pack_size: int = ROSTER_PACK
 ) -> DataFrame:
     """A table of one row per ``clean_name`` with the e-mail (or Unmapped) and best score of the name.
 
-    Every name has to meet every roster entry. They meet as blocks of names and shelves (several
-    packs) of the roster, one row for each block and shelf, so no pair is ever a row, a name comes back
-    once for each shelf, and only pairs whose letters can give a name's best score in the shelf are
-    scored. A roster of usual size is one shelf. Blocks have at most BLOCK_NAMES names; they carry names
-    only, and the other columns are joined back by name. Blocks and shelves are joined by an ordinary equi
-    join that Spark broadcasts only below its size limit; their number of partitions is given, since few
-    bytes mean much work. A missing name is Unmapped. No job runs before the result is asked for.
+    Every name has to meet every roster entry, though few pairs are scored to the end. Names are put in order of
+    size, first letter and text, so a block (of at most BLOCK_NAMES names) shares the beginnings of its names. Blocks
+    are dealt to parts, as many as shuffle partitions, and each part gets the roster once, as rows of
+    several packs (shelves) that carry texts only. A task holds the names of its part and at most LANES entries and a
+    shelf, and carries the best of each name on from shelf to shelf; so no pair is ever a row, and a name comes back
+    once. E-mails and other columns are joined back. A missing name is Unmapped. No job runs before the result is asked for.
     """
-    shelves = shelve(pack_roster(roster, pack_size), pack_size)
-    ids = shelves.agg(F.collect_set("shelf")).scalar()  # one number per shelf
-    shelf_ids = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(0))))
-    meetings = block_names(by_name.select("clean_name").dropna()).select("block", "names", shelf_ids.alias("shelf"))
-    spread = meetings.join(shelves, "shelf", "left").repartition(shuffle_width(by_name), "block", "shelf")
-    locals_ = F.transform("entries", lambda entry: entry["local"])
-    no_entries = F.array().cast("array<string>")  # for an empty roster
-    scored = spread.select("names", "entries", best_entries(F.col("names"), F.coalesce(locals_, no_entries)).alias("best"))
-    hits = F.transform(  # before the rows are multiplied, so that no row of a name carries the entries
-        F.arrays_zip("names", F.col("best.score"), F.col("best.entry")),
-        lambda hit: F.struct(hit["names"].alias("clean_name"), hit["score"].alias("score"), F.get("entries", hit["entry"]).alias("found")),
-    )
-    per_name = scored.select(F.explode(hits).alias("hit")).select("hit.*")
+    width = shuffle_width(by_name)
+    shelves = shelve(pack_roster(roster, pack_size), pack_size).filter(F.col("shelf").isNotNull())
+    text = F.array_join(F.array_sort(F.split("clean_name", " ")), " ")
+    names = by_name.select("clean_name").dropna()
+    ordered = [F.length("clean_name"), F.substring("clean_name", 1, 1), text, F.col("clean_name")]
+    near = names.repartitionByRange(width, *ordered).sortWithinPartitions(*ordered)
+    # The number of a block has its partition in the upper bits and its place there in the lower 33.
+    place = F.col("block").bitwiseAND(F.lit((1 << 33) - 1)) + F.shiftright("block", 33)
+    blocks = block_names(near).select(F.pmod(place, F.lit(width)).cast("int").alias("part"), F.lit(None).cast("int").alias("shelf"), F.col("names").alias("texts"))
+    each_part = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("part")
+    locals_ = F.transform("entries", lambda entry: entry["local"]).alias("texts")
+    meetings = blocks.union(shelves.select(each_part, "shelf", locals_)).repartitionById(width, "part")
+    meetings = meetings.sortWithinPartitions(F.col("shelf").asc_nulls_first()).select("shelf", "texts")
+    met = meetings.mapInArrow(_meet, "clean_name string, score int, shelf int, entry int")
+    entries = shelves.select("shelf", F.posexplode("entries").alias("entry", "found"))
+    per_name = met.join(entries, ["shelf", "entry"], "left")
     # The maximum of (score, -roster_seq) is the highest score and, among equals, the first entry.
     ranked = F.struct("score", (-F.col("found.roster_seq")).alias("order"), F.col("found.email").alias("email"))
     best = per_name.groupBy("clean_name").agg(F.max(ranked).alias("best"))

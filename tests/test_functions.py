@@ -9,8 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyloom.functions import classify, dates, labels, numbers, text
-from tallyloom.functions.similarity import best_of
+from tallyloom.functions import classify, dates, labels, numbers, similarity, text
+from tallyloom.functions.similarity import Block, Shelf, best_of
 
 
 def apply(spark, function, values):
@@ -156,3 +156,43 @@ def test_a_larger_roster_needs_fewer_pairs_a_name_than_its_packs():
     whole = best_of(names, entries)[2]
     packs = sum(best_of(names, entries[at : at + 64])[2] for at in range(0, len(entries), 64))
     assert whole < 0.2 * len(names) * len(entries) and whole < packs
+
+
+def made_up(rng, n):
+    """Texts of many letters and one of three words, of which no two are near copies."""
+    return ["".join(rng.choices("AEINORSTLM", k=rng.randint(9, 11))) + " " + rng.choice(["ASHA", "BINOD", "CARLA"]) for _ in range(n)]
+
+
+def test_few_pairs_are_scored_to_the_end_where_no_name_has_a_near_copy():
+    rng = random.Random(3)
+    names, entries = made_up(rng, 400), made_up(rng, 1500)
+    score, best, scored = best_of(names, entries)
+    assert scored < 0.04 * len(names) * len(entries)
+    assert ([*score[:25]], [*best[:25]]) == brute_best(names[:25], entries)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_best_is_carried_from_shelf_to_shelf(seed):
+    rng = random.Random(seed)
+    text = lambda most: " ".join("".join(rng.choices("ABCD", k=rng.randint(1, 7))) for _ in range(rng.randint(0, most)))
+    entries = [text(3) for _ in range(150)] + ["AB" * 40, "", "E" * 70, "ABC " * 12, "ABCD" * 8, "ABCD" * 16]
+    rng.shuffle(entries)
+    names = [text(4) for _ in range(40)] + ["", "AB" * 45, "E" * 300, *entries[:9]]
+    expected = brute_best(names, entries)
+    for size in (1, 7, 70):
+        block = Block(names)
+        for first in range(0, len(entries), size):
+            block.meet(Shelf(entries[first : first + size], first))
+        assert (block.scores().tolist(), block.entries().tolist()) == expected
+
+
+def test_beginnings_and_pairs_put_aside_give_the_same_best(monkeypatch):
+    rng = random.Random(5)
+    names, entries = made_up(rng, 120), made_up(rng, 300)
+    expected = brute_best(names[:40], entries)
+    for few, pairs, lanes in ((0, 1, 1000), (0, 1, 16), (300, 1000, 32), (1 << 20, 1 << 20, 64)):
+        monkeypatch.setattr(similarity, "_FEW", few)
+        monkeypatch.setattr(similarity, "_PAIRS", pairs)
+        monkeypatch.setattr(similarity, "_FIRST_LANES", lanes)
+        score, best, _ = best_of(names, entries)
+        assert ([*score[:40]], [*best[:40]]) == expected

@@ -102,6 +102,24 @@ def test_packs_meet_a_block_together(spark, fx, monkeypatch):
     assert ("ADA X", "ada.x@x.org", 105) in expected and len(expected) == 18
 
 
+def test_parts_hold_several_blocks_and_shelves(spark, fx, monkeypatch):
+    local = [f"{a}{b}{a}.{c}" for a in "abc" for b in "defgh" for c in "xyz"]
+    roster = spark.createDataFrame([(3 * i - 20, f"{t}@x.org", "new") for i, t in enumerate(local)], "roster_seq int, email string, team string")
+    roster = roster.union(roster.limit(9)).union(spark.createDataFrame([(None, "qqq.q@x.org", "new"), (500, None, "new")], roster.schema))
+    names = spark.createDataFrame([(f"{a}{b}{a} {c}",) for a in "ABCQ" for b in "DEQ" for c in "XYQ"] + [("",), (None,)] * 2, "clean_name string")
+    expected = sorted(map(str, fuzzy.fuzzy_map(names, roster, fx.override).collect()))
+    for name, value in (("BLOCK_NAMES", 2), ("SHELF", 8), ("LANES", 5)):
+        monkeypatch.setattr(fuzzy, name, value)
+        assert sorted(map(str, fuzzy.fuzzy_map(names, roster, fx.override, 2).collect())) == expected
+    assert len(expected) == 38 and "Row(clean_name='ADA X', email='ada.x@x.org', best_score=105)" in expected
+
+
+def test_a_name_listed_twice_is_matched_once(spark, fx):
+    names = spark.createDataFrame([(1, "ASHA RAO"), (2, "ASHA RAO"), (3, None)], "n int, clean_name string")
+    found = [tuple(row) for row in fuzzy.match_names(names, fx.roster, fx.override).orderBy("n").collect()]
+    assert found == [(1, "ASHA RAO", "asha.rao1@example.com", 105), (2, "ASHA RAO", "asha.rao1@example.com", 105), (3, None, "Unmapped", 0)]
+
+
 def test_empty_roster(spark, fx):
     names = spark.createDataFrame([("ASHA",)], "clean_name string")
     assert [r[1] for r in fuzzy.fuzzy_map(names, fx.roster.filter("false"), fx.override).collect()] == ["Unmapped"]
