@@ -8,11 +8,14 @@ Crochemore et al. (2001) and Hyyro (2004): one 32- or 64-bit integer, the lane o
 a row of the dynamic program, so a letter costs four integer operations on all lanes. The names are
 walked in order of their texts, so the rows of a beginning that several names share are computed
 once, and a lane is dropped as soon as its unmatched letters rule out the best score known so far.
+Below a beginning of few names or lanes, the letters two texts have in common bound their score as well.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
+from functools import lru_cache, partial
 
 import numpy as np
 from pyspark import cloudpickle
@@ -47,6 +50,25 @@ def _as_texts(codes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(codes).view(f"S{codes.shape[1]}")[:, 0]
 
 
+def _signatures(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as 64 bits for the first and second of each letter and the third of ten common ones, and the letters beyond.
+
+    Letters in common are at most the common bits plus the smaller number of letters beyond, and a
+    common subsequence has no more letters than that.
+    """
+    marks, beyond = np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.int64)
+    for letter in range(1, 28):
+        count = (codes == letter).sum(axis=1)
+        bits = [2 * letter - 2, 2 * letter - 1] + [54 + i for i, c in enumerate(_THIRD) if c == letter]
+        for nth, bit in enumerate(bits):
+            marks |= (count > nth).astype(np.uint64) << np.uint64(bit)
+        beyond += np.maximum(count - len(bits), 0)
+    return marks, np.minimum(beyond, 64).astype(np.uint8)  # entries in lanes have no more
+
+
+_THIRD = [1, *(ord(c) - 63 for c in "AEINORSTL")]
+
+
 def _ranks(score: np.ndarray, number: np.ndarray) -> np.ndarray:
     """By score, then the first entry."""
     return (score.astype(np.int64) << 32) + (_LAST - number)
@@ -62,12 +84,13 @@ class _Lanes:
     def __init__(self, texts: list[str], initials: np.ndarray, numbers: np.ndarray, kind: type):
         self.bits = np.dtype(kind).itemsize * 8
         self.initials, self.numbers = initials, numbers
-        self.sizes = np.array([len(text) for text in texts])
+        self.sizes = np.array([len(text) for text in texts], np.uint8)
         self.codes = _letters(texts, int(self.sizes.max()))
         self.masks = np.zeros((28, len(texts)), kind)
         for at in range(self.codes.shape[1]):
             lane = np.flatnonzero(self.codes[:, at])
             self.masks[self.codes[lane, at], lane] |= kind(1) << (self.bits - self.sizes[lane] + at).astype(kind)
+        self.marks, self.beyond = _signatures(self.codes)
         self.unmatched = ~kind(0) << (self.bits - self.sizes).astype(kind)  # a bit for each letter
         as_texts = _as_texts(self.codes)
         self.alphabetical = np.argsort(as_texts, kind="stable")
@@ -89,45 +112,43 @@ class Shelf:
         self.long = [(_letters([texts[i]], len(texts[i]))[0], initials[i], first + i) for i in beyond]
 
 
-class _Slack:
-    """How many letters of an entry a pair with a name of ``size`` letters may leave unmatched to reach a score, and one."""
-
-    def __init__(self, size: int, bits: int):
-        entry, common = np.arange(bits + 1), np.arange(size + 1)
-        self.most = np.minimum(size, entry)
-        self.scores = np.where(common <= self.most[:, None], _ratio(common, size + entry[:, None]), np.inf)
-        self.tables: dict[int, np.ndarray] = {}
+@lru_cache(maxsize=4096)
+def _slack(size: int, bits: int, score: int) -> np.ndarray:
+    """How many letters of an entry a pair with a name of ``size`` letters may leave unmatched to reach a score, and one.
 
-    def table(self, score: int) -> np.ndarray:
-        """By size of the entry, without and then with the bonus of the first letter; 0 is out of reach."""
-        if score not in self.tables:
-            needs = [(self.scores + bonus < score).sum(axis=1) for bonus in (0, FIRST_LETTER_BONUS)]
-            slack = [np.where(need <= self.most, np.arange(len(need)) - need + 1, 0) for need in needs]
-            self.tables[score] = np.concatenate(slack).astype(np.uint8)
-        return self.tables[score]
+    By size of the entry, without and then with the bonus of the first letter; 0 is out of reach.
+    """
+    entry, common = np.arange(bits + 1), np.arange(size + 1)
+    most = np.minimum(size, entry)
+    scores = np.where(common <= most[:, None], _ratio(common, size + entry[:, None]), np.inf)
+    needs = [(scores + bonus < score).sum(axis=1) for bonus in (0, FIRST_LETTER_BONUS)]
+    return np.concatenate([np.where(need <= most, entry - need + 1, 0) for need in needs]).astype(np.uint8)
 
 
 class _Chosen:
     """Lanes that a beginning still meets: masks, entry numbers, kinds (size and bonus) and which of all lanes they are."""
 
-    def __init__(self, masks: np.ndarray, numbers: np.ndarray, kinds: np.ndarray, lane: np.ndarray, slack: _Slack):
+    def __init__(self, masks: np.ndarray, numbers: np.ndarray, kinds: np.ndarray, lane: np.ndarray, slack: Callable[[int], np.ndarray]):
         self.masks, self.numbers, self.kinds, self.lane, self.slack = masks, numbers, kinds, lane, slack
         self.by_score: dict[int, np.ndarray] = {}
 
     def take(self, at: np.ndarray) -> _Chosen:
         return _Chosen(self.masks.take(at, axis=1), self.numbers.take(at), self.kinds.take(at), self.lane.take(at), self.slack)
 
+    def before(self, at: np.ndarray | None, rank: int) -> int:
+        """How many of the lanes ``at`` (None: all) are of entries before that of the rank."""
+        cut = int(self.numbers.searchsorted(_LAST - (rank & _LAST)))
+        return cut if at is None else int(at.searchsorted(cut))
+
     def _reaching(self, score: int) -> np.ndarray:
         if score not in self.by_score:
-            self.by_score[score] = self.slack.table(score).take(self.kinds)
+            self.by_score[score] = self.slack(score).take(self.kinds)
         return self.by_score[score]
 
     def allowed(self, at: np.ndarray | None, rank: int) -> np.ndarray:
         """The slack of the lanes ``at`` (None: all) for a rank above ``rank``: entries before its entry need its score, later ones more."""
-        same, more = self._reaching(rank >> 32), self._reaching((rank >> 32) + 1)
-        cut = int(self.numbers.searchsorted(_LAST - (rank & _LAST)))
+        same, more, cut = self._reaching(rank >> 32), self._reaching((rank >> 32) + 1), self.before(at, rank)
         if at is not None:
-            cut = int(at.searchsorted(cut))
             same, more = same.take(at[:cut], mode="clip"), more.take(at[cut:], mode="clip")
         else:
             same, more = same[:cut], more[cut:]
@@ -141,6 +162,7 @@ class _Walk:
         self.codes, self.initial, self.best = codes, initial, best
         self.n, self.size = codes.shape
         self.letters = codes.tolist()
+        self.marks, self.beyond = _signatures(codes)
         shared = np.zeros(self.n, np.int64)  # letters at the beginning that a name shares with the one before
         equal = codes[1:] == codes[:-1]
         shared[1:] = np.where(equal.all(axis=1), self.size, equal.argmin(axis=1))
@@ -156,12 +178,13 @@ class _Walk:
         kind, width = lanes.masks.dtype.type, len(lanes.sizes)
         # Unmatched letters of an entry that are followed by at least so many others: the name's last letters cannot make up for them.
         self.before = [kind((1 << max(lanes.bits - left, 0)) - 1) for left in range(self.size + 1)]
-        self.kinds = (lanes.sizes + (lanes.bits + 1) * (lanes.initials == self.initial)).astype(np.uint8)
+        self.kinds = lanes.sizes + np.uint8(lanes.bits + 1) * (lanes.initials == self.initial)
+        self.any_beyond = self.beyond.any() and lanes.beyond.any()
         self.offsets = self.codes.T.astype(np.int64) * width  # of the letters' masks
         self.flat_masks = lanes.masks.ravel()
         self.aside: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(self.size)]
         self.n_aside = 0
-        slack = _Slack(self.size, lanes.bits)
+        slack = partial(_slack, self.size, lanes.bits)
         if width > _NEAR * _NEAR:
             self._meet_neighbours()
         low, step = 0, _FIRST_LANES
@@ -184,13 +207,16 @@ class _Walk:
     def _walk(self, chosen: _Chosen, state: np.ndarray) -> None:
         """All names, beginning by beginning, against some lanes."""
         open_ = np.bitwise_count(state & self.before[self.size]) < chosen.allowed(None, int(self.best.min()))
-        at = np.flatnonzero(open_)
-        if len(at) < len(open_):
-            chosen, state = chosen.take(at), state.take(at)
-        at = None  # which of the chosen lanes are left; None: all
-        beginnings = [(chosen, at, state)] * (self.size + 1)  # by depth
+        which = np.flatnonzero(open_)
+        if len(which) * self.n <= _FEW:
+            self._put_aside(0, 0, self.n, chosen, which, state.take(which))
+            self._score_aside()
+            return
+        if len(which) < len(open_):
+            chosen, state = chosen.take(which), state.take(which)
+        beginnings = [(chosen, None, state)] * (self.size + 1)  # by depth; None: all of the chosen lanes are left, or which
         name = 0
-        while name < self.n and len(state):
+        while name < self.n:
             depth, letters = self.shared[name], self.letters[name]
             chosen, at, state = beginnings[depth]
             while True:
@@ -216,16 +242,9 @@ class _Walk:
                     lane = chosen.lane.take(which if at is None else at.take(which))
                     np.maximum(self.best[name:end], self._ranked(lane, missing.take(which)).max(), out=self.best[name:end])
                     break
-                if n_open * n_names <= _FEW:
+                if n_names == 1 or n_open * n_names <= _FEW:
                     which = np.flatnonzero(open_)
-                    lane = chosen.lane.take(which if at is None else at.take(which))
-                    pairs = (lane, state.take(which), allowed.take(which))
-                    if n_names > 1:
-                        pairs = tuple(np.tile(column, n_names) for column in pairs)
-                    self.aside[depth].append((np.repeat(np.arange(name, end), n_open), *pairs))
-                    self.n_aside += n_open * n_names
-                    if self.n_aside >= _PAIRS:
-                        self._score_aside()
+                    self._put_aside(depth, name, end, chosen, which if at is None else at.take(which), state.take(which))
                     break
                 if n_open < 0.75 * len(open_):
                     which = np.flatnonzero(open_)
@@ -234,9 +253,31 @@ class _Walk:
                         chosen, at = chosen.take(at), None
                 beginnings[depth] = chosen, at, state
             name = end
-            state = beginnings[0][2]
         self._score_aside()
 
+    def _put_aside(self, depth: int, name: int, end: int, chosen: _Chosen, at: np.ndarray, state: np.ndarray) -> None:
+        """Pairs of names of one beginning and chosen lanes, if the letters they have in common can do."""
+        if not len(at):
+            return
+        lane = chosen.lane.take(at)
+        kinds, by_score = chosen.kinds.take(at), {}
+        allowed = np.empty((end - name, len(at)), np.uint8)
+        for row, rank in zip(allowed, self.best[name:end].tolist()):
+            score, cut = rank >> 32, chosen.before(at, rank)
+            for reached in (score, score + 1):
+                if reached not in by_score:
+                    by_score[reached] = chosen.slack(reached).take(kinds)
+            row[:cut], row[cut:] = by_score[score][:cut], by_score[score + 1][cut:]
+        common = np.bitwise_count(self.marks[name:end, None] & self.lanes.marks.take(lane))
+        if self.any_beyond:
+            common += np.minimum(self.beyond[name:end, None], self.lanes.beyond.take(lane))
+        found = np.flatnonzero(self.lanes.sizes.take(lane) - common < allowed)
+        of_name, of_lane = np.divmod(found, len(lane))
+        self.aside[depth].append((of_name + name, lane.take(of_lane), state.take(of_lane), allowed.ravel().take(found)))
+        self.n_aside += len(found)
+        if self.n_aside >= _PAIRS:
+            self._score_aside()
+
     def _score_aside(self) -> None:
         """Pairs put aside go on letter by letter, each from the depth where it was put aside."""
         pairs = [np.empty(0, np.int64), np.empty(0, np.int64), self.lanes.unmatched[:0], np.empty(0, np.uint8)]
@@ -266,7 +307,7 @@ class _Walk:
         self.n_aside = 0
 
     def _ranked(self, lane: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        sizes = self.lanes.sizes.take(lane)
+        sizes = self.lanes.sizes.take(lane).astype(np.int64)
         bonus = FIRST_LETTER_BONUS * (self.kinds.take(lane) > self.lanes.bits)
         return _ranks(_ratio(sizes - missing, self.size + sizes) + bonus, self.lanes.numbers.take(lane))
 
